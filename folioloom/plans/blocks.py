@@ -1,0 +1,32 @@
+"""Meeting every row of one table with every row of another, in blocks of bounded size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def in_blocks(
+    left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str,
+    left_rows: int, right_rows: int,
+):
+    """Cogrouped blocks in which each (left, right) pair with equal ``key`` meets exactly once.
+
+    The rows of one key are dealt into blocks by a hash of their id, as many as their count
+    asks for, and each block of one side meets each block of the other. So a key that holds
+    a large share of the rows becomes many groups. The table of block counts has one row
+    per key; callers use keys of known number (one, or the lists of an index).
+    """
+    n_left = left.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / left_rows).cast("int").alias("_left_blocks"))
+    n_right = right.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / right_rows).cast("int").alias("_right_blocks"))
+    blocks = F.broadcast(n_left.join(n_right, key))
+
+    def deal(df: DataFrame, own: str, own_id: str, other: str, own_count: str, other_count: str) -> DataFrame:
+        dealt = df.join(blocks, key).withColumn(own, F.pmod(F.xxhash64(own_id), F.col(own_count)).cast("int"))
+        copies = F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))
+        return dealt.withColumn(other, copies).drop("_left_blocks", "_right_blocks")
+
+    lefts = deal(left, "_left_block", left_id, "_right_block", "_left_blocks", "_right_blocks")
+    rights = deal(right, "_right_block", right_id, "_left_block", "_right_blocks", "_left_blocks")
+    names = [key, "_left_block", "_right_block"]
+    return lefts.groupBy(*names).cogroup(rights.groupBy(*names))
