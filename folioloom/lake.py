@@ -46,7 +46,7 @@ class CorpusLake:
 
     @property
     def blobs(self) -> DataFrame:
-        return blobs.read_blobs(self.spark, self.paths.blobs)
+        return blobs.BlobStore(self.spark, self.paths.blobs).read()
 
     @property
     def vector_meta(self) -> DataFrame:

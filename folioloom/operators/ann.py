@@ -35,6 +35,8 @@ MAX_BANDS = 256
 # Rows compared with all centroids at once.
 ASSIGN_TILE = 1_024
 POSTINGS_PER_BLOCK = 1_000_000
+# Entries of distance tables a task keeps (64 MB).
+MAX_KEPT_ENTRIES = 8_000_000
 HIT_COLUMNS = ["faiss_id", "chunk_id", "year", "source"]
 
 
@@ -321,11 +323,22 @@ def distance_table(residual: np.ndarray, books: np.ndarray) -> np.ndarray:
     return np.square(residual.reshape(m, 1, sub).astype(np.float64) - books).sum(axis=2)
 
 
-def score_list(tables: np.ndarray, codes: np.ndarray, near: Nearest, query_rows: np.ndarray):
+class ListTables:
+    """Distance tables of the queries of one list, kept from batch to batch where they are small."""
+
+    def __init__(self, residuals: np.ndarray, books: np.ndarray):
+        self.residuals, self.books = residuals, books
+        small = len(residuals) * books.shape[0] * books.shape[1] <= MAX_KEPT_ENTRIES
+        self.kept = [distance_table(r, books) for r in residuals] if small else None
+
+    def __iter__(self):
+        return iter(self.kept) if self.kept is not None else (distance_table(r, self.books) for r in self.residuals)
+
+
+def score_list(tables: ListTables, codes: np.ndarray, near: Nearest, query_rows: np.ndarray):
     """Candidates of one list for its queries: (query, row in ``codes``, distance) arrays.
 
-    ``tables`` is queries x m x codes. Per query only rows within its current limit, and
-    within the k best of this list, are kept.
+    Per query only rows within its current limit, and within the k best of this list, are kept.
     """
     sub = np.arange(codes.shape[1])
     found = []
@@ -380,7 +393,7 @@ def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, posti
     def run(batches):
         query_ids, queries, probed_by, base, code_books = sent.value
         near = Nearest(len(queries), n)
-        tables: dict[int, np.ndarray] = {}
+        tables: dict[int, ListTables] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -392,7 +405,7 @@ def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, posti
                 query_rows = probed_by[list_id]
                 if list_id not in tables:
                     # files are sorted by list, so the tables of the last list are enough
-                    tables = {list_id: np.stack([distance_table(queries[q] - base[list_id], code_books) for q in query_rows])}
+                    tables = {list_id: ListTables(queries[query_rows] - base[list_id], code_books)}
                 query, at, dist = score_list(tables[list_id], codes[rows], near, query_rows)
                 found.append((query, rows[at], dist))
             query, cols, dist = (np.concatenate(part) for part in zip(*found))
@@ -415,15 +428,11 @@ def _search_in_blocks(index: IVFPQIndex, queries: DataFrame, probes: DataFrame,
             return schema_table(schema)
         code_books = sent.value
         query_ids, offsets = asking["query_id"].combine_chunks(), matrix(asking["residual"])
-        near = Nearest(len(offsets), n)
+        near, tables, everyone = Nearest(len(offsets), n), ListTables(offsets, code_books), np.arange(len(offsets))
         out = []
         for batch in posted.combine_chunks().to_batches(max_chunksize=65_536):
             codes, order = code_matrix(batch["codes"], code_books.shape[0]), rank_ids(batch["chunk_id"])
-            found = [
-                score_list(distance_table(base, code_books)[None], codes, near, np.array([q]))
-                for q, base in enumerate(offsets)
-            ]
-            query, cols, dist = (np.concatenate(part) for part in zip(*found))
+            query, cols, dist = score_list(tables, codes, near, everyone)
             out.append(hits_batch(query_ids, batch, HIT_COLUMNS, *near.admit(query, cols, dist, order)))
         return pa.Table.from_batches(out)
 

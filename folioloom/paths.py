@@ -36,6 +36,10 @@ class LakePaths:
     def text_index(self) -> str:
         return self._table("text_index")
 
+    @property
+    def runs(self) -> str:
+        return self._table("registry/runs")
+
     @property
     def search_export(self) -> str:
         return self._table("search_export")

@@ -13,8 +13,8 @@ from folioloom.operators.chunks import chunk_rows
 from folioloom.operators.documents import build_documents, normalized
 from folioloom.operators.embedding import embed_chunks
 from folioloom.paths import LakePaths
-from folioloom.schemas import BLOBS, CHUNKS, DOCUMENTS, EMBEDDINGS
-from folioloom.sources.blobs import append_blobs, new_blobs, with_text
+from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS
+from folioloom.sources.blobs import BlobStore, with_text
 from folioloom.sources.ndjson import export_ndjson
 from folioloom.sources.records import metadata_table, read_records
 from folioloom.sources.sampling import sample_files
@@ -25,25 +25,13 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table has been written; asked of the file system the path belongs to."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    return scan(spark, path, schema) if exists(spark, path) else None
-
-
 def ingest_records(records: DataFrame, metadata: DataFrame, paths: LakePaths, run_id: str) -> None:
     """Append the new texts, then the documents that refer to them.
 
     The records are read once for each of the two tables instead of being kept: the text
     goes into one of them only, and nothing of the input's size is held by executors.
     """
-    spark = records.sparkSession
-    fresh = new_blobs(normalized(records), stored(spark, paths.blobs, BLOBS))
-    append_blobs(fresh, paths.blobs)
+    BlobStore(records.sparkSession, paths.blobs).add_texts(normalized(records))
     append(build_documents(records, metadata, run_id), paths.documents, sort_by=["doc_id"])
 
 
@@ -62,7 +50,7 @@ def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), wind
     """Documents into chunks."""
     documents = scan(spark, paths.documents, DOCUMENTS).select(
         "doc_id", "year", "source", "text_checksum", "ingest_run_id")
-    texts = with_text(documents, scan(spark, paths.blobs, BLOBS))
+    texts = with_text(documents, BlobStore(spark, paths.blobs).read())
     append(chunk_rows(texts, tokenizer, window, overlap), paths.chunks, sort_by=["doc_id", "seq"])
 
 

@@ -22,7 +22,7 @@ def _index(spark, sf_dir):
 
 @query("fts_analyze", with_ctes(["tokens"], "select chunk_id, term, pos from tokens"))
 def fts_analyze(spark, sf_dir):
-    return ft.analyzed(i.chunks(spark, sf_dir)).select("chunk_id", F.inline("tokens")).select("chunk_id", "term", "pos")
+    return ft.occurrences(i.chunks(spark, sf_dir)).select("chunk_id", "term", "pos")
 
 
 @query("fts_strict_rows", with_ctes(["chunks"], f"""

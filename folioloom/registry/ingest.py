@@ -101,8 +101,8 @@ def ingest_totals(spark, sf_dir):
 
 
 @query("distinct_texts", with_ctes(["norm"], """
-    select sha256(text) as checksum, any_value(text) as text, any_value(strlen(text))::bigint as n_bytes,
-           substr(sha256(text), 1, 2) as prefix from norm group by 1, 4"""))
+    select sha256(text) as checksum, any_value(text) as text, any_value(strlen(text))::bigint as n_bytes
+    from norm group by 1"""))
 def distinct_texts(spark, sf_dir):
     return i.blobs(spark, sf_dir)
 

@@ -13,7 +13,7 @@ from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.ingest import DOC_COLUMNS, RECORD_COLUMNS
 from folioloom.registry.inputs import with_ctes
-from folioloom.schemas import BLOBS, CHUNKS, DOCUMENTS, EMBEDDINGS, RECORD, SEARCH_DOCUMENT
+from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS, RECORD, SEARCH_DOCUMENT
 from folioloom.session import new_folder
 from folioloom.sources import blobs as blob_ops
 from folioloom.sources.ndjson import export_ndjson
@@ -74,15 +74,16 @@ def blob_store_new(spark, sf_dir):
     folder = new_folder(spark, "blobs")
     records = normalized(i.records(spark, sf_dir))
     labelled = records.join(i.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("n")), "n", "left_semi")
-    blob_ops.append_blobs(blob_ops.new_blobs(labelled, None), folder)
-    fresh = blob_ops.new_blobs(records, scan(spark, folder, BLOBS))
+    store = blob_ops.BlobStore(spark, folder)
+    store.add_texts(labelled)
+    fresh = blob_ops.new_blobs(records, store.read())
     return fresh.select("checksum", "text", "n_bytes", F.lit(True).alias("is_new"))
 
 
 def _written_blobs(spark, sf_dir):
-    folder = new_folder(spark, "blobs")
-    blob_ops.append_blobs(i.blobs(spark, sf_dir), folder)
-    return blob_ops.read_blobs(spark, folder)
+    store = blob_ops.BlobStore(spark, new_folder(spark, "blobs"))
+    store.append(i.blobs(spark, sf_dir))
+    return store.read()
 
 
 @query("blob_fetch", with_ctes(["docs"], "select doc_id, text_checksum, text from docs"))
@@ -137,7 +138,7 @@ def chunks_build(spark, sf_dir):
     """Documents and blobs on disk into chunks on disk."""
     paths = LakePaths(new_folder(spark, "lake"))
     append(i.documents(spark, sf_dir), paths.documents)
-    blob_ops.append_blobs(i.blobs(spark, sf_dir), paths.blobs)
+    blob_ops.BlobStore(spark, paths.blobs).append(i.blobs(spark, sf_dir))
     jobs.chunk(spark, paths, i.TOKENIZER, i.WINDOW, i.OVERLAP)
     return shown_chunks(scan(spark, paths.chunks, CHUNKS))
 
@@ -148,7 +149,7 @@ INGESTED_SQL = with_ctes(["docs"], """
 
 def _ingested(spark, paths: LakePaths):
     stored = scan(spark, paths.documents, DOCUMENTS)
-    return blob_ops.with_text(stored, blob_ops.read_blobs(spark, paths.blobs)).select(
+    return blob_ops.with_text(stored, blob_ops.BlobStore(spark, paths.blobs).read()).select(
         "doc_id", "year", "source", "title", "author", "text_checksum", "text_bytes", "text")
 
 

@@ -9,9 +9,13 @@ from folioloom.functions import vectors as vx
 from folioloom.operators import ann, lookup, semantic
 from folioloom.operators.embedding import check_vectors
 from folioloom.operators.knn import nearest
+from folioloom.paths import LakePaths
+from folioloom.plans import jobs
 from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import distance_sql, with_ctes
+from folioloom.session import new_folder
+from folioloom.sources.tables import append
 
 N = 10
 CONFIG = ann.IVFPQConfig(n_lists=10, m=8, n_bits=4, dim=i.DIM)
@@ -289,9 +293,11 @@ def ivfpq_search(spark, sf_dir):
 
 @query("ivfpq_search_trained")
 def ivfpq_search_trained(spark, sf_dir):
-    """Train, encode and search: benchmark texts against all chunks."""
-    rows = i.chunk_vectors(spark, sf_dir).select("chunk_id", "doc_id", "year", "source", "vector")
-    index = ann.build_index(rows, CONFIG)
+    """The jobs from embeddings on disk to an index on disk, and a search: benchmark texts against all chunks."""
+    paths = LakePaths(new_folder(spark, "lake"))
+    append(i.chunk_vectors(spark, sf_dir), paths.embeddings, keys=["model", "year", "source"])
+    jobs.index_vectors(spark, paths, i.ENCODER.name, CONFIG, fraction=0.5)
+    index = ann.read_index(spark, paths.vector_index, CONFIG)
     hits = ann.search(index, i.query_vectors(spark, sf_dir), N, year_min=1820, year_max=1860, n_probe=4)
     return rounded(hits, "faiss_id", "chunk_id", "year", "source")
 

@@ -13,7 +13,7 @@ DOCUMENTS = (
     "created_at TIMESTAMP, updated_at TIMESTAMP"
 )
 
-BLOBS = "checksum STRING, text STRING, n_bytes BIGINT, prefix STRING"
+BLOBS = "checksum STRING, text STRING, n_bytes BIGINT"
 
 CHUNKS = (
     "chunk_id STRING, doc_id STRING, year INT, source STRING, seq INT, start_token INT, "

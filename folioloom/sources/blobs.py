@@ -1,57 +1,108 @@
-"""Texts stored once per content digest."""
+"""Texts stored once per content digest, in a table bucketed by digest.
+
+Bucketing keeps the bulk of the lake, the texts, where they are: finding out what is new and
+joining documents with their texts both move the short side only, and a lookup by digest
+reads one bucket.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions.text import content_digest, text_bytes
-from folioloom.plans.skew import salted_join
+from folioloom.plans.skew import ROWS_PER_SLICE, salted_join, split_keys
 from folioloom.schemas import BLOBS, columns
-from folioloom.sources.tables import append, scan
+from folioloom.sources.tables import exists
 
 
 def distinct_texts(texts: DataFrame, text: str = "text") -> DataFrame:
     """One row per digest. Copies are dropped inside each task before the shuffle."""
     digested = texts.select(content_digest(F.col(text)).alias("checksum"), F.col(text).alias("text"))
     return digested.dropDuplicates(["checksum"]).select(
-        "checksum", "text", text_bytes(F.col("text")).alias("n_bytes"),
-        F.substring("checksum", 1, 2).alias("prefix"),
-    )
-
-
-def new_blobs(texts: DataFrame, stored: DataFrame | None, text: str = "text") -> DataFrame:
-    """Distinct texts whose digest is not stored yet; both steps share one shuffle."""
-    fresh = distinct_texts(texts, text)
-    if stored is None:
-        return fresh
-    return fresh.join(stored.select("checksum"), "checksum", "left_anti").select(*columns(BLOBS))
+        "checksum", "text", text_bytes(F.col("text")).alias("n_bytes"))
 
 
-def read_blobs(spark: SparkSession, path: str) -> DataFrame:
-    return scan(spark, path, BLOBS)
+def new_blobs(texts: DataFrame, stored: DataFrame, text: str = "text") -> DataFrame:
+    """Distinct texts whose digest is not stored yet; both steps share one shuffle of the texts."""
+    return distinct_texts(texts, text).join(stored.select("checksum"), "checksum", "left_anti").select(*columns(BLOBS))
 
 
-def append_blobs(blobs: DataFrame, path: str) -> None:
-    append(blobs, path, keys=["prefix"], sort_by=["checksum"])
+@dataclass(frozen=True)
+class BlobStore:
+    """The blob table under ``path``, registered in the session's catalog when first used.
 
+    The number of buckets is fixed by the first session that writes: its shuffle partitions,
+    unless given. It is kept beside the table, since every later session has to know it.
+    """
 
-def with_text(documents: DataFrame, blobs: DataFrame) -> DataFrame:
-    """Documents with their text. Many documents may share one text, so the join is salted.
-
-    Should two writers have stored one digest twice, a document still gets one row.
+    spark: SparkSession
+    path: str
+    buckets: int | None = None
+
+    @property
+    def _layout(self) -> str:
+        return f"{self.path.rstrip('/')}.layout"
+
+    def _bucket_count(self) -> int:
+        if not exists(self.spark, self._layout):
+            wanted = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self.spark.range(1).select(F.lit(wanted).alias("buckets")).coalesce(1).write.json(self._layout)
+        return self.spark.read.schema("buckets INT").json(self._layout).first()["buckets"]
+
+    def _table(self) -> tuple[str, int]:
+        name = f"folioloom_blobs_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}"
+        count = self._bucket_count()
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({BLOBS}) USING parquet OPTIONS (compression 'zstd') "
+            f"CLUSTERED BY (checksum) SORTED BY (checksum) INTO {count} BUCKETS LOCATION '{self.path}'")
+        self.spark.catalog.refreshTable(name)
+        return name, count
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self._table()[0])
+
+    def append(self, blobs: DataFrame) -> None:
+        """Add blobs that are new. Their shuffle by digest already deals them into buckets
+        where the shuffle partitions are a multiple of these; else they are dealt anew."""
+        name, count = self._table()
+        rows = blobs.select(*columns(BLOBS))
+        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) % count:
+            rows = rows.repartition(count, "checksum")
+        rows.write.insertInto(name)
+
+    def add_texts(self, texts: DataFrame, text: str = "text") -> None:
+        """Store the texts that are not there yet."""
+        self.append(new_blobs(texts, self.read(), text))
+
+
+def with_text(documents: DataFrame, blobs: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Documents with their text.
+
+    Documents are shuffled to the buckets of their text. A text that very many documents
+    share would bring them all to one task, so those documents take another way: they are
+    dealt out in slices, and only their texts are repeated. Should two writers have stored
+    a digest twice, a document still gets one row.
     """
     texts = blobs.select(F.col("checksum").alias("text_checksum"), "text").dropDuplicates(["text_checksum"])
-    return salted_join(documents, texts, "text_checksum", spread_by="doc_id")
+    heavy = F.broadcast(split_keys(documents, "text_checksum", rows_per_slice).select("text_checksum"))
+    usual = documents.join(heavy, "text_checksum", "left_anti").join(texts, "text_checksum")
+    copies = documents.join(heavy, "text_checksum", "left_semi")
+    shared = texts.join(heavy, "text_checksum", "left_semi")
+    return usual.unionByName(salted_join(copies, shared, "text_checksum", "doc_id", rows_per_slice=rows_per_slice))
 
 
 def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFrame:
-    """Text of one document: its earliest row, no row for an unknown id."""
+    """Text of one document: its earliest row, no row for an unknown id.
+
+    The digest is looked up first, so that the plan over the blobs names it and reads one bucket.
+    """
     row = (
         documents.filter(F.col("doc_id") == doc_id)
-        .orderBy("created_at", "ingest_run_id", "text_checksum").limit(1)
-        .select("doc_id", "text_checksum", F.substring("text_checksum", 1, 2).alias("prefix"))
+        .orderBy("created_at", "ingest_run_id", "text_checksum").select("text_checksum").first()
     )
-    # one row: broadcast is bounded, and its prefix prunes the blob folders at run time
-    hit = blobs.join(F.broadcast(row), (blobs.checksum == row.text_checksum) & (blobs.prefix == row.prefix))
-    return hit.select("doc_id", "text").limit(1)
+    found = blobs.filter(F.col("checksum") == (row["text_checksum"] if row else None))
+    return found.select(F.lit(doc_id).alias("doc_id"), "text").limit(1)

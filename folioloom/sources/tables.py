@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from folioloom.schemas import PARTITION_KEYS
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something has been written under ``path``; asked of the file system it belongs to."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lazy scan with a fixed schema; partition folders are never type-guessed."""
     return spark.read.schema(schema).parquet(path)

@@ -6,29 +6,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from folioloom.operators.documents import build_documents, normalized
+from folioloom.operators.documents import build_documents, normalized, stamp
 from folioloom.paths import LakePaths
-from folioloom.plans.jobs import stored
-from folioloom.schemas import BLOBS, DOCUMENTS, PARTITION_KEYS, RECORD
-from folioloom.sources.blobs import append_blobs, new_blobs
+from folioloom.schemas import DOCUMENTS, PARTITION_KEYS, RECORD, columns
+from folioloom.sources.blobs import BlobStore
 from folioloom.sources.records import metadata_table
-from folioloom.sources.tables import append
+from folioloom.sources.tables import append, exists, scan
+
+
+UNTIMED = [c for c in columns(DOCUMENTS) if c not in ("created_at", "updated_at")]
 
 
 def write_batch(records: DataFrame, batch_id: int, metadata: DataFrame, paths: LakePaths, stream: str) -> None:
     """One batch into the lake, with the run id ``<stream>-<batch>``.
 
-    Replaying a batch changes nothing: its texts are already stored, and its documents are
-    written only where no document of that run is there yet. Batches come one at a time.
+    Replaying a batch changes nothing: its texts are already stored, and a finished run is
+    on record. If a run broke off while its documents were being written, those that are
+    there are taken off first, each as often as it is there. Batches come one at a time.
     """
     spark = records.sparkSession
     run_id = f"{stream}-{batch_id}"
-    append_blobs(new_blobs(normalized(records), stored(spark, paths.blobs, BLOBS)), paths.blobs)
-    documents = build_documents(records, metadata, run_id)
-    known = stored(spark, paths.documents, DOCUMENTS)
-    if known is not None and known.filter(F.col("ingest_run_id") == run_id).limit(1).count():
+    finished = f"{paths.runs}/{run_id}"
+    if exists(spark, f"{finished}/_SUCCESS"):
         return
+    BlobStore(spark, paths.blobs).add_texts(normalized(records))
+    documents = build_documents(records, metadata, run_id)
+    if exists(spark, paths.documents):
+        written = scan(spark, paths.documents, DOCUMENTS).filter(F.col("ingest_run_id") == run_id).select(*UNTIMED)
+        if written.limit(1).count():
+            documents = stamp(documents.select(*UNTIMED).exceptAll(written), run_id).select(*columns(DOCUMENTS))
     append(documents, paths.documents, keys=PARTITION_KEYS, sort_by=["doc_id"])
+    spark.range(1).select(F.lit(run_id).alias("run_id")).coalesce(1).write.mode("overwrite").json(finished)
 
 
 def ingest_stream(
