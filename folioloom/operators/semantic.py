@@ -48,7 +48,8 @@ def attach_meta(hits: DataFrame, meta: DataFrame, few: bool = False) -> DataFram
 def chunks_of_hits(chunks: DataFrame, hits: DataFrame, few: bool = False) -> DataFrame:
     """Chunk rows that were hit, without rank or distance; year and source prune the folders."""
     keys = hits.select("chunk_id", "year", "source").distinct()
-    return chunks.join(F.broadcast(keys) if few else keys, ["chunk_id", "year", "source"], "left_semi")
+    found = chunks.join(F.broadcast(keys) if few else keys, ["chunk_id", "year", "source"], "left_semi")
+    return found.select(*chunks.columns)
 
 
 def hits_with_text(chunks: DataFrame, hits: DataFrame, few: bool = False) -> DataFrame:

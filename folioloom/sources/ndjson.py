@@ -16,7 +16,7 @@ def ndjson_lines(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def json_line() -> Column:
-    return F.to_json(F.struct(*columns(SEARCH_DOCUMENT)))
+    return F.to_json(F.struct(*columns(SEARCH_DOCUMENT)), {"ignoreNullFields": "false"})
 
 
 def export_ndjson(chunks: DataFrame, path: str, docs_per_file: int = 2000, gzip: bool = False) -> DataFrame:

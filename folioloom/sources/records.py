@@ -15,14 +15,11 @@ def read_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def split_records(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """The records that parse, and the raw lines that do not."""
-    lines = (
-        spark.read.schema(f"{RECORD}, bad_line STRING")
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad_line").json(paths)
-    )
-    # the filter must not be the only column the reader is asked for, so text is kept beside it
-    good = lines.filter(F.col("bad_line").isNull()).drop("bad_line")
-    bad = lines.filter(F.col("bad_line").isNotNull()).select("bad_line", F.col("_metadata.file_path").alias("file"))
-    return good, bad
+    lines = spark.read.text(paths).filter(F.btrim("value") != "")
+    fields = F.from_json("value", f"{RECORD}, bad_line STRING", {"columnNameOfCorruptRecord": "bad_line"})
+    parsed = lines.select(fields.alias("r"), F.col("_metadata.file_path").alias("file"))
+    good = parsed.filter(F.col("r.bad_line").isNull()).select("r.*").drop("bad_line")
+    return good, parsed.filter(F.col("r.bad_line").isNotNull()).select("r.bad_line", "file")
 
 
 def metadata_table(raw: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ import random
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioloom.schemas import columns
+
 
 def sample_files(spark: SparkSession, path: str, schema: str, fraction: float, seed: int = 42) -> DataFrame:
     """All rows of a seeded sample of the table's files, at least one file.
@@ -17,4 +19,4 @@ def sample_files(spark: SparkSession, path: str, schema: str, fraction: float, s
     if not names:
         return spark.createDataFrame([], schema)
     picked = random.Random(seed).sample(names, max(1, int(len(names) * fraction)))
-    return spark.read.schema(schema).option("basePath", path).parquet(*picked)
+    return spark.read.schema(schema).option("basePath", path).parquet(*picked).select(*columns(schema))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.schemas import PARTITION_KEYS
+from folioloom.schemas import PARTITION_KEYS, columns
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -16,7 +16,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lazy scan with a fixed schema; partition folders are never type-guessed."""
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*columns(schema))
 
 
 def spread(scanned: DataFrame, key: str) -> DataFrame:
