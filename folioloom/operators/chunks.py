@@ -28,6 +28,11 @@ def chunk_rows(documents: DataFrame, tokenizer=WordTokenizer(), window: int = 51
     ).select(*columns(CHUNKS))
 
 
+def check_reach(before: int, after: int) -> None:
+    if before < 0 or after < 0:
+        raise ValueError("before and after count chunks, they cannot be negative")
+
+
 def neighbours(targets: DataFrame, chunks: DataFrame, before: int = 1, after: int = 1) -> DataFrame:
     """Chunks around each target (``chunk_id, doc_id, seq``), the target among them.
 
@@ -35,8 +40,7 @@ def neighbours(targets: DataFrame, chunks: DataFrame, before: int = 1, after: in
     position. That keeps a document with very many chunks spread over all tasks, where a
     range condition would bring the whole document together.
     """
-    if before < 0 or after < 0:
-        raise ValueError("before and after count chunks, they cannot be negative")
+    check_reach(before, after)
     wanted = targets.select(
         F.col("chunk_id").alias("target_id"), "doc_id",
         F.explode(F.sequence(F.greatest(F.lit(0), F.col("seq") - before), F.col("seq") + after)).alias("seq"),
@@ -45,9 +49,16 @@ def neighbours(targets: DataFrame, chunks: DataFrame, before: int = 1, after: in
 
 
 def context(chunks: DataFrame, chunk_id: str, before: int = 1, after: int = 1) -> DataFrame:
-    """Neighbours of one chunk, in order."""
-    target = chunks.filter(F.col("chunk_id") == chunk_id).select("chunk_id", "doc_id", "seq").limit(1)
-    return neighbours(target, chunks, before, after).drop("target_id").orderBy("seq")
+    """Neighbours of one chunk, in order; none for an unknown id.
+
+    The position of the chunk is looked up first, so that the scan for its neighbours is a
+    filter on document and position that the Parquet reader can use.
+    """
+    check_reach(before, after)
+    target = chunks.filter(F.col("chunk_id") == chunk_id).select("doc_id", "seq").orderBy("doc_id", "seq").first()
+    doc_id, seq = (target["doc_id"], target["seq"]) if target else (None, 0)
+    around = F.col("seq").between(max(0, seq - before), seq + after)
+    return chunks.filter((F.col("doc_id") == F.lit(doc_id)) & around).orderBy("seq")
 
 
 def merge_chunks(chunks: DataFrame, tokenizer=WordTokenizer(), overlap: int = 64, by: str = "doc_id") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from folioloom.operators.lookup import source_clause, year_clause
 from folioloom.schemas import SEARCH_DOCUMENT, TEXT_DOCS, TEXT_POSTINGS, TEXT_TERMS, columns
-from folioloom.sources.tables import scan
+from folioloom.sources.tables import append, scan
 
 # The analyzer's token class and length limit, and the BM25 constants.
 TOKEN_PATTERN = r"([\p{IsAlphabetic}\p{N}]+)"
@@ -21,6 +23,9 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DIGITS = 6
 
+# Folders of the stored index. Fixed for all lakes, as a search works the folder out from the term.
+TERM_BUCKETS = 64
+
 STORED = ["chunk_id", "doc_id", "year", "source"]
 
 
@@ -65,6 +70,17 @@ def strict_rows(rows: DataFrame, extra_ok: bool = True) -> tuple[DataFrame, Data
     return typed.filter(whole), typed.filter(~whole)
 
 
+def term_bucket(term: Column) -> Column:
+    return F.pmod(F.hash(term), F.lit(TERM_BUCKETS)).cast("int")
+
+
+def has_term(terms: set[str]) -> Column:
+    """One of the terms, and in the folder of one of them."""
+    ordered = sorted(terms)
+    folders = reduce(or_, (F.col("term_bucket") == term_bucket(F.lit(t)) for t in ordered), F.lit(False))
+    return F.col("term").isin(ordered) & folders
+
+
 def analyzed(chunks: DataFrame) -> DataFrame:
     """Stored fields, raw token runs and field length of every indexable chunk."""
     rows, _ = strict_rows(chunks)
@@ -88,7 +104,8 @@ def postings(chunks: DataFrame) -> DataFrame:
     most of it for sorting and shuffling them.
     """
     rows = analyzed(chunks).select(*STORED, "doc_len", "runs", F.transform("runs", F.lower).alias("terms"))
-    return rows.mapInArrow(_group_tokens, TEXT_POSTINGS)
+    return rows.mapInArrow(_group_tokens, ", ".join(f for f in TEXT_POSTINGS.split(", ") if "term_bucket" not in f)).withColumn(
+        "term_bucket", term_bucket(F.col("term")))
 
 
 def _group_tokens(batches):
@@ -111,7 +128,7 @@ def _group_tokens(batches):
         columns_of["tf"] = pa.array(np.diff(bounds).astype(np.int32))
         columns_of["positions"] = pa.ListArray.from_arrays(
             pa.array(bounds.astype(np.int32)), pa.array(pos[order].astype(np.int32)))
-        names = columns(TEXT_POSTINGS)
+        names = [n for n in columns(TEXT_POSTINGS) if n != "term_bucket"]
         yield pa.RecordBatch.from_arrays([columns_of[n] for n in names], names=names)
 
 
@@ -120,7 +137,7 @@ def text_docs(chunks: DataFrame) -> DataFrame:
 
 
 def text_terms(posted: DataFrame) -> DataFrame:
-    return posted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return posted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("term_bucket", term_bucket(F.col("term")))
 
 
 def index_of(chunks: DataFrame) -> TextIndex:
@@ -130,16 +147,15 @@ def index_of(chunks: DataFrame) -> TextIndex:
 
 
 def write_text_index(chunks: DataFrame, path: str) -> None:
-    """Postings and terms sorted by term, so that a search reads the row groups of its terms.
+    """Postings and terms in folders by hash of the term, sorted by term inside the files: a
+    search reads the folders of its terms, and in them the row groups of its terms.
 
-    Postings are laid out by range of (term, chunk), which splits a frequent term over
-    many tasks and files.
+    A folder that a frequent term makes large is written by as many tasks as it needs.
     """
     spark = chunks.sparkSession
-    laid_out = postings(chunks).repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id")
-    laid_out.write.mode("overwrite").parquet(f"{path}/postings")
+    append(postings(chunks), f"{path}/postings", keys=["term_bucket"], mode="overwrite", sort_by=["term", "chunk_id"])
     stored = scan(spark, f"{path}/postings", TEXT_POSTINGS)
-    text_terms(stored).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    append(text_terms(stored), f"{path}/terms", keys=["term_bucket"], mode="overwrite", sort_by=["term"])
     text_docs(chunks).write.mode("overwrite").parquet(f"{path}/docs")
 
 
@@ -159,7 +175,7 @@ def query_terms(spark: SparkSession, query: str) -> list[tuple[int, str]]:
 
 def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources) -> DataFrame:
     """Postings of the terms under the filters, which hold for the whole query."""
-    hit = index.postings.filter(F.col("term").isin(sorted(terms)))
+    hit = index.postings.filter(has_term(terms))
     return source_clause(year_clause(hit, year_from, year_to), sources)
 
 
@@ -216,7 +232,7 @@ def bm25(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.col("doc_len").cast("double")).alias("avg_len")).alias("c"))
     # no more rows than the query has words
     asked = spark.createDataFrame(sorted(weights.items()), "term STRING, weight INT")
-    known = F.broadcast(index.terms.filter(F.col("term").isin(sorted(weights))).join(F.broadcast(asked), "term"))
+    known = F.broadcast(index.terms.filter(has_term(set(weights))).join(F.broadcast(asked), "term"))
     hit = _posted(index, set(weights), year_from, year_to, sources).join(known, "term").withColumn("c", corpus.scalar())
     idf = F.log(1 + (F.col("c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / F.col("c.avg_len"))

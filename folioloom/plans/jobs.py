@@ -13,12 +13,12 @@ from folioloom.operators.chunks import chunk_rows
 from folioloom.operators.documents import build_documents, normalized
 from folioloom.operators.embedding import embed_chunks
 from folioloom.paths import LakePaths
-from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS
+from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS, PARTITION_KEYS
 from folioloom.sources.blobs import BlobStore, with_text
 from folioloom.sources.ndjson import export_ndjson
 from folioloom.sources.records import metadata_table, read_records
 from folioloom.sources.sampling import sample_files
-from folioloom.sources.tables import append, scan
+from folioloom.sources.tables import append, balance_by, scan
 
 
 def new_run_id() -> str:
@@ -47,17 +47,23 @@ def ingest(
 
 
 def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), window: int = 512, overlap: int = 64) -> None:
-    """Documents into chunks."""
+    """Documents into chunks.
+
+    The texts are dealt out by folder and size before they are cut: that moves less than
+    moving the chunks, and a few very long documents do not end up in one task.
+    """
     documents = scan(spark, paths.documents, DOCUMENTS).select(
         "doc_id", "year", "source", "text_checksum", "ingest_run_id")
     texts = with_text(documents, BlobStore(spark, paths.blobs).read())
-    append(chunk_rows(texts, tokenizer, window, overlap), paths.chunks, sort_by=["doc_id", "seq"])
+    rows = chunk_rows(balance_by(texts, *PARTITION_KEYS), tokenizer, window, overlap)
+    append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False)
 
 
 def embed(spark: SparkSession, paths: LakePaths, encoder) -> None:
-    """Chunks into embeddings of one model."""
+    """Chunks into embeddings of one model. Chunks are read folder by folder, and embeddings
+    are written to folders of the same keys, so nothing is shuffled."""
     rows = embed_chunks(scan(spark, paths.chunks, CHUNKS), encoder)
-    append(rows, paths.embeddings, keys=["model", "year", "source"])
+    append(rows, paths.embeddings, keys=["model", *PARTITION_KEYS], balance=False)
 
 
 def index_vectors(

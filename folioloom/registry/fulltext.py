@@ -36,12 +36,12 @@ def fts_strict_rows(spark, sf_dir):
 
 @query("fts_postings", with_ctes(["post"], f"select term, {STORED}, tf, array_to_string(positions, ',') as positions, doc_len from post"))
 def fts_postings(spark, sf_dir):
-    return ft.postings(i.chunks(spark, sf_dir)).withColumn("positions", i.joined(F.col("positions")))
+    return ft.postings(i.chunks(spark, sf_dir)).drop("term_bucket").withColumn("positions", i.joined(F.col("positions")))
 
 
 @query("fts_terms", with_ctes(["post"], "select term, count(*) as df from post group by term"))
 def fts_terms(spark, sf_dir):
-    return _index(spark, sf_dir).terms
+    return _index(spark, sf_dir).terms.select("term", "df")
 
 
 @query("fts_docs", with_ctes(["lens"], f"select {STORED}, doc_len from lens"))

@@ -41,10 +41,10 @@ IVF_POSTINGS = (
 
 TEXT_POSTINGS = (
     "term STRING, chunk_id STRING, doc_id STRING, year BIGINT, source STRING, tf INT, "
-    "positions ARRAY<INT>, doc_len INT"
+    "positions ARRAY<INT>, doc_len INT, term_bucket INT"
 )
 
-TEXT_TERMS = "term STRING, df BIGINT"
+TEXT_TERMS = "term STRING, df BIGINT, term_bucket INT"
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 

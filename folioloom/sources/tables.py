@@ -44,13 +44,17 @@ def append(
     mode: str = "append",
     max_rows_per_file: int = 0,
     sort_by: list[str] | None = None,
+    balance: bool = True,
 ) -> None:
     """Write under ``key=value`` folders, few files per folder, file names unique per run.
 
+    Rows that already lie together by ``keys`` are written without ``balance``, which is a
+    shuffle of all of them.
+
     ``sort_by`` orders the rows inside each file, so that row-group statistics let a
     lookup on those columns skip most of the table.
     """
-    out = balance_by(df, *keys)
+    out = balance_by(df, *keys) if balance else df
     if sort_by:
         out = out.sortWithinPartitions(*keys, *sort_by)
     writer = out.write.mode(mode).partitionBy(*keys).option("compression", "zstd")

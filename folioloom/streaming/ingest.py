@@ -21,22 +21,27 @@ def write_batch(records: DataFrame, batch_id: int, metadata: DataFrame, paths: L
     """One batch into the lake, with the run id ``<stream>-<batch>``.
 
     Replaying a batch changes nothing: its texts are already stored, and a finished run is
-    on record. If a run broke off while its documents were being written, those that are
-    there are taken off first, each as often as it is there. Batches come one at a time.
+    on record. If a run was started and broke off, the documents it left are taken off
+    first, each as often as it is there. Batches come one at a time.
     """
     spark = records.sparkSession
     run_id = f"{stream}-{batch_id}"
-    finished = f"{paths.runs}/{run_id}"
+    started, finished = f"{paths.runs}/{run_id}.started", f"{paths.runs}/{run_id}"
     if exists(spark, f"{finished}/_SUCCESS"):
         return
+    again = exists(spark, started)
+    _note(spark, run_id, started)
     BlobStore(spark, paths.blobs).add_texts(normalized(records))
     documents = build_documents(records, metadata, run_id)
-    if exists(spark, paths.documents):
+    if again and exists(spark, paths.documents):
         written = scan(spark, paths.documents, DOCUMENTS).filter(F.col("ingest_run_id") == run_id).select(*UNTIMED)
-        if written.limit(1).count():
-            documents = stamp(documents.select(*UNTIMED).exceptAll(written), run_id).select(*columns(DOCUMENTS))
+        documents = stamp(documents.select(*UNTIMED).exceptAll(written), run_id).select(*columns(DOCUMENTS))
     append(documents, paths.documents, keys=PARTITION_KEYS, sort_by=["doc_id"])
-    spark.range(1).select(F.lit(run_id).alias("run_id")).coalesce(1).write.mode("overwrite").json(finished)
+    _note(spark, run_id, finished)
+
+
+def _note(spark: SparkSession, run_id: str, path: str) -> None:
+    spark.range(1).select(F.lit(run_id).alias("run_id")).coalesce(1).write.mode("overwrite").json(path)
 
 
 def ingest_stream(

@@ -129,6 +129,7 @@ def test_stored_postings_are_read_by_term(spark, sf_dir):
     text = plan(fulltext.match(index, "the nation"))
     assert "In(term, [nation,the])" in text
     assert "positions" not in re.search(r"ReadSchema: (\S+)", text).group(1)
+    assert re.search(r"PartitionFilters: \[.*term_bucket", text)
 
 
 def test_no_cross_join_in_any_search(spark, sf_dir):

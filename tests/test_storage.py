@@ -201,6 +201,7 @@ def test_replayed_and_broken_off_batches(spark, folder):
     records = spark.createDataFrame([("a", "one", None, "ia"), ("a", "one", None, "ia"), ("b", "two", None, "ia")], f"{RECORD}, source STRING")
     part = build_documents(records.limit(1), md, "s-0")
     append(part, paths.documents)  # what a run that broke off may have left
+    stream._note(spark, "s-0", f"{paths.runs}/s-0.started")
     for _ in range(2):
         stream.write_batch(records, 0, md, paths, "s")
         assert len(lake_rows(spark, paths)) == 3
