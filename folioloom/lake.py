@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom import schemas
@@ -16,8 +16,16 @@ from folioloom.sources import blobs
 from folioloom.sources.tables import scan
 
 
+# Hits of one semantic search.
+MAX_HITS = 10_000
+
+
 class CorpusLake:
-    """Lookups, semantic search and full-text search. Every method returns a lazy DataFrame."""
+    """Lookups, semantic search and full-text search. Every method returns a DataFrame.
+
+    The point lookups and the semantic search run their first step, which finds one row or
+    at most n, when called; all else is lazy.
+    """
 
     def __init__(
         self, spark: SparkSession, paths: LakePaths | str, tokenizer=WordTokenizer(),
@@ -90,6 +98,18 @@ class CorpusLake:
         asked = self.spark.sql("SELECT 0 AS query_id, :q AS text", args={"q": query})
         return embed_queries(asked, self.encoder)
 
+    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int) -> tuple[DataFrame, Column]:
+        """The hits of one query as local rows, and a filter for the folders they are in.
+
+        The hits are no more than n rows. Run here once, they are not searched for again in
+        every branch of a plan that uses them, and their folders are known to the planner.
+        """
+        if n > MAX_HITS:
+            raise ValueError(f"n is at most {MAX_HITS}; use folioloom.operators.ann.search for more")
+        rows = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe).toArrow()
+        years, sources = (sorted(set(rows[c].to_pylist())) for c in ("year", "source"))
+        return self.spark.createDataFrame(rows), F.col("year").isin(years) & F.col("source").isin(sources)
+
     def search(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None,
         n_probe: int = 64, with_text: bool = True, pad: bool = False,
@@ -97,22 +117,22 @@ class CorpusLake:
         """Chunks nearest in meaning. With text: the chunk rows. Without: distances and labels
         with their chunk, nearest first; ``pad`` fills up to n places."""
         asked = self.query_vectors(query)
-        hits = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe)
+        hits, folders = self._top(asked, n, year_min, year_max, n_probe)
         if with_text:
-            return semantic.chunks_of_hits(self.chunks, hits, few=True)
+            return semantic.chunks_of_hits(self.chunks.filter(folders), hits, few=True)
         if pad:
             labelled = semantic.pad_hits(hits, asked, n)
         else:
             labelled = hits.select("rank", F.col("distance").alias("distances"), F.col("faiss_id").alias("labels"))
-        found = semantic.attach_meta(labelled, self.vector_meta, few=True)
+        found = semantic.attach_meta(labelled, self.vector_meta.filter(folders), few=True)
         return found.orderBy("rank").select("distances", "labels", *semantic.META)
 
     def search_with_text(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None, n_probe: int = 64,
     ) -> DataFrame:
         """Chunks nearest in meaning with text, rank and distance, nearest first."""
-        hits = ann.search(self.vector_index, self.query_vectors(query), n, year_min, year_max, n_probe)
-        return semantic.hits_with_text(self.chunks, hits, few=True).orderBy("rank")
+        hits, folders = self._top(self.query_vectors(query), n, year_min, year_max, n_probe)
+        return semantic.hits_with_text(self.chunks.filter(folders), hits, few=True).orderBy("rank")
 
     # full-text search
 

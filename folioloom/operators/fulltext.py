@@ -1,4 +1,4 @@
-"""Full-text search over an inverted index kept as three tables: postings, terms, documents."""
+"""Full-text search over an inverted index kept as tables: postings, terms, documents, corpus."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.operators.lookup import source_clause, year_clause
-from folioloom.schemas import SEARCH_DOCUMENT, TEXT_DOCS, TEXT_POSTINGS, TEXT_TERMS, columns
+from folioloom.schemas import SEARCH_DOCUMENT, TEXT_CORPUS, TEXT_DOCS, TEXT_POSTINGS, TEXT_TERMS, columns
 from folioloom.sources.tables import append, scan
 
 # The analyzer's token class and length limit, and the BM25 constants.
@@ -34,6 +34,7 @@ class TextIndex:
     postings: DataFrame
     terms: DataFrame
     docs: DataFrame
+    corpus: DataFrame
 
 
 def token_runs(text: Column) -> Column:
@@ -140,10 +141,15 @@ def text_terms(posted: DataFrame) -> DataFrame:
     return posted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("term_bucket", term_bucket(F.col("term")))
 
 
+def text_corpus(docs: DataFrame) -> DataFrame:
+    """One row: number of chunks and their mean length."""
+    return docs.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.col("doc_len").cast("double")).alias("avg_len"))
+
+
 def index_of(chunks: DataFrame) -> TextIndex:
     """The index of ``chunks`` as lazy tables."""
-    posted = postings(chunks)
-    return TextIndex(posted, text_terms(posted), text_docs(chunks))
+    posted, docs = postings(chunks), text_docs(chunks)
+    return TextIndex(posted, text_terms(posted), docs, text_corpus(docs))
 
 
 def write_text_index(chunks: DataFrame, path: str) -> None:
@@ -157,6 +163,7 @@ def write_text_index(chunks: DataFrame, path: str) -> None:
     stored = scan(spark, f"{path}/postings", TEXT_POSTINGS)
     append(text_terms(stored), f"{path}/terms", keys=["term_bucket"], mode="overwrite", sort_by=["term"])
     text_docs(chunks).write.mode("overwrite").parquet(f"{path}/docs")
+    text_corpus(scan(spark, f"{path}/docs", TEXT_DOCS)).write.mode("overwrite").parquet(f"{path}/corpus")
 
 
 def read_text_index(spark: SparkSession, path: str) -> TextIndex:
@@ -164,6 +171,7 @@ def read_text_index(spark: SparkSession, path: str) -> TextIndex:
         scan(spark, f"{path}/postings", TEXT_POSTINGS),
         scan(spark, f"{path}/terms", TEXT_TERMS),
         scan(spark, f"{path}/docs", TEXT_DOCS),
+        scan(spark, f"{path}/corpus", TEXT_CORPUS),
     )
 
 
@@ -228,8 +236,7 @@ def bm25(
     weights: dict[str, int] = {}
     for _, term in query_terms(spark, query):
         weights[term] = weights.get(term, 0) + 1
-    corpus = index.docs.agg(F.struct(
-        F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.col("doc_len").cast("double")).alias("avg_len")).alias("c"))
+    corpus = index.corpus.select(F.struct("n", "avg_len").alias("c"))
     # no more rows than the query has words
     asked = spark.createDataFrame(sorted(weights.items()), "term STRING, weight INT")
     known = F.broadcast(index.terms.filter(has_term(set(weights))).join(F.broadcast(asked), "term"))

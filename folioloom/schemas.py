@@ -48,6 +48,8 @@ TEXT_TERMS = "term STRING, df BIGINT, term_bucket INT"
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 
+TEXT_CORPUS = "n DOUBLE, avg_len DOUBLE"
+
 
 def columns(ddl: str) -> list[str]:
     """Column names of one of the schemas above, in order."""
