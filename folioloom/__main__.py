@@ -9,7 +9,8 @@ from folioloom.operators.ann import IVFPQConfig
 from folioloom.operators.embedding import HashEncoder, OnnxEncoder
 from folioloom.paths import LakePaths
 from folioloom.plans import jobs
-from folioloom.session import build_session, new_folder, ship_package
+from folioloom.session import build_session, fit_shuffles, new_folder, ship_package
+from folioloom.sources.blobs import BlobStore
 from folioloom.streaming.ingest import ingest_stream
 
 
@@ -22,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("jsonl", nargs="+")
     ingest.add_argument("--metadata", required=True)
     ingest.add_argument("--source", default="ia")
+    ingest.add_argument("--rejects", help="folder for malformed lines; without it such a line fails the job")
     ingest.add_argument("--stream", help="name of a stream: take in what is new in the one given folder")
 
     chunk = todo.add_parser("chunk", help="documents into chunks")
@@ -57,13 +59,21 @@ def main(argv: list[str] | None = None) -> None:
     ship_package(spark)
     paths = LakePaths(args.base)
     tokenizer = ModelTokenizer.from_file(args.tokenizer) if getattr(args, "tokenizer", None) else WordTokenizer()
+    sizes = {
+        "ingest": getattr(args, "jsonl", []), "chunk": [paths.blobs], "embed": [paths.chunks],
+        "index-vectors": [paths.embeddings], "index-text": [paths.chunks], "export": [paths.chunks],
+    }
+    # the first run settles the buckets of the blob table, later ones keep to a multiple of them
+    fit_shuffles(spark, *sizes[args.job])
+    if args.job in ("ingest", "chunk"):
+        fit_shuffles(spark, *sizes[args.job], multiple_of=BlobStore(spark, paths.blobs).bucket_count())
     if args.job == "ingest" and args.stream:
         ingest_stream(
             spark, args.jsonl[0], spark.read.parquet(args.metadata), paths,
             f"{args.base.rstrip('/')}/registry/streams/{args.stream}", args.source, args.stream,
         ).awaitTermination()
     elif args.job == "ingest":
-        print(jobs.ingest(spark, args.jsonl, spark.read.parquet(args.metadata), paths, args.source))
+        print(jobs.ingest(spark, args.jsonl, spark.read.parquet(args.metadata), paths, args.source, rejects=args.rejects))
     elif args.job == "chunk":
         jobs.chunk(spark, paths, tokenizer, args.window, args.overlap)
     elif args.job == "embed":

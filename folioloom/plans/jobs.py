@@ -16,7 +16,7 @@ from folioloom.paths import LakePaths
 from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS, PARTITION_KEYS
 from folioloom.sources.blobs import BlobStore, with_text
 from folioloom.sources.ndjson import export_ndjson
-from folioloom.sources.records import metadata_table, read_records
+from folioloom.sources.records import metadata_table, read_records, split_records
 from folioloom.sources.sampling import sample_files
 from folioloom.sources.tables import append, balance_by, scan
 
@@ -37,11 +37,19 @@ def ingest_records(records: DataFrame, metadata: DataFrame, paths: LakePaths, ru
 
 def ingest(
     spark: SparkSession, jsonl: str | list[str], metadata: DataFrame, paths: LakePaths,
-    source: str = "ia", run_id: str | None = None,
+    source: str = "ia", run_id: str | None = None, rejects: str | None = None,
 ) -> str:
-    """JSONL files into documents and blobs; returns the run id."""
+    """JSONL files into documents and blobs; returns the run id.
+
+    A malformed line fails the job, unless ``rejects`` names a folder for such lines.
+    """
     run_id = run_id or new_run_id()
-    records = read_records(spark, jsonl).withColumn("source", F.lit(source))
+    if rejects is None:
+        records = read_records(spark, jsonl)
+    else:
+        records, bad = split_records(spark, jsonl)
+        bad.write.mode("append").json(rejects)
+    records = records.withColumn("source", F.lit(source))
     ingest_records(records, metadata_table(metadata), paths, run_id)
     return run_id
 

@@ -27,7 +27,8 @@ def rounded(hits, *extra: str):
 
 
 def components(df, key: str, vector: str = "vector"):
-    long = df.select(key, F.posexplode(vector).alias("component", "v"))
+    # the outer form: to skip empty vectors Spark would run the encoder a second time
+    long = df.select(key, F.posexplode_outer(vector).alias("component", "v"))
     return long.select(key, "component", F.round(F.col("v").cast("double"), 6).alias("value"))
 
 

@@ -48,6 +48,28 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/folioloom-{label}-{uuid.uuid4().hex}"
 
 
+# Shuffled bytes one task is to get.
+BYTES_PER_TASK = 256 * 1024 * 1024
+
+
+def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0, multiple_of: int = 1) -> int:
+    """Set the number of shuffle partitions from the size of the input files, and return it.
+
+    ``growth`` is what a compressed byte on disk comes to in a shuffle. The number is never
+    below the cores at hand, and a multiple of ``multiple_of``, such as a bucket count.
+    """
+    total = 0
+    for path in paths:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if file_system.exists(hadoop_path):
+            total += file_system.getContentSummary(hadoop_path).getLength()
+    wanted = max(spark.sparkContext.defaultParallelism, int(total * growth / BYTES_PER_TASK) + 1)
+    wanted = -(-wanted // multiple_of) * multiple_of
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
+
+
 _SHIPPED: set[str] = set()
 
 

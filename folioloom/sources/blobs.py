@@ -47,7 +47,8 @@ class BlobStore:
     def _layout(self) -> str:
         return f"{self.path.rstrip('/')}.layout"
 
-    def _bucket_count(self) -> int:
+    def bucket_count(self) -> int:
+        """Buckets of the table; settles them if nothing has been written yet."""
         if not exists(self.spark, self._layout):
             wanted = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             self.spark.range(1).select(F.lit(wanted).alias("buckets")).coalesce(1).write.json(self._layout)
@@ -55,7 +56,7 @@ class BlobStore:
 
     def _table(self) -> tuple[str, int]:
         name = f"folioloom_blobs_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}"
-        count = self._bucket_count()
+        count = self.bucket_count()
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({BLOBS}) USING parquet OPTIONS (compression 'zstd') "
             f"CLUSTERED BY (checksum) SORTED BY (checksum) INTO {count} BUCKETS LOCATION '{self.path}'")

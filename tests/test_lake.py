@@ -106,5 +106,9 @@ def test_job_runner_reads_its_arguments():
 def test_job_runner_runs_jobs(spark, lake):
     from folioloom.__main__ import main
 
-    main(["--base", lake.paths.base, "export", "--docs-per-file", "50"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        main(["--base", lake.paths.base, "export", "--docs-per-file", "50"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert spark.read.text(lake.paths.search_export).count() == lake.chunks.count()

@@ -42,6 +42,29 @@ def test_malformed_lines(spark, folder):
     assert [r.bad_line for r in bad.collect()] == ['{"ia_id": "b", "te']
 
 
+def test_ingest_with_rejects(spark, folder):
+    source = write_lines(spark, f"{folder}/in", ['{"ia_id": "a", "text": "t"}', '{"ia_id": "b", "te', ""])
+    md = spark.createDataFrame([("a", 1850, "T", "A")], METADATA)
+    paths = LakePaths(f"{folder}/lake")
+    jobs.ingest(spark, source, md, paths, rejects=f"{folder}/rejects")
+    assert [r.doc_id for r in scan(spark, paths.documents, DOCUMENTS).collect()] == ["a"]
+    assert spark.read.json(f"{folder}/rejects").first().bad_line == '{"ia_id": "b", "te'
+
+
+def test_shuffles_are_sized_from_the_input(spark, folder, monkeypatch):
+    from folioloom import session
+
+    spark.range(100_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x")).write.parquet(folder)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert session.fit_shuffles(spark, folder, "/nowhere") == 8
+        monkeypatch.setattr(session, "BYTES_PER_TASK", 100_000)
+        many = session.fit_shuffles(spark, folder, multiple_of=7)
+        assert many > 60 and many % 7 == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def documents(spark, rows, run="r"):
     records = spark.createDataFrame(rows, f"{RECORD}, source STRING")
     md = metadata_table(spark.createDataFrame([("a", 1850, "T", "A")], METADATA))
@@ -97,7 +120,7 @@ def test_bucket_count_is_kept_and_other_shuffle_settings_still_write_right(spark
     bl.BlobStore(spark, folder, buckets=5).add_texts(texts(spark, [str(i) for i in range(50)]))
     bl.BlobStore(spark, folder, buckets=3).add_texts(texts(spark, [str(i) for i in range(40, 90)]))
     store = bl.BlobStore(spark, folder)
-    assert store._bucket_count() == 5
+    assert store.bucket_count() == 5
     digests = store.read().select(F.col("checksum").alias("text_checksum"), F.lit("d").alias("doc_id"))
     assert bl.with_text(digests, store.read()).count() == 90
     one = store.read().filter(F.col("text") == "77").first()
