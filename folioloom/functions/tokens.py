@@ -107,27 +107,29 @@ class WordTokenizer:
     def join(self, units: Column) -> Column:
         return F.array_join(units, " ")
 
-    def cut(self, df: DataFrame, text: str, window: int, overlap: int) -> DataFrame:
-        """One row per window, with seq, start_token, end_token, text and tokens.
+    def cut(self, df: DataFrame, text: str, window: int, overlap: int, tokens: bool = True) -> DataFrame:
+        """One row per window, with seq, start_token, end_token, text and, unless left out, tokens.
 
         Words and ids are worked out once per document, below the generator. A window of
         words encodes to the slice of the document's ids, so nothing is hashed twice.
         """
         keep = [c for c in df.columns if c != text]
         read = df.select(*keep, words(F.col(text)).alias("_words"))
-        read = read.withColumn("_ids", F.transform("_words", word_id))
+        if tokens:
+            read = read.withColumn("_ids", F.transform("_words", word_id))
         spans = token_windows(F.size("_words") + 2 * self.frame, window, overlap)
 
         def window_row(span: Column) -> Column:
             first = F.greatest(span["start_token"] - self.frame, F.lit(0))
             last = F.least(span["end_token"] - self.frame, F.size("_words"))
             length = F.greatest(last - first, F.lit(0))
+            ids = [self._framed(F.slice("_ids", first + 1, length)).alias("tokens")] if tokens else []
             return F.struct(
                 span["seq"].alias("seq"),
                 span["start_token"].alias("start_token"),
                 span["end_token"].alias("end_token"),
                 self.join(F.slice("_words", first + 1, length)).alias("text"),
-                self._framed(F.slice("_ids", first + 1, length)).alias("tokens"),
+                *ids,
             )
 
         return read.select(*keep, F.inline(F.transform(spans, window_row)))
@@ -173,7 +175,7 @@ class ModelTokenizer:
     def join(self, units: Column) -> Column:
         return self.decode(units)
 
-    def cut(self, df: DataFrame, text: str, window: int, overlap: int) -> DataFrame:
+    def cut(self, df: DataFrame, text: str, window: int, overlap: int, tokens: bool = True) -> DataFrame:
         keep = [c for c in df.columns if c != text]
         read = df.select(*keep, self.encode(F.col(text)).alias("_ids"))
         spans = token_windows(F.size("_ids"), window, overlap)
@@ -182,7 +184,9 @@ class ModelTokenizer:
             F.slice("_ids", s["start_token"] + 1, s["end_token"] - s["start_token"]).alias("_span"),
         ))
         spread = read.select(*keep, F.inline(rows)).withColumn("text", self.decode(F.col("_span")))
-        return spread.withColumn("tokens", self.encode(F.col("text"))).drop("_span")
+        if tokens:
+            spread = spread.withColumn("tokens", self.encode(F.col("text")))
+        return spread.drop("_span")
 
 
 _LOADED: dict[tuple[str, int | None], object] = {}

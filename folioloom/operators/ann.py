@@ -30,8 +30,8 @@ from folioloom.schemas import COARSE_CENTROIDS, IVF_POSTINGS, PQ_CODEBOOKS, VECT
 from folioloom.sources.tables import append, scan
 
 MAX_LISTS = 65_536
-# Folders the postings are spread over; several lists share one when there are more lists.
-MAX_BANDS = 256
+# Folders the postings are spread over: one per list, or several lists in one if there are more lists.
+MAX_BANDS = 16_384
 # Rows compared with all centroids at once.
 ASSIGN_TILE = 1_024
 POSTINGS_PER_BLOCK = 1_000_000

@@ -10,22 +10,27 @@ from folioloom.functions.tokens import WordTokenizer
 from folioloom.schemas import CHUNKS, columns
 
 
-def chunk_rows(documents: DataFrame, tokenizer=WordTokenizer(), window: int = 512, overlap: int = 64) -> DataFrame:
-    """Chunk rows of documents that carry their text. Narrow: no shuffle."""
+def chunk_rows(
+    documents: DataFrame, tokenizer=WordTokenizer(), window: int = 512, overlap: int = 64, tokens: bool = True,
+) -> DataFrame:
+    """Chunk rows of documents that carry their text. Narrow: no shuffle.
+
+    ``tokens=False`` leaves that column out, for plans that go on with the text only.
+    """
     head = documents.select(
         "doc_id", "year",
         F.coalesce("source", F.lit("")).alias("source"),
         F.coalesce("ingest_run_id", F.lit("")).alias("ingest_run_id"),
         "text",
     )
-    cut = tokenizer.cut(head, "text", window, overlap).withColumn("text_checksum", content_digest(F.col("text")))
+    cut = tokenizer.cut(head, "text", window, overlap, tokens).withColumn("text_checksum", content_digest(F.col("text")))
     name = F.concat_ws(":", "doc_id", "seq", "start_token", "end_token", "text_checksum")
     return cut.select(
         "*",
         content_digest(name).alias("chunk_id"),
         (F.col("end_token") - F.col("start_token")).alias("token_count"),
         F.current_timestamp().alias("created_at"),
-    ).select(*columns(CHUNKS))
+    ).select(*[c for c in columns(CHUNKS) if tokens or c != "tokens"])
 
 
 def check_reach(before: int, after: int) -> None:

@@ -58,7 +58,8 @@ class OnnxEncoder:
     """A transformer exported to ONNX: padded ids and mask in, token states out.
 
     States are averaged under the mask and brought to unit length. Each Python worker opens
-    the model once. ``model`` is a path every executor can read.
+    the model once. ``model`` is a path every executor can read; ``providers`` names the
+    devices to run on, such as ``("CUDAExecutionProvider",)`` where executors have them.
     """
 
     model: str
@@ -67,15 +68,17 @@ class OnnxEncoder:
     name: str
     max_tokens: int = MAX_TOKENS
     batch: int = 512
+    providers: tuple[str, ...] = ("CPUExecutionProvider",)
 
     def encode(self, text: Column) -> Column:
-        model, size, limit = self.model, self.batch, self.max_tokens
+        model, size, limit, providers = self.model, self.batch, self.max_tokens, self.providers
+        dim = self.dim
 
         def run(ids: pa.Array) -> pa.Array:
-            states = _model(model)
+            states = _model(model, providers)
             rows = ids.to_pylist()
             out = [encode_ids(states, rows[lo:lo + size], limit) for lo in range(0, len(rows), size)]
-            return list_column(np.concatenate(out))
+            return list_column(np.concatenate(out) if out else np.zeros((0, dim), np.float32))
 
         return F.arrow_udf(run, "array<float>")(self.tokenizer.encode(text, limit))
 
@@ -92,23 +95,24 @@ def encode_ids(states, rows: list[list[int]], limit: int) -> np.ndarray:
     return unit_rows((hidden * weights).sum(axis=1) / np.maximum(weights.sum(axis=1), MIN_COUNT))
 
 
-_MODELS: dict[str, object] = {}
+_MODELS: dict[tuple[str, tuple[str, ...]], object] = {}
 
 
-def _model(path: str):
+def _model(path: str, providers: tuple[str, ...]):
     """Token-state function of the model, opened on first use in this worker process."""
-    if path not in _MODELS:
+    key = (path, providers)
+    if key not in _MODELS:
         import onnxruntime
 
-        session = onnxruntime.InferenceSession(path)
+        session = onnxruntime.InferenceSession(path, providers=list(providers))
         names = {i.name for i in session.get_inputs()}
 
         def states(ids, mask):
             feed = {"input_ids": ids, "attention_mask": mask, "token_type_ids": np.zeros_like(ids)}
             return session.run(None, {k: v for k, v in feed.items() if k in names})[0]
 
-        _MODELS[path] = states
-    return _MODELS[path]
+        _MODELS[key] = states
+    return _MODELS[key]
 
 
 def embed(df: DataFrame, encoder, role: str, text: str = "text") -> DataFrame:

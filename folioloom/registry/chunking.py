@@ -40,7 +40,7 @@ def detokenize(spark, sf_dir):
 
 @query("prefix_text", with_ctes(["chunks"], "select chunk_id, 'passage: ' || text as text from chunks"))
 def prefix_text(spark, sf_dir):
-    return i.chunks(spark, sf_dir).select("chunk_id", prefixed(F.col("text"), "passage").alias("text"))
+    return i.chunk_texts(spark, sf_dir).select("chunk_id", prefixed(F.col("text"), "passage").alias("text"))
 
 
 @query("pad_truncate", with_ctes(["plain"], f"""
@@ -71,7 +71,7 @@ def chunk_rows(spark, sf_dir):
            c.n_chunks, true as merge_ok
     from plain p join (select doc_id, count(*)::int as n_chunks from chunks group by 1) c on c.doc_id = p.doc_id"""))
 def merge_sequences(spark, sf_dir):
-    return ops.merge_chunks(i.chunks(spark, sf_dir), i.TOKENIZER, i.OVERLAP)
+    return ops.merge_chunks(i.chunk_texts(spark, sf_dir), i.TOKENIZER, i.OVERLAP)
 
 
 @query("chunks_by_doc", with_ctes(["chunks"], "select doc_id, chunk_id, seq, text, year, source, tokens from chunks where doc_id = 'd21'"))
@@ -84,7 +84,7 @@ def chunks_by_doc(spark, sf_dir):
     select doc_id, chunk_id, seq, text, year, source from chunks where chunk_id = (select min(chunk_id) from chunks)"""))
 def chunk_by_id(spark, sf_dir):
     """The chunk with the first id in order."""
-    chunks = i.chunks(spark, sf_dir)
+    chunks = i.chunk_texts(spark, sf_dir)
     return lookup.chunk_by_id(chunks, chunks.agg(F.min("chunk_id")).scalar())
 
 
@@ -93,6 +93,6 @@ def chunk_by_id(spark, sf_dir):
     from chunks t join chunks c on c.doc_id = t.doc_id and c.seq between greatest(0, t.seq - 1) and t.seq + 2"""))
 def chunk_context(spark, sf_dir):
     """One chunk before and two after, for every chunk."""
-    chunks = i.chunks(spark, sf_dir)
+    chunks = i.chunk_texts(spark, sf_dir)
     around = ops.neighbours(chunks.select("chunk_id", "doc_id", "seq"), chunks, before=1, after=2)
     return around.select("target_id", "doc_id", "chunk_id", "seq", "text", "year", "source")

@@ -17,26 +17,26 @@ SCORED = "nation with the"
 
 
 def _index(spark, sf_dir):
-    return ft.index_of(i.chunks(spark, sf_dir))
+    return ft.index_of(i.chunk_texts(spark, sf_dir))
 
 
 @query("fts_analyze", with_ctes(["tokens"], "select chunk_id, term, pos from tokens"))
 def fts_analyze(spark, sf_dir):
-    return ft.occurrences(i.chunks(spark, sf_dir)).select("chunk_id", "term", "pos")
+    return ft.occurrences(i.chunk_texts(spark, sf_dir)).select("chunk_id", "term", "pos")
 
 
 @query("fts_strict_rows", with_ctes(["chunks"], f"""
     select chunk_id, doc_id, case when seq % 9 = 4 then null else year end::bigint as year, source, text, seq % 9 <> 4 as accepted from chunks"""))
 def fts_strict_rows(spark, sf_dir):
     """Some chunks lose their year; they have to end up among the rejects."""
-    undated = i.chunks(spark, sf_dir).withColumn("year", F.expr("CASE WHEN seq % 9 = 4 THEN NULL ELSE year END"))
+    undated = i.chunk_texts(spark, sf_dir).withColumn("year", F.expr("CASE WHEN seq % 9 = 4 THEN NULL ELSE year END"))
     good, bad = ft.strict_rows(undated)
     return good.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False)))
 
 
 @query("fts_postings", with_ctes(["post"], f"select term, {STORED}, tf, array_to_string(positions, ',') as positions, doc_len from post"))
 def fts_postings(spark, sf_dir):
-    return ft.postings(i.chunks(spark, sf_dir)).drop("term_bucket").withColumn("positions", i.joined(F.col("positions")))
+    return ft.postings(i.chunk_texts(spark, sf_dir)).drop("term_bucket").withColumn("positions", i.joined(F.col("positions")))
 
 
 @query("fts_terms", with_ctes(["post"], "select term, count(*) as df from post group by term"))
@@ -51,17 +51,17 @@ def fts_docs(spark, sf_dir):
 
 @query("fts_raw_match", with_ctes(["chunks"], f"select {STORED} from chunks where source = 'src3'"))
 def fts_raw_match(spark, sf_dir):
-    return ft.raw_match(i.chunks(spark, sf_dir), "source", "src3")
+    return ft.raw_match(i.chunk_texts(spark, sf_dir), "source", "src3")
 
 
 @query("fts_year_clause", with_ctes(["chunks"], "select chunk_id, year from chunks where year >= 1850"))
 def fts_year_clause(spark, sf_dir):
-    return lookup.year_clause(i.chunks(spark, sf_dir), year_from=1850).select("chunk_id", "year")
+    return lookup.year_clause(i.chunk_texts(spark, sf_dir), year_from=1850).select("chunk_id", "year")
 
 
 @query("fts_source_clause", with_ctes(["chunks"], "select chunk_id, source from chunks where source in ('src1', 'src4', 'src7')"))
 def fts_source_clause(spark, sf_dir):
-    return lookup.source_clause(i.chunks(spark, sf_dir), ["src1", "src4", "src7"]).select("chunk_id", "source")
+    return lookup.source_clause(i.chunk_texts(spark, sf_dir), ["src1", "src4", "src7"]).select("chunk_id", "source")
 
 
 ANY_SQL = f"select {STORED}, count(*) as n_terms from post where term in ('the', 'nation', 'with') group by all"

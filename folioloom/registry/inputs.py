@@ -93,8 +93,13 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_rows(plain_documents(spark, sf_dir), TOKENIZER, WINDOW, OVERLAP)
 
 
+def chunk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chunks without their tokens."""
+    return chunk_rows(plain_documents(spark, sf_dir), TOKENIZER, WINDOW, OVERLAP, tokens=False)
+
+
 def chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_chunks(chunks(spark, sf_dir), ENCODER)
+    return embed_chunks(chunk_texts(spark, sf_dir), ENCODER)
 
 
 def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,7 +101,7 @@ def document_text(spark, sf_dir):
 @query("ndjson_export", with_ctes(["chunks"], "select chunk_id, doc_id, year::bigint as year, source, text from chunks"))
 def ndjson_export(spark, sf_dir):
     folder = new_folder(spark, "ndjson")
-    export_ndjson(i.chunks(spark, sf_dir), folder)
+    export_ndjson(i.chunk_texts(spark, sf_dir), folder)
     parsed = spark.read.text(folder).select(F.from_json("value", SEARCH_DOCUMENT).alias("d"))
     return parsed.select("d.chunk_id", "d.doc_id", "d.year", "d.source", "d.text")
 
@@ -109,7 +109,7 @@ def ndjson_export(spark, sf_dir):
 @query("ndjson_export_batched", with_ctes(["chunks"], "select count(*) as n_docs, true as within_cap from chunks"))
 def ndjson_export_batched(spark, sf_dir):
     folder = new_folder(spark, "ndjson")
-    export_ndjson(i.chunks(spark, sf_dir), folder, docs_per_file=500, gzip=True)
+    export_ndjson(i.chunk_texts(spark, sf_dir), folder, docs_per_file=500, gzip=True)
     per_file = spark.read.text(folder).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return per_file.agg(F.sum("n").alias("n_docs"), (F.max("n") <= 500).alias("within_cap"))
 

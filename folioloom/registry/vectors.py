@@ -180,7 +180,7 @@ def hits_left_join_meta(spark, sf_dir):
 @query("search_chunks_semi", with_ctes(["chunks", "chunk_vec", "query_vec"], """
     select chunk_id, doc_id, year, source, seq, text from chunks where chunk_id in (select chunk_id from hits)""", FOUND))
 def search_chunks_semi(spark, sf_dir):
-    found = semantic.chunks_of_hits(i.chunks(spark, sf_dir), chunk_hits(spark, sf_dir))
+    found = semantic.chunks_of_hits(i.chunk_texts(spark, sf_dir), chunk_hits(spark, sf_dir))
     return found.select("chunk_id", "doc_id", "year", "source", "seq", "text")
 
 
@@ -188,7 +188,7 @@ def search_chunks_semi(spark, sf_dir):
     select h.query_id, h.rank, h.distance, c.chunk_id, c.doc_id, c.year, c.source, c.seq, c.text
     from hits h join chunks c on c.chunk_id = h.chunk_id""", FOUND))
 def search_with_text(spark, sf_dir):
-    found = semantic.hits_with_text(i.chunks(spark, sf_dir), chunk_hits(spark, sf_dir))
+    found = semantic.hits_with_text(i.chunk_texts(spark, sf_dir), chunk_hits(spark, sf_dir))
     return rounded(found, "chunk_id", "doc_id", "year", "source", "seq", "text")
 
 

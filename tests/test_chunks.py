@@ -124,21 +124,6 @@ def test_pad_and_mask(spark):
     assert (row.p, row.m, row.same) == ([1, 5, 6, 7, 2, 0, 0], [1, 1, 1, 1, 1, 0, 0], [1, 5, 6, 7, 2])
 
 
-@pytest.fixture(scope="module")
-def word_pieces():
-    """A small sub-word model, trained on a few words."""
-    from tokenizers import Tokenizer, decoders, models, normalizers, pre_tokenizers, processors, trainers
-
-    model = Tokenizer(models.WordPiece(unk_token="[UNK]"))
-    model.normalizer = normalizers.BertNormalizer(lowercase=True)
-    model.pre_tokenizer = pre_tokenizers.BertPreTokenizer()
-    model.decoder = decoders.WordPiece()
-    words = ["the river runs down to the sea and the town lies by the river"] * 5
-    model.train_from_iterator(words, trainers.WordPieceTrainer(vocab_size=80, special_tokens=["[PAD]", "[UNK]", "[CLS]", "[SEP]"]))
-    model.post_processor = processors.TemplateProcessing(single="[CLS] $A [SEP]", special_tokens=[("[CLS]", 2), ("[SEP]", 3)])
-    return model
-
-
 def test_model_tokenizer_cuts_like_the_model(spark, word_pieces):
     tokenizer = tk.ModelTokenizer(word_pieces.to_str())
     texts = ["The river runs down to the sea", "", "town and sea " * 20]

@@ -132,6 +132,53 @@ def test_encode_ids_pools_under_the_mask():
     assert embedding.encode_ids(states, [[]], 4).tolist() == [[0.0, 0.0]]
 
 
+def field(number, value):
+    """One protobuf field: a varint for a number, else length and bytes."""
+    def varint(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    value = value.encode() if isinstance(value, str) else value
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def lookup_model(table):
+    """An ONNX model whose token states are rows of ``table``, picked by id."""
+    def info(name, kind, axes):
+        shape = b"".join(field(1, field(2, a) if isinstance(a, str) else field(1, a)) for a in axes)
+        return field(1, name) + field(2, field(1, field(1, kind) + field(2, shape)))
+
+    rows, dim = table.shape
+    weights = field(1, rows) + field(1, dim) + field(2, 1) + field(8, "table") + field(9, table.astype("<f4").tobytes())
+    node = field(1, "table") + field(1, "input_ids") + field(2, "last_hidden_state") + field(4, "Gather")
+    graph = (field(1, node) + field(2, "g") + field(5, weights) + field(11, info("input_ids", 7, ["n", "t"]))
+             + field(12, info("last_hidden_state", 1, ["n", "t", dim])))
+    return field(1, 8) + field(7, graph) + field(8, field(1, "") + field(2, 13))
+
+
+def test_a_real_model_runs_in_the_workers(spark, tmp_path, word_pieces):
+    from folioloom.functions.tokens import ModelTokenizer
+
+    table = np.random.default_rng(3).normal(size=(word_pieces.get_vocab_size(), 6)).astype(np.float32)
+    path = tmp_path / "model.onnx"
+    path.write_bytes(lookup_model(table))
+    encoder = embedding.OnnxEncoder(str(path), ModelTokenizer(word_pieces.to_str()), 6, "lookup", max_tokens=12, batch=2)
+    texts = ["the river", "the sea and the town", "", "river " * 40, "down"]
+    rows = spark.createDataFrame([(str(n), "d", 1800, "s", t) for n, t in enumerate(texts)], "chunk_id STRING, doc_id STRING, year INT, source STRING, text STRING")
+    got = {r.chunk_id: r for r in embedding.embed_chunks(rows, encoder).collect()}
+    word_pieces.enable_truncation(12)
+    for n, text in enumerate(texts):
+        mean = table[word_pieces.encode(f"passage: {text}").ids].astype(np.float64).mean(axis=0)
+        assert np.allclose(got[str(n)].vector, mean / np.linalg.norm(mean), atol=1e-5)
+        assert (got[str(n)].dim, got[str(n)].model) == (6, "lookup")
+    word_pieces.no_truncation()
+
+
 # --- approximate search -------------------------------------------------------------------
 
 CONFIG = ann.IVFPQConfig(n_lists=8, m=8, n_bits=6, dim=16, coarse_iterations=8, code_iterations=6)
