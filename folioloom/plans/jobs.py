@@ -14,6 +14,7 @@ from folioloom.operators.documents import build_documents, normalized
 from folioloom.operators.embedding import embed_chunks
 from folioloom.paths import LakePaths
 from folioloom.schemas import CHUNKS, DOCUMENTS, EMBEDDINGS, PARTITION_KEYS
+from folioloom.session import task_share
 from folioloom.sources.blobs import BlobStore, with_text
 from folioloom.sources.ndjson import export_ndjson
 from folioloom.sources.records import metadata_table, read_records, split_records
@@ -64,7 +65,8 @@ def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), wind
         "doc_id", "year", "source", "text_checksum", "ingest_run_id")
     texts = with_text(documents, BlobStore(spark, paths.blobs).read())
     rows = chunk_rows(balance_by(texts, *PARTITION_KEYS), tokenizer, window, overlap)
-    append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False)
+    with task_share(spark, paths.blobs):
+        append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False)
 
 
 def embed(spark: SparkSession, paths: LakePaths, encoder) -> None:
@@ -87,7 +89,8 @@ def index_vectors(
 
 def index_text(spark: SparkSession, paths: LakePaths) -> None:
     """Chunks into the full-text index."""
-    fulltext.write_text_index(scan(spark, paths.chunks, CHUNKS), paths.text_index)
+    with task_share(spark, paths.chunks):
+        fulltext.write_text_index(scan(spark, paths.chunks, CHUNKS), paths.text_index)
 
 
 def export(spark: SparkSession, paths: LakePaths, docs_per_file: int = 2000, gzip: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -50,21 +51,45 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 # Shuffled bytes one task is to get.
 BYTES_PER_TASK = 256 * 1024 * 1024
+MIN_BYTES_PER_TASK = 256 * 1024
 
 
-def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0, multiple_of: int = 1) -> int:
-    """Set the number of shuffle partitions from the size of the input files, and return it.
-
-    ``growth`` is what a compressed byte on disk comes to in a shuffle. The number is never
-    below the cores at hand, and a multiple of ``multiple_of``, such as a bucket count.
-    """
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files under the paths that exist."""
     total = 0
     for path in paths:
         hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
         file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
         if file_system.exists(hadoop_path):
             total += file_system.getContentSummary(hadoop_path).getLength()
-    wanted = max(spark.sparkContext.defaultParallelism, int(total * growth / BYTES_PER_TASK) + 1)
+    return total
+
+
+@contextmanager
+def task_share(spark: SparkSession, *paths: str, growth: float = 3.0):
+    """While it lasts, rebalancing makes tasks of BYTES_PER_TASK, or smaller ones where the
+    input would not give every core two of them. For work that weighs more than its bytes."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    even = int(stored_bytes(spark, *paths) * growth / (2 * spark.sparkContext.defaultParallelism))
+    spark.conf.set(key, max(MIN_BYTES_PER_TASK, min(BYTES_PER_TASK, even)))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0, multiple_of: int = 1) -> int:
+    """Set the number of shuffle partitions from the size of the input files, and return it.
+
+    ``growth`` is what a compressed byte on disk comes to in a shuffle. The number is never
+    below the cores at hand, and a multiple of ``multiple_of``, such as a bucket count.
+    """
+    total = stored_bytes(spark, *paths) * growth
+    wanted = max(spark.sparkContext.defaultParallelism, int(total / BYTES_PER_TASK) + 1)
     wanted = -(-wanted // multiple_of) * multiple_of
     spark.conf.set("spark.sql.shuffle.partitions", wanted)
     return wanted
