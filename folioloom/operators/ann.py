@@ -170,9 +170,10 @@ def residuals(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
 
 
 def closest_codes(x: np.ndarray, books: np.ndarray) -> np.ndarray:
-    """N x m codes of residuals; ``books`` is m x codes x sub_dim."""
+    """N x m codes of residuals; ``books`` is m x codes x sub_dim. In double precision, so that
+    a code does not hang on which rows happen to share a batch."""
     m, _, sub = books.shape
-    parts = x.reshape(len(x), m, sub)
+    parts, books = x.astype(np.float64).reshape(len(x), m, sub), books.astype(np.float64)
     out = np.empty((len(x), m), dtype=np.uint8)
     for lo in range(0, len(x), ASSIGN_TILE):
         for j in range(m):

@@ -62,7 +62,7 @@ def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), wind
     moving the chunks, and a few very long documents do not end up in one task.
     """
     documents = scan(spark, paths.documents, DOCUMENTS).select(
-        "doc_id", "year", "source", "text_checksum", "ingest_run_id")
+        "doc_id", "year", "source", "text_checksum", "text_bytes", "ingest_run_id")
     texts = with_text(documents, BlobStore(spark, paths.blobs).read())
     rows = chunk_rows(balance_by(texts, *PARTITION_KEYS), tokenizer, window, overlap)
     with task_share(spark, paths.blobs):

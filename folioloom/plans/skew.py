@@ -5,23 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is split once it has more rows than this; the split list is bounded, so it can be broadcast.
+# A key is split once it has more rows than this, or more bytes where a weight is given; the
+# split list is bounded, so it can be broadcast.
 ROWS_PER_SLICE = 100_000
+BYTES_PER_SLICE = 256 * 1024 * 1024
 MAX_SPLIT_KEYS = 1_000
 NULL_SLICES = 1_024
 
 
-def split_keys(df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Keys with more than ``rows_per_slice`` rows, and the slices each is to be cut into.
+def split_keys(
+    df: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE,
+    weight: str | None = None, bytes_per_slice: int = BYTES_PER_SLICE,
+) -> DataFrame:
+    """Heavy keys, and the slices each is to be cut into: by rows, and by the sum of a
+    ``weight`` column where a row stands for that many bytes. No slice without a row.
 
     At most ``MAX_SPLIT_KEYS`` rows, the heaviest keys: any other key then has under a
     thousandth of the table.
     """
+    total = F.count(F.lit(1)) / rows_per_slice
+    if weight is not None:
+        total = F.greatest(total, F.sum(weight) / bytes_per_slice)
     return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") > rows_per_slice) & F.col(key).isNotNull())
-        .orderBy(F.desc("n"), key).limit(MAX_SPLIT_KEYS)
-        .select(F.col(key), F.ceil(F.col("n") / rows_per_slice).cast("int").alias("slices"))
+        df.groupBy(key).agg(F.least(F.ceil(total), F.count(F.lit(1))).cast("int").alias("slices"))
+        .filter((F.col("slices") > 1) & F.col(key).isNotNull())
+        .orderBy(F.desc("slices"), key).limit(MAX_SPLIT_KEYS)
     )
 
 
@@ -32,15 +40,19 @@ def salted_join(
     spread_by: str,
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
+    weight: str | None = None,
+    bytes_per_slice: int = BYTES_PER_SLICE,
 ) -> DataFrame:
     """Equi-join on ``key``, inner or left, for a right side with one row per key.
 
     A heavy key of the left side is cut into slices by a hash of ``spread_by``, and the one
-    matching right row is repeated per slice. All other keys have the single slice 0.
+    matching right row is repeated per slice. All other keys have the single slice 0. The
+    slices are dealt out by number: adaptive execution, which sees how short the left rows
+    are but not what they are joined with, would put them together again.
     """
     if how not in ("inner", "left"):
         raise ValueError("the right side is repeated, so only inner and left joins are whole")
-    heavy = F.broadcast(split_keys(left, key, rows_per_slice))
+    heavy = F.broadcast(split_keys(left, key, rows_per_slice, weight, bytes_per_slice))
     slice_of = F.when(F.col("slices").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(spread_by), F.col("slices")).cast("int"))
     if how == "left":
@@ -49,7 +61,9 @@ def salted_join(
     repeated = right.join(heavy, key, "left").withColumn(
         "_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("slices"), F.lit(1)) - 1))
     ).drop("slices")
-    return cut.join(repeated, [key, "_slice"], how).drop("_slice")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cut.repartition(parts, key, "_slice"), repeated.repartition(parts, key, "_slice")
+    return dealt[0].join(dealt[1], [key, "_slice"], how).drop("_slice")
 
 
 def sliced_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str], slices: int = 16) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions.text import content_digest, text_bytes
-from folioloom.plans.skew import ROWS_PER_SLICE, salted_join, split_keys
+from folioloom.plans.skew import BYTES_PER_SLICE, ROWS_PER_SLICE, salted_join, split_keys
 from folioloom.schemas import BLOBS, columns
 from folioloom.sources.tables import exists
 
@@ -80,20 +80,25 @@ class BlobStore:
         self.append(new_blobs(texts, self.read(), text))
 
 
-def with_text(documents: DataFrame, blobs: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def with_text(
+    documents: DataFrame, blobs: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, bytes_per_slice: int = BYTES_PER_SLICE,
+) -> DataFrame:
     """Documents with their text.
 
     Documents are shuffled to the buckets of their text. A text that very many documents
     share would bring them all to one task, so those documents take another way: they are
-    dealt out in slices, and only their texts are repeated. Should two writers have stored
-    a digest twice, a document still gets one row.
+    dealt out in slices, and only their texts are repeated. With a ``text_bytes`` column the
+    slices are sized by what they will hold. Should two writers have stored a digest twice,
+    a document still gets one row.
     """
+    weight = "text_bytes" if "text_bytes" in documents.columns else None
+    sizes = {"rows_per_slice": rows_per_slice, "weight": weight, "bytes_per_slice": bytes_per_slice}
     texts = blobs.select(F.col("checksum").alias("text_checksum"), "text").dropDuplicates(["text_checksum"])
-    heavy = F.broadcast(split_keys(documents, "text_checksum", rows_per_slice).select("text_checksum"))
+    heavy = F.broadcast(split_keys(documents, "text_checksum", **sizes).select("text_checksum"))
     usual = documents.join(heavy, "text_checksum", "left_anti").join(texts, "text_checksum")
     copies = documents.join(heavy, "text_checksum", "left_semi")
     shared = texts.join(heavy, "text_checksum", "left_semi")
-    return usual.unionByName(salted_join(copies, shared, "text_checksum", "doc_id", rows_per_slice=rows_per_slice))
+    return usual.unionByName(salted_join(copies, shared, "text_checksum", "doc_id", **sizes))
 
 
 def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFrame:

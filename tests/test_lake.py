@@ -83,6 +83,13 @@ def test_semantic_search_in_years(lake):
     assert undated and all(r.year == 9999 for r in undated)
 
 
+def test_search_in_years_without_chunks(lake):
+    for with_text in (True, False):
+        assert lake.search("river", year_min=1000, year_max=1001, n_probe=4, with_text=with_text).count() == 0
+    padded = lake.search("river", n=3, year_min=1000, year_max=1001, n_probe=4, with_text=False, pad=True).collect()
+    assert [r.labels for r in padded] == [-1, -1, -1]
+
+
 def test_full_text_search(lake):
     found = lake.search_chunks("violin music", limit=5)
     assert found.columns == ["chunk_id", "doc_id", "year", "source"] and found.count() == 5

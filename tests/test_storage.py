@@ -134,6 +134,8 @@ def test_with_text_spreads_a_text_many_documents_share(spark, folder):
     docs = spark.range(900).select(
         F.concat(F.lit("d"), "id").alias("doc_id"),
         F.sha2(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") == 3, "x").otherwise("y"), 256).alias("text_checksum"))
+    sized = bl.with_text(docs.withColumn("text_bytes", F.lit(10).cast("bigint")), store.read(), bytes_per_slice=500)
+    assert sized.count() == 900 and sized.filter("text = 'hot'").count() == 600
     joined = bl.with_text(docs, store.read(), rows_per_slice=50)
     assert joined.count() == 900
     assert {r.text: r.n for r in joined.groupBy("text").agg(F.count("*").alias("n")).collect()} == {"hot": 600, "x": 1, "y": 299}
@@ -149,6 +151,13 @@ def test_document_text_takes_the_earliest_row(spark, folder):
     assert bl.document_text(rows, stored, "none").collect() == []
 
 
+def test_slices_follow_the_weight(spark):
+    rows = spark.createDataFrame([("a", 100)] * 6 + [("b", 1000)] + [("c", 1)] * 5 + [(None, 500)] * 3, "k STRING, w BIGINT")
+    got = {r.k: r.slices for r in skew.split_keys(rows, "k", 1000, weight="w", bytes_per_slice=150).collect()}
+    assert got == {"a": 4}  # one row is never cut
+    assert skew.split_keys(rows, "k", 1000).count() == 0
+
+
 @pytest.mark.parametrize("how,n", [("inner", 60), ("left", 90)])
 def test_salted_join(spark, how, n):
     left = spark.range(90).select("id", F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "hot").otherwise(F.col("id").cast("string")).alias("k"))
