@@ -104,18 +104,21 @@ def _needed(percent: int):
     return F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
 
 
-def _may_match(percent: int):
-    """The filters on a pair that shares one prefix shingle; columns na, nb, pa, pb, ca, cb."""
+def _checked(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, needed), a < b, that pass the filters; columns a, na, pa, b, nb, pb of a shared prefix shingle.
+
+    Cells are joined on only for the pairs that the length and positional filters have left.
+    """
     length = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    position = "1 + least(na - pa, nb - pb) - 1 >= needed"
+    sided = pairs.withColumn("needed", _needed(percent)).filter(f"({length}) AND least(na - pa, nb - pb) >= needed")
+    sided = sided.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("na") + F.col("nb")).alias("both"), "needed").distinct()
+    cells = profiles.select("pid", "cells")
+    sided = sided.join(cells.select(F.col("pid").alias("a"), F.col("cells").alias("ca")), "a")
+    sided = sided.join(cells.select(F.col("pid").alias("b"), F.col("cells").alias("cb")), "b")
     differing = " + ".join(
         f"abs((shiftrightunsigned(ca, {8 * i}) & 255) - (shiftrightunsigned(cb, {8 * i}) & 255))" for i in range(CELLS))
-    return f"({length}) AND ({position}) AND ({differing} <= na + nb - 2 * needed)"
-
-
-def _checked(pairs: DataFrame, percent: int) -> DataFrame:
-    sided = pairs.withColumn("needed", _needed(percent)).filter(_may_match(percent))
-    return sided.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "needed").distinct()
+    return sided.filter(f"{differing} <= both - 2 * needed").select("a", "b", "needed")
 
 
 def _verified(texts: DataFrame, profiles: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -163,15 +166,14 @@ def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame
     """
     texts = _texts(docs)
     profiles = _profiles(texts, width, percent)
-    entries = profiles.select("pid", "n", "cells", F.posexplode("prefix").alias("pos", "key"))
+    entries = profiles.select("pid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
     pivots = entries.groupBy("key").agg(
-        F.min(F.struct("pos", "pid", "n", "cells")).alias("pivot"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+        F.min(F.struct("pos", "pid", "n")).alias("pivot"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
     met = entries.join(pivots, "key")
-    met = stored(met.select("key", "pid", "n", "pos", "cells", "pivot"), "prefixes")
+    met = stored(met.select("key", "pid", "n", "pos", "pivot"), "prefixes")
     sided = met.filter("pid != pivot.pid").selectExpr(
-        "pid AS a", "n AS na", "pos AS pa", "cells AS ca",
-        "pivot.pid AS b", "pivot.n AS nb", "pivot.pos AS pb", "pivot.cells AS cb")
-    tried = stored(_checked(sided, percent), "pairs")
+        "pid AS a", "cast(n AS long) AS na", "pos AS pa", "pivot.pid AS b", "cast(pivot.n AS long) AS nb", "pivot.pos AS pb")
+    tried = stored(_checked(sided, profiles, percent), "pairs")
     edges = stored(_verified(texts, profiles, tried, width), "links")
     roots = components(edges)
 
@@ -181,12 +183,12 @@ def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame
 
     spread = labelled(met.withColumn("pivot_pid", F.col("pivot.pid")), "pid", "root")
     spread = labelled(spread, "pivot_pid", "pivot_root")
-    spread = stored(spread.select("key", "pid", "n", "pos", "cells", "root", "pivot_root"), "rooted")
+    spread = stored(spread.select("key", "pid", F.col("n").cast("long").alias("n"), "pos", "root", "pivot_root"), "rooted")
     outer = spread.filter("root != pivot_root").selectExpr(
-        "key", "pid AS a", "n AS na", "pos AS pa", "cells AS ca", "root AS ra")
-    inner = spread.selectExpr("key", "pid AS b", "n AS nb", "pos AS pb", "cells AS cb", "root AS rb", "pivot_root")
+        "key", "pid AS a", "n AS na", "pos AS pa", "root AS ra")
+    inner = spread.selectExpr("key", "pid AS b", "n AS nb", "pos AS pb", "root AS rb", "pivot_root")
     rest = outer.join(inner, "key").filter("ra != rb AND (rb = pivot_root OR a < b)")
-    rest = stored(_checked(rest, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(_checked(rest, profiles, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         edges = edges.union(_verified(texts, profiles, rest, width))
         roots = components(edges)
