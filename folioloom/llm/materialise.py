@@ -29,7 +29,6 @@ SEQUENCE = 256
 PER_SHARD = 32_768
 KEY = 0x5EED_F00D
 ROUNDS = 6
-CACHED_UNITS = 300_000
 
 MANIFEST = "doc_id long, seq int, slot long, n_tokens int, tokens binary"
 
@@ -39,27 +38,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class Units(dict):
-    """Token ids, as bytes, of the stretches of a text that begin at a single blank. The tokenizer never merges over such a blank."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def ids(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(self) >= CACHED_UNITS:
-            self.clear()
-        value = self[unit] = self.ids(" " + unit)
-        return value
-
-    def of(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or " \t" in text or " \r" in text:
-            return self.ids(text)
-        first, *rest = text.split(" ")
-        return self.ids(first) + b"".join([self[u] for u in rest])
+def tokenizer(ranks: dict[bytes, int]) -> tiktoken.Encoding:
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def _rounded(right: np.ndarray, key: int, turn: int, mask: np.uint64) -> np.ndarray:
@@ -90,12 +70,13 @@ def permuted(numbers: np.ndarray, size: int, key: int = KEY, back: bool = False)
 
 def _encoder(ranks, length: int):
     """A function from text to its ids with the end id, as bytes, and the number of sequences they fill."""
-    units = Units(ranks)
+    encoding = tokenizer(ranks)
 
     def encode(text: str | None) -> tuple[bytes, int]:
         if not text:
             return b"", 0
-        found = units.of(text) + END.to_bytes(2, "little")
+        ids = encoding.encode_to_numpy(text, disallowed_special=())
+        found = ids.astype("<u2").tobytes() + END.to_bytes(2, "little")
         return found, -(-len(found) // (2 * length))
 
     return encode
