@@ -67,6 +67,14 @@ def binaries(batch: pa.RecordBatch, column: int = 0) -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+# Rows of one batch between the JVM and Python; texts are long, and a worker holds some copies of a batch.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends there, lost executors cost nothing."""
     path = new_folder(df.sparkSession, label)
@@ -76,6 +84,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -150,11 +159,12 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> Da
     def place(batch):
         yield _places(batch.column(0).to_numpy())
 
-    bitmap = docs.sparkSession.sparkContext.broadcast(counter_array(ids, place, 24) > 0)
+    bitmap = docs.sparkSession.sparkContext.broadcast(np.packbits(counter_array(ids, place, 24) > 0))
 
     @F.arrow_udf("boolean")
     def listed(keys: pa.Array) -> pa.Array:
-        return pa.array(bitmap.value[_places(keys.fill_null(0).to_numpy(zero_copy_only=False))])
+        at = _places(keys.fill_null(0).to_numpy(zero_copy_only=False))
+        return pa.array((bitmap.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
 
     kept = docs.filter(F.col(column).isNotNull()).filter(listed(F.col(column).cast("long")))
     return kept.join(ids, kept[column].cast("long") == ids["_id"], "left_semi")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import WordHashes, binaries, components, counter_array, shingle_hashes, stored
+from folioloom.llm.common import WordHashes, binaries, components, counter_array, shingle_hashes, small_batches, stored
 
 SKETCH_BITS = 24
 CELLS = 8
@@ -164,6 +164,7 @@ def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame
     The components are those of all pairs with ``100 * shared >= percent * union``; a text without a
     partner is in none.
     """
+    small_batches(docs.sparkSession)
     texts = _texts(docs)
     profiles = _profiles(texts, width, percent)
     entries = profiles.select("pid", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
