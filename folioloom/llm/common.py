@@ -167,6 +167,8 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> Da
         return pa.array((bitmap.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
 
     kept = docs.filter(F.col(column).isNotNull()).filter(listed(F.col(column).cast("long")))
+    # The same join at every size: a short list would be broadcast, a long one not.
+    ids = ids.hint("shuffle_hash")
     return kept.join(ids, kept[column].cast("long") == ids["_id"], "left_semi")
 
 
