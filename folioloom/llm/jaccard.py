@@ -96,7 +96,9 @@ def _profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
             ], ["digest", "n", "cells", "prefix"])
 
     found = texts.mapInArrow(describe, "digest binary, n long, cells long, prefix array<long>").dropDuplicates(["digest"])
-    return stored(found.withColumn("pid", F.monotonically_increasing_id()), "profiles")
+    profiles = stored(found.withColumn("pid", F.monotonically_increasing_id()), "profiles")
+    rank.destroy()
+    return profiles
 
 
 def _needed(percent: int):
@@ -155,7 +157,9 @@ def _verified(texts: DataFrame, profiles: DataFrame, pairs: DataFrame, width: in
 
     one = pairs.join(sets.select(F.col("pid").alias("a"), F.col("shingles").alias("sa")), "a")
     two = one.join(sets.select(F.col("pid").alias("b"), F.col("shingles").alias("sb")), "b")
-    return two.filter(shared("sa", "sb") >= F.col("needed")).select("a", "b")
+    found = stored(two.filter(shared("sa", "sb") >= F.col("needed")).select("a", "b"), "links")
+    bitmap.destroy()
+    return found
 
 
 def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
@@ -175,7 +179,7 @@ def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame
     sided = met.filter("pid != pivot.pid").selectExpr(
         "pid AS a", "cast(n AS long) AS na", "pos AS pa", "pivot.pid AS b", "cast(pivot.n AS long) AS nb", "pivot.pos AS pb")
     tried = stored(_checked(sided, profiles, percent), "pairs")
-    edges = stored(_verified(texts, profiles, tried, width), "links")
+    edges = _verified(texts, profiles, tried, width)
     roots = components(edges)
 
     def labelled(df: DataFrame, pid: str, name: str) -> DataFrame:
