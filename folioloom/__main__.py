@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     embed = todo.add_parser("embed", help="chunks into embeddings")
     embed.add_argument("--onnx", help="model file on a path all executors can read; hashed words without it")
     embed.add_argument("--tokenizer")
-    embed.add_argument("--name", default="hash-64")
+    embed.add_argument("--name", help="model folder; hash-<dim> without it")
     embed.add_argument("--dim", type=int, default=64)
 
     index = todo.add_parser("index-vectors", help="embeddings into an index")
@@ -77,7 +77,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "chunk":
         jobs.chunk(spark, paths, tokenizer, args.window, args.overlap)
     elif args.job == "embed":
-        encoder = OnnxEncoder(args.onnx, tokenizer, args.dim, args.name) if args.onnx else HashEncoder(args.dim, name=args.name)
+        name = args.name or f"hash-{args.dim}"
+        encoder = OnnxEncoder(args.onnx, tokenizer, args.dim, name) if args.onnx else HashEncoder(args.dim, name=name)
         jobs.embed(spark, paths, encoder)
     elif args.job == "index-vectors":
         config = IVFPQConfig(args.lists, args.m, args.bits, args.dim)

@@ -417,7 +417,7 @@ def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, posti
 
 def _search_in_blocks(index: IVFPQIndex, queries: DataFrame, probes: DataFrame, postings: DataFrame, books: np.ndarray, n: int, schema) -> DataFrame:
     """Any number of queries: probes meet postings list by list, in blocks of bounded size."""
-    bases = F.broadcast(index.centroids.limit(MAX_LISTS).select("list_id", F.col("vector").alias("base")))
+    bases = F.broadcast(index.centroids.select("list_id", F.col("vector").alias("base")))
     asked = probes.join(queries, "query_id").join(bases, "list_id")
     offset = F.zip_with("vector", "base", lambda q, c: q - c)
     left = asked.select("list_id", "query_id", offset.alias("residual"))

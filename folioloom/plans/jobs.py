@@ -81,7 +81,7 @@ def index_vectors(
 ) -> None:
     """Embeddings of one model into an index and its metadata, trained on a share of the files."""
     embeddings = scan(spark, paths.embeddings, EMBEDDINGS).filter(F.col("model") == model)
-    training = sample_files(spark, paths.embeddings, EMBEDDINGS, fraction).filter(F.col("model") == model)
+    training = sample_files(spark, paths.embeddings, EMBEDDINGS, fraction, under=f"model={model}")
     index = ann.build_index(embeddings, config, training)
     ann.write_index(index, paths.vector_index)
     ann.write_vector_meta(embeddings, f"{paths.vector_index}/vector_meta")

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is split once it has more rows than this, or more bytes where a weight is given; the
-# split list is bounded, so it can be broadcast.
+# A key is split once it has more rows than this, or more bytes where a weight is given. All such
+# keys are; Spark chooses by its size how their list is joined.
 ROWS_PER_SLICE = 100_000
 BYTES_PER_SLICE = 256 * 1024 * 1024
-MAX_SPLIT_KEYS = 1_000
 NULL_SLICES = 1_024
 
 
@@ -19,9 +18,6 @@ def split_keys(
 ) -> DataFrame:
     """Heavy keys, and the slices each is to be cut into: by rows, and by the sum of a
     ``weight`` column where a row stands for that many bytes. No slice without a row.
-
-    At most ``MAX_SPLIT_KEYS`` rows, the heaviest keys: any other key then has under a
-    thousandth of the table.
     """
     total = F.count(F.lit(1)) / rows_per_slice
     if weight is not None:
@@ -29,7 +25,6 @@ def split_keys(
     return (
         df.groupBy(key).agg(F.least(F.ceil(total), F.count(F.lit(1))).cast("int").alias("slices"))
         .filter((F.col("slices") > 1) & F.col(key).isNotNull())
-        .orderBy(F.desc("slices"), key).limit(MAX_SPLIT_KEYS)
     )
 
 
@@ -52,7 +47,7 @@ def salted_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("the right side is repeated, so only inner and left joins are whole")
-    heavy = F.broadcast(split_keys(left, key, rows_per_slice, weight, bytes_per_slice))
+    heavy = split_keys(left, key, rows_per_slice, weight, bytes_per_slice)
     slice_of = F.when(F.col("slices").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(spread_by), F.col("slices")).cast("int"))
     if how == "left":

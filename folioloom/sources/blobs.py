@@ -89,16 +89,20 @@ def with_text(
     share would bring them all to one task, so those documents take another way: they are
     dealt out in slices, and only their texts are repeated. With a ``text_bytes`` column the
     slices are sized by what they will hold. Should two writers have stored a digest twice,
-    a document still gets one row.
+    a document still gets one row. A document whose text is not stored stops the job that reads
+    its text; one without a digest has no text to look for and no row.
     """
     weight = "text_bytes" if "text_bytes" in documents.columns else None
     sizes = {"rows_per_slice": rows_per_slice, "weight": weight, "bytes_per_slice": bytes_per_slice}
     texts = blobs.select(F.col("checksum").alias("text_checksum"), "text").dropDuplicates(["text_checksum"])
-    heavy = F.broadcast(split_keys(documents, "text_checksum", **sizes).select("text_checksum"))
-    usual = documents.join(heavy, "text_checksum", "left_anti").join(texts, "text_checksum")
+    documents = documents.filter(F.col("text_checksum").isNotNull())
+    heavy = split_keys(documents, "text_checksum", **sizes).select("text_checksum")
+    usual = documents.join(heavy, "text_checksum", "left_anti").join(texts, "text_checksum", "left")
     copies = documents.join(heavy, "text_checksum", "left_semi")
     shared = texts.join(heavy, "text_checksum", "left_semi")
-    return usual.unionByName(salted_join(copies, shared, "text_checksum", "doc_id", **sizes))
+    found = usual.unionByName(salted_join(copies, shared, "text_checksum", "doc_id", how="left", **sizes))
+    missing = F.raise_error(F.concat(F.lit("no stored text for digest "), "text_checksum"))
+    return found.withColumn("text", F.when(F.col("text").isNull(), missing).otherwise(F.col("text")))
 
 
 def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFrame:

@@ -244,3 +244,23 @@ def test_replayed_and_broken_off_batches(spark, folder):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_missing_text_stops_the_job(spark):
+    from folioloom.sources.blobs import with_text
+
+    documents = spark.createDataFrame([("d1", "aa"), ("d2", "bb"), ("d3", None)], "doc_id string, text_checksum string")
+    blobs = spark.createDataFrame([("aa", "one"), ("bb", "two")], "checksum string, text string")
+    assert sorted(r.text for r in with_text(documents, blobs).collect()) == ["one", "two"]
+    for rows in (100, 1):
+        with pytest.raises(Exception, match="no stored text"):
+            with_text(documents.union(documents), blobs.filter("checksum = 'aa'"), rows_per_slice=rows).collect()
+
+
+def test_files_are_sampled_under_one_folder(spark, folder):
+    from folioloom.sources.sampling import sample_files
+
+    rows = spark.range(60).selectExpr("id", "CASE WHEN id % 20 = 0 THEN 'small' ELSE 'large' END AS model").repartition(6)
+    rows.write.partitionBy("model").parquet(folder)
+    got = sample_files(spark, folder, "id long, model string", 0.01, under="model=small").collect()
+    assert got and {r.model for r in got} == {"small"}
