@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioloom.llm.common import stored
 from folioloom.sources.tables import exists
 
 TOKENIZER_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -91,9 +92,9 @@ def write_training_order(docs: DataFrame, folder: str, tokenizer_file: str = TOK
     document filled up with 0xFFFF. Every document ends in the end id, and sequences do not go beyond a document. Null and empty texts have no
     sequence; null ids and repeated rows are kept. An empty table writes no sequence. A folder that was finished before is left as it is.
 
-    Sequences are numbered in the order in which a scan reads its files. One pass counts the sequences of each task, a second one makes
-    them; nothing is stored between, and a task of the second pass that does not find what was counted stops the job. So ``docs`` has to be
-    read from files as it is, not come out of a shuffle. The same files in the same splits give the same order.
+    Texts are encoded once. Each task numbers the sequences it makes from 0 and writes the ids of its documents to the shared folder with
+    these numbers; the counts of the tasks, one row each, put the tasks behind each other. What was written fixes the order, so a task that is
+    run again later finds the same numbers, whatever ``docs`` came out of. A whole new run over the same files in the same splits gives the same order.
     """
     spark = docs.sparkSession
     if exists(spark, f"{folder}/_SUCCESS"):
@@ -101,41 +102,44 @@ def write_training_order(docs: DataFrame, folder: str, tokenizer_file: str = TOK
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranks = spark.sparkContext.broadcast(read_ranks(tokenizer_file))
 
-    def count(batches):
-        encode, total = _encoder(ranks.value, length), 0
+    def encoded(batches):
+        encode, part, at = _encoder(ranks.value, length), TaskContext.get().partitionId(), 0
         for batch in batches:
-            total += sum(encode(text)[1] for text in batch.column(1).to_pylist())
-        yield pa.RecordBatch.from_pydict({
-            "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "n": pa.array([total], pa.int64())})
+            ids, firsts, counts, found = [], [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                data, n = encode(text)
+                if n:
+                    ids.append(doc_id)
+                    firsts.append(at)
+                    counts.append(n)
+                    found.append(data)
+                    at += n
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([part] * len(ids), pa.int32()), "first": pa.array(firsts, pa.int64()), "n": pa.array(counts, pa.int64()),
+                "doc_id": pa.array(ids, pa.int64()), "data": pa.array(found, pa.binary())})
 
+    texts = stored(docs.mapInArrow(encoded, "part int, first long, n long, doc_id long, data binary"), "encoded")
     # One row per task of the scan.
     bases, size = {}, 0
-    for row in sorted(docs.mapInArrow(count, "part int, n long").collect()):
-        bases[row.part] = (size, row.n)
+    for row in sorted(texts.groupBy("part").agg(F.sum("n").alias("n")).collect()):
+        bases[row.part] = size
         size += row.n
     shared = spark.sparkContext.broadcast(bases)
 
     def place(batches):
-        part = TaskContext.get().partitionId()
-        first, expected = shared.value[part]
-        encode, at = _encoder(ranks.value, length), first
         for batch in batches:
-            ids, seqs, pieces = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data, n = encode(text)
-                ids += [doc_id] * n
-                seqs += range(n)
-                pieces += [data[i * 2 * length:(i + 1) * 2 * length] for i in range(n)]
-            slots = permuted(np.arange(at, at + len(ids)), size, key)
-            at += len(ids)
+            part, first, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("part", "first", "n"))
+            documents = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n)))
+            seqs = np.concatenate([np.arange(k) for k in n]) if len(n) else np.zeros(0, np.int64)
+            bases = np.array([shared.value[p] for p in part.tolist()], np.int64) + first
+            slots = permuted(np.repeat(bases, n) + seqs, size, key)
+            pieces = [data[at:at + 2 * length] for data in batch.column("data").to_pylist() for at in range(0, len(data), 2 * length)]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, pa.int64()), "seq": pa.array(seqs, pa.int32()), "slot": pa.array(slots, pa.int64()),
+                "doc_id": documents, "seq": pa.array(seqs, pa.int32()), "slot": pa.array(slots, pa.int64()),
                 "n_tokens": pa.array([len(p) // 2 for p in pieces], pa.int32()),
                 "tokens": pa.array([p.ljust(2 * length, b"\xff") for p in pieces], pa.binary())})
-        if at - first != expected:
-            raise RuntimeError(f"task {part} has {at - first} sequences, but {expected} were counted: read the table from files")
 
-    rows = docs.mapInArrow(place, MANIFEST).withColumn("shard", F.expr(f"cast(slot div {per_shard} AS int)"))
+    rows = texts.mapInArrow(place, MANIFEST).withColumn("shard", F.expr(f"cast(slot div {per_shard} AS int)"))
     shards = max(1, -(-size // per_shard))
     dealt = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "slot")
     dealt.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
