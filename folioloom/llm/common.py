@@ -75,10 +75,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read again: lineage ends there, lost executors cost nothing."""
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """The rows written to the shared folder and read again: lineage ends there, lost executors cost nothing.
+
+    The session's compression, unless ``codec`` names one.
+    """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -118,7 +118,7 @@ def write_training_order(docs: DataFrame, folder: str, tokenizer_file: str = TOK
                 "part": pa.array([part] * len(ids), pa.int32()), "first": pa.array(firsts, pa.int64()), "n": pa.array(counts, pa.int64()),
                 "doc_id": pa.array(ids, pa.int64()), "data": pa.array(found, pa.binary())})
 
-    texts = stored(docs.mapInArrow(encoded, "part int, first long, n long, doc_id long, data binary"), "encoded")
+    texts = stored(docs.mapInArrow(encoded, "part int, first long, n long, doc_id long, data binary"), "encoded", codec="zstd")
     # One row per task of the scan.
     bases, size = {}, 0
     for row in sorted(texts.groupBy("part").agg(F.sum("n").alias("n")).collect()):
