@@ -10,7 +10,6 @@ from folioloom.operators.embedding import HashEncoder, OnnxEncoder
 from folioloom.paths import LakePaths
 from folioloom.plans import jobs
 from folioloom.session import build_session, fit_shuffles, new_folder, ship_package
-from folioloom.sources.blobs import BlobStore
 from folioloom.streaming.ingest import ingest_stream
 
 
@@ -48,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
     todo.add_parser("index-text", help="chunks into a full-text index")
 
     export = todo.add_parser("export", help="chunks as newline-delimited JSON")
-    export.add_argument("--docs-per-file", type=int, default=2000)
+    export.add_argument("--docs-per-file", type=int, default=0)
     export.add_argument("--gzip", action="store_true")
     return top
 
@@ -63,10 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         "ingest": getattr(args, "jsonl", []), "chunk": [paths.blobs], "embed": [paths.chunks],
         "index-vectors": [paths.embeddings], "index-text": [paths.chunks], "export": [paths.chunks],
     }
-    # the first run settles the buckets of the blob table, later ones keep to a multiple of them
     fit_shuffles(spark, *sizes[args.job])
-    if args.job in ("ingest", "chunk"):
-        fit_shuffles(spark, *sizes[args.job], multiple_of=BlobStore(spark, paths.blobs).bucket_count())
     if args.job == "ingest" and args.stream:
         ingest_stream(
             spark, args.jsonl[0], spark.read.parquet(args.metadata), paths,

@@ -12,11 +12,12 @@ from folioloom.functions.tokens import WordTokenizer
 from folioloom.operators import ann, chunks, fulltext, lookup, semantic
 from folioloom.operators.embedding import HashEncoder, embed_queries
 from folioloom.paths import LakePaths
+from folioloom.session import new_folder
 from folioloom.sources import blobs
 from folioloom.sources.tables import scan
 
 
-# Hits of one semantic search.
+# Hits of one search that are kept as local rows; more stay where they are.
 MAX_HITS = 10_000
 
 
@@ -58,13 +59,13 @@ class CorpusLake:
 
     @property
     def vector_meta(self) -> DataFrame:
-        return ann.read_vector_meta(self.spark, f"{self.paths.vector_index}/vector_meta")
+        return ann.read_vector_meta(self.spark, f"{self.paths.vector_index(self.encoder.name)}/vector_meta")
 
     @cached_property
     def vector_index(self) -> ann.IVFPQIndex:
         if self.index_config is None:
             raise ValueError("index_config is needed to read the vector index")
-        return ann.read_index(self.spark, self.paths.vector_index, self.index_config)
+        return ann.read_index(self.spark, self.paths.vector_index(self.encoder.name), self.index_config)
 
     @cached_property
     def text_index(self) -> fulltext.TextIndex:
@@ -98,17 +99,21 @@ class CorpusLake:
         asked = self.spark.sql("SELECT 0 AS query_id, :q AS text", args={"q": query})
         return embed_queries(asked, self.encoder)
 
-    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int) -> tuple[DataFrame, Column]:
+    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int) -> tuple[DataFrame, Column, bool]:
         """The hits of one query as local rows, and a filter for the folders they are in.
 
         The hits are no more than n rows. Run here once, they are not searched for again in
-        every branch of a plan that uses them, and their folders are known to the planner.
+        every branch of a plan that uses them, and their folders are known to the planner. Beyond
+        MAX_HITS they are written to the shared folder instead. Also says whether they are few.
         """
+        hits = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe)
         if n > MAX_HITS:
-            raise ValueError(f"n is at most {MAX_HITS}; use folioloom.operators.ann.search for more")
-        rows = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe).toArrow()
+            kept = new_folder(self.spark, "hits")
+            hits.write.parquet(kept)
+            return self.spark.read.schema(hits.schema).parquet(kept), F.lit(True), False
+        rows = hits.toArrow()
         years, sources = (sorted(set(rows[c].to_pylist())) for c in ("year", "source"))
-        return self.spark.createDataFrame(rows), F.col("year").isin(years) & F.col("source").isin(sources)
+        return self.spark.createDataFrame(rows), F.col("year").isin(years) & F.col("source").isin(sources), True
 
     def search(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None,
@@ -117,22 +122,22 @@ class CorpusLake:
         """Chunks nearest in meaning. With text: the chunk rows. Without: distances and labels
         with their chunk, nearest first; ``pad`` fills up to n places."""
         asked = self.query_vectors(query)
-        hits, folders = self._top(asked, n, year_min, year_max, n_probe)
+        hits, folders, few = self._top(asked, n, year_min, year_max, n_probe)
         if with_text:
-            return semantic.chunks_of_hits(self.chunks.filter(folders), hits, few=True)
+            return semantic.chunks_of_hits(self.chunks.filter(folders), hits, few=few)
         if pad:
             labelled = semantic.pad_hits(hits, asked, n)
         else:
-            labelled = hits.select("rank", F.col("distance").alias("distances"), F.col("faiss_id").alias("labels"))
-        found = semantic.attach_meta(labelled, self.vector_meta.filter(folders), few=True)
+            labelled = hits.select("rank", F.col("distance").alias("distances"), F.col("faiss_id").alias("labels"), "chunk_id")
+        found = semantic.attach_meta(labelled, self.vector_meta.filter(folders), few=few)
         return found.orderBy("rank").select("distances", "labels", *semantic.META)
 
     def search_with_text(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None, n_probe: int = 64,
     ) -> DataFrame:
         """Chunks nearest in meaning with text, rank and distance, nearest first."""
-        hits, folders = self._top(self.query_vectors(query), n, year_min, year_max, n_probe)
-        return semantic.hits_with_text(self.chunks.filter(folders), hits, few=True).orderBy("rank")
+        hits, folders, few = self._top(self.query_vectors(query), n, year_min, year_max, n_probe)
+        return semantic.hits_with_text(self.chunks.filter(folders), hits, few=few).orderBy("rank")
 
     # full-text search
 

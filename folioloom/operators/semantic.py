@@ -24,25 +24,27 @@ def exact_search(
 
 
 def pad_hits(hits: DataFrame, queries: DataFrame, n: int) -> DataFrame:
-    """Exactly n places per query: ``query_id, rank, distances, labels``; empty ones have label -1."""
+    """Exactly n places per query: ``query_id, rank, distances, labels, chunk_id``; empty ones have label -1 and no chunk."""
     places = queries.select("query_id").distinct().select("query_id", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank"))
-    return places.join(hits.select("query_id", "rank", "distance", "faiss_id"), ["query_id", "rank"], "left").select(
+    return places.join(hits.select("query_id", "rank", "distance", "faiss_id", "chunk_id"), ["query_id", "rank"], "left").select(
         "query_id", "rank",
         F.coalesce("distance", F.lit(NO_DISTANCE).cast("float")).alias("distances"),
         F.coalesce("faiss_id", F.lit(NO_LABEL).cast("bigint")).alias("labels"),
+        "chunk_id",
     )
 
 
 def attach_meta(hits: DataFrame, meta: DataFrame, few: bool = False) -> DataFrame:
-    """Hits (``labels``) with the chunk each stands for; labels without one keep nulls.
+    """Hits (``labels, chunk_id``) with the chunk each stands for; places without one keep nulls. Joined on the chunk,
+    since several chunks may share a label.
 
     The metadata is cut down to the labels first, so that what the hits are joined with has
     no more rows than they. ``few`` states that the hits are a bounded top-n of few queries,
     which lets every task filter its part of the metadata without a shuffle.
     """
-    wanted = hits.select(F.col("labels").alias("faiss_id")).distinct()
-    found = meta.join(F.broadcast(wanted) if few else wanted, "faiss_id", "left_semi")
-    return hits.join(found, hits.labels == found.faiss_id, "left").drop("faiss_id")
+    wanted = hits.select("chunk_id").distinct()
+    found = meta.join(F.broadcast(wanted) if few else wanted, "chunk_id", "left_semi")
+    return hits.join(found.drop("faiss_id"), "chunk_id", "left")
 
 
 def chunks_of_hits(chunks: DataFrame, hits: DataFrame, few: bool = False) -> DataFrame:

@@ -28,9 +28,9 @@ class LakePaths:
     def blobs(self) -> str:
         return self._table("blobs")
 
-    @property
-    def vector_index(self) -> str:
-        return self._table("vector_index")
+    def vector_index(self, model: str) -> str:
+        """Each model has an index of its own."""
+        return self._table(f"vector_index/model={model}")
 
     @property
     def text_index(self) -> str:

@@ -83,8 +83,8 @@ def index_vectors(
     embeddings = scan(spark, paths.embeddings, EMBEDDINGS).filter(F.col("model") == model)
     training = sample_files(spark, paths.embeddings, EMBEDDINGS, fraction, under=f"model={model}")
     index = ann.build_index(embeddings, config, training)
-    ann.write_index(index, paths.vector_index)
-    ann.write_vector_meta(embeddings, f"{paths.vector_index}/vector_meta")
+    ann.write_index(index, paths.vector_index(model))
+    ann.write_vector_meta(embeddings, f"{paths.vector_index(model)}/vector_meta")
 
 
 def index_text(spark: SparkSession, paths: LakePaths) -> None:
@@ -93,6 +93,6 @@ def index_text(spark: SparkSession, paths: LakePaths) -> None:
         fulltext.write_text_index(scan(spark, paths.chunks, CHUNKS), paths.text_index)
 
 
-def export(spark: SparkSession, paths: LakePaths, docs_per_file: int = 2000, gzip: bool = False) -> DataFrame:
+def export(spark: SparkSession, paths: LakePaths, docs_per_file: int = 0, gzip: bool = False) -> DataFrame:
     """Chunks as newline-delimited JSON; returns the rows that cannot be exported."""
     return export_ndjson(scan(spark, paths.chunks, CHUNKS), paths.search_export, docs_per_file, gzip)

@@ -61,15 +61,16 @@ def salted_join(
     return dealt[0].join(dealt[1], [key, "_slice"], how).drop("_slice")
 
 
-def sliced_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str], slices: int = 16) -> DataFrame:
-    """Left join with every key cut into the same number of slices.
+def sliced_left_join(left: DataFrame, right: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+    """Left join on a key that is nearly unique where it is known, and often null or empty.
 
-    For a left side that is costly to scan twice: no count of its keys is taken. Rows
-    without a key, which match nothing, are spread over all tasks. The right side, with one
-    row per key, is repeated ``slices`` times.
+    For a left side that is costly to scan twice: no count of its keys is taken. Rows whose key is null,
+    which match nothing, or empty are spread over all tasks; of the right side, with one row per key, only the
+    row of the empty key is repeated. Should another key be frequent, adaptive execution splits its rows.
     """
-    spread = F.xxhash64(*spread_by)
-    width = F.when(F.col(key).isNull(), F.lit(NULL_SLICES)).otherwise(F.lit(slices))
-    cut = left.withColumn("_slice", F.pmod(spread, width).cast("int"))
-    repeated = right.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return cut.join(repeated, [key, "_slice"], "left").drop("_slice")
+    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unknown = F.col(key).isNull() | (F.col(key) == "")
+    cut = left.withColumn("_slice", F.when(unknown, F.pmod(F.xxhash64(*spread_by), F.lit(slices))).otherwise(F.lit(0)).cast("int"))
+    known = right.filter(F.col(key) != "").withColumn("_slice", F.lit(0))
+    empty = right.filter(F.col(key) == "").withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return cut.join(known.unionByName(empty), [key, "_slice"], "left").drop("_slice")

@@ -298,7 +298,7 @@ def ivfpq_search_trained(spark, sf_dir):
     paths = LakePaths(new_folder(spark, "lake"))
     append(i.chunk_vectors(spark, sf_dir), paths.embeddings, keys=["model", "year", "source"])
     jobs.index_vectors(spark, paths, i.ENCODER.name, CONFIG, fraction=0.5)
-    index = ann.read_index(spark, paths.vector_index, CONFIG)
+    index = ann.read_index(spark, paths.vector_index(i.ENCODER.name), CONFIG)
     hits = ann.search(index, i.query_vectors(spark, sf_dir), N, year_min=1820, year_max=1860, n_probe=4)
     return rounded(hits, "faiss_id", "chunk_id", "year", "source")
 

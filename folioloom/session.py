@@ -52,6 +52,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
 # Shuffled bytes one task is to get.
 BYTES_PER_TASK = 256 * 1024 * 1024
 MIN_BYTES_PER_TASK = 256 * 1024
+# Shuffle partitions at most; beyond some 8 TB of shuffled bytes tasks get larger instead of more, since blocks grow with the square.
+MAX_TASKS = 32_768
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -82,15 +84,14 @@ def task_share(spark: SparkSession, *paths: str, growth: float = 3.0):
             spark.conf.set(key, before)
 
 
-def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0, multiple_of: int = 1) -> int:
+def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0) -> int:
     """Set the number of shuffle partitions from the size of the input files, and return it.
 
     ``growth`` is what a compressed byte on disk comes to in a shuffle. The number is never
-    below the cores at hand, and a multiple of ``multiple_of``, such as a bucket count.
+    below the cores at hand and never above MAX_TASKS.
     """
     total = stored_bytes(spark, *paths) * growth
-    wanted = max(spark.sparkContext.defaultParallelism, int(total / BYTES_PER_TASK) + 1)
-    wanted = -(-wanted // multiple_of) * multiple_of
+    wanted = max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, int(total / BYTES_PER_TASK) + 1))
     spark.conf.set("spark.sql.shuffle.partitions", wanted)
     return wanted
 

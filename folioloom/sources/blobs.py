@@ -1,13 +1,11 @@
-"""Texts stored once per content digest, in a table bucketed by digest.
+"""Texts stored once per content digest, in folders by the first digits of the digest.
 
-Bucketing keeps the bulk of the lake, the texts, where they are: finding out what is new and
-joining documents with their texts both move the short side only, and a lookup by digest
-reads one bucket.
+The layout is the same whatever the size of a run: fixed folders, files sorted by digest, as many
+files as the bytes ask for. A lookup by digest opens one folder and, by row-group statistics, little of it.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +14,11 @@ from pyspark.sql import functions as F
 from folioloom.functions.text import content_digest, text_bytes
 from folioloom.plans.skew import BYTES_PER_SLICE, ROWS_PER_SLICE, salted_join, split_keys
 from folioloom.schemas import BLOBS, columns
-from folioloom.sources.tables import exists
+from folioloom.sources.tables import append, exists
+
+# Digits of the digest a folder is named by: 256 folders.
+PREFIX_DIGITS = 2
+STORED = f"{BLOBS}, prefix STRING"
 
 
 def distinct_texts(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -33,68 +35,57 @@ def new_blobs(texts: DataFrame, stored: DataFrame, text: str = "text") -> DataFr
 
 @dataclass(frozen=True)
 class BlobStore:
-    """The blob table under ``path``, registered in the session's catalog when first used.
-
-    The number of buckets is fixed by the first session that writes: its shuffle partitions,
-    unless given. It is kept beside the table, since every later session has to know it.
-    """
+    """The blob table under ``path``: ``checksum, text, n_bytes`` in folders by ``prefix``."""
 
     spark: SparkSession
     path: str
-    buckets: int | None = None
-
-    @property
-    def _layout(self) -> str:
-        return f"{self.path.rstrip('/')}.layout"
-
-    def bucket_count(self) -> int:
-        """Buckets of the table; settles them if nothing has been written yet."""
-        if not exists(self.spark, self._layout):
-            wanted = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            self.spark.range(1).select(F.lit(wanted).alias("buckets")).coalesce(1).write.json(self._layout)
-        return self.spark.read.schema("buckets INT").json(self._layout).first()["buckets"]
-
-    def _table(self) -> tuple[str, int]:
-        name = f"folioloom_blobs_{hashlib.sha256(self.path.encode()).hexdigest()[:16]}"
-        count = self.bucket_count()
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({BLOBS}) USING parquet OPTIONS (compression 'zstd') "
-            f"CLUSTERED BY (checksum) SORTED BY (checksum) INTO {count} BUCKETS LOCATION '{self.path}'")
-        self.spark.catalog.refreshTable(name)
-        return name, count
+
+    def stored(self) -> DataFrame:
+        """All rows on disk; a digest that two writers stored at the same time is there twice."""
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], STORED)
+        return self.spark.read.schema(STORED).parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self._table()[0])
+        """One row per digest.
+
+        Which digests are in several files is found from the digests alone. The texts are neither sorted nor
+        grouped for that; a join by digest that follows uses the same partitioning.
+        """
+        rows = self.stored()
+        if not exists(self.spark, self.path):
+            return rows
+        file = F.col("_metadata.file_path")
+        held = rows.groupBy("checksum").agg(F.min(file).alias("first_file"), F.max(file).alias("last_file"))
+        twice = held.filter("first_file != last_file").select(F.col("checksum").alias("_twice"), "first_file")
+        named = rows.withColumn("_file", file)
+        copy = (F.col("checksum") == F.col("_twice")) & (F.col("_file") != F.col("first_file"))
+        return named.join(twice, copy, "left_anti").drop("_file")
 
     def append(self, blobs: DataFrame) -> None:
-        """Add blobs that are new. Their shuffle by digest already deals them into buckets
-        where the shuffle partitions are a multiple of these; else they are dealt anew."""
-        name, count = self._table()
-        rows = blobs.select(*columns(BLOBS))
-        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) % count:
-            rows = rows.repartition(count, "checksum")
-        rows.write.insertInto(name)
+        """Add blobs that are new, one row per digest."""
+        rows = blobs.select(*columns(BLOBS), F.substring("checksum", 1, PREFIX_DIGITS).alias("prefix"))
+        append(rows, self.path, keys=["prefix"], sort_by=["checksum"])
 
     def add_texts(self, texts: DataFrame, text: str = "text") -> None:
         """Store the texts that are not there yet."""
-        self.append(new_blobs(texts, self.read(), text))
+        self.append(new_blobs(texts, self.stored(), text))
 
 
 def with_text(
     documents: DataFrame, blobs: DataFrame, rows_per_slice: int = ROWS_PER_SLICE, bytes_per_slice: int = BYTES_PER_SLICE,
 ) -> DataFrame:
-    """Documents with their text.
+    """Documents with their text, from blobs with one row per digest.
 
-    Documents are shuffled to the buckets of their text. A text that very many documents
+    Documents and texts are shuffled by digest, each once. A text that very many documents
     share would bring them all to one task, so those documents take another way: they are
     dealt out in slices, and only their texts are repeated. With a ``text_bytes`` column the
-    slices are sized by what they will hold. Should two writers have stored a digest twice,
-    a document still gets one row. A document whose text is not stored stops the job that reads
+    slices are sized by what they will hold. A document whose text is not stored stops the job that reads
     its text; one without a digest has no text to look for and no row.
     """
     weight = "text_bytes" if "text_bytes" in documents.columns else None
     sizes = {"rows_per_slice": rows_per_slice, "weight": weight, "bytes_per_slice": bytes_per_slice}
-    texts = blobs.select(F.col("checksum").alias("text_checksum"), "text").dropDuplicates(["text_checksum"])
+    texts = blobs.select(F.col("checksum").alias("text_checksum"), "text")
     documents = documents.filter(F.col("text_checksum").isNotNull())
     heavy = split_keys(documents, "text_checksum", **sizes).select("text_checksum")
     usual = documents.join(heavy, "text_checksum", "left_anti").join(texts, "text_checksum", "left")
@@ -108,11 +99,14 @@ def with_text(
 def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFrame:
     """Text of one document: its earliest row, no row for an unknown id.
 
-    The digest is looked up first, so that the plan over the blobs names it and reads one bucket.
+    The digest is looked up first, so that the plan over the blobs names it and opens one folder.
     """
     row = (
         documents.filter(F.col("doc_id") == doc_id)
         .orderBy("created_at", "ingest_run_id", "text_checksum").select("text_checksum").first()
     )
-    found = blobs.filter(F.col("checksum") == (row["text_checksum"] if row else None))
+    digest = row["text_checksum"] if row else None
+    if "prefix" in blobs.columns and digest is not None:
+        blobs = blobs.filter(F.col("prefix") == digest[:PREFIX_DIGITS])
+    found = blobs.filter(F.col("checksum") == digest)
     return found.select(F.lit(doc_id).alias("doc_id"), "text").limit(1)

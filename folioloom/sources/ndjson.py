@@ -19,8 +19,8 @@ def json_line() -> Column:
     return F.to_json(F.struct(*columns(SEARCH_DOCUMENT)), {"ignoreNullFields": "false"})
 
 
-def export_ndjson(chunks: DataFrame, path: str, docs_per_file: int = 2000, gzip: bool = False) -> DataFrame:
-    """Write the lines as text files of at most ``docs_per_file`` objects; returns the rejects."""
+def export_ndjson(chunks: DataFrame, path: str, docs_per_file: int = 0, gzip: bool = False) -> DataFrame:
+    """Write the lines as text files, one for each task of the scan, or of at most ``docs_per_file`` objects where given; returns the rejects."""
     lines, rejects = ndjson_lines(chunks)
     (
         lines.write.mode("append").option("maxRecordsPerFile", docs_per_file)

@@ -35,6 +35,7 @@ def test_tables(lake):
     assert lake.documents.count() == 40 and lake.blobs.count() == 40
     assert lake.chunks.columns == columns(CHUNKS) and lake.embeddings.columns == columns(EMBEDDINGS)
     assert lake.chunks.count() == lake.embeddings.count() == lake.vector_meta.count() == lake.vector_index.postings.count()
+    assert lake.paths.vector_index("one") != lake.paths.vector_index("two")
 
 
 def test_document(lake):

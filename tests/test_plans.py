@@ -80,8 +80,8 @@ def test_cutting_and_posting_do_not_shuffle(spark, sf_dir):
     assert "Exchange" not in plan(ann.assign_lists(i.vectors(spark, sf_dir), i.label_centroids(spark, sf_dir), ["chunk_id"]))
 
 
-def test_texts_are_joined_where_they_are(spark, sf_dir):
-    """Documents are shuffled to the buckets of the texts; the texts themselves are not moved."""
+def test_texts_are_shuffled_once(spark, sf_dir):
+    """On the usual way, and neither sorted nor grouped to find copies."""
     documents_ = stored_documents(spark, sf_dir)
     store = bl.BlobStore(spark, new_folder(spark, "blobs"))
     store.append(i.blobs(spark, sf_dir))
@@ -89,27 +89,26 @@ def test_texts_are_joined_where_they_are(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = final_plan(bl.with_text(documents_.select("doc_id", "text_checksum"), store.read()))
-        fresh = plan(bl.new_blobs(i.records(spark, sf_dir), store.read()))
+        fresh = plan(bl.new_blobs(i.records(spark, sf_dir), store.stored()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     final = text.split("Initial Plan")[0]
-    assert "Bucketed: true" in final
-    scans = [line for line in final.splitlines() if "FileScan" in line and "checksum" in line and "Bucketed: true" in line]
+    scans = [line for line in final.splitlines() if "FileScan" in line and "text#" in line]
     assert len(scans) == 1  # the way for heavy texts is dropped where there are none
     above = ancestors(final.splitlines(), scans[0])
-    join = next(n for n, line in enumerate(above) if "SortMergeJoin" in line)
-    assert not any("Exchange" in line for line in above[:join])
-    assert fresh.count("Exchange") <= 2  # the one of the texts, and the dealing out of a one-file input
+    assert sum("Exchange" in line for line in above) == 1 and not any("Aggregate" in line for line in above)
+    assert fresh.count("Exchange") <= 3  # that of the texts, that of the stored digests, and the dealing out of a one-file input
 
 
-def test_digest_lookup_reads_one_bucket(spark, sf_dir):
+def test_digest_lookup_opens_one_folder(spark, sf_dir):
     store = bl.BlobStore(spark, new_folder(spark, "blobs"))
     store.append(i.blobs(spark, sf_dir))
     some = store.read().first().checksum
-    found = store.read().filter(F.col("checksum") == some)
-    assert "EqualTo(checksum," in plan(found)
-    scan_node = found._jdf.queryExecution().sparkPlan().collectLeaves().head()
-    assert scan_node.optionalBucketSet().get().cardinality() == 1 and found.count() == 1
+    documents_ = spark.range(1).select(
+        F.lit("d").alias("doc_id"), F.lit("r").alias("ingest_run_id"), F.current_timestamp().alias("created_at"), F.lit(some).alias("text_checksum"))
+    found = bl.document_text(documents_, store.read(), "d")
+    assert "EqualTo(checksum," in plan(found) and found.count() == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*prefix#\d+ = ", plan(found))
 
 
 def test_top_n_is_limited_before_the_shuffle(spark, sf_dir):

@@ -91,6 +91,15 @@ def test_padding_and_meta(spark, data):
     assert got[4].distances == pytest.approx(3.4028234663852886e38)
 
 
+def test_chunks_that_share_a_label_are_told_apart(spark, data):
+    x, q = data
+    rows = make(spark, x[:3])
+    hits = knn.nearest(asked(spark, q[:1]), rows, 3).withColumn("faiss_id", F.lit(7).cast("bigint"))
+    meta = ann.vector_meta(rows).withColumn("faiss_id", F.lit(7).cast("bigint"))
+    got = semantic.attach_meta(semantic.pad_hits(hits, asked(spark, q[:1]), 3), meta).collect()
+    assert len(got) == 3 and len({r.chunk_id for r in got}) == 3
+
+
 def test_vector_expressions(spark):
     row = spark.sql("SELECT array(3D, 4D) AS v, array(0D, 0D) AS z, array(array(1D, 2D), array(3D, 6D), array(9D, 9D)) AS h, array(1, 1, 0) AS m, array(0, 0, 0) AS n").select(
         vx.l2_normalize(F.col("v")).alias("v"), vx.l2_normalize(F.col("z")).alias("z"),
