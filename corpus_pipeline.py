@@ -15,6 +15,9 @@ from folioloom.llm.quality import quality_rules
 from folioloom.llm.queries import SHARDS
 from folioloom.llm.sharding import kd_shards
 
+# Near copies of the pipeline: word shingles of five and a similarity of 0.8 or more. op2's query has its own values.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -23,13 +26,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules(docs, table(spark, sf_dir, "labels")).filter("quality.kept").drop("quality")
 
 
-def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 3, percent: int = 90) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest id, or any where no id is known.
 
     Documents without words are in no group and stay. Only ids and digests take part in the choice; the texts are joined to the list of
     chosen ones once. Rows that repeat id and text are one document.
     """
-    groups = stored(similar_documents(docs).filter("n_shingles > 0"), "groups")
+    groups = stored(similar_documents(docs, width, percent).filter("n_shingles > 0"), "groups")
     root = F.coalesce(F.struct(F.col("component_id").isNull(), "component_id").cast("struct<n:boolean,id:bigint>"))
     alike = groups.groupBy(root.alias("root"), F.when(F.col("component_id").isNull(), F.col("digest")).alias("alone"))
     chosen = alike.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("kept")).select("kept.doc_id", "kept.digest")
@@ -43,6 +46,11 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return first.select(*columns).unionByName(wordless.select(*columns))
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The stage: ``keep_one_of_similar`` by the pipeline's own values."""
+    return keep_one_of_similar(spark, docs, sf_dir, SHINGLE_WORDS, SIMILAR_PERCENT)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -60,7 +68,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", keep_good),
-    ("ngram_jaccard_join", keep_one_of_similar),
+    ("ngram_jaccard_join", keep_one_of_near_copies),
     ("benchmark_decontamination", drop_leaks),
     ("mixing", mix_sources),
     ("sharding", shard),

@@ -1,6 +1,7 @@
 """The Jaccard join against all pairs."""
 
 import itertools
+import random
 import re
 
 import corpus_pipeline
@@ -67,6 +68,21 @@ def test_one_of_each_group_stays(spark, docs, rows):
     assert got == sorted(list(roots) + alone, key=str)
 
 
+def test_stage_takes_five_words_and_four_fifths(spark, words):
+    """Pairs between op2's values and those of the stage: similar by 5 words and 0.8, not by 3 words and 0.9."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(6):
+        text = [rng.choice(words) + f"{i}x{j}" for j in range(100)]
+        other = list(text)
+        other[30], other[70] = "changed", "twice"
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in similar_documents(df).collect()} == set(range(12))
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    assert sorted(r.doc_id for r in stage(spark, df, "").collect()) == list(range(0, 12, 2))
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r.id: r.root for r in components(edges).collect()}
