@@ -1,9 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask picks some of ten neighbouring words and ignores the others, so a window keeps its hash when
+A mask picks some of a few neighbouring words and ignores the others, so a window keeps its hash when
 ignored words are replaced. Hashes of all windows of a text are looked up among those of the
-benchmark; around each hit the two texts are laid side by side, and the stretch that agrees best, with
-replaced words counted against it, is what decides.
+benchmark; around each hit the two texts are laid side by side. Any stretch there with enough equal
+words and few enough replaced ones decides, whatever surrounds it; the one with most equal words is told.
 """
 
 from __future__ import annotations
@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 
 from folioloom.llm.common import LETTERS, WEIGHTS, WordHashes, mixed
 
-# Fixed masks: 1 is a word that counts, 0 one that is ignored.
-MASKS = ["1110110100", "1101001011", "1011011001", "1111110000"]
+# Fixed masks: 1 is a word that counts, 0 one that is ignored. Every stretch that counts (see MIN_EQUAL) holds a shorter one of
+# at most 20 words that counts too, and each of those is met by one of these masks whatever words of it are replaced.
+MASKS = ["1110111", "11100001011", "110110011"]
 SPAN = 10
 # Items of fewer words than the span are looked for as a whole; below this they say nothing.
 MIN_ITEM_WORDS = 6
 # A stretch counts with so many equal words (or the whole of a shorter item) and at most one in five replaced.
 MIN_EQUAL = 10
 MIN_SHARE = 0.8
-MISMATCH = 2
+# A replaced word against an equal one: sums of zero and more are exactly the stretches with MIN_SHARE equal words.
+MISMATCH = round(MIN_SHARE / (1 - MIN_SHARE))
 # Benchmark words held by a worker at a time; larger benchmarks are gone through in blocks.
 BLOCK_WORDS = 2_000_000
 
@@ -74,7 +76,7 @@ class Seeds:
         self.bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
 
     def find(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, first word, end word, equal words) of the best agreeing stretch per item."""
+        """(item, first word, end word, equal words) of the stretch with most equal words per item."""
         lines: set[tuple[int, int]] = set()
         for mask, number in self.masks:
             found = _seed_hashes(words, mask, number)
@@ -95,24 +97,27 @@ class Seeds:
 
 
 def agreement(item: np.ndarray, words: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """The best stretch of item against words at a shift: (start, end, equal) in words of the text, if it is enough."""
+    """The stretch with most equal words that is enough, of item against words at a shift: (start, end, equal) in words of the text.
+
+    Of several the first. It starts and ends with an equal word.
+    """
     first, last = max(0, -shift), min(len(item), len(words) - shift)
     if last <= first:
         return None
     equal = item[first:last] == words[first + shift:last + shift]
-    total, best, start, span = 0, 0, 0, None
-    for i, same in enumerate(equal.tolist()):
-        total += 1 if same else -MISMATCH
-        if total <= 0:
-            total, start = 0, i + 1
-        elif total > best:
-            best, span = total, (start, i + 1)
-    if span is None:
+    if np.count_nonzero(equal) < min(MIN_EQUAL, len(item)):
         return None
-    count = int(equal[span[0]:span[1]].sum())
-    if count < min(MIN_EQUAL, len(item)) or count < MIN_SHARE * (span[1] - span[0]):
+    sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH))])
+    counts = np.concatenate([[0], np.cumsum(equal)])
+    # The earliest start for each end: the first sum that is not above the one at the end.
+    starts = np.searchsorted(-np.minimum.accumulate(sums), -sums, "left")
+    held = counts - counts[starts]
+    end = int(np.argmax(held))
+    count = int(held[end])
+    if count < min(MIN_EQUAL, len(item)):
         return None
-    return first + shift + span[0], first + shift + span[1], count
+    at = np.flatnonzero(equal[starts[end]:end]) + int(starts[end])
+    return first + shift + int(at[0]), first + shift + int(at[-1]) + 1, count
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Seeds]:
@@ -147,7 +152,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text. Words are letters and digits in lower case, so punctuation and case do
     not matter. Items of under six words match nothing; those of six to nine only as a whole; longer ones by
-    stretches of ten equal words or more (the best per item), of which at most one word in five is replaced. Equal items count as the one with
+    stretches of ten equal words or more (the one with most equal words per item), of which at most one word in five is replaced. Equal items count as the one with
     the smallest id, and items without id or text are left out. Null and empty texts leak nothing; texts of any length are taken
     whole. Repeated rows each come out, also those with a null doc_id. An empty benchmark gives an empty result.
     """

@@ -146,6 +146,36 @@ def test_leaks(spark, words):
     assert decontaminate.benchmark_leaks(docs.limit(0), benchmark).count() == 0
 
 
+def plain_stretch(equal):
+    """Most equal words of any stretch with ten or more equal words and at most one in five replaced; 0 without any."""
+    best = 0
+    for i in range(len(equal)):
+        count = 0
+        for j in range(i, len(equal)):
+            count += equal[j]
+            if count >= 10 and 5 * count >= 4 * (j - i + 1):
+                best = max(best, count)
+    return best
+
+
+def test_leaks_against_all_stretches():
+    rng = random.Random(8)
+    item = [f"w{i}" for i in range(120)]
+    seeds = decontaminate.Seeds([(1, " ".join(item).encode())])
+    hashes = decontaminate.WordHashes()
+    cases = [[1] * 20 + [int(i % 10 not in (0, 3, 6)) for i in range(100)], [int(i % 4 != 3) for i in range(15)],
+             [1] * 5 + [0] + [1] * 4 + [0] + [1], [1] * 9, [1] * 10]
+    cases += [[int(rng.random() >= share) for _ in range(n)] for n in (12, 20, 50, 120) for share in (0.1, 0.15, 0.2, 0.25, 0.3) for _ in range(25)]
+    for equal in cases:
+        words = [f"before{i}" for i in range(7)] + [w if same else "x" + w for w, same in zip(item, equal, strict=False)]
+        if len(equal) < len(item):
+            words += [f"after{i}" for i in range(7)]
+        found = seeds.find(decontaminate._words(" ".join(words).encode(), hashes))
+        assert [(key, count) for key, _, _, count in found] == ([(1, plain_stretch(equal))] if plain_stretch(equal) else []), equal
+        for _, start, end, count in found:
+            assert sum(equal[start - 7:end - 7]) == count and 5 * count >= 4 * (end - start)
+
+
 def test_toxicity(docs, labels, nothing):
     out = toxicity.toxicity(docs, labels).collect()
     assert len(out) == docs.count() and all(0 <= r.toxicity <= 1 for r in out)
