@@ -29,13 +29,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 3, percent: int = 90) -> DataFrame:
     """One document of each group of similar ones: the one with the smallest id, or any where no id is known.
 
-    Documents without words are in no group and stay. Only ids and digests take part in the choice; the texts are joined to the list of
+    Groups are told apart by their own key, so ids may be null or stand for several texts. Documents without words are in no group and stay. Only ids and digests take part in the choice; the texts are joined to the list of
     chosen ones once. Rows that repeat id and text are one document.
     """
     groups = stored(similar_documents(docs, width, percent).filter("n_shingles > 0"), "groups")
-    root = F.coalesce(F.struct(F.col("component_id").isNull(), "component_id").cast("struct<n:boolean,id:bigint>"))
-    alike = groups.groupBy(root.alias("root"), F.when(F.col("component_id").isNull(), F.col("digest")).alias("alone"))
-    chosen = alike.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("kept")).select("kept.doc_id", "kept.digest")
+    chosen = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("kept")).select("kept.doc_id", "kept.digest")
     columns = docs.columns
     keyed = docs.withColumn("_digest", F.unhex(F.md5("text"))).alias("d")
     wordless = keyed.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))

@@ -201,13 +201,15 @@ def links(docs: DataFrame, width: int = 3, percent: int = 90) -> tuple[DataFrame
 
 
 def similar_documents(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
-    """One row per document: doc_id, digest (md5 of the text), n_shingles, component_id.
+    """One row per document: doc_id, digest (md5 of the text), n_shingles, component_id, component.
 
     ``docs`` needs doc_id and text; other columns are ignored. Words are cut at ASCII white space after
     lower-casing A-Z. Two documents are linked when their sets of ``width``-word shingles overlap by
     ``percent`` or more of the union; component_id is the smallest doc_id reachable. Null and wordless texts have no
     shingles and stay alone. A null doc_id is no candidate for the smallest, and a component of only null ids has a null
-    component_id. Repeated rows each come out. A text of any length is taken whole; an empty table gives an empty result.
+    component_id. Since ids may be null or clash, component is the component's own key: one number for all its rows, in no other
+    component, null for texts without shingles. Repeated rows each come out. A text of any length is taken whole; an empty
+    table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
     profiles, roots = links(docs, width, percent)
@@ -216,8 +218,9 @@ def similar_documents(docs: DataFrame, width: int = 3, percent: int = 90) -> Dat
     rows = docs.select("doc_id", F.unhex(F.md5("text")).alias("digest"))
     least = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
     named = classes.join(least, "digest")
-    lowest = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(lowest, "root").select("digest", "n", "component")
+    lowest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(lowest, "root").select("digest", "n", "root", "component_id")
     return rows.join(named, "digest", "left").select(
         "doc_id", "digest", F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
-        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("root").alias("component"))

@@ -83,6 +83,17 @@ def test_stage_takes_five_words_and_four_fifths(spark, words):
     assert sorted(r.doc_id for r in stage(spark, df, "").collect()) == list(range(0, 12, 2))
 
 
+def test_groups_of_null_and_clashing_ids(spark, words):
+    """Two unlike texts under one id both stay; of near copies without ids one stays."""
+    rng = random.Random(12)
+    one, two, three = ([rng.choice(words) + f"{k}x{j}" for j in range(80)] for k in "abc")
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(two) + " more")]
+    rows += [(None, " ".join([*three, f"end{i}"])) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r.text.split()[0] for r in corpus_pipeline.keep_one_of_similar(spark, df, "").collect()]
+    assert sorted(got) == sorted([one[0], two[0], three[0]])
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (7, 7)], "a long, b long")
     got = {r.id: r.root for r in components(edges).collect()}
