@@ -25,7 +25,7 @@ SHARDS = 24
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rows = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
     q = "quality."
     return rows.select("doc_id", *[q + c for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")],
                        F.round("quality.llr", 4).alias("llr"))

@@ -47,6 +47,31 @@ def test_quality_tells_junk_from_trusted_texts(spark, words):
     assert got == {i: i % 4 != 0 for i in range(200)}
 
 
+def test_quality_verdicts_do_not_follow_the_size(spark):
+    """The same documents, alone and among ten times as many of their kind."""
+    rng = random.Random(6)
+
+    def text(i):
+        if i % 10 == 0:
+            return " ".join("".join(rng.choice("#@~^!?") for _ in range(9)) for _ in range(300))
+        at, out = rng.randrange(900), []
+        for _ in range(300):
+            at = (7 * at + rng.randrange(20)) % 900
+            out.append(f"{'ab'[i % 2]}{at}")
+        return " ".join(out)
+
+    rows = [(i, text(i), "ab"[i % 2]) for i in range(1000)]
+    labels = spark.createDataFrame([(i, 1) for i in range(1000) if i % 10 and i % 3], "doc_id long, quality int")
+    verdicts = []
+    for size in (100, 1000):
+        docs = spark.createDataFrame(rows[:size], "doc_id long, text string, lang string")
+        kept = {r.doc_id: r.quality.kept for r in quality_rules(docs, labels).collect()}
+        assert not any(k for i, k in kept.items() if i % 10 == 0)
+        assert sum(k for i, k in kept.items() if i % 10) >= 0.95 * 0.9 * size
+        verdicts.append([kept[i] for i in range(100)])
+    assert sum(a != b for a, b in zip(*verdicts, strict=True)) <= 3
+
+
 def plain_spans(text):
     kinds = [("assign", r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
              ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]+", 0, 32)]
