@@ -294,6 +294,12 @@ def test_perplexity(docs, labels, nothing):
     assert all(r.kept == bool(r.text) for r in alone)
 
 
+def test_perplexity_threshold_is_the_quantile(spark):
+    rows = [(lang, float(i + base)) for lang, base in (("en", 4), (None, 50)) for i in range(1, 201)]
+    got = perplexity.thresholds(spark.createDataFrame(rows + [("en", None)], "lang string, perplexity double")).collect()
+    assert {r.lang: r.threshold for r in got} == {"en": pytest.approx(202, rel=0.003), None: pytest.approx(248, rel=0.003)}
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000, 4097])
 def test_permutation(size):
     numbers = np.arange(size)
