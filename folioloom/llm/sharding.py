@@ -38,13 +38,31 @@ class Node:
     children: list[Node] = field(default_factory=list)
 
 
-def _number(name: str, kind: str) -> Column:
-    """A whole number that orders a dimension: strings by their first six bytes, nulls first."""
-    column = F.col(f"`{name}`")
-    if kind == "string":
-        six = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(six, 16, 10).cast("long") + 1, F.lit(0))
-    return F.coalesce(column.cast("long"), F.lit(-1))
+def _ranked(values: DataFrame) -> DataFrame:
+    """Rows (value, rank) of distinct strings: their places from 1 in byte order. Ranges of them are counted in their own tasks.
+
+    The driver sees one count a range.
+    """
+    ordered = values.sort("value").withColumn("at", F.monotonically_increasing_id())
+    ordered = stored(ordered.select("value", F.shiftright("at", 33).alias("range"), F.col("at").bitwiseAND((1 << 33) - 1).alias("inside")), "ranks")
+    before, first = 1, []
+    for r in sorted(ordered.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect()):
+        first.append((r.range, before))
+        before += r.n
+    listed = ordered.sparkSession.createDataFrame(first, "range long, first long")
+    return ordered.join(F.broadcast(listed), "range").select("value", (F.col("first") + F.col("inside")).alias("rank"))
+
+
+def _numbered(rows: DataFrame, dimensions: list[str], kinds: dict[str, str]) -> DataFrame:
+    """Dimensions as whole numbers that keep their order: strings by their rank among all values, nulls first."""
+    for i, name in enumerate(dimensions):
+        if kinds[name] == "string":
+            ranks = _ranked(rows.select(F.col(f"_{i}").alias("value")).filter("value IS NOT NULL").distinct())
+            rows = rows.join(ranks, rows[f"_{i}"] == ranks["value"], "left").drop("value", f"_{i}").withColumn(
+                f"_{i}", F.coalesce("rank", F.lit(0).cast("long"))).drop("rank")
+        else:
+            rows = rows.withColumn(f"_{i}", F.coalesce(F.col(f"_{i}").cast("long"), F.lit(-1).cast("long")))
+    return rows
 
 
 def _placed(docs: DataFrame, dimensions: list[str]) -> DataFrame:
@@ -55,9 +73,10 @@ def _placed(docs: DataFrame, dimensions: list[str]) -> DataFrame:
         raise ValueError(f"no such columns: {unknown}")
     text = F.coalesce("text", F.lit(""))
     rows = docs.withColumn("size", F.octet_length(text).cast("long") + 8)
-    rows = rows.select(
-        "doc_id", "size", F.crc32(text).alias("text_crc32"),
-        F.array(*[_number(d, kinds[d]) for d in dimensions]).alias("dims"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.select("doc_id", "size", F.crc32(text).alias("text_crc32"), *[F.col(f"`{d}`").alias(f"_{i}") for i, d in enumerate(dimensions)],
+                       F.monotonically_increasing_id().alias("row"))
+    rows = _numbered(stored(rows, "shard-values"), dimensions, kinds)
+    rows = rows.select("doc_id", "size", "text_crc32", F.array(*[F.col(f"_{i}") for i in range(len(dimensions))]).alias("dims"), "row")
     # Ties of a value are cut by text, so copies stay together while they fit; then by id; then by row, for repeated rows.
     tie = (F.pmod(F.xxhash64("text_crc32"), F.lit(1 << 15)) * (1 << 16)
            + F.pmod(F.xxhash64("doc_id"), F.lit(1 << 8)) * (1 << 8) + F.pmod(F.xxhash64("row"), F.lit(1 << 8)))
@@ -137,7 +156,7 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
     """One row per document: doc_id, size, text_crc32, shard (from 0), slot (gapless from 0 in each shard).
 
     ``docs`` needs doc_id, text and the dimensions (default source, lang, and size, which is always there); text, number and date columns
-    will do. Size is the UTF-8 length of the text plus 8; a null text counts as an empty one. Either the number of shards is given, or the bytes a
+    will do. A text dimension counts by the rank of its whole value among all. Size is the UTF-8 length of the text plus 8; a null text counts as an empty one. Either the number of shards is given, or the bytes a
     shard is to reach. Sizes of shards differ by single documents and a small part of a shard. Equal texts have equal sizes and keep
     together while their group fits into a shard; a larger group is split. Null dimensions come first. Documents with equal ids, and
     repeated rows, each come out. An empty table has no rows.

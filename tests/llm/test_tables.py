@@ -44,6 +44,20 @@ def test_shards_of_many_alike(spark):
     assert {r.shard for r in by_bytes} >= set(range(7))
 
 
+def test_shards_follow_long_names(spark):
+    """Names that differ behind a long common start, and a null among them: each shard holds neighbouring names only."""
+    names = [f"commoncrawl-{2000 + i:04d}" for i in range(16)]
+    rows = [(i, "x" * 50, None if i == 0 else names[i % 16]) for i in range(1601)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    held = {}
+    for r in kd_shards(docs, 16, dimensions=["source"]).collect():
+        held.setdefault(r.shard, set()).add(rows[r.doc_id][2])
+    assert sorted(held) == list(range(16))
+    for shard in held.values():
+        at = sorted(-1 if name is None else names.index(name) for name in shard)
+        assert len(at) <= 3 and at[-1] - at[0] <= 2
+
+
 def plain_targets(sizes):
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: [1, 2, 3][i % 3] for i, s in enumerate(order)}
