@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with the parameters they are meant to run with."""
+"""The thirteen operators as queries over the given tables, with the parameters they are meant to run with."""
 
 from __future__ import annotations
 
@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from folioloom.llm import oracles
 from folioloom.llm.common import table
 from folioloom.llm.decontaminate import benchmark_leaks
+from folioloom.llm.divergence import source_divergence
 from folioloom.llm.jaccard import similar_documents
 from folioloom.llm.licences import licence_scan
 from folioloom.llm.materialise import training_order, write_training_order
+from folioloom.llm.middle import fill_in_middle, restored
 from folioloom.llm.mixing import mix_plan
 from folioloom.llm.perplexity import perplexity_filter
 from folioloom.llm.quality import quality_rules
+from folioloom.llm.repeats import without_repeats
 from folioloom.llm.secrets import digest_text, secret_scan
 from folioloom.llm.sharding import kd_shards
 from folioloom.llm.toxicity import toxicity
@@ -83,7 +86,24 @@ def op10_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    rows = rows.withColumn("restored", restored(F.col("output"), F.col("form")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_jaccard_join, op3_training_order, op4_perplexity, op5_benchmark_leaks, op6_toxicity,
-    op7_secret_scan, op8_licence_scan, op9_kd_shards, op10_cube_mix)}
+    op7_secret_scan, op8_licence_scan, op9_kd_shards, op10_cube_mix, op11_substring_dedup, op12_source_divergence,
+    op13_fill_in_middle)}
 ORACLES: dict[str, str] = oracles.ORACLES
