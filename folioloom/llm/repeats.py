@@ -20,59 +20,65 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import WordHashes, binaries, counter_array, mixed, shingle_hashes, small_batches, stored
+from folioloom.llm.common import WordHashes, binaries, counter_array, mixed, small_batches, stored
 
 LENGTH = 35
 GRAM = 12
 # Bitmaps that let most rows without a partner stay where they are; joins behind them are exact at any size.
 BITMAP_BITS = 24
-# Hashes in place of the words before the first and after the last.
+# A hash in place of the words before the first and after the last.
 NO_WORD = np.uint64(0x51ED_270B_0A5F_D1CE)
-SALTS = {"gram": 0, "window": 1, "context": 2}
 
+RANGES = "array<struct<first: long, last: long>>"
 SPANS = "array<struct<start: long, end: long>>"
 FOUND = f"struct<n_words: long, n_removed: long, spans: {SPANS}, text: string>"
 
 
-def _wrapped(values: np.ndarray, at: np.ndarray, width: int, salt: int) -> np.ndarray:
-    """Hashes of the runs of ``width`` (of any length) that start at some places."""
-    total = np.full(len(at), mixed(np.array([width * 4 + salt], np.uint64))[0], np.uint64)
-    for i in range(width):
-        total = mixed(total ^ values[at + i]) if i % 8 == 7 else total * np.uint64(0x9E3779B97F4A7C15) + values[at + i]
-    return mixed(total)
-
-
-class Anchors:
-    """Anchors of a text: their places (words), and for every window of the text the number of its anchor."""
-
-    def __init__(self, words: np.ndarray, length: int) -> None:
-        self.words, self.length, self.gram = words, length, min(GRAM, length)
-        grams = shingle_hashes(words, self.gram, SALTS["gram"]) if len(words) >= length else np.zeros(0, np.uint64)
-        width = length - self.gram + 1
-        if not len(grams):
-            self.places = self.owner = np.zeros(0, np.int64)
-            self.hashes = grams
-            return
-        turned = np.lib.stride_tricks.sliding_window_view(grams, width)[:, ::-1]
-        chosen = np.arange(len(turned)) + width - 1 - turned.argmin(axis=1)
-        # The last of the smallest hashes never moves back, so windows of one anchor lie together.
-        new = np.concatenate([[True], chosen[1:] != chosen[:-1]])
-        self.places, self.owner = chosen[new], np.cumsum(new) - 1
-        self.hashes = grams[self.places]
-
-    def contexts(self) -> np.ndarray:
-        """Hashes of all words that the windows of each anchor can cover."""
-        around = self.length - self.gram
-        edge = np.full(around, NO_WORD, np.uint64)
-        padded = np.concatenate([edge, self.words, edge])
-        return _wrapped(padded, self.places, self.gram + 2 * around, SALTS["context"])
-
-    def windows(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, window hashes and the anchor number of the windows that belong to some anchors (numbers)."""
-        wanted = np.zeros(len(self.places), bool)
-        wanted[of] = True
-        starts = np.flatnonzero(wanted[self.owner]) if len(self.owner) else np.zeros(0, np.int64)
-        return starts, _wrapped(self.words, starts, self.length, SALTS["window"]), self.owner[starts]
+class RunHashes:
+    """Hashes of runs of any width from one running sum: the polynomial in an odd base, modulo 2**64, of the words of a run."""
+
+    def __init__(self, base: int) -> None:
+        self.base, self.inverse = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.powers = self.backs = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        while len(self.powers) < n:
+            size = len(self.powers)
+            self.powers = np.concatenate([self.powers, self.powers * np.uint64(pow(int(self.base), size, 1 << 64))])
+            self.backs = np.concatenate([self.backs, self.backs * np.uint64(pow(int(self.inverse), size, 1 << 64))])
+
+    def sums(self, words: np.ndarray) -> np.ndarray:
+        self._grow(len(words) + 1)
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * self.powers[:len(words)])])
+
+    def of(self, sums: np.ndarray, starts: np.ndarray | slice, width: int) -> np.ndarray:
+        """Hashes of the runs at some places, or at every ``slice(0, n)``."""
+        if isinstance(starts, slice):
+            ends = slice(starts.start + width, starts.stop + width)
+        else:
+            ends = starts + width
+        return mixed((sums[ends] - sums[starts]) * self.backs[starts])
+
+
+def _bases() -> tuple[RunHashes, RunHashes, RunHashes]:
+    """For anchors, contexts and windows."""
+    return RunHashes(0x9E3779B97F4A7C15), RunHashes(0xD6E8FEB86659FD93), RunHashes(0xA0761D6478BD642F)
+
+
+def anchors(words: np.ndarray, length: int, grams: RunHashes, contexts: RunHashes):
+    """Of a text of ``length`` words or more: hash and context of each anchor, and the first and last window that belong to it."""
+    gram = min(GRAM, length)
+    width, around = length - gram + 1, length - gram
+    hashes = grams.of(grams.sums(words), slice(0, len(words) - gram + 1), gram)
+    turned = np.lib.stride_tricks.sliding_window_view(hashes, width)[:, ::-1]
+    chosen = np.arange(len(turned)) + width - 1 - turned.argmin(axis=1)
+    # The last of the smallest hashes never moves back, so windows of one anchor lie together.
+    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    last = np.concatenate([first[1:] - 1, [len(chosen) - 1]])
+    places = chosen[first]
+    edge = np.full(around, NO_WORD, np.uint64)
+    padded = contexts.sums(np.concatenate([edge, words, edge]))
+    return hashes[places], contexts.of(padded, places, gram + 2 * around), first, last
 
 
 def _at(values: np.ndarray) -> np.ndarray:
@@ -121,43 +127,71 @@ def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _ranges(arrays: list[np.ndarray]) -> pa.Array:
+    """Lists of (first, last) from arrays of two columns."""
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    values = np.concatenate(arrays) if arrays else np.zeros((0, 2), np.int64)
+    both = pa.StructArray.from_arrays([pa.array(values[:, 0], pa.int64()), pa.array(values[:, 1], pa.int64())], ["first", "last"])
+    return pa.ListArray.from_arrays(pa.array(offsets), both)
+
+
+PROFILE = f"digest binary, anchors array<long>, contexts array<long>, firsts array<int>, lasts array<int>, inner {RANGES}"
+
+
 def _profiles(texts: DataFrame, length: int) -> DataFrame:
-    """One row per distinct text of at least ``length`` words: digest, n, anchors (hashes, contexts, places), pid."""
+    """One row per distinct text of at least ``length`` words: digest, its anchors, and pid.
+
+    Anchors that share their context inside the text are one entry, of weight 2 (``firsts`` is below 0: -1 - first); the windows of
+    the others of them are ``inner``.
+    """
     def describe(batches):
-        hashes = WordHashes()
+        hashes, (grams, contexts, _) = WordHashes(), _bases()
         for rows in _fresh(batches):
-            digests, sizes, found = [], [], []
+            digests, columns, inner = [], ([], [], [], []), []
             for digest, text in rows:
                 words = text.split()
-                if len(words) >= length:
-                    digests.append(digest)
-                    sizes.append(len(words))
-                    found.append(Anchors(hashes.of(words), length))
+                if len(words) < length:
+                    continue
+                anchor, context, first, last = anchors(hashes.of(words), length, grams, contexts)
+                again = np.zeros((0, 2), np.int64)
+                _, one, counts = np.unique(context, return_index=True, return_counts=True)
+                if len(one) < len(context):
+                    more = np.ones(len(context), bool)
+                    more[one] = False
+                    again = np.stack([first[more], last[more]], axis=1)
+                    anchor, context, last = anchor[one], context[one], last[one]
+                    first = np.where(counts > 1, -1 - first[one], first[one])
+                digests.append(digest)
+                inner.append(again)
+                for column, values in zip(columns, (anchor.view(np.int64), context.view(np.int64), first, last), strict=True):
+                    column.append(values)
             yield pa.RecordBatch.from_arrays([
-                pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), _lists([a.hashes.view(np.int64) for a in found], np.int64),
-                _lists([a.contexts().view(np.int64) for a in found], np.int64), _lists([a.places for a in found], np.int32),
-            ], ["digest", "n", "anchors", "contexts", "places"])
+                pa.array(digests, pa.binary()), *[_lists(c, k) for c, k in zip(columns, (np.int64, np.int64, np.int32, np.int32), strict=True)], _ranges(inner),
+            ], ["digest", "anchors", "contexts", "firsts", "lasts", "inner"])
 
-    found = texts.mapInArrow(describe, "digest binary, n long, anchors array<long>, contexts array<long>, places array<int>")
-    return stored(found.dropDuplicates(["digest"]).withColumn("pid", F.monotonically_increasing_id()), "anchors", "zstd")
+    found = texts.mapInArrow(describe, PROFILE).dropDuplicates(["digest"])
+    return stored(found.withColumn("pid", F.monotonically_increasing_id()), "anchors", "zstd")
 
 
 def _seeds(profiles: DataFrame) -> DataFrame:
-    """Anchors that stand more than once, as rows (anchor, context, pid, place); a few others may be among them."""
-    hashes = profiles.select(F.explode("anchors").alias("anchor"))
-    bitmap = _hash_bitmap(hashes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"))
+    """Anchors that stand more than once, as rows (anchor, context, pid, first, last, weight); a few others may be among them."""
+    hashes = profiles.select(F.explode(F.arrays_zip("anchors", "firsts")).alias("a"))
+    hashes = hashes.groupBy(F.col("a.anchors").alias("anchor")).agg(F.sum(F.when(F.col("a.firsts") < 0, 2).otherwise(1)).alias("n"))
+    bitmap = _hash_bitmap(hashes.filter("n > 1").select("anchor"))
 
     def kept(batches):
         for batch in batches:
-            anchors = batch.column(1)
-            pids = np.repeat(batch.column(0).to_numpy(), anchors.value_lengths().to_numpy())
-            values = anchors.flatten().to_numpy()
-            at = np.flatnonzero(_listed(bitmap.value, _at(values)))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(values[at]), batch.column(2).flatten().take(pa.array(at)), pa.array(pids[at]), batch.column(3).flatten().take(pa.array(at)),
-            ], ["anchor", "context", "pid", "place"])
+            pids = np.repeat(batch.column(0).to_numpy(), batch.column(1).value_lengths().to_numpy())
+            anchor, context, first, last = (batch.column(i).flatten().to_numpy() for i in range(1, 5))
+            at = np.flatnonzero(_listed(bitmap.value, _at(anchor)))
+            first = first[at].astype(np.int64)
+            weight = np.where(first < 0, 2, 1)
+            yield pa.RecordBatch.from_pydict({
+                "anchor": pa.array(anchor[at]), "context": pa.array(context[at]), "pid": pa.array(pids[at]),
+                "first": pa.array(np.where(first < 0, -1 - first, first)), "last": pa.array(last[at].astype(np.int64)), "weight": pa.array(weight, pa.int64())})
 
-    return profiles.select("pid", "anchors", "contexts", "places").mapInArrow(kept, "anchor long, context long, pid long, place int")
+    return profiles.select("pid", "anchors", "contexts", "firsts", "lasts").mapInArrow(
+        kept, "anchor long, context long, pid long, first long, last long, weight long")
 
 
 def _chosen(texts: DataFrame, bitmap) -> DataFrame:
@@ -172,63 +206,67 @@ def _chosen(texts: DataFrame, bitmap) -> DataFrame:
     return texts.mapInArrow(chosen, "digest binary, text binary").dropDuplicates(["digest"])
 
 
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of some ranges, and the number of the range of each."""
+    counts = last - first + 1
+    of = np.repeat(np.arange(len(first)), counts)
+    return np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts) + first[of], of
+
+
 def _windows(moved: DataFrame, length: int) -> DataFrame:
     """Rows (anchor, window, pid, start, weight) of the windows of the marked anchors that are compared one by one."""
     def compare(batches):
-        hashes = WordHashes()
+        hashes, (_, _, runs) = WordHashes(), _bases()
         for batch in batches:
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for pid, text, marks in zip(batch.column("pid").to_pylist(), batch.column("text").to_pylist(), batch.column("marks").to_pylist(), strict=True):
-                found = Anchors(hashes.of(text.split()), length)
-                marks = [m for m in marks if m["compared"]]
-                at = np.searchsorted(found.places, np.array([m["place"] for m in marks], np.int64))
-                weights = np.zeros(len(found.places), np.int64)
-                weights[at] = [1 + m["whole"] for m in marks]
-                starts, windows, owners = found.windows(at)
-                for column, values in zip(out, (found.hashes[owners].view(np.int64), windows.view(np.int64), np.full(len(starts), pid), starts, weights[owners]), strict=True):
+            marks = batch.column("marks")
+            each = marks.flatten()
+            bounds = np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy())])
+            anchor, first, last, whole = (each.field(f).to_numpy(zero_copy_only=False) for f in ("anchor", "first", "last", "whole"))
+            compared = each.field("compared").to_numpy(zero_copy_only=False)
+            out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)]
+            for i, (pid, text) in enumerate(zip(batch.column("pid").to_pylist(), binaries(batch, 1), strict=True)):
+                own = np.arange(bounds[i], bounds[i + 1])
+                own = own[compared[own]]
+                starts, of = _spread(first[own], last[own])
+                found = runs.of(runs.sums(hashes.of(text.split())), starts, length)
+                for column, values in zip(out, (anchor[own][of], found.view(np.int64), np.full(len(starts), pid), starts, 1 + whole[own][of]), strict=True):
                     column.append(values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in out], ["anchor", "window", "pid", "start", "weight"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in out], ["anchor", "window", "pid", "start", "weight"])
 
-    return moved.mapInArrow(compare, "anchor long, window long, pid long, start long, weight long")
+    return moved.select("pid", "text", "marks").mapInArrow(compare, "anchor long, window long, pid long, start long, weight long")
 
 
-def removed_words(n: int, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of n words the windows at ``starts`` cover."""
+def removed_words(n: int, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """Which of n words the windows from each ``first`` to its ``last`` cover."""
     steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, starts + length, -1)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, last + length, -1)
     return np.cumsum(steps[:n]) > 0
 
 
 def _results(moved: DataFrame, length: int) -> DataFrame:
     """Rows (digest, found): what is removed from each text and what stays. A text with copies repeats as a whole."""
     def cut(batches):
-        hashes = WordHashes()
+        kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             counts, gone, spans, texts = [], [], [], []
-            for text, marks, starts, copied in zip(*[batch.column(c).to_pylist() for c in ("text", "marks", "starts", "copied")], strict=True):
+            columns = [binaries(batch, 1), *[batch.column(c).to_pylist() for c in ("ranges", "starts", "copied")]]
+            for text, ranges, starts, copied in zip(*columns, strict=True):
                 words = text.split()
-                whole = [m["place"] for m in marks or [] if m["whole"]]
-                at = np.array(starts or [], np.int64)
-                if whole and not copied:
-                    found = Anchors(hashes.of(words), length)
-                    wanted = np.zeros(len(found.places), bool)
-                    wanted[np.searchsorted(found.places, np.array(whole, np.int64))] = True
-                    at = np.concatenate([at, np.flatnonzero(wanted[found.owner])])
-                removed = np.ones(len(words), bool) if copied and len(words) >= length else removed_words(len(words), at, length)
+                whole = [(0, len(words) - length)] if copied and len(words) >= length else [(r["first"], r["last"]) for r in ranges or []]
+                at = np.array([*whole, *[(s, s) for s in starts or []]], np.int64).reshape(-1, 2)
+                removed = removed_words(len(words), at[:, 0], at[:, 1], length)
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], removed, [False]]).astype(np.int8)))
                 counts.append(len(words))
                 gone.append(int(removed.sum()))
                 spans.append([{"start": a, "end": b} for a, b in edges.reshape(-1, 2).tolist()])
                 texts.append(b" ".join([w for w, r in zip(words, removed.tolist(), strict=True) if not r]).decode())
-            kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             found = pa.StructArray.from_arrays(
                 [pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, kinds), pa.array(texts, pa.string())],
                 ["n_words", "n_removed", "spans", "text"])
             yield pa.RecordBatch.from_arrays([batch.column("digest"), found], ["digest", "found"])
 
-    return moved.select("digest", "text", "marks", "starts", "copied").mapInArrow(cut, f"digest binary, found {FOUND}")
+    return moved.select("digest", "text", "ranges", "starts", "copied").mapInArrow(cut, f"digest binary, found {FOUND}")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -248,20 +286,24 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     copied = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("digest")
 
     seeds = _seeds(profiles)
-    classes = seeds.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min("pid").alias("first"))
-    compared = (F.col("n") == 1) | (F.col("pid") == F.col("first"))
-    marked = seeds.join(classes, ["anchor", "context"]).select("pid", F.struct("place", (F.col("n") > 1).alias("whole"), compared.alias("compared")).alias("mark"))
-    marks = marked.groupBy("pid").agg(F.collect_list("mark").alias("marks"))
-    marks = stored(marks.join(profiles.select("pid", "digest"), "pid"), "marks", "zstd")
-
-    singly = marks.filter(F.exists("marks", lambda m: m["compared"]))
+    classes = seeds.groupBy("anchor", "context").agg(F.sum("weight").alias("n"), F.min("pid").alias("one")).filter("n > 1")
+    # Written, so that the join behind it can split a class that very many texts hold.
+    classes = stored(classes.select("anchor", "context", "one"), "classes", "zstd")
+    whole = F.col("one").isNotNull()
+    mark = F.struct("anchor", "first", "last", whole.alias("whole"), (~whole | (F.col("one") == F.col("pid"))).alias("compared"))
+    marks = seeds.join(classes, ["anchor", "context"], "left").select("pid", mark.alias("mark")).groupBy("pid").agg(F.collect_list("mark").alias("marks"))
+    marks = stored(marks.join(profiles.select("pid", "digest", "inner"), "pid"), "marks", "zstd")
+
+    singly = marks.filter(F.exists("marks", lambda m: m["compared"])).select("digest", "pid", "marks")
     moved = _chosen(texts, _digest_bitmap(singly.select("digest"))).join(singly, "digest")
-    windows = stored(_windows(moved.select("pid", "text", "marks"), length), "windows", "zstd")
+    windows = stored(_windows(moved, length), "windows", "zstd")
     repeated = windows.groupBy("anchor", "window").agg(F.sum("weight").alias("n")).filter("n > 1").select("anchor", "window")
-    starts = windows.filter("weight = 1").join(repeated, ["anchor", "window"]).groupBy("pid").agg(F.collect_list("start").alias("starts"))
+    starts = windows.filter("weight = 1").join(stored(repeated, "repeated", "zstd"), ["anchor", "window"])
+    starts = starts.groupBy("pid").agg(F.collect_list("start").alias("starts"))
 
-    touched = marks.join(starts, "pid", "left").filter(F.exists("marks", lambda m: m["whole"]) | F.col("starts").isNotNull())
-    touched = stored(touched.select("digest", "marks", "starts"), "repeats", "zstd")
+    ranges = F.concat("inner", F.transform(F.filter("marks", lambda m: m["whole"]), lambda m: F.struct(m["first"], m["last"])))
+    touched = marks.select("digest", "pid", ranges.alias("ranges")).join(starts, "pid", "left").filter("size(ranges) > 0 OR starts IS NOT NULL")
+    touched = stored(touched.select("digest", "ranges", "starts"), "repeats", "zstd")
     bitmap = _digest_bitmap(touched.select("digest").union(copied))
     moved = _chosen(texts, bitmap).join(touched, "digest", "left").join(copied.withColumn("copied", F.lit(True)), "digest", "left")
     found = stored(_results(moved, length), "results", "zstd")
