@@ -1,24 +1,27 @@
 """Sharding by a k-d tree: shards of nearly equal bytes whose documents are alike in their metadata.
 
 The tree starts with all documents and the shards they have to fill. A node that has to fill more than one is cut in two along the
-dimension in which its documents spread most, at the weighted quantile that gives either side its part of the bytes. Quantiles are found from
-histograms: each pass sums bytes per node and bin in one grouped aggregate and looks closer at the one bin that holds the cut. The
-driver sees bins, never documents.
+dimension in which its documents spread most, at the weighted quantile that gives either side its part of the bytes. Rows are written once and
+never moved or marked: a task finds the node of a row by walking down the tree as it is so far, which is a few arrays. Quantiles are found from
+histograms: a pass sums bytes per node and bin, for all nodes of a level at once, and the next pass looks closer at the one bin that holds the cut.
+One grouped task a node finds that bin, so the driver sees one row a node.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm.common import numbered, stored
 
 VALUE_BITS, TIE_BITS = 31, 31
-BINS = 1024
-# Histogram rows that one pass may hand to the driver.
-PASS_ROWS = 1 << 20
+# Bins of a node and dimension, and bins of all nodes together that one pass may shuffle.
+BINS = 1 << 16
+PASS_ROWS = 1 << 22
 # A cut is close enough when its bin holds at most this part of a shard.
 TOLERANCE = 0.001
 
@@ -26,16 +29,47 @@ DIMENSIONS = ["source", "lang", "size"]
 
 
 @dataclass
-class Node:
-    first: int
-    shards: int
-    bytes: int = 0
-    dim: int = 0
-    low: int = 0
-    high: int = 1 << (VALUE_BITS + TIE_BITS)
-    before: int = 0
-    cut: int | None = None
-    children: list[Node] = field(default_factory=list)
+class Tree:
+    """Nodes by number, the root first: dimension and key of the cut (-1: none yet), and the number of the left child, which the right one follows."""
+
+    first: list[int]
+    shards: list[int]
+    dim: list[int]
+    cut: list[int]
+    left: list[int]
+
+    @classmethod
+    def of(cls, shards: int) -> Tree:
+        return cls([0], [shards], [0], [-1], [0])
+
+    def split(self, node: int, dim: int, cut: int) -> list[int]:
+        half = self.shards[node] // 2
+        self.dim[node], self.cut[node], self.left[node] = dim, cut, len(self.first)
+        for first, shards in ((self.first[node], half), (self.first[node] + half, self.shards[node] - half)):
+            for column, value in ((self.first, first), (self.shards, shards), (self.dim, 0), (self.cut, -1), (self.left, 0)):
+                column.append(value)
+        return [self.left[node], self.left[node] + 1]
+
+
+def _walker(tree: Tree):
+    """A function from keys (a row a document, a column a dimension) to nodes without a cut."""
+    dim, cut, left = (np.array(x, np.int64) for x in (tree.dim, tree.cut, tree.left))
+
+    def walk(keys: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(keys), np.int64)
+        moving = np.flatnonzero(cut[node] >= 0)
+        while len(moving):
+            at = node[moving]
+            node[moving] = left[at] + (keys[moving, dim[at]] >= cut[at])
+            moving = moving[cut[node[moving]] >= 0]
+        return node
+
+    return walk
+
+
+def _keys(dims: pa.Array, tie: pa.Array) -> np.ndarray:
+    values = dims.flatten().to_numpy(zero_copy_only=False).reshape(len(tie), -1)
+    return (values << TIE_BITS) + tie.to_numpy(zero_copy_only=False)[:, None]
 
 
 def _ranked(values: DataFrame) -> DataFrame:
@@ -83,73 +117,119 @@ def _placed(docs: DataFrame, dimensions: list[str]) -> DataFrame:
     return stored(rows.withColumn("tie", tie), "shard-rows")
 
 
-def _assigned(rows: DataFrame, nodes: list[Node], what: str) -> DataFrame:
-    """Rows with their node joined on: a list as long as the tree is wide, and so bounded by the shards."""
-    spark = rows.sparkSession
-    if what == "cut":
-        listed = _listed(spark, [(n.first, n.dim, n.cut, n.children[1].first) for n in nodes], "node, dim, cut, right")
-        joined = rows.join(F.broadcast(listed), "node", "left")
-        node = F.when(F.col("cut").isNotNull() & (_key() >= F.col("cut")), F.col("right").cast("int")).otherwise(F.col("node"))
-        return joined.select("doc_id", "size", "text_crc32", "dims", "row", "tie", node.alias("node"))
-    listed = _listed(spark, [(n.first, n.dim, n.low, n.high) for n in nodes], "node, dim, low, high")
-    return rows.join(F.broadcast(listed), "node")
-
+def _scaled(rows: DataFrame, count: int) -> tuple[DataFrame, list[int], int]:
+    """Dimensions counted from their smallest value, in at most VALUE_BITS bits; the largest of each, and the sum of sizes."""
+    spans = rows.agg(F.sum("size").alias("total"), *[F.min(F.get("dims", F.lit(i))).alias(f"low{i}") for i in range(count)],
+                     *[F.max(F.get("dims", F.lit(i))).alias(f"high{i}") for i in range(count)]).first()
+    top = (1 << VALUE_BITS) - 1
+    scaled, most = [], []
+    for i in range(count):
+        low, high = spans[f"low{i}"] or 0, spans[f"high{i}"] or 0
+        value = F.get("dims", F.lit(i)) - F.lit(low)
+        if high - low > top:
+            value = F.floor(value.cast("double") / F.lit(float(high - low)) * top)
+        scaled.append(value.cast("long"))
+        most.append(min(high - low, top))
+    return rows.withColumn("dims", F.array(*scaled)), most, spans.total or 0
 
-def _listed(spark: SparkSession, rows: list[tuple[int, int, int, int]], names: str) -> DataFrame:
-    values = ", ".join(f"({a}, {b}, {c}L, {d}L)" for a, b, c, d in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS nodes({names})")
 
+HISTOGRAM = "node long, dim int, bin long, bytes long, least long, most long"
 
-def _key() -> Column:
-    return F.shiftleft(F.get("dims", F.col("dim")), TIE_BITS) + F.col("tie")
 
+def _summed(rows: DataFrame, tree: Tree, ranges: dict[int, tuple[int, list[int], list[int], list[int]]]) -> DataFrame:
+    """Bytes by (node, dim, bin) of the rows whose key lies in a range of their node, with the smallest and largest key there.
 
-def _scaled(rows: DataFrame, count: int) -> DataFrame:
-    """Dimensions scaled so that the whole table spans the same range in each."""
-    spans = rows.agg(*[F.min(F.get("dims", F.lit(i))).alias(f"low{i}") for i in range(count)],
-                     *[F.max(F.get("dims", F.lit(i))).alias(f"high{i}") for i in range(count)]).first()
-    top = (1 << VALUE_BITS) - 1
+    ``ranges`` gives for each node that is looked at its dimensions, and low, high and step of the bins in each.
+    """
+    walk = _walker(tree)
+    count = max(len(dims) for dims, *_ in ranges.values())
+    table = np.zeros((len(tree.first), count, 4), np.int64)
+    table[:, :, 3] = 1
+    for node, (dims, lows, highs, steps) in ranges.items():
+        table[node, :len(dims)] = np.stack([dims, lows, highs, steps], axis=1)
 
-    def scale(i: int) -> Column:
-        low, high = spans[f"low{i}"], spans[f"high{i}"]
-        if low is None or high == low:
-            return F.lit(0).cast("long")
-        value = F.get("dims", F.lit(i)) - F.lit(low)
-        return F.floor(value.cast("double") / F.lit(float(high - low)) * top).cast("long")
-
-    return rows.withColumn("dims", F.array(*[scale(i) for i in range(count)]))
-
-
-def _find_cuts(rows: DataFrame, nodes: list[Node], shard_bytes: float) -> None:
-    """Narrow each node's bounds to its cut, one grouped pass for all nodes at a time."""
-    bins = max(16, min(BINS, PASS_ROWS // len(nodes)))
-    open_nodes = list(nodes)
-    while open_nodes:
-        held = _assigned(rows, open_nodes, "range").withColumn("key", _key()).filter("key >= low AND key < high")
-        place = F.expr(f"(key - low) div ((high - low + {bins - 1}) div {bins})")
-        sums = held.groupBy("node", place.alias("bin")).agg(F.sum("size").alias("bytes"))
-        found: dict[int, list] = {}
-        for r in sums.collect():
-            found.setdefault(r.node, []).append((r.bin, r.bytes))
-        still = []
-        for node in open_nodes:
-            target = node.bytes * (node.shards // 2) / node.shards
-            step, below = -(-(node.high - node.low) // bins), node.before
-            for at, size in sorted(found.get(node.first, [])):
-                if below + size >= target:
-                    low = node.low + at * step
-                    break
-                below += size
-            else:
-                node.cut = node.high
+    def count_up(batches):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            if step <= 1 or size <= TOLERANCE * shard_bytes:
-                nearer_end = below + size - target <= target - below
-                node.cut = min(low + step, node.high) if nearer_end else low
+            keys, sizes = _keys(batch.column(0), batch.column(1)), batch.column(2).to_numpy()
+            nodes = walk(keys)
+            for i in range(count):
+                dim, low, high, step = table[nodes, i].T
+                key = keys[np.arange(len(keys)), dim]
+                inside = (key >= low) & (key < high)
+                if not inside.any():
+                    continue
+                node, dim, key, bins = nodes[inside], dim[inside], key[inside], (key[inside] - low[inside]) // step[inside]
+                order = np.lexsort((bins, node))
+                node, bins, key = node[order], bins[order], key[order]
+                new = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (bins[1:] != bins[:-1])]))
+                yield pa.RecordBatch.from_pydict({
+                    "node": pa.array(node[new]), "dim": pa.array(dim[order][new].astype(np.int32)), "bin": pa.array(bins[new]),
+                    "bytes": pa.array(np.add.reduceat(sizes[inside][order], new)),
+                    "least": pa.array(np.minimum.reduceat(key, new)), "most": pa.array(np.maximum.reduceat(key, new))})
+
+    sums = rows.select("dims", "tie", "size").mapInArrow(count_up, HISTOGRAM)
+    return sums.groupBy("node", "dim", "bin").agg(F.sum("bytes").alias("bytes"), F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+CROSSED = "node long, dim int, bin long, bytes long, below long, total long"
+
+
+def _crossed(sums: DataFrame, tree: Tree, most: list[int], targets: dict[int, float]) -> dict[int, tuple]:
+    """For each node (dim, bin, bytes in it, bytes below it, bytes of all): the bin that its cut lies in, in the widest dimension.
+
+    ``targets`` holds the bytes that are to lie left of a cut; a node that is not in it wants the part of its bytes that its left shards are.
+    """
+    shards = tree.shards
+
+    def find(table: pa.Table) -> pa.Table:
+        node = table["node"][0].as_py()
+        columns = {c: table[c].to_numpy() for c in ("dim", "bin", "bytes", "least", "most")}
+        spread = {}
+        for d in sorted(set(columns["dim"].tolist())):
+            of = columns["dim"] == d
+            spread[d] = ((columns["most"][of].max() >> TIE_BITS) - (columns["least"][of].min() >> TIE_BITS)) / max(1, most[d])
+        dim = max(spread, key=lambda d: (spread[d], -d))
+        of = np.flatnonzero(columns["dim"] == dim)
+        of = of[np.argsort(columns["bin"][of])]
+        sizes = columns["bytes"][of]
+        sums, total = np.cumsum(sizes), int(sizes.sum())
+        target = targets.get(node, total * (shards[node] // 2) / shards[node])
+        at = min(int(np.searchsorted(sums, target)), len(sums) - 1)
+        return pa.table({"node": pa.array([node], pa.int64()), "dim": pa.array([dim], pa.int32()), "bin": pa.array([columns["bin"][of][at]], pa.int64()),
+                         "bytes": pa.array([sizes[at]], pa.int64()), "below": pa.array([sums[at] - sizes[at]], pa.int64()), "total": pa.array([total], pa.int64())})
+
+    return {r.node: (r.dim, r.bin, r.bytes, r.below, r.total) for r in sums.groupBy("node").applyInArrow(find, CROSSED).collect()}
+
+
+def _cut_level(rows: DataFrame, tree: Tree, level: list[int], most: list[int], shard_bytes: float) -> list[int]:
+    """Cut all nodes of a level; returns their children. Nodes without rows are left as they are."""
+    bins = max(16, min(BINS, PASS_ROWS // (len(level) * len(most))))
+    dims = list(range(len(most)))
+    highs = [(m + 1) << TIE_BITS for m in most]
+    ranges = {n: (dims, [0] * len(dims), highs, [-(-h // bins) for h in highs]) for n in level}
+    targets: dict[int, float] = {}
+    children: list[int] = []
+    cuts: dict[int, tuple[int, int]] = {}
+    while ranges:
+        found = _crossed(_summed(rows, tree, ranges), tree, most, targets)
+        narrowed = {}
+        for node, (dim, at, size, below, total) in found.items():
+            listed, lows, tops, steps = ranges[node]
+            i = listed.index(dim)
+            target = targets.get(node, total * (tree.shards[node] // 2) / tree.shards[node])
+            low, high = lows[i] + at * steps[i], min(lows[i] + (at + 1) * steps[i], tops[i])
+            if steps[i] <= 1 or size <= TOLERANCE * shard_bytes:
+                cuts[node] = dim, high if below + size - target <= target - below else low
             else:
-                node.low, node.high, node.before = low, min(low + step, node.high), below
-                still.append(node)
-        open_nodes = still
+                targets[node] = target - below
+                narrowed[node] = [dim], [low], [high], [-(-(high - low) // bins)]
+        ranges = narrowed
+        bins = max(16, min(BINS, PASS_ROWS // max(1, len(ranges))))
+    for node, (dim, cut) in sorted(cuts.items()):
+        children += tree.split(node, dim, cut)
+    return children
 
 
 def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int | None = None, dimensions: list[str] | None = None) -> DataFrame:
@@ -157,35 +237,26 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
 
     ``docs`` needs doc_id, text and the dimensions (default source, lang, and size, which is always there); text, number and date columns
     will do. A text dimension counts by the rank of its whole value among all. Size is the UTF-8 length of the text plus 8; a null text counts as an empty one. Either the number of shards is given, or the bytes a
-    shard is to reach. Sizes of shards differ by single documents and a small part of a shard. Equal texts have equal sizes and keep
-    together while their group fits into a shard; a larger group is split. Null dimensions come first. Documents with equal ids, and
+    shard is to reach. Sizes of shards differ by single documents and a small part of a shard. Copies that are alike in the dimensions keep
+    together unless a cut falls into their group; copies whose metadata differ are cut apart like any other rows. Null dimensions come first. Documents with equal ids, and
     repeated rows, each come out. An empty table has no rows.
     """
     dimensions = dimensions or DIMENSIONS
-    rows = stored(_scaled(_placed(docs, dimensions), len(dimensions)).withColumn("node", F.lit(0)), "shard-nodes")
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    rows, most, total = _scaled(_placed(docs, dimensions), len(dimensions))
     if n_shards is None:
         if not target_bytes:
             raise ValueError("give n_shards or target_bytes")
         n_shards = max(1, -(-total // target_bytes))
-    level = [Node(0, n_shards)]
-    while any(n.shards > 1 for n in level) and total:
-        spread = [F.max(F.get("dims", F.lit(i))) - F.min(F.get("dims", F.lit(i))) for i in range(len(dimensions))]
-        stats = {r.node: r for r in rows.groupBy("node").agg(F.sum("size").alias("bytes"), F.array(*spread).alias("spread")).collect()}
-        cut = []
-        for node in level:
-            if node.shards > 1 and node.first in stats:
-                node.bytes, widths = stats[node.first].bytes, stats[node.first].spread
-                node.dim = widths.index(max(widths))
-                cut.append(node)
-        if not cut:
-            break
-        _find_cuts(rows, cut, total / n_shards)
-        for node in cut:
-            half = node.shards // 2
-            node.children = [Node(node.first, half), Node(node.first + half, node.shards - half)]
-        rows = _assigned(rows, cut, "cut")
-        level = [child for node in level for child in (node.children or ([node] if node.shards == 1 else []))]
-    placed = rows.select("doc_id", "size", "text_crc32", F.col("node").alias("shard"), "row")
+    tree = Tree.of(n_shards)
+    level = [0] if n_shards > 1 and total else []
+    while level:
+        level = [n for n in _cut_level(rows, tree, level, most, total / n_shards) if tree.shards[n] > 1]
+    walk, first = _walker(tree), np.array(tree.first, np.int64)
+
+    @F.arrow_udf("long")
+    def shard(dims: pa.Array, tie: pa.Array) -> pa.Array:
+        return pa.array(first[walk(_keys(dims, tie))])
+
+    placed = rows.select("doc_id", "size", "text_crc32", shard("dims", "tie").alias("shard"), "row")
     out = numbered(placed, "slot", within=["shard"], order=["doc_id", "text_crc32", "row"])
     return out.select("doc_id", "size", "text_crc32", "shard", "slot")

@@ -6,7 +6,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import pytest
-from folioloom.llm import mixing
+from folioloom.llm import mixing, sharding
 from folioloom.llm.queries import ORACLES, QUERIES
 from folioloom.llm.sharding import kd_shards
 
@@ -44,6 +44,51 @@ def test_shards_of_many_alike(spark):
     assert {r.shard for r in by_bytes} >= set(range(7))
 
 
+def plain_tree(rows, shards):
+    """(shard of each row) by sorting whole nodes; rows are (dims, tie, size)."""
+    count = len(rows[0][0])
+    low = [min(r[0][i] for r in rows) for i in range(count)]
+    wide = [max(1, max(r[0][i] for r in rows) - low[i]) for i in range(count)]
+    out = {}
+
+    def cut(held, first, n):
+        if n == 1 or not held:
+            out.update(dict.fromkeys(held, first))
+            return
+        spread = [(max(rows[k][0][i] for k in held) - min(rows[k][0][i] for k in held)) / wide[i] for i in range(count)]
+        dim = spread.index(max(spread))
+        keys = {}
+        for k in held:
+            keys.setdefault((rows[k][0][dim], rows[k][1]), []).append(k)
+        target, below, left = sum(rows[k][2] for k in held) * (n // 2) / n, 0, []
+        for key in sorted(keys):
+            size = sum(rows[k][2] for k in keys[key])
+            if below + size >= target:
+                left += keys[key] if below + size - target <= target - below else []
+                break
+            left += keys[key]
+            below += size
+        cut(left, first, n // 2)
+        cut([k for k in held if k not in set(left)], first + n // 2, n - n // 2)
+
+    cut(list(range(len(rows))), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("bins", [1 << 16, 16])
+def test_shards_of_a_plain_tree(spark, docs, rows, monkeypatch, bins):
+    """Cuts found to the last bit are those of sorting every node, with many bins and with few."""
+    monkeypatch.setattr(sharding, "TOLERANCE", -1)
+    monkeypatch.setattr(sharding, "BINS", bins)
+    more = spark.createDataFrame([(1000 + i, "x" * (i * i % 301), "en", f"s{i % 13}") for i in range(400)], "doc_id long, text string, lang string, source string")
+    df = docs.select("doc_id", "text", "lang", "source").union(more)
+    placed = sharding._placed(df, sharding.DIMENSIONS).collect()
+    want = plain_tree([(r.dims, r.tie, r["size"]) for r in placed], 7)
+    want = sorted((str(placed[k].doc_id), placed[k].text_crc32, shard) for k, shard in want.items())
+    got = sorted((str(r.doc_id), r.text_crc32, r.shard) for r in kd_shards(df, 7).collect())
+    assert [g for g in got if g[0] != "3"] == [w for w in want if w[0] != "3"]
+
+
 def test_shards_follow_long_names(spark):
     """Names that differ behind a long common start, and a null among them: each shard holds neighbouring names only."""
     names = [f"commoncrawl-{2000 + i:04d}" for i in range(16)]
