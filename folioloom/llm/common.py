@@ -91,6 +91,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The columns an operator needs, with all others of ``docs`` in one column ``rest``, so that no name clashes with those used inside;
+    and a function that gives the rows of a result the columns of ``docs`` again, in their order, and some more."""
+    needed = [c for c in docs.columns if c in needed]
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed] or [F.lit(None).cast("boolean").alias("none")]
+    columns = docs.columns
+
+    def back(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(*[F.col(c) if c in needed else F.col(f"rest.`{c}`") for c in columns], *more)
+
+    return docs.select(*needed, F.struct(*others).alias("rest")), back
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """Counts as one byte: exact up to 64, then eighths of a doubling. Keeps their order."""
     counts = counts.astype(np.float64)

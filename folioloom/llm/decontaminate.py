@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import LETTERS, WEIGHTS, WordHashes, mixed
+from folioloom.llm.common import LETTERS, WEIGHTS, WordHashes, mixed, set_aside
 
 # Fixed masks: 1 is a word that counts, 0 one that is ignored. Every stretch that counts (see MIN_EQUAL) holds a shorter one of
 # at most 20 words that counts too, and each of those is met by one of these masks whatever words of it are replaced.
@@ -166,8 +166,11 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows and columns of ``docs`` that share no passage with the benchmark."""
-    columns = docs.columns
+    """The rows and columns of ``docs`` that share no passage with the benchmark, by the law of ``benchmark_leaks``.
+
+    Null and empty texts stay, repeated rows stay or go together, an empty benchmark leaves everything as it is and an empty table has no rows.
+    """
+    held, back = set_aside(docs, ["text"])
     for seeds in benchmark_blocks(benchmark, block_words):
-        docs = with_leaks(docs, seeds).filter(F.size("leaks") == 0).select(*[F.col(f"`{c}`") for c in columns])
-    return docs
+        held = with_leaks(held, seeds).filter(F.size("leaks") == 0).drop("leaks")
+    return back(held)

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import rows_with_ids, stored
+from folioloom.llm.common import rows_with_ids, set_aside, stored
 
 CLASS_BITS = 6
 ORDER = 4
@@ -187,13 +187,13 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, quantile: float = QUAN
     empty texts have no perplexity and are not kept. Texts are taken whole. Repeated rows each come out; columns called perplexity, threshold
     or kept are replaced.
     """
-    docs = docs.drop("perplexity", "threshold", "kept")
+    docs, back = set_aside(docs.drop("perplexity", "threshold", "kept"), ["doc_id", "text", "lang"])
     trusted = rows_with_ids(docs.select("doc_id", "text", "lang"), labels.filter("quality = 1"))
     made = model(trusted)
     if made is None:
         none = F.lit(None).cast("double")
-        return docs.select("*", none.alias("perplexity"), none.alias("threshold"),
-                           (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
+        held = docs.select("*", none.alias("perplexity"), none.alias("threshold"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
+        return back(held, "perplexity", "threshold", "kept")
     table = docs.sparkSession.sparkContext.broadcast(made)
     known = with_perplexity(trusted, table).select("lang", "perplexity")
     by_lang = stored(thresholds(known, quantile), "thresholds")
@@ -201,4 +201,5 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, quantile: float = QUAN
     scored = with_perplexity(docs, table).alias("d")
     joined = scored.join(by_lang.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left")
     limit = F.coalesce("threshold", F.lit(overall))
-    return joined.select("d.*", limit.alias("threshold"), F.coalesce(F.col("perplexity") <= limit, F.lit(False)).alias("kept"))
+    kept = F.coalesce(F.col("perplexity") <= limit, F.lit(False))
+    return back(joined.select("d.*", limit.alias("threshold"), kept.alias("kept")), "perplexity", "threshold", "kept")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import CONTINUATION, WHITE, WordHashes, binaries, counter_array, mixed, rows_with_ids, shingle_hashes, stored
+from folioloom.llm.common import CONTINUATION, WHITE, WordHashes, binaries, counter_array, mixed, rows_with_ids, set_aside, shingle_hashes, stored
 
 # Fixed values of the base rules: the symbols that are counted, and the two limits.
 SYMBOLS = b"#*$%&|<>"
@@ -190,13 +190,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     the ratio is 0 for all, so the base rules decide alone. Texts are taken whole. Repeated rows are counted and come out as often as
     they are there. A column called ``quality`` in ``docs`` is replaced.
     """
-    docs = docs.drop("quality")
+    docs, back = set_aside(docs.drop("quality"), ["doc_id", "text", "lang"])
     trusted = trusted_texts(docs, labels)
     counts = ngram_counts(docs, trusted)
     by_lang = thresholds(trusted, counts, quantile)
     lowest = F.lit(by_lang.agg(F.min("threshold").alias("t")).first().t).cast("double")
     if "lang" not in docs.columns:
-        return measured(docs, counts.ratios(), threshold=lowest)
+        return back(measured(docs, counts.ratios(), threshold=lowest), "quality")
     by_lang = by_lang.select(F.col("lang").alias("_lang"), F.col("threshold").alias("_threshold"))
     held = docs.alias("d").join(F.broadcast(by_lang), F.col("d.lang").eqNullSafe(F.col("_lang")), "left").select("d.*", "_threshold")
-    return measured(held, counts.ratios(), threshold=F.coalesce("_threshold", lowest))
+    return back(measured(held, counts.ratios(), threshold=F.coalesce("_threshold", lowest)), "quality")

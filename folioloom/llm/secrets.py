@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioloom.llm.common import set_aside
+
 # Fixed values of the base scan: kind, pattern, the group whose length counts, and the least length.
 KINDS = [
     ("assign", r"""((?i)password|passwd|secret|token|api_?key(?-i))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -143,10 +145,10 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     reported again. Null and empty texts have an empty array. Texts are taken whole; repeated rows each come out. A column called
     ``secrets`` in ``docs`` is replaced.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != "secrets"]
+    docs, back = set_aside(docs.drop("secrets"), ["text"])
     kinds = [k for k, *_ in KINDS]
     text = F.col("_text")
-    found = docs.select(*columns, F.coalesce("text", F.lit("")).alias("_text"))
+    found = docs.select("*", F.coalesce("text", F.lit("")).alias("_text"))
     found = found.select("*", *[_spans(text, QUICK.get(k, p), g, n).alias(f"_{k}") for k, p, g, n in KINDS],
                          _spans(text, CANDIDATE, 0, WINDOW).alias("_long"))
     base = F.concat(*[_as_kind(F.col(f"_{k}"), i, k) for i, k in enumerate(kinds)])
@@ -159,7 +161,7 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     more = _as_kind(more, len(kinds), "entropy")
     spans = F.when(F.col("_base").isNull(), F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).when(
         F.size("_long") == 0, F.array_sort("_base")).otherwise(F.array_sort(F.concat("_base", more)))
-    return found.select(*columns, spans.alias("secrets"))
+    return back(found.select("*", spans.alias("secrets")), "secrets")
 
 
 def digest_text(spans: Column) -> Column:
