@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import stored, table
+from folioloom.llm.common import set_aside, stored, table
 from folioloom.llm.decontaminate import without_leaks
 from folioloom.llm.jaccard import similar_documents
 from folioloom.llm.mixing import mix
@@ -22,8 +22,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, base rules and likelihood ratio alike."""
-    return quality_rules(docs, table(spark, sf_dir, "labels")).filter("quality.kept").drop("quality")
+    """Documents that pass the quality rules, base rules and likelihood ratio alike. Null and empty texts fail them; repeated rows stay or go together."""
+    held, back = set_aside(docs, ["doc_id", "text", "lang"])
+    return back(quality_rules(held, table(spark, sf_dir, "labels")).filter("quality.kept"))
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 3, percent: int = 90) -> DataFrame:
@@ -34,14 +35,14 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str, width
     """
     groups = stored(similar_documents(docs, width, percent).filter("n_shingles > 0"), "groups")
     chosen = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("kept")).select("kept.doc_id", "kept.digest")
-    columns = docs.columns
-    keyed = docs.withColumn("_digest", F.unhex(F.md5("text"))).alias("d")
+    held, back = set_aside(docs, ["doc_id", "text"])
+    keyed = held.withColumn("text_digest", F.unhex(F.md5("text"))).alias("d")
     wordless = keyed.filter(~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     worded = keyed.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    found = worded.join(chosen.alias("c"), (F.col("d._digest") == F.col("c.digest")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
+    found = worded.join(chosen.alias("c"), (F.col("d.text_digest") == F.col("c.digest")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")), "left_semi")
     # Rows that repeat both id and text lie together after the join.
-    first = found.withColumn("_turn", F.row_number().over(Window.partitionBy("_digest", "doc_id").orderBy("_digest"))).filter("_turn = 1")
-    return first.select(*columns).unionByName(wordless.select(*columns))
+    first = found.withColumn("turn", F.row_number().over(Window.partitionBy("text_digest", "doc_id").orderBy("text_digest"))).filter("turn = 1")
+    return back(first).unionByName(back(wordless))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,17 +51,17 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark. Null and empty texts stay; without a benchmark all do."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; a document taken twice has two rows."""
+    """Documents as often as the mix of sources takes them; a document taken twice has two rows. A null source is a source."""
     return mix(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's shard and its place there."""
+    """Every row's shard and its place there. Null texts count as empty ones, repeated rows each have a place."""
     return kd_shards(docs, SHARDS)
 
 
@@ -72,12 +73,12 @@ STAGES: list[tuple[str, Stage]] = [
     ("sharding", shard),
 ]
 
-# The likelihood ratio, the cube method and the tree are not SQL; tests hold run() against plain versions.
+# The likelihood ratio, the cube method and the tree are not SQL; tests hold each stage against a plain version of its decision.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each result written and read again."""
+    """The stages over ``documents``, each result written and read again. An empty table has no rows at any stage."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
