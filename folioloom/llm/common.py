@@ -18,7 +18,7 @@ WHITE = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 # Bytes of a text as words of letters and digits: ASCII letters in lower case, other ASCII a blank, the rest as it is.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1 << 17
 
 
 class WordHashes(dict):
@@ -68,7 +68,7 @@ def binaries(batch: pa.RecordBatch, column: int = 0) -> list[bytes | None]:
 
 
 # Rows of one batch between the JVM and Python; texts are long, and a worker holds some copies of a batch.
-BATCH_ROWS = 1_000
+BATCH_ROWS = 500
 
 
 def small_batches(spark: SparkSession) -> None:
