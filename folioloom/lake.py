@@ -99,14 +99,18 @@ class CorpusLake:
         asked = self.spark.sql("SELECT 0 AS query_id, :q AS text", args={"q": query})
         return embed_queries(asked, self.encoder)
 
-    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int) -> tuple[DataFrame, Column, bool]:
+    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int, refine: int = 0) -> tuple[DataFrame, Column, bool]:
         """The hits of one query as local rows, and a filter for the folders they are in.
 
         The hits are no more than n rows. Run here once, they are not searched for again in
         every branch of a plan that uses them, and their folders are known to the planner. Beyond
         MAX_HITS they are written to the shared folder instead. Also says whether they are few.
         """
-        hits = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe)
+        if refine:
+            vectors = self.embeddings.filter(F.col("model") == self.encoder.name)
+            hits = ann.refined_search(self.vector_index, vectors, asked, n, year_min, year_max, n_probe, refine)
+        else:
+            hits = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe)
         if n > MAX_HITS:
             kept = new_folder(self.spark, "hits")
             hits.write.parquet(kept)
@@ -117,12 +121,13 @@ class CorpusLake:
 
     def search(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None,
-        n_probe: int = 64, with_text: bool = True, pad: bool = False,
+        n_probe: int = 64, with_text: bool = True, pad: bool = False, refine: int = 0,
     ) -> DataFrame:
         """Chunks nearest in meaning. With text: the chunk rows. Without: distances and labels
-        with their chunk, nearest first; ``pad`` fills up to n places."""
+        with their chunk, nearest first; ``pad`` fills up to n places. ``refine`` ranks that many times n
+        candidates by their stored vectors."""
         asked = self.query_vectors(query)
-        hits, folders, few = self._top(asked, n, year_min, year_max, n_probe)
+        hits, folders, few = self._top(asked, n, year_min, year_max, n_probe, refine)
         if with_text:
             return semantic.chunks_of_hits(self.chunks.filter(folders), hits, few=few)
         if pad:
@@ -152,7 +157,7 @@ class CorpusLake:
         """
         filters = {"year_from": year_from, "year_to": year_to, "sources": sources}
         if by_score:
-            return fulltext.page(fulltext.bm25(self.text_index, query, **filters), offset, limit, by_score=True)
+            return fulltext.ranked_page(self.text_index, query, offset, limit, **filters)
         if mode == "phrase":
             hits = fulltext.phrase(self.text_index, query, **filters)
         else:

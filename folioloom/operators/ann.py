@@ -375,6 +375,40 @@ def search(
     return best_per_query(hits, n, "chunk_id")
 
 
+def refine(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, n: int) -> DataFrame:
+    """The n nearest candidates per query by the distance of the vectors themselves: the columns of ``candidates``, distance and rank anew.
+
+    Candidates meet the stored vectors by (year, source, chunk_id): folders without a candidate are pruned while the query runs, and
+    the distances are worked out where the vectors lie. A candidate without a stored vector is left out.
+    """
+    keys = ["year", "source", "chunk_id"]
+    stored = vectors.select(F.col("year").cast("int").alias("year"), "source", "chunk_id", F.col("vector").alias("stored"))
+    asked = candidates.drop("distance", "rank").join(stored, keys).join(queries.select("query_id", "vector"), "query_id")
+    rest = [c for c in candidates.columns if c not in ("query_id", "distance", "rank")]
+
+    @F.arrow_udf("float")
+    def distance(left: pa.Array, right: pa.Array) -> pa.Array:
+        every = np.arange(len(left))
+        return pa.array(exact_distances(matrix(left), matrix(right), every, every) if len(left) else [], pa.float32())
+
+    measured = asked.select("query_id", distance("vector", "stored").alias("distance"), *rest)
+    return best_per_query(measured, n, "chunk_id")
+
+
+def refined_search(
+    index: IVFPQIndex, vectors: DataFrame, queries: DataFrame, n: int = 10,
+    year_min: int | None = None, year_max: int | None = None, n_probe: int = 64, factor: int = 8,
+) -> DataFrame:
+    """``search`` in two stages: ``factor * n`` candidates per query by their codes, of these the n nearest by their vectors.
+
+    ``vectors`` are the indexed embeddings with year, source, chunk_id and vector. Columns as in ``search``; the distance is the exact one.
+    """
+    if factor < 1:
+        raise ValueError("factor is 1 or more")
+    candidates = search(index, queries, n * factor, year_min, year_max, n_probe)
+    return refine(candidates, between_years(vectors, year_min, year_max), queries, n)
+
+
 def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, postings: DataFrame, books: np.ndarray, n: int, schema) -> DataFrame:
     """At most MAX_BROADCAST_QUERIES queries: their probes and residual bases go to every task."""
     spark = postings.sparkSession

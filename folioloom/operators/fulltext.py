@@ -1,4 +1,9 @@
-"""Full-text search over an inverted index kept as tables: postings, terms, documents, corpus."""
+"""Full-text search over an inverted index kept as tables: postings, terms, blocks, documents, corpus.
+
+Stored postings lie in the order of (term, place of the chunk), cut into files by sampled ranges; a small table holds the first
+and last of each file. A search looks there first and opens the files of its terms only. Blocks are ranges of places, the same for
+all terms, with the highest score a term has there: a page of the best chunks leaves out blocks that cannot reach it.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.operators.lookup import source_clause, year_clause
-from folioloom.schemas import SEARCH_DOCUMENT, TEXT_CORPUS, TEXT_DOCS, TEXT_POSTINGS, TEXT_TERMS, columns
-from folioloom.sources.tables import append, scan
+from folioloom.schemas import SEARCH_DOCUMENT, TEXT_BLOCKS, TEXT_CORPUS, TEXT_DOCS, TEXT_FILES, TEXT_POSTINGS, TEXT_TERMS, columns
+from folioloom.sources.tables import exists, scan
 
 # The analyzer's token class and length limit, and the BM25 constants.
 TOKEN_PATTERN = r"([\p{IsAlphabetic}\p{N}]+)"
@@ -23,8 +28,13 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 SCORE_DIGITS = 6
 
-# Folders of the stored index. Fixed for all lakes, as a search works the folder out from the term.
-TERM_BUCKETS = 64
+# A chunk's place: the first hex digits of the digest of its id. A block shares so many of them that it holds PER_BLOCK chunks or more.
+PLACE_DIGITS = 8
+PER_BLOCK = 4
+# Terms in fewer chunks have no stored blocks; their few postings are looked at instead.
+FREQUENT = 1_024
+# Scores are rounded; a block that comes this near the page is read.
+SLACK = 2 * 10.0 ** -SCORE_DIGITS
 
 STORED = ["chunk_id", "doc_id", "year", "source"]
 
@@ -35,6 +45,10 @@ class TextIndex:
     terms: DataFrame
     docs: DataFrame
     corpus: DataFrame
+    blocks: DataFrame
+    # Of a stored index: the range of terms in each file, and the folder.
+    files: DataFrame | None = None
+    path: str | None = None
 
 
 def token_runs(text: Column) -> Column:
@@ -71,17 +85,6 @@ def strict_rows(rows: DataFrame, extra_ok: bool = True) -> tuple[DataFrame, Data
     return typed.filter(whole), typed.filter(~whole)
 
 
-def term_bucket(term: Column) -> Column:
-    return F.pmod(F.hash(term), F.lit(TERM_BUCKETS)).cast("int")
-
-
-def has_term(terms: set[str]) -> Column:
-    """One of the terms, and in the folder of one of them."""
-    ordered = sorted(terms)
-    folders = reduce(or_, (F.col("term_bucket") == term_bucket(F.lit(t)) for t in ordered), F.lit(False))
-    return F.col("term").isin(ordered) & folders
-
-
 def analyzed(chunks: DataFrame) -> DataFrame:
     """Stored fields, raw token runs and field length of every indexable chunk."""
     rows, _ = strict_rows(chunks)
@@ -104,9 +107,9 @@ def postings(chunks: DataFrame) -> DataFrame:
     batch. Grouping token rows with ``collect_list`` gives the same at four times the cost,
     most of it for sorting and shuffling them.
     """
-    rows = analyzed(chunks).select(*STORED, "doc_len", "runs", F.transform("runs", F.lower).alias("terms"))
-    return rows.mapInArrow(_group_tokens, ", ".join(f for f in TEXT_POSTINGS.split(", ") if "term_bucket" not in f)).withColumn(
-        "term_bucket", term_bucket(F.col("term")))
+    place = F.substring(F.sha2("chunk_id", 256), 1, PLACE_DIGITS)
+    rows = analyzed(chunks).select(*STORED, "doc_len", "runs", F.transform("runs", F.lower).alias("terms"), place.alias("place"))
+    return rows.mapInArrow(_group_tokens, TEXT_POSTINGS)
 
 
 def _group_tokens(batches):
@@ -123,13 +126,13 @@ def _group_tokens(batches):
         group = group[order]
         bounds = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(1, int)
         first = order[bounds[:-1]]
-        head = batch.select([*STORED, "doc_len"]).take(pa.array(row[first]))
+        head = batch.select([*STORED, "doc_len", "place"]).take(pa.array(row[first]))
         columns_of = dict(zip(head.schema.names, head.columns))
         columns_of["term"] = coded.dictionary.take(pa.array(code[first]))
         columns_of["tf"] = pa.array(np.diff(bounds).astype(np.int32))
         columns_of["positions"] = pa.ListArray.from_arrays(
             pa.array(bounds.astype(np.int32)), pa.array(pos[order].astype(np.int32)))
-        names = [n for n in columns(TEXT_POSTINGS) if n != "term_bucket"]
+        names = columns(TEXT_POSTINGS)
         yield pa.RecordBatch.from_arrays([columns_of[n] for n in names], names=names)
 
 
@@ -138,41 +141,85 @@ def text_docs(chunks: DataFrame) -> DataFrame:
 
 
 def text_terms(posted: DataFrame) -> DataFrame:
-    return posted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("term_bucket", term_bucket(F.col("term")))
+    return posted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def text_corpus(docs: DataFrame) -> DataFrame:
-    """One row: number of chunks and their mean length."""
-    return docs.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.col("doc_len").cast("double")).alias("avg_len"))
+    """One row: number of chunks, their mean length, and the digits of a place that make a block."""
+    figures = docs.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.col("doc_len").cast("double")).alias("avg_len"))
+    digits = sum((F.col("n") >= float(PER_BLOCK * 16 ** d)).cast("int") for d in range(1, PLACE_DIGITS + 1))
+    return figures.withColumn("digits", digits)
+
+
+def impact(avg_len: Column) -> Column:
+    """What a posting adds to a BM25 score for each unit of its term's weight."""
+    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / avg_len)
+    return F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + norm)
+
+
+def in_block(digits: Column) -> Column:
+    return F.substring("place", F.lit(1), digits)
+
+
+def text_blocks(posted: DataFrame, terms: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Per frequent term and block: its postings there and their highest impact."""
+    figures = corpus.select(F.struct("avg_len", "digits").alias("c"))
+    frequent = terms.filter(F.col("df") >= FREQUENT).select("term")
+    rows = posted.select("term", "place", "tf", "doc_len").join(frequent, "term", "left_semi").withColumn("c", figures.scalar())
+    return rows.groupBy("term", in_block(F.col("c.digits")).alias("block")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(impact(F.col("c.avg_len"))).alias("best"))
 
 
 def index_of(chunks: DataFrame) -> TextIndex:
     """The index of ``chunks`` as lazy tables."""
     posted, docs = postings(chunks), text_docs(chunks)
-    return TextIndex(posted, text_terms(posted), docs, text_corpus(docs))
+    terms, corpus = text_terms(posted), text_corpus(docs)
+    return TextIndex(posted, terms, docs, corpus, text_blocks(posted, terms, corpus))
 
 
 def write_text_index(chunks: DataFrame, path: str) -> None:
-    """Postings and terms in folders by hash of the term, sorted by term inside the files: a
-    search reads the folders of its terms, and in them the row groups of its terms.
+    """The index as tables under ``path``; rows without id or year go to ``rejects`` there.
 
-    A folder that a frequent term makes large is written by as many tasks as it needs.
+    Postings are cut by sampled ranges of (term, place), so that the files of a term lie next to each other and a frequent term
+    has as many as its bytes ask for.
     """
     spark = chunks.sparkSession
-    append(postings(chunks), f"{path}/postings", keys=["term_bucket"], mode="overwrite", sort_by=["term", "chunk_id"])
-    stored = scan(spark, f"{path}/postings", TEXT_POSTINGS)
-    append(text_terms(stored), f"{path}/terms", keys=["term_bucket"], mode="overwrite", sort_by=["term"])
+    strict_rows(chunks)[1].write.mode("overwrite").parquet(f"{path}/rejects")
     text_docs(chunks).write.mode("overwrite").parquet(f"{path}/docs")
     text_corpus(scan(spark, f"{path}/docs", TEXT_DOCS)).write.mode("overwrite").parquet(f"{path}/corpus")
+    order = ["term", "place", "chunk_id"]
+    ranged = postings(chunks).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+    stored = scan(spark, f"{path}/postings", TEXT_POSTINGS)
+    text_terms(stored).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
+    index = read_text_index(spark, path)
+    text_blocks(stored, index.terms, index.corpus).sort("term", "block").write.mode("overwrite").parquet(f"{path}/blocks")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    ends = spark.read.schema(TEXT_POSTINGS).parquet(f"{path}/postings").groupBy(name.alias("file")).agg(
+        F.min(F.struct("term", "place")).alias("first"), F.max(F.struct("term", "place")).alias("last"))
+    ends.select("file", F.col("first.term").alias("first_term"), F.col("last.term").alias("last_term"), F.col("first.place").alias("first_place"),
+                F.col("last.place").alias("last_place")).sort("first_term", "first_place").write.mode("overwrite").parquet(f"{path}/files")
 
 
 def read_text_index(spark: SparkSession, path: str) -> TextIndex:
-    return TextIndex(
-        scan(spark, f"{path}/postings", TEXT_POSTINGS),
-        scan(spark, f"{path}/terms", TEXT_TERMS),
-        scan(spark, f"{path}/docs", TEXT_DOCS),
-        scan(spark, f"{path}/corpus", TEXT_CORPUS),
-    )
+    tables = {"postings": TEXT_POSTINGS, "terms": TEXT_TERMS, "docs": TEXT_DOCS, "corpus": TEXT_CORPUS, "blocks": TEXT_BLOCKS, "files": TEXT_FILES}
+    # Lazily and with given schemas, so that tables may be written later.
+    found = {name: scan(spark, f"{path}/{name}", schema) for name, schema in tables.items() if exists(spark, f"{path}/{name}")}
+    return TextIndex(**{name: found.get(name) for name in tables}, path=path)
+
+
+def postings_of(index: TextIndex, terms: set[str]) -> DataFrame:
+    """Postings of some terms. Of a stored index only the files that hold one of the terms are opened."""
+    wanted = F.col("term").isin(sorted(terms))
+    if index.files is None:
+        return index.postings.filter(wanted)
+    within = reduce(or_, ((F.col("first_term") <= t) & (F.col("last_term") >= t) for t in sorted(terms)), F.lit(False))
+    names = sorted(r.file for r in index.files.filter(within).select("file").collect())
+    if not names:
+        return index.postings.limit(0)
+    folder = f"{index.path}/postings"
+    rows = index.postings.sparkSession.read.schema(TEXT_POSTINGS).parquet(*[f"{folder}/{name}" for name in names])
+    return rows.filter(wanted)
 
 
 def query_terms(spark: SparkSession, query: str) -> list[tuple[int, str]]:
@@ -183,7 +230,7 @@ def query_terms(spark: SparkSession, query: str) -> list[tuple[int, str]]:
 
 def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources) -> DataFrame:
     """Postings of the terms under the filters, which hold for the whole query."""
-    hit = index.postings.filter(has_term(terms))
+    hit = postings_of(index, terms)
     return source_clause(year_clause(hit, year_from, year_to), sources)
 
 
@@ -232,19 +279,76 @@ def bm25(
     Corpus figures come from the whole index, whatever the filters. The score is rounded, so
     that ties do not depend on the order in which a task adds terms up.
     """
-    spark = index.postings.sparkSession
+    known = _weighted(index, query)
+    hit = _posted(index, {t for t, *_ in known}, year_from, year_to, sources)
+    return _scores(index, hit, known)
+
+
+def _weighted(index: TextIndex, query: str) -> list[tuple[str, int, int]]:
+    """(term, how often the query has it, chunks that have it) of the query's terms that the index has: no more rows than the query has words."""
     weights: dict[str, int] = {}
-    for _, term in query_terms(spark, query):
+    for _, term in query_terms(index.postings.sparkSession, query):
         weights[term] = weights.get(term, 0) + 1
-    corpus = index.corpus.select(F.struct("n", "avg_len").alias("c"))
-    # no more rows than the query has words
-    asked = spark.createDataFrame(sorted(weights.items()), "term STRING, weight INT")
-    known = F.broadcast(index.terms.filter(has_term(set(weights))).join(F.broadcast(asked), "term"))
-    hit = _posted(index, set(weights), year_from, year_to, sources).join(known, "term").withColumn("c", corpus.scalar())
+    rows = index.terms.filter(F.col("term").isin(sorted(weights))).collect()
+    return sorted((r.term, weights[r.term], r.df) for r in rows)
+
+
+def _with_weight(index: TextIndex, rows: DataFrame, known: list[tuple[str, int, int]]) -> DataFrame:
+    """Rows of the terms with ``weight`` (of the term in the query, by its rarity) and ``c``, the corpus figures."""
+    asked = rows.sparkSession.createDataFrame(known, "term STRING, times INT, df BIGINT")
+    found = rows.join(F.broadcast(asked), "term").withColumn("c", index.corpus.select(F.struct("n", "avg_len", "digits").alias("c")).scalar())
     idf = F.log(1 + (F.col("c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / F.col("c.avg_len"))
-    part = F.col("weight") * idf * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + norm)
-    return hit.groupBy(*STORED).agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+    return found.withColumn("weight", F.col("times") * idf)
+
+
+def _scores(index: TextIndex, hit: DataFrame, known: list[tuple[str, int, int]]) -> DataFrame:
+    part = F.col("weight") * impact(F.col("c.avg_len"))
+    return _with_weight(index, hit, known).groupBy(*STORED).agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+
+
+def block_bounds(index: TextIndex, known: list[tuple[str, int, int]]) -> DataFrame:
+    """Per block with a term of the query the highest score that a chunk in it can have: ``block, bound``."""
+    frequent = [t for t, _, df in known if df >= FREQUENT]
+    rare = {t for t, _, df in known if df < FREQUENT}
+    listed = index.blocks.filter(F.col("term").isin(frequent)).select("term", "block", "best")
+    figures = index.corpus.select(F.struct("avg_len", "digits").alias("c"))
+    few = postings_of(index, rare).select("term", "place", "tf", "doc_len").withColumn("c", figures.scalar())
+    few = few.groupBy("term", in_block(F.col("c.digits")).alias("block")).agg(F.max(impact(F.col("c.avg_len"))).alias("best"))
+    rows = _with_weight(index, listed.unionByName(few), known)
+    return rows.groupBy("block").agg(F.sum(F.col("weight") * F.col("best")).alias("bound"))
+
+
+def score_to_reach(index: TextIndex, query: str, wanted: int, **filters) -> tuple[list, DataFrame, float]:
+    """The query's known terms, the bounds of all blocks, and a score that ``wanted`` chunks have or exceed for certain (0 if not so many do).
+
+    The ``wanted`` blocks of highest bound are scored for that; each holds at least one chunk with a term.
+    """
+    known = _weighted(index, query)
+    bounds = block_bounds(index, known)
+    first = bounds.orderBy(F.desc("bound"), "block").limit(wanted).select("block")
+    best = _scores(index, _in_blocks(index, known, first, filters), known).orderBy(F.desc("score"), "chunk_id").limit(wanted)
+    reached = best.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
+    return known, bounds, reached.least if reached.n == wanted else 0.0
+
+
+def _in_blocks(index: TextIndex, known: list, blocks: DataFrame, filters: dict) -> DataFrame:
+    hit = _posted(index, {t for t, *_ in known}, **{"year_from": None, "year_to": None, "sources": None, **filters})
+    hit = hit.withColumn("digits", index.corpus.select("digits").scalar()).withColumn("block", in_block(F.col("digits")))
+    return hit.join(blocks.select("block"), "block", "left_semi")
+
+
+def ranked_page(
+    index: TextIndex, query: str, offset: int = 0, limit: int = 20,
+    year_from: int | None = None, year_to: int | None = None, sources: list[str] | None = None,
+) -> DataFrame:
+    """A page of the chunks with the highest BM25 score, the same as of the whole ranking: stored fields in order.
+
+    Blocks whose chunks cannot reach the page are left out before anything in them is scored.
+    """
+    filters = {"year_from": year_from, "year_to": year_to, "sources": sources}
+    known, bounds, least = score_to_reach(index, query, offset + limit, **filters)
+    reaching = bounds.filter(F.col("bound") >= least - SLACK)
+    return page(_scores(index, _in_blocks(index, known, reaching, filters), known), offset, limit, by_score=True)
 
 
 def page(hits: DataFrame, offset: int = 0, limit: int = 20, by_score: bool = False) -> DataFrame:

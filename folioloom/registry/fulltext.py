@@ -9,6 +9,8 @@ from folioloom.operators import lookup
 from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import with_ctes
+from folioloom.session import new_folder
+from folioloom.sources.tables import exists
 
 STORED = "chunk_id, doc_id, year, source"
 WORDS = "The nation with"
@@ -16,8 +18,17 @@ PHRASE = "of the"
 SCORED = "nation with the"
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def _index(spark, sf_dir):
-    return ft.index_of(i.chunk_texts(spark, sf_dir))
+    """The stored index of the chunks of these tables. The first query of a session writes it, all read it."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _WRITTEN or not exists(spark, f"{_WRITTEN[key]}/files"):
+        path = new_folder(spark, "text-index")
+        ft.write_text_index(i.chunk_texts(spark, sf_dir), path)
+        _WRITTEN[key] = path
+    return ft.read_text_index(spark, _WRITTEN[key])
 
 
 @query("fts_analyze", with_ctes(["tokens"], "select chunk_id, term, pos from tokens"))
@@ -36,7 +47,14 @@ def fts_strict_rows(spark, sf_dir):
 
 @query("fts_postings", with_ctes(["post"], f"select term, {STORED}, tf, array_to_string(positions, ',') as positions, doc_len from post"))
 def fts_postings(spark, sf_dir):
-    return ft.postings(i.chunk_texts(spark, sf_dir)).drop("term_bucket").withColumn("positions", i.joined(F.col("positions")))
+    return ft.postings(i.chunk_texts(spark, sf_dir)).drop("place").withColumn("positions", i.joined(F.col("positions")))
+
+
+@query("fts_roundtrip", with_ctes(["post"], f"""
+    select term, {STORED}, tf, array_to_string(positions, ',') as positions, doc_len, substr(sha256(chunk_id), 1, 8) as place from post"""))
+def fts_roundtrip(spark, sf_dir):
+    """All postings as they are read from the stored index."""
+    return _index(spark, sf_dir).postings.withColumn("positions", i.joined(F.col("positions")))
 
 
 @query("fts_terms", with_ctes(["post"], "select term, count(*) as df from post group by term"))
@@ -114,4 +132,30 @@ def fts_page(spark, sf_dir):
 
 @query("fts_page_ranked", with_ctes(["post", "lens"], f"select {STORED} from scores order by score desc, chunk_id limit 20 offset 20", BM25_CTES))
 def fts_page_ranked(spark, sf_dir):
-    return ft.page(ft.bm25(_index(spark, sf_dir), SCORED), offset=20, limit=20, by_score=True)
+    return ft.ranked_page(_index(spark, sf_dir), SCORED, 20, 20)
+
+
+BLOCK_CTES = {
+    **BM25_CTES,
+    "figures": f"select n, avg_len, (select coalesce(max(d), 0) from range(1, 9) as r(d) where n >= {ft.PER_BLOCK} * power(16, d)) as digits from corpus",
+    "asked": f"""
+        select p.term, substr(sha256(p.chunk_id), 1, f.digits) as block,
+               ln(1 + (f.n - d.df + 0.5::double) / (d.df + 0.5::double)) as weight,
+               p.tf * 2.2::double / (p.tf + 1.2::double * (0.25::double + 0.75::double * p.doc_len / f.avg_len)) as impact
+        from post p join dfs d on d.term = p.term, figures f where p.term in ('nation', 'with', 'the')""",
+    "bounds": """
+        select block, sum(weight * best) as bound from (select term, block, max(weight) as weight, max(impact) as best from asked group by 1, 2) group by 1""",
+    "reached": """
+        select case when count(*) = 40 then min(score) else 0 end as least from (
+            select s.score from scores s, figures f
+            where substr(sha256(s.chunk_id), 1, f.digits) in (select block from bounds order by bound desc, block limit 40)
+            order by s.score desc, s.chunk_id limit 40)""",
+}
+
+
+@query("fts_blocks_left_out", with_ctes(["post", "lens"], f"""
+    select count(*) as n_blocks, count(*) filter (where bound < least - {ft.SLACK}) as n_left_out from bounds, reached""", BLOCK_CTES))
+def fts_blocks_left_out(spark, sf_dir):
+    """Blocks with a word of the query, and how many of them a page of the best forty does not read."""
+    _, bounds, least = ft.score_to_reach(_index(spark, sf_dir), SCORED, 40)
+    return bounds.agg(F.count(F.lit(1)).alias("n_blocks"), F.count(F.when(F.col("bound") < least - ft.SLACK, 1)).alias("n_left_out"))

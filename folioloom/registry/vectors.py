@@ -222,19 +222,27 @@ ASSIGNED = {
         from vecs v, centroids c
         qualify row_number() over (partition by v.chunk_id order by {distance_sql('v.vector', 'c.vector')}, c.list_id) = 1""",
 }
-ENCODED = {
-    **ASSIGNED,
-    "books": f"""
-        select code, d // {SUB} as sub, list(a order by d) as vector from (
-            select (substr(chunk_id, 2)::bigint % {N_CODES})::int as code, d.range as d, avg(vector[d.range + 1]::double)::float as a
-            from vecs, range({i.DIM}) as d group by 1, 2) group by 1, 2""",
-    "parts": f"""
-        select chunk_id, s.range as sub, list_transform(range({SUB}), lambda z: vector[s.range * {SUB} + z + 1]::float - base[s.range * {SUB} + z + 1]::float) as r
-        from assigned, range({CONFIG.m}) as s""",
-    "coded": f"""
-        select p.chunk_id, p.sub, b.code from parts p join books b on b.sub = p.sub
-        qualify row_number() over (partition by p.chunk_id, p.sub order by {distance_sql('p.r', 'b.vector')}, b.code) = 1""",
-}
+
+
+def encoded_ctes(config: ann.IVFPQConfig, books: str) -> dict[str, str]:
+    """Lists and codes of all vectors under the given books."""
+    sub = config.sub_dim
+    return {
+        **ASSIGNED,
+        "books": books,
+        "parts": f"""
+            select chunk_id, s.range as sub, list_transform(range({sub}), lambda z: vector[s.range * {sub} + z + 1]::float - base[s.range * {sub} + z + 1]::float) as r
+            from assigned, range({config.m}) as s""",
+        "coded": f"""
+            select p.chunk_id, p.sub, b.code from parts p join books b on b.sub = p.sub
+            qualify row_number() over (partition by p.chunk_id, p.sub order by {distance_sql('p.r', 'b.vector')}, b.code) = 1""",
+    }
+
+
+ENCODED = encoded_ctes(CONFIG, f"""
+    select code, d // {SUB} as sub, list(a order by d) as vector from (
+        select (substr(chunk_id, 2)::bigint % {N_CODES})::int as code, d.range as d, avg(vector[d.range + 1]::double)::float as a
+        from vecs, range({i.DIM}) as d group by 1, 2) group by 1, 2""")
 PROBED = {
     "vq": VEC_QUERIES["vq"],
     "probes": f"""
@@ -266,21 +274,27 @@ def ivf_probe(spark, sf_dir):
     return rounded(ann.probe_lists(i.vector_queries(spark, sf_dir), i.label_centroids(spark, sf_dir), 3), "list_id")
 
 
-SCORED = {
-    **ENCODED,
-    **PROBED,
-    "tables": f"""
-        select p.query_id, p.list_id, b.sub, b.code, list_sum(list_transform(list_zip(p.r, b.vector), lambda z: power(z[1]::double - z[2]::double, 2))) as part
-        from (select query_id, list_id, s.range as sub,
-                     list_transform(range({SUB}), lambda z: vector[s.range * {SUB} + z + 1]::float - base[s.range * {SUB} + z + 1]::float) as r
-              from probes, range({CONFIG.m}) as s) p
-        join books b on b.sub = p.sub""",
-    "scored": """
-        select t.query_id, a.chunk_id, a.year, a.source, sum(t.part)::float as distance
-        from assigned a join coded c on c.chunk_id = a.chunk_id
-        join tables t on t.list_id = a.list_id and t.sub = c.sub and t.code = c.code
-        where a.year between 1820 and 10000 group by all""",
-}
+def scored_ctes(config: ann.IVFPQConfig, encoded: dict[str, str]) -> dict[str, str]:
+    """Distances by code of the probed vectors from 1820 on."""
+    sub = config.sub_dim
+    return {
+        **encoded,
+        **PROBED,
+        "tables": f"""
+            select p.query_id, p.list_id, b.sub, b.code, list_sum(list_transform(list_zip(p.r, b.vector), lambda z: power(z[1]::double - z[2]::double, 2))) as part
+            from (select query_id, list_id, s.range as sub,
+                         list_transform(range({sub}), lambda z: vector[s.range * {sub} + z + 1]::float - base[s.range * {sub} + z + 1]::float) as r
+                  from probes, range({config.m}) as s) p
+            join books b on b.sub = p.sub""",
+        "scored": """
+            select t.query_id, a.chunk_id, a.year, a.source, sum(t.part)::float as distance
+            from assigned a join coded c on c.chunk_id = a.chunk_id
+            join tables t on t.list_id = a.list_id and t.sub = c.sub and t.code = c.code
+            where a.year between 1820 and 10000 group by all""",
+    }
+
+
+SCORED = scored_ctes(CONFIG, ENCODED)
 
 
 @query("ivfpq_search", with_ctes(["vecs", "centroids"], f"""
@@ -292,6 +306,65 @@ def ivfpq_search(spark, sf_dir):
     return rounded(hits, "faiss_id", "chunk_id", "year", "source")
 
 
+# Finer codes for the two-stage search: the residuals of the first vectors themselves.
+FINE = ann.IVFPQConfig(n_lists=10, m=16, n_bits=6, dim=i.DIM)
+FACTOR = 8
+
+
+def fine_index(spark, sf_dir):
+    rows, centroids = i.vectors(spark, sf_dir), i.label_centroids(spark, sf_dir)
+    first = rows.withColumn("code", F.substring("chunk_id", 2, 20).cast("int")).filter(F.col("code") < FINE.n_codes)
+    listed = ann.assign_lists(first, centroids, ["chunk_id"]).drop("distance").join(first, "chunk_id").join(centroids.select("list_id", F.col("vector").alias("base")), "list_id")
+    residual = listed.select("code", F.zip_with("vector", "base", lambda v, b: v.cast("float") - b.cast("float")).alias("v"))
+    subs = F.transform(F.sequence(F.lit(0), F.lit(FINE.m - 1)), lambda s: F.struct(
+        s.alias("sub"), F.slice("v", s * FINE.sub_dim + 1, FINE.sub_dim).alias("vector")))
+    books = residual.select("code", F.inline(subs)).select("sub", "code", "vector")
+    return ann.IVFPQIndex(FINE, centroids, books, ann.encode(rows, centroids, books, FINE))
+
+
+REFINED = {
+    **scored_ctes(FINE, encoded_ctes(FINE, f"""
+        select substr(chunk_id, 2)::int as code, s.range as sub,
+               list_transform(range({FINE.sub_dim}), lambda z: vector[s.range * {FINE.sub_dim} + z + 1]::float - base[s.range * {FINE.sub_dim} + z + 1]::float) as vector
+        from assigned, range({FINE.m}) as s where substr(chunk_id, 2)::int < {FINE.n_codes}""")),
+    "candidates": f"""
+        select query_id, chunk_id from scored qualify row_number() over (partition by query_id order by distance, chunk_id) <= {FACTOR * N}""",
+    "refined": f"""
+        select c.query_id, v.chunk_id, v.year, v.source, {distance_sql('q.vector', 'v.vector')} as distance,
+               row_number() over (partition by c.query_id order by {distance_sql('q.vector', 'v.vector')}, v.chunk_id)::int as rank
+        from candidates c join vecs v on v.chunk_id = c.chunk_id join vq q on q.query_id = c.query_id""",
+}
+
+
+def refined_hits(spark, sf_dir, n_probe: int):
+    return ann.refined_search(
+        fine_index(spark, sf_dir), i.vectors(spark, sf_dir), i.vector_queries(spark, sf_dir), N, year_min=1820, n_probe=n_probe, factor=FACTOR)
+
+
+@query("ivfpq_refined", with_ctes(["vecs", "centroids"], f"""
+    select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source
+    from refined where rank <= {N}""", REFINED))
+def ivfpq_refined(spark, sf_dir):
+    """The eighty nearest by code of three lists, and of these the ten nearest by vector."""
+    return rounded(refined_hits(spark, sf_dir, 3), "faiss_id", "chunk_id", "year", "source")
+
+
+@query("ivfpq_refined_recall", with_ctes(["vecs", "centroids"], f"""
+    select count(*) as n_exact, count(r.chunk_id) as n_found, count(r.chunk_id) >= 0.9 * count(*) as enough
+    from exact e left join (select * from refined where rank <= {N}) r on r.query_id = e.query_id and r.chunk_id = e.chunk_id""", {
+        **{k: v.replace("where rank <= 3", "") if k == "probes" else v for k, v in REFINED.items()},
+        "exact": f"""
+            select q.query_id, v.chunk_id from vq q, vecs v where v.year between 1820 and 10000
+            qualify row_number() over (partition by q.query_id order by {distance_sql('q.vector', 'v.vector')}, v.chunk_id) <= {N}"""}))
+def ivfpq_refined_recall(spark, sf_dir):
+    """How many of the ten exact neighbours the two-stage search finds, all lists probed."""
+    found = refined_hits(spark, sf_dir, CONFIG.n_lists).select("query_id", "chunk_id", F.lit(1).alias("found"))
+    dated = i.vectors(spark, sf_dir).filter(F.col("year").between(1820, 10_000))
+    exact = nearest(i.vector_queries(spark, sf_dir), dated, N).select("query_id", "chunk_id")
+    both = exact.join(found, ["query_id", "chunk_id"], "left").agg(F.count(F.lit(1)).alias("n_exact"), F.count("found").alias("n_found"))
+    return both.withColumn("enough", F.col("n_found") >= 0.9 * F.col("n_exact"))
+
+
 @query("ivfpq_search_trained")
 def ivfpq_search_trained(spark, sf_dir):
     """The jobs from embeddings on disk to an index on disk, and a search: benchmark texts against all chunks."""

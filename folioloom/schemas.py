@@ -41,14 +41,18 @@ IVF_POSTINGS = (
 
 TEXT_POSTINGS = (
     "term STRING, chunk_id STRING, doc_id STRING, year BIGINT, source STRING, tf INT, "
-    "positions ARRAY<INT>, doc_len INT, term_bucket INT"
+    "positions ARRAY<INT>, doc_len INT, place STRING"
 )
 
-TEXT_TERMS = "term STRING, df BIGINT, term_bucket INT"
+TEXT_TERMS = "term STRING, df BIGINT"
+
+TEXT_BLOCKS = "term STRING, block STRING, n BIGINT, best DOUBLE"
+
+TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place STRING, last_place STRING"
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 
-TEXT_CORPUS = "n DOUBLE, avg_len DOUBLE"
+TEXT_CORPUS = "n DOUBLE, avg_len DOUBLE, digits INT"
 
 
 def columns(ddl: str) -> list[str]:

@@ -135,3 +135,34 @@ def test_raw_match_is_exact(chunks):
     assert ids(ft.raw_match(chunks, "source", "A")) == []
     with pytest.raises(ValueError):
         ft.raw_match(chunks, "text", "sea")
+
+
+def test_ranked_pages_equal_the_whole_ranking(spark, monkeypatch):
+    """Pages of any depth, with filters, few postings and stored blocks; and most blocks of a rare word's query are left out."""
+    import random
+
+    from folioloom.session import new_folder
+
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(f"c{i}", f"d{i % 40}", 1800 + i % 30, f"s{i % 4}", " ".join(rng.choices(words, [1 / (k + 1) for k in range(60)], k=rng.randint(1, 60)))) for i in range(900)]
+    for frequent in (1, 10**6):
+        monkeypatch.setattr(ft, "FREQUENT", frequent)
+        path = new_folder(spark, "text-index")
+        ft.write_text_index(spark.createDataFrame(rows, CHUNK).repartition(3), path)
+        index = ft.read_text_index(spark, path)
+        assert index.corpus.first().digits == 1
+        for query in ("w0 w1 w2", "w50 w0", "w59", "w3 w3 w40 w41", "nowhere", "w5 nowhere"):
+            for offset, limit, filters in ((0, 5, {}), (7, 10, {"year_from": 1805, "year_to": 1820, "sources": ["s1", "s2"]}), (880, 40, {})):
+                whole = ft.page(ft.bm25(index, query, **filters), offset, limit, by_score=True)
+                got = ft.ranked_page(index, query, offset, limit, **filters)
+                assert [tuple(r) for r in got.collect()] == [tuple(r) for r in whole.collect()]
+
+
+def test_rejects_are_written(spark, chunks):
+    from folioloom.session import new_folder
+
+    path = new_folder(spark, "text-index")
+    ft.write_text_index(chunks.withColumn("year", F.when(F.col("chunk_id") != "c2", F.col("year"))), path)
+    assert ids(spark.read.parquet(f"{path}/rejects")) == ["c2"]
+    assert ids(ft.match(ft.read_text_index(spark, path), "sea")) == ["c1", "c3"]

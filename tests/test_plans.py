@@ -128,7 +128,25 @@ def test_stored_postings_are_read_by_term(spark, sf_dir):
     text = plan(fulltext.match(index, "the nation"))
     assert "In(term, [nation,the])" in text
     assert "positions" not in re.search(r"ReadSchema: (\S+)", text).group(1)
-    assert re.search(r"PartitionFilters: \[.*term_bucket", text)
+
+
+def test_a_rare_term_opens_two_files_at_most(spark, sf_dir):
+    path = new_folder(spark, "text-index")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fulltext.write_text_index(i.chunks(spark, sf_dir).repartition(4), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = fulltext.read_text_index(spark, path)
+    files = index.files.collect()
+    assert len(files) >= 6
+    ordered = sorted(files, key=lambda f: (f.first_term, f.first_place))
+    assert all((a.last_term, a.last_place) <= (b.first_term, b.first_place) for a, b in zip(ordered, ordered[1:]))
+    for row in index.terms.filter("df <= 2").limit(5).collect():
+        hits = fulltext.match(index, row.term)
+        assert len(fulltext.postings_of(index, {row.term}).inputFiles()) <= 2
+        assert hits.count() == row.df
+        assert "text:" not in plan(hits)
 
 
 def test_no_cross_join_in_any_search(spark, sf_dir):

@@ -1,5 +1,9 @@
 """Every registered query against its SQL."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import compare
 
@@ -28,3 +32,11 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["doc_id", "title", "author", "text_uri", "preview", "year", "source"]
     assert __spark_entry__.queries().keys() >= QUERIES.keys()
     assert __spark_entry__.oracle_sql().keys() >= ORACLES.keys()
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "xxhash", "folioloom.llm", "corpus_pipeline"])
+def test_queries_without_what_the_subpackage_needs(missing):
+    """In a process of its own, since modules stay imported."""
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from folioloom.functions import vectors as vx
 from folioloom.operators import ann, embedding, knn, semantic
 from folioloom.registry import inputs
+from folioloom.session import new_folder
 
 VEC = "chunk_id STRING, doc_id STRING, year INT, source STRING, vector ARRAY<FLOAT>"
 
@@ -281,3 +282,41 @@ def test_vectors_of_different_length_are_refused():
         vx.matrix(pa.array([[1.0, 2.0], [1.0]], pa.list_(pa.float32())))
     sliced = pa.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]], pa.list_(pa.float32())).slice(1, 2)
     assert vx.matrix(sliced).tolist() == [[3.0, 4.0], [5.0, 6.0]]
+
+
+def test_refined_search_ranks_by_the_vectors(spark):
+    """Candidates by code, then by distance; all of them where the factor is large enough, so that the exact ranking comes out."""
+    rng = np.random.default_rng(8)
+    rows = [(f"c{i:03d}", f"d{i}", 1800 + i % 5, f"s{i % 3}", [float(v) for v in rng.normal(size=8).astype(np.float32)]) for i in range(300)]
+    vectors = spark.createDataFrame(rows, "chunk_id STRING, doc_id STRING, year INT, source STRING, vector ARRAY<FLOAT>")
+    queries = vectors.filter("year = 1803").limit(7).select(F.col("chunk_id").alias("query_id"), "vector")
+    config = ann.IVFPQConfig(n_lists=4, m=4, n_bits=4, dim=8)
+    index = ann.build_index(vectors, config)
+    path = new_folder(spark, "refined")
+    vectors.write.partitionBy("year", "source").parquet(path)
+    stored = spark.read.schema(vectors.schema).parquet(path)
+
+    def listed(hits):
+        return sorted((r.query_id, r["rank"], r.chunk_id, round(r.distance, 5)) for r in hits.collect())
+
+    exact = listed(knn.nearest(queries, vectors.filter("year BETWEEN 1801 AND 1803"), 5))
+    assert listed(ann.refined_search(index, stored, queries, 5, 1801, 1803, n_probe=4, factor=60)) == exact
+    some = ann.refined_search(index, stored, queries, 5, 1801, 1803, n_probe=4, factor=1)
+    coded = ann.search(index, queries, 5, 1801, 1803, n_probe=4)
+    assert {(r.query_id, r.chunk_id) for r in some.collect()} == {(r.query_id, r.chunk_id) for r in coded.collect()}
+    assert some.columns == coded.columns
+    with pytest.raises(ValueError):
+        ann.refined_search(index, stored, queries, 5, factor=0)
+
+
+def test_refining_opens_the_folders_of_candidates_only(spark):
+    path = new_folder(spark, "refined")
+    spark.range(64).selectExpr("cast(id AS string) AS chunk_id", "array(cast(id AS float)) AS vector", "cast(1800 + id % 8 AS int) AS year",
+                               "concat('s', id % 2) AS source").write.partitionBy("year", "source").parquet(path)
+    stored = spark.read.schema("chunk_id STRING, vector ARRAY<FLOAT>, year INT, source STRING").parquet(path)
+    near = spark.read.schema(stored.schema).parquet(path).filter("chunk_id = '3'").selectExpr(
+        "1 AS query_id", "0f AS distance", "1 AS rank", "chunk_id", "year", "source")
+    queries = spark.createDataFrame([(1, [2.0])], "query_id INT, vector ARRAY<FLOAT>")
+    hits = ann.refine(near, stored, queries, 3)
+    assert [(r.chunk_id, r.distance) for r in hits.collect()] == [("3", 1.0)]
+    assert "dynamicpruning" in hits._jdf.queryExecution().toString()
