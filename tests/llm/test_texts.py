@@ -268,19 +268,68 @@ def plain_kn(sequences, order, base):
     return p
 
 
-def test_kneser_ney(spark):
-    texts = ["the cat and the hat", "the rat sat on the mat. the end", "an öl 42!", None, ""]
-    table = perplexity.model(spark.createDataFrame([(t,) for t in texts], "text string")).logs()
-    classes = perplexity._classes()
-    found = [perplexity.codes(t, classes) for t in texts]
-    p = plain_kn([f.tolist() for f in found], 4, 64)
-    for gram in [tuple(f[i:i + 4].tolist()) for f in found for i in range(len(f) - 3)][::3] + [(9, 9, 9, 9), (0, 21, 9, 63)]:
-        code = 0
-        for c in gram:
-            code = code * 64 + c
-        assert table[code] == pytest.approx(math.log(p(gram)), abs=1e-5)
-    rows = np.exp(table.astype(float)).reshape(-1, 64).sum(axis=1)
-    assert rows == pytest.approx(np.ones(64 ** 3), abs=1e-4)
+def plain_logs(trusted, text, bounds=("<", ">")):
+    """log p of a text's words and its end by the recursion over word pairs."""
+    def words(t):
+        return re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    sequences = [[bounds[0], *words(t), bounds[1]] for t in trusted if words(t)]
+    kinds = {w for s in sequences for w in s[1:]}
+    p = plain_kn(sequences, 2, len(kinds) + 1)
+    s = [bounds[0], *words(text), bounds[1]]
+    return [math.log(p(pair)) for pair in zip(s, s[1:])]
+
+
+TRUSTED = ["the cat and the hat", "The rat sat on the mat. The end", "an öl 42!", "the cat sat on the rat", "a cat a mat", None, "", "?!"]
+
+
+@pytest.mark.parametrize("head", [0, 3, 1 << 16])
+def test_perplexity_of_word_pairs(spark, monkeypatch, head):
+    monkeypatch.setattr(perplexity, "HEAD", head)
+    texts = [*TRUSTED, "mat the on sat", "unknown words öl", "the " * 700, "the cat and the hat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k1 long, text string").selectExpr("text", "k1", "k1 AS k2").repartition(3)
+    common, n_words = perplexity.common_grams(docs)
+    assert n_words == sum(len(re.findall(r"\w+", t or "")) for t in texts)
+    values, unknown = perplexity.model(spark.createDataFrame([(t,) for t in TRUSTED], "text string"), 3)
+    got = {r.k1: r.perplexity for r in perplexity.perplexities(docs, values, common, unknown, 3).collect()}
+    assert set(got) == {i for i, t in enumerate(texts) if t and re.search(r"\w", t)}
+    for i, found in got.items():
+        logs = plain_logs(TRUSTED, texts[i])
+        assert math.log(found) == pytest.approx(-sum(logs) / len(logs), abs=1e-4)
+
+
+def test_probabilities_sum_to_one():
+    sequences = [["<", "the", "cat", "and", "the", "hat", ">"], ["<", "an", "öl", "42", ">"]]
+    seen = {w for s in sequences for w in s[1:]}
+    p = plain_kn(sequences, 2, len(seen) + 1)
+    for history in ("the", "<", "never"):
+        assert sum(p((history, w)) for w in [*seen, "never"]) == pytest.approx(1)
+
+
+def test_the_same_documents_twice(spark, monkeypatch):
+    """Lots that are alike, from two tasks, and a document that is in another lot as well."""
+    monkeypatch.setattr(perplexity, "HEAD", 2)
+    one = spark.createDataFrame([(t, i, i) for i, t in enumerate(TRUSTED[:5])], "text string, k1 long, k2 long").coalesce(1)
+    docs = one.union(one).union(one.filter("k1 = 3"))
+    values, unknown = perplexity.model(spark.createDataFrame([(t,) for t in TRUSTED], "text string"), 3)
+    got = perplexity.perplexities(docs, values, perplexity.common_grams(docs)[0], unknown, 3).collect()
+    assert sorted(r.k1 for r in got) == [0, 1, 2, 3, 4]
+    for r in got:
+        logs = plain_logs(TRUSTED, TRUSTED[r.k1])
+        assert math.log(r.perplexity) == pytest.approx(-sum(logs) / len(logs), abs=1e-4)
+
+
+def test_unseen_clean_texts_are_kept(spark):
+    """Labels of half the trusted texts: of the others, at most one in fifty goes; noise goes."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    noise = spark.range(200).selectExpr(
+        "id + 1000000000 AS doc_id", "repeat(concat('zq', id, ' xv', id * 7, ' '), 40) AS text", "'en' AS lang")
+    given = docs.select("doc_id", "text", "lang").union(noise)
+    out = perplexity.perplexity_filter(given, labels.filter("doc_id % 2 = 0"))
+    clean = out.join(labels.filter("quality = 1 AND doc_id % 2 = 1"), "doc_id").agg(F.avg((~F.col("kept")).cast("int"))).first()[0]
+    assert clean <= 0.02
+    assert out.filter("doc_id >= 1000000000 AND kept").count() == 0
 
 
 def test_perplexity(docs, labels, nothing):
