@@ -202,6 +202,15 @@ def _cut(by: list[float]):
     return F.when(F.col("c") == 1, by[0]).when(F.col("c") == 2, by[1]).otherwise(by[2])
 
 
+def _with_word(rows: DataFrame, words: DataFrame, top: DataFrame, key: str, column: str) -> DataFrame:
+    """A column of ``words`` for the word under ``key``: from the frequent ones where the rows lie, which is most of them, else by a join."""
+    def of(table: DataFrame) -> DataFrame:
+        return table.select(F.col("word").alias(key), column).filter(F.col(column).isNotNull())
+
+    tried = rows.join(F.broadcast(of(top)), key, "left")
+    return tried.filter(F.col(column).isNotNull()).unionByName(tried.filter(F.col(column).isNull()).drop(column).join(of(words), key))
+
+
 def model(texts: DataFrame, bits: int) -> tuple[DataFrame, float] | None:
     """Rows (first, second, value) of all grams, and the logarithm of an unknown word's probability. None without any word.
 
@@ -217,12 +226,13 @@ def model(texts: DataFrame, bits: int) -> tuple[DataFrame, float] | None:
     low = discounts(fronts)
     total, left, kinds = fronts.agg(F.sum("c"), F.sum(_cut(low)), F.count(F.lit(1))).first()
     unknown = left / total / (kinds + 1)
-    single = fronts.select(F.col("second").alias("word"), ((F.col("c") - _cut(low)) / total + unknown).alias("p"))
+    single = fronts.select(F.col("second").alias("word"), "c", ((F.col("c") - _cut(low)) / total + unknown).alias("p"))
     words = stored(single.join(histories.withColumnRenamed("first", "word"), "word", "full"), "words")
     own = words.select(
         F.lit(int(SINGLE)).cast("long").alias("first"), F.col("word").alias("second"),
         (F.coalesce(F.log("p") - math.log(unknown), F.lit(0.0)) + F.coalesce(F.log(F.col("left") / F.col("n")), F.lit(0.0))).alias("v"))
-    seen = counts.join(words.select(F.col("word").alias("first"), "left"), "first").join(words.select(F.col("word").alias("second"), "p"), "second")
+    top = stored(words.orderBy(F.desc(F.coalesce("n", F.lit(0)) + F.coalesce("c", F.lit(0))), "word").limit(HEAD), "top")
+    seen = _with_word(_with_word(counts, words, top, "first", "left"), words, top, "second", "p")
     both = seen.select("first", "second", F.log1p((F.col("c") - _cut(high)) / (F.col("left") * F.col("p"))).alias("v")).union(own)
     return both.select("first", "second", F.round(F.col("v") * UNIT).cast("int").alias("value")), math.log(unknown)
 
@@ -263,11 +273,34 @@ def shard_values(values: DataFrame, bits: int) -> DataFrame:
     return values.mapInArrow(pack, MOVED)
 
 
-def lookups(docs: DataFrame, head: pa.Table, bits: int) -> DataFrame:
+def common_values(common: DataFrame, packs: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the common grams and their values, 0 for those without; at most HEAD."""
+    rows = common.toArrow()
+    hashes = np.sort(gram_hashes(*(rows[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("first", "second"))))
+    shared = packs.sparkSession.sparkContext.broadcast({shard: (part.start, keys_of(hashes[part], bits)) for shard, part in by_shard(hashes, bits)})
+
+    def find(batches):
+        for batch in batches:
+            for shard, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if shard in shared.value:
+                    start, wanted = shared.value[shard]
+                    steps, value = unpacked(data, np.uint64, np.int32)
+                    keys = np.cumsum(steps, dtype=np.uint64)
+                    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    hit = np.flatnonzero(keys[place] == wanted)
+                    yield pa.RecordBatch.from_pydict({"at": (hit + start).astype(np.int64), "value": value[place[hit]].astype(np.int64)})
+
+    values = np.zeros(len(hashes), np.int64)
+    if len(hashes):
+        found = packs.select("shard", "data").mapInArrow(find, "at long, value long").toArrow()
+        values[found["at"].to_numpy()] = found["value"].to_numpy()
+    shared.destroy()
+    return hashes, values
+
+
+def lookups(docs: DataFrame, head: tuple[np.ndarray, np.ndarray], bits: int) -> DataFrame:
     """From (text, k1, k2): for each lot of documents its keys with what the common grams give, and the other grams by shard."""
-    hashes = gram_hashes(*(head[c].to_numpy().astype(np.int64).view(np.uint64) for c in ("first", "second")))
-    order = np.argsort(hashes)
-    shared = docs.sparkSession.sparkContext.broadcast((hashes[order], head["value"].to_numpy().astype(np.int64)[order]))
+    shared = docs.sparkSession.sparkContext.broadcast(head)
 
     def look(batches):
         common, values = shared.value
@@ -351,8 +384,9 @@ def _sums(lot: int, own: bool, data: bytes) -> pa.RecordBatch:
 
 def perplexities(docs: DataFrame, values: DataFrame, common: DataFrame, unknown: float, bits: int) -> DataFrame:
     """Rows (k1, k2, perplexity), one for each key of ``docs`` (text, k1, k2) whose text has a word."""
-    head = F.broadcast(common).join(values, ["first", "second"], "left").select("first", "second", F.coalesce("value", F.lit(0)).alias("value"))
-    moved = shard_values(values, bits).union(lookups(docs.select("text", "k1", "k2"), head.toArrow(), bits))
+    packs = stored(shard_values(values, bits), "values")
+    head = common_values(common, packs, bits)
+    moved = packs.union(lookups(docs.select("text", "k1", "k2"), head, bits))
 
     def add(group: pa.Table) -> pa.Table:
         rows = list(zip(group["own"].to_pylist(), group["data"].to_pylist(), strict=True))
