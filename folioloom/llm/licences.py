@@ -63,7 +63,8 @@ def postfix(expression: str) -> tuple[list[str], bool]:
     for token in re.findall(r"[()]|[A-Za-z0-9.+:-]+", expression):
         low = token.lower()
         if token == "(":
-            depth_ok &= operand_next
+            # An exception is one name.
+            depth_ok &= operand_next and stack[-1:] != ["with"]
             stack.append(token)
         elif token == ")":
             while stack and stack[-1] != "(":
@@ -103,9 +104,49 @@ def evaluated(expression: str) -> tuple[float, list[str]]:
     return stack[0]
 
 
-# The longest run of expression tokens behind a tag, on its line: a token, then operators or brackets and tokens.
-EXPRESSION = re.compile(
-    r"[ \t]*((?:\([ \t]*)*[A-Za-z0-9.+:-]+(?:[ \t]*\))*(?:[ \t]+(?:and|or|with)[ \t]+(?:\([ \t]*)*[A-Za-z0-9.+:-]+(?:[ \t]*\))*)*)", re.I)
+# What names a licence: one of a listed family, a reference, or a name that ends in a version.
+IDENTIFIER = re.compile(
+    r"(?:" + "|".join(sorted(OPENNESS, key=len, reverse=True)) + r")(?:-[a-z0-9.]+)*\+?|(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+"
+    r"|[a-z][a-z0-9]*(?:-[a-z][a-z0-9]*)*-[0-9][0-9.]*(?:-[a-z0-9.]+)*\+?", re.I)
+EXCEPTION = re.compile(r"[a-z0-9.]+(?:-[a-z0-9.]+)*-exception(?:-[a-z0-9.]+)*|(?:documentref-[a-z0-9.-]+:)?additionref-[a-z0-9.-]+", re.I)
+TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9.+:-]+)")
+
+
+def _named(token: str, after: str) -> str | None:
+    """The token as an identifier, without marks of a sentence at its end."""
+    token = token.rstrip(".:-")
+    return token if (EXCEPTION if after == "with" else IDENTIFIER).fullmatch(token) else None
+
+
+def expression_at(text: str, at: int) -> str:
+    """The longest expression that begins there: brackets, identifiers and operators between identifiers. A word that is no identifier ends it.
+
+    An open bracket that is never closed keeps the expression malformed. Nothing where no identifier follows.
+    """
+    begin, end, depth, after, waiting = None, at, 0, "", True
+    while found := TOKEN.match(text, at):
+        token, low = found[1], found[1].lower()
+        if begin is None:
+            begin = found.start(1)
+        name = _named(token, after)
+        if waiting and token == "(" and after != "with":
+            depth += 1
+        elif waiting and name:
+            end, waiting = found.start(1) + len(name), False
+            if name != token:
+                break
+        elif not waiting and token == ")" and depth:
+            depth -= 1
+            end = found.end()
+        elif not waiting and low in PRECEDENCE:
+            waiting = True
+        else:
+            break
+        after = low
+        at = found.end()
+    return text[begin:end] if begin is not None and end > begin else ""
+
+
 TAG_TEXT = re.compile(r"(?:spdx-license-identifier|license-expression)[ \t]*:", re.I)
 
 
@@ -138,8 +179,7 @@ def scan(text: bytes | None, machine: ahocorasick.Automaton) -> tuple:
     if tagged:
         raw = text.decode("utf-8", "replace")
         for tag in TAG_TEXT.finditer(raw):
-            found = EXPRESSION.match(raw, tag.end())
-            expression = found[1].rstrip(".,;:") if found else ""
+            expression = expression_at(raw, tag.end())
             value, names = evaluated(expression)
             expressions.append(expression)
             values.append(value)
@@ -155,7 +195,7 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     ``docs`` needs text. Words are ASCII letters in lower case and digits, and all other characters beyond ASCII. A phrase counts
     wherever its words stand one behind the other, overlapping or not. The score is how open the text as a
     whole may be used: all notices and expressions hold together, so the least open one decides; 0 where nothing is found or an
-    expression is malformed. Null and empty texts have no words, empty labels and null word places. Texts are
+    expression is malformed or missing behind its tag. An expression ends before the first word that is no identifier. Null and empty texts have no words, empty labels and null word places. Texts are
     taken whole; repeated rows each come out. A column called ``licence`` in ``docs`` is replaced.
     """
     @F.arrow_udf(RESULT)

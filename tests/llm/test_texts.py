@@ -111,6 +111,50 @@ def test_entropy_candidates_and_allow_list(spark):
     assert {r.text: bool(r.secrets) for r in secrets.secret_scan(docs).collect()} == keys
 
 
+def plain_added(text):
+    """Spans that the window adds, one string at a time."""
+    base = plain_spans(text)
+    out = []
+    for m in re.finditer(secrets.CANDIDATE, text or ""):
+        free = [i for i in range(m.start(), m.end()) if not any(s <= i < e for s, _, e, _ in base)]
+        for _, run in itertools.groupby(enumerate(free), lambda x: x[1] - x[0]):
+            places = [i for _, i in run]
+            part = text[places[0]:places[-1] + 1]
+            if len(part) < 20 or any(re.search(p, part) for p in secrets.ALLOWED):
+                continue
+            capitals, small = sum("A" <= c <= "Z" for c in part), sum("a" <= c <= "z" for c in part)
+            if sum(c.isdigit() for c in part) < 2 and (capitals * 3 <= capitals + small or small * 8 <= capitals + small):
+                continue
+            best = max(math.log2(20) - sum(c * math.log2(c) for c in collections.Counter(part[i:i + 20]).values()) / 20 for i in range(len(part) - 19))
+            if best >= next(bits for p, bits in secrets.CLASSES if re.search(p, part)):
+                out.append((places[0], 3, places[-1] + 1, "entropy"))
+    return out
+
+
+def test_added_spans(spark):
+    rng = random.Random(4)
+    key = lambda n, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-": "".join(rng.choice(of) for _ in range(n))
+    texts = [None, "", *SECRETS]
+    for _ in range(150):
+        parts = [key(rng.randint(18, 60)), "AKIA" + key(16, "ABCDEF0123456789") + "/" + key(rng.randint(10, 40)), key(40, "abcdef0123456789") + key(30),
+                 "token=" + key(9), "é", "XMLHttpRequestFactoryBeanOfThe", "some/long/path/to/a/file", "UPPER_CASE_NAME_OF_SOME_KIND", key(25, "abc")]
+        texts.append("".join(rng.choice(parts) + rng.choice([" ", "\n", "/", "ü"]) for _ in range(rng.randint(1, 6))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in secrets.secret_scan(docs).collect():
+        assert sorted(tuple(s) for s in r.secrets) == sorted(plain_spans(r.text) + plain_added(r.text)), r.text
+
+
+def test_random_keys_are_found(spark):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = [(n, "".join(rng.choice(letters) for _ in range(n))) for n in (20, 24, 32, 40) for _ in range(1000)]
+    found = secrets.secret_scan(spark.createDataFrame(rows, "n int, text string")).groupBy("n").agg(F.avg((F.size("secrets") > 0).cast("int")).alias("part"))
+    assert all(r.part >= 0.98 for r in found.collect())
+    names = ["getDocumentsByDateRange", "isOkToSendTheNextMessage", "XMLHttpRequestFactoryBean", "CONSTANT_NAME_OF_A_VALUE", "iPhoneChargingStation",
+             "a/path/to/some/file/in/a/tree", "Donaudampfschifffahrtsgesellschaft"]
+    assert not any(r.secrets for r in secrets.secret_scan(spark.createDataFrame([(x,) for x in names], "text string")).collect())
+
+
 def plain_licence(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
@@ -147,6 +191,24 @@ def test_tags_in_texts(spark):
     assert "gpl-3.0-only" in got.labels and got.score <= 0.5
 
 
+@pytest.mark.parametrize("text, expression, labels, score", [
+    ("MIT and more words", "MIT", "mit", 1.0), ("MIT or later", "MIT", "mit", 1.0), ("MIT, or what you like", "MIT", "mit", 1.0),
+    ("Apache-2.0. The rest is prose", "Apache-2.0", "apache-2.0", 1.0), ("mit or gpl-3.0-only", "mit or gpl-3.0-only", "gpl-3.0-only,mit", 1.0),
+    ("(MIT AND GPL-2.0-or-later) with thanks", "(MIT AND GPL-2.0-or-later)", "gpl-2.0-or-later,mit", 0.5),
+    ("GPL-2.0-only WITH Classpath-exception-2.0 and thanks", "GPL-2.0-only WITH Classpath-exception-2.0", "gpl-2.0-only", 0.7),
+    ("GPL-2.0-only WITH (MIT OR ISC)", "GPL-2.0-only", "gpl-2.0-only", 0.5), ("LicenseRef-own AND MIT", "LicenseRef-own AND MIT", "licenseref-own,mit", 0.1),
+    ("(MIT OR ISC", "(MIT OR ISC", "", 0.0), ("Foo-Bar-1.0 OR MIT", "Foo-Bar-1.0 OR MIT", "foo-bar-1.0,mit", 1.0),
+    ("see the file", "", "", 0.0), ("", "", "", 0.0), ("and MIT", "", "", 0.0), ("MIT\nAND ISC", "MIT", "mit", 1.0)])
+def test_expressions_end_where_prose_begins(text, expression, labels, score):
+    got = licences.scan(f"SPDX-License-Identifier: {text}".encode(), licences._automaton())
+    assert (got[6], got[5], got[7]) == ([expression], labels, pytest.approx(score))
+
+
+@pytest.mark.parametrize("text", ["GPL-2.0-only WITH (Classpath-exception-2.0)", "MIT WITH (GPL-2.0 OR X)"])
+def test_exceptions_are_names(text):
+    assert licences.evaluated(text) == (0.0, [])
+
+
 def test_leaks(spark, words):
     rng = random.Random(2)
     item = [rng.choice(words) for _ in range(40)]
