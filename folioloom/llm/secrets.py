@@ -29,9 +29,13 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # Bits a character of the best window, by character class; a window of 20 random characters has about 3.4, 4.0 and 4.1.
 CLASSES = [("^[0-9a-fA-F]+$", 3.0), ("^[A-Za-z0-9]+$", 3.6), ("^[A-Za-z0-9+/_=-]+$", 3.7)]
-# A key has digits among letters. What has not, and what these patterns match, is let pass.
+# A key has digits among letters. What has at most one and is written as words are is let pass: few capitals, or hardly any small letters.
+FEW_DIGITS = r"^[^0-9]*([0-9][^0-9]*)?$"
+LETTERS_PER_CAPITAL = 3
+LETTERS_PER_SMALL = 8
+# What these patterns match is let pass.
 ALLOWED = [
-    r"^[^0-9]*([0-9][^0-9]*)?$", r"^[^A-Za-z]*$", r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
+    r"^[^A-Za-z]*$", r"(?i)example|sample|dummy|placeholder|changeme|xxxx",
     r"(?i)0123456789|abcdefghij", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^-+$|^=+$|^_+$", r"(?i)^(sha|md)[0-9]+[-=]",
 ]
@@ -123,7 +127,9 @@ def window_entropy(string: Column, width: int = WINDOW) -> Column:
 
 
 def _key_like(string: Column) -> Column:
-    allowed = F.lit(False)
+    capitals, small = (F.length(F.regexp_replace(string, f"[^{c}]", "")) for c in ("A-Z", "a-z"))
+    letters = capitals + small
+    allowed = string.rlike(FEW_DIGITS) & ((capitals * LETTERS_PER_CAPITAL <= letters) | (small * LETTERS_PER_SMALL <= letters))
     for pattern in ALLOWED:
         allowed = allowed | string.rlike(pattern)
     least = F.when(string.rlike(CLASSES[0][0]), CLASSES[0][1])
@@ -141,8 +147,8 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs`` and ``secrets``: array<struct<start, kind_no, end, kind>> by start, then kind.
 
     ``docs`` needs text; start and end are code points, the end exclusive. Kinds are assign, access, hex and entropy. Matches of a
-    base kind are leftmost and do not overlap within the kind. Entropy candidates that overlap a base match are that match and not
-    reported again. Null and empty texts have an empty array. Texts are taken whole; repeated rows each come out. A column called
+    base kind are leftmost and do not overlap within the kind. Of an entropy candidate, what
+    base matches cover is theirs; the parts between and beside them that are long enough are candidates of their own. Null and empty texts have an empty array. Texts are taken whole; repeated rows each come out. A column called
     ``secrets`` in ``docs`` is replaced.
     """
     docs, back = set_aside(docs.drop("secrets"), ["text"])
@@ -154,10 +160,15 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     base = F.concat(*[_as_kind(F.col(f"_{k}"), i, k) for i, k in enumerate(kinds)])
     found = found.select("*", F.when(F.size("_long") + sum(F.size(f"_{k}") for k in kinds) > 0, base).alias("_base"))
 
-    def new(span: Column) -> Column:
-        return ~F.exists("_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+    def uncovered(span: Column) -> Column:
+        inside = F.filter("_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        # Behind the first i matches by their ends, up to the next one by its start.
+        starts = F.array_sort(F.concat(F.array(span["start"]), F.transform(inside, lambda b: b["end"])))
+        ends = F.array_sort(F.concat(F.transform(inside, lambda b: b["start"]), F.array(span["end"])))
+        return F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end"))), lambda x: x["end"] - x["start"] >= WINDOW)
 
-    more = F.filter(F.filter("_long", new), lambda x: _key_like(F.substring(text, x["start"].cast("int") + 1, (x["end"] - x["start"]).cast("int"))))
+    candidates = F.flatten(F.transform("_long", uncovered))
+    more = F.filter(candidates, lambda x: _key_like(F.substring(text, x["start"].cast("int") + 1, (x["end"] - x["start"]).cast("int"))))
     more = _as_kind(more, len(kinds), "entropy")
     spans = F.when(F.col("_base").isNull(), F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>")).when(
         F.size("_long") == 0, F.array_sort("_base")).otherwise(F.array_sort(F.concat("_base", more)))
