@@ -74,7 +74,7 @@ class CorpusLake:
     # lookups
 
     def get_document_from_doc_id(self, doc_id: str) -> DataFrame:
-        return blobs.document_text(self.documents, self.blobs, doc_id)
+        return blobs.document_text(self.documents, blobs.BlobStore(self.spark, self.paths.blobs), doc_id)
 
     def get_chunks_from_doc_id(self, doc_id: str, select_columns: list[str] = lookup.DOC_CHUNK_COLUMNS) -> DataFrame:
         return lookup.chunks_of_document(self.chunks, doc_id, select_columns)

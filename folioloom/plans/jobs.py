@@ -33,7 +33,7 @@ def ingest_records(records: DataFrame, metadata: DataFrame, paths: LakePaths, ru
     goes into one of them only, and nothing of the input's size is held by executors.
     """
     BlobStore(records.sparkSession, paths.blobs).add_texts(normalized(records))
-    append(build_documents(records, metadata, run_id), paths.documents, sort_by=["doc_id"])
+    append(build_documents(records, metadata, run_id), paths.documents, sort_by=["doc_id"], bloom=["doc_id"])
 
 
 def ingest(
@@ -66,7 +66,7 @@ def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), wind
     texts = with_text(documents, BlobStore(spark, paths.blobs).read())
     rows = chunk_rows(balance_by(texts, *PARTITION_KEYS), tokenizer, window, overlap)
     with task_share(spark, paths.blobs):
-        append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False)
+        append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False, bloom=["chunk_id"])
 
 
 def embed(spark: SparkSession, paths: LakePaths, encoder) -> None:

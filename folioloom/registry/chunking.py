@@ -12,6 +12,8 @@ from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import with_ctes
 from folioloom.registry.storage import CHUNK_SQL, shown_chunks
+from folioloom.session import new_folder
+from folioloom.sources.tables import append
 
 WORD_IDS = "list_transform(regexp_extract_all({text}, '[^ \\t\\n\\r]+'), lambda z: ('0x' || substr(sha256(z), 1, 7))::bigint + 4)"
 
@@ -88,6 +90,16 @@ def chunk_by_id(spark, sf_dir):
     return lookup.chunk_by_id(chunks, chunks.agg(F.min("chunk_id")).scalar())
 
 
+@query("chunk_by_id_stored", with_ctes(["chunks"], """
+    select doc_id, chunk_id, seq, text, year, source from chunks where chunk_id = (select min(chunk_id) from chunks)"""))
+def chunk_by_id_stored(spark, sf_dir):
+    """The same from a table on disk, whose files hold Bloom filters of the ids."""
+    path = new_folder(spark, "chunks")
+    append(i.chunk_texts(spark, sf_dir), path, sort_by=["doc_id", "seq"], bloom=["chunk_id"])
+    chunks = spark.read.parquet(path)
+    return lookup.chunk_by_id(chunks, chunks.agg(F.min("chunk_id")).scalar())
+
+
 @query("chunk_context", with_ctes(["chunks"], """
     select t.chunk_id as target_id, c.doc_id, c.chunk_id, c.seq, c.text, c.year, c.source
     from chunks t join chunks c on c.doc_id = t.doc_id and c.seq between greatest(0, t.seq - 1) and t.seq + 2"""))

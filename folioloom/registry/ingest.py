@@ -11,8 +11,9 @@ from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import with_ctes
 from folioloom.schemas import RECORD
+from folioloom.session import new_folder
 from folioloom.sources.records import metadata_table
-from folioloom.sources.tables import count_rows, union_all
+from folioloom.sources.tables import append, count_rows, count_stored, union_all
 
 DOC_COLUMNS = [
     "doc_id", "source", "year", "title", "author", "text_uri", "text_bytes", "text_checksum", "preview", "ingest_run_id",
@@ -123,4 +124,13 @@ def count(spark, sf_dir):
     return count_rows(i.table(spark, sf_dir, "documents"))
 
 
+@query("count_stored", "select year::int as year, count(*) as n_rows from (select 1800 + doc_id % 7 as year from documents where doc_id is not null) group by year")
+def count_of_folders(spark, sf_dir):
+    """Rows of each folder of a written table, from the footers of its files."""
+    path = new_folder(spark, "counted")
+    rows = i.table(spark, sf_dir, "documents").filter("doc_id IS NOT NULL")
+    append(rows.selectExpr("cast(doc_id AS long) AS doc_id", "cast(1800 + doc_id % 7 AS int) AS year"), path, keys=["year"])
+    return count_stored(spark, path, "doc_id BIGINT, year INT", ["year"])
+
+
 RECORD_COLUMNS = [field.split()[0] for field in RECORD.split(", ")]

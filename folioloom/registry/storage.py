@@ -83,13 +83,13 @@ def blob_store_new(spark, sf_dir):
 def _written_blobs(spark, sf_dir):
     store = blob_ops.BlobStore(spark, new_folder(spark, "blobs"))
     store.append(i.blobs(spark, sf_dir))
-    return store.read()
+    return store
 
 
 @query("blob_fetch", with_ctes(["docs"], "select doc_id, text_checksum, text from docs"))
 def blob_fetch(spark, sf_dir):
     documents = i.documents(spark, sf_dir).select("doc_id", "text_checksum")
-    return blob_ops.with_text(documents, _written_blobs(spark, sf_dir)).select("doc_id", "text_checksum", "text")
+    return blob_ops.with_text(documents, _written_blobs(spark, sf_dir).read()).select("doc_id", "text_checksum", "text")
 
 
 @query("document_text", with_ctes(["docs"], "select doc_id, text from docs where doc_id = 'd21'"))

@@ -19,6 +19,7 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

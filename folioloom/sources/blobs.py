@@ -46,15 +46,18 @@ class BlobStore:
             return self.spark.createDataFrame([], STORED)
         return self.spark.read.schema(STORED).parquet(self.path)
 
-    def read(self) -> DataFrame:
+    def read(self, digest: str | None = None) -> DataFrame:
         """One row per digest.
 
         Which digests are in several files is found from the digests alone. The texts are neither sorted nor
-        grouped for that; a join by digest that follows uses the same partitioning.
+        grouped for that; a join by digest that follows uses the same partitioning. With a ``digest``, both scans open its folder only,
+        and read the row groups that their statistics and Bloom filters leave.
         """
         rows = self.stored()
         if not exists(self.spark, self.path):
             return rows
+        if digest is not None:
+            rows = rows.filter((F.col("prefix") == digest[:PREFIX_DIGITS]) & (F.col("checksum") == digest))
         file = F.col("_metadata.file_path")
         held = rows.groupBy("checksum").agg(F.min(file).alias("first_file"), F.max(file).alias("last_file"))
         twice = held.filter("first_file != last_file").select(F.col("checksum").alias("_twice"), "first_file")
@@ -65,7 +68,7 @@ class BlobStore:
     def append(self, blobs: DataFrame) -> None:
         """Add blobs that are new, one row per digest."""
         rows = blobs.select(*columns(BLOBS), F.substring("checksum", 1, PREFIX_DIGITS).alias("prefix"))
-        append(rows, self.path, keys=["prefix"], sort_by=["checksum"])
+        append(rows, self.path, keys=["prefix"], sort_by=["checksum"], bloom=["checksum"])
 
     def add_texts(self, texts: DataFrame, text: str = "text") -> None:
         """Store the texts that are not there yet."""
@@ -96,7 +99,7 @@ def with_text(
     return found.withColumn("text", F.when(F.col("text").isNull(), missing).otherwise(F.col("text")))
 
 
-def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFrame:
+def document_text(documents: DataFrame, blobs: BlobStore | DataFrame, doc_id: str) -> DataFrame:
     """Text of one document: its earliest row, no row for an unknown id.
 
     The digest is looked up first, so that the plan over the blobs names it and opens one folder.
@@ -106,6 +109,8 @@ def document_text(documents: DataFrame, blobs: DataFrame, doc_id: str) -> DataFr
         .orderBy("created_at", "ingest_run_id", "text_checksum").select("text_checksum").first()
     )
     digest = row["text_checksum"] if row else None
+    if isinstance(blobs, BlobStore):
+        blobs = blobs.read(digest)
     if "prefix" in blobs.columns and digest is not None:
         blobs = blobs.filter(F.col("prefix") == digest[:PREFIX_DIGITS])
     found = blobs.filter(F.col("checksum") == digest)

@@ -45,6 +45,7 @@ def append(
     max_rows_per_file: int = 0,
     sort_by: list[str] | None = None,
     balance: bool = True,
+    bloom: list[str] | None = None,
 ) -> None:
     """Write under ``key=value`` folders, few files per folder, file names unique per run.
 
@@ -52,7 +53,8 @@ def append(
     shuffle of all of them.
 
     ``sort_by`` orders the rows inside each file, so that row-group statistics let a
-    lookup on those columns skip most of the table.
+    lookup on those columns skip most of the table. ``bloom`` names columns that are looked up by value but not
+    sorted by, or in files that overlap: each row group gets a Bloom filter for them, as large as its distinct values ask for.
     """
     out = balance_by(df, *keys) if balance else df
     if sort_by:
@@ -60,9 +62,27 @@ def append(
     writer = out.write.mode(mode).partitionBy(*keys).option("compression", "zstd")
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
+    for column in bloom or []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.parquet(path)
 
 
+def count_stored(spark: SparkSession, path: str, schema: str, by: list[str] | None = None) -> DataFrame:
+    """``n_rows`` of a table, or for each combination of the partition columns ``by``, from the footers of its files: no column is read.
+
+    For that the table is read by the source that takes aggregates. A session without ``spark.sql.parquet.aggregatePushdown``
+    (``build_session`` sets it) counts rows of no columns instead.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(name for name in before.split(",") if name != "parquet"))
+    try:
+        rows = spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")) if by else count_rows(rows)
+
+
 def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -111,6 +111,41 @@ def test_digest_lookup_opens_one_folder(spark, sf_dir):
     assert re.search(r"PartitionFilters: \[[^\]]*prefix#\d+ = ", plan(found))
 
 
+def test_digest_lookup_prunes_both_scans(spark, sf_dir):
+    """The rows and the digests they are compared with: one folder, and filters on the digest, in each."""
+    store = bl.BlobStore(spark, new_folder(spark, "blobs"))
+    store.add_texts(i.table(spark, sf_dir, "documents"))
+    store.append(store.stored().limit(3))
+    some = store.stored().groupBy("checksum").count().filter("count > 1").first().checksum
+    documents_ = spark.createDataFrame([("d", some)], "doc_id string, text_checksum string").selectExpr(
+        "*", "current_timestamp() AS created_at", "'r' AS ingest_run_id")
+    found = bl.document_text(documents_, store, "d")
+    assert found.count() == 1
+    scans = [line for line in final_plan(found.select("text")).split("\n") if "FileScan" in line and "checksum" in line]
+    assert len(scans) >= 2
+    assert all(f"= {some[:2]})" in line.split("PartitionFilters")[1].split("]")[0] for line in scans)
+    assert all(f"EqualTo(checksum,{some[:9]}" in line for line in scans)
+
+
+def test_bloom_filters_leave_row_groups_out(spark, folder):
+    """Ids in no order in files of a folder: a lookup reads the files that may hold it, one for an id that is there and mostly none else."""
+    rows = spark.range(40_000).selectExpr("sha2(string(id), 256) AS chunk_id", "sha2(string(-id), 256) AS text", "1800 AS year", "'a' AS source")
+    for bloom, most in ((["chunk_id"], 2), (None, 8)):
+        path = f"{folder}-{bool(bloom)}"
+        append(rows.repartition(8), path, balance=False, bloom=bloom)
+        read = spark.read.parquet(path)
+        wanted = read.filter("chunk_id = sha2('77', 256)")
+        assert wanted.count() == 1
+        node = wanted.select("text")
+        assert len(node.collect()) == 1
+        scanned = node._jdf.queryExecution().executedPlan()
+        while scanned.getClass().getSimpleName() != "FileSourceScanExec":
+            scanned = scanned.finalPhysicalPlan() if scanned.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else scanned.children().head()
+        n = scanned.metrics().apply("numOutputRows").value()
+        # Rows of whole row groups; a file has one.
+        assert n <= most * 5_000 and (bloom or n > 5_000 * 4)
+
+
 def test_top_n_is_limited_before_the_shuffle(spark, sf_dir):
     text = plan(knn.nearest(i.vector_queries(spark, sf_dir), i.vectors(spark, sf_dir), 5))
     assert text.count("WindowGroupLimit") == 2 and "CartesianProduct" not in text and "NestedLoop" not in text

@@ -12,7 +12,7 @@ from folioloom.sources import blobs as bl
 from folioloom.sources.ndjson import export_ndjson
 from folioloom.sources.records import metadata_table, read_records, split_records
 from folioloom.sources.sampling import sample_files
-from folioloom.sources.tables import append, count_rows, exists, scan
+from folioloom.sources.tables import append, count_rows, count_stored, exists, scan
 from folioloom.streaming import ingest as stream
 
 METADATA = "ia_id STRING, year INT, title STRING, author STRING"
@@ -83,6 +83,20 @@ def test_partition_values_stay_strings_and_appends_add_up(spark, folder):
     assert count_rows(scan(spark, folder, DOCUMENTS)).first().n_rows == 3
 
 
+def test_counts_come_from_the_footers(spark, folder):
+    schema = "n BIGINT, year INT, source STRING"
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    append(spark.range(100).selectExpr("id AS n", "1800 + cast(id % 3 AS int) AS year", "'007' AS source"), folder)
+    append(spark.range(7).selectExpr("id AS n", "1800 AS year", "'b' AS source"), folder)
+    counted = count_stored(spark, folder, schema)
+    assert counted.first().n_rows == 107
+    assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().executedPlan().toString()
+    by = count_stored(spark, folder, schema, ["year", "source"])
+    assert {tuple(r) for r in by.collect()} == {(1800, "007", 34), (1801, "007", 33), (1802, "007", 33), (1800, "b", 7)}
+    assert "PushedAggregation: [COUNT(*)]" in by._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
 def test_a_heavy_folder_is_written_by_several_tasks(spark, folder):
     """Two thirds of the rows belong to one source; they must not go through one task."""
     wide = spark.range(60_000).select(
