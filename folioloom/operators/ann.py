@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +22,10 @@ from pyspark.sql import types as T
 from folioloom.functions.text import hash64
 from folioloom.functions.vectors import list_column, matrix
 from folioloom.operators.knn import (
-    MAX_BROADCAST_QUERIES, Nearest, best_per_query, exact_distances, hits_batch, hits_schema, nearest,
-    rank_ids, rough_distances, schema_table, small_queries,
+    PLACE_BYTES, ROW_BYTES, Nearest, best_per_query, exact_distances, hits_batch, hits_schema, in_waves, nearest,
+    nearest_of, rank_ids, rough_distances,
 )
 from folioloom.operators.lookup import between_years
-from folioloom.plans.blocks import in_blocks
 from folioloom.schemas import COARSE_CENTROIDS, IVF_POSTINGS, PQ_CODEBOOKS, VECTOR_META, columns
 from folioloom.sources.tables import append, scan
 
@@ -34,7 +34,8 @@ MAX_LISTS = 65_536
 MAX_BANDS = 16_384
 # Rows compared with all centroids at once.
 ASSIGN_TILE = 1_024
-POSTINGS_PER_BLOCK = 1_000_000
+# Bytes a wave of queries has for each list one of them probes.
+PROBE_BYTES = 32
 # Entries of distance tables a task keeps (64 MB).
 MAX_KEPT_ENTRIES = 8_000_000
 HIT_COLUMNS = ["faiss_id", "chunk_id", "year", "source"]
@@ -355,24 +356,27 @@ def score_list(tables: ListTables, codes: np.ndarray, near: Nearest, query_rows:
 
 def search(
     index: IVFPQIndex, queries: DataFrame, n: int = 10,
-    year_min: int | None = None, year_max: int | None = None, n_probe: int = 64,
+    year_min: int | None = None, year_max: int | None = None, n_probe: int = 64, wave_rows: int | None = None,
 ) -> DataFrame:
     """n nearest vectors per query within the probed lists and the year range.
 
-    The years are filtered before ranking, so a narrow range still fills n where it can.
+    The years are filtered before ranking, so a narrow range still fills n where it can. Any number of queries is
+    answered in waves (see ``knn.in_waves``); the postings stay where they lie.
     Returns ``query_id, distance, rank, faiss_id, chunk_id, year, source``.
     """
     queries = queries.select("query_id", "vector")
     postings = between_years(index.postings, year_min, year_max)
     schema = hits_schema(queries, postings, HIT_COLUMNS)
-    few = small_queries(queries)
-    probes = probe_lists(queries, index.centroids, n_probe).select("query_id", "list_id")
+    probed = hits_schema(queries, index.centroids, ["list_id"])
     books = codebook_array(index.codebooks, index.config)
-    if few is None:
-        hits = _search_in_blocks(index, queries, probes, postings, books, n, schema)
-    else:
-        hits = _search_broadcast(index, few, probes, postings, books, n, schema)
-    return best_per_query(hits, n, "chunk_id")
+
+    def run(wave: pa.Table) -> tuple[DataFrame, list]:
+        probes, sent = nearest_of(wave, index.centroids, n_probe, "list_id", ["list_id"], probed)
+        found = probes.select("query_id", "list_id").toArrow()
+        hits, also = _search_wave(index, wave, found, postings, books, n, schema)
+        return best_per_query(hits, n, "chunk_id"), [*sent, *also]
+
+    return in_waves(queries, run, ROW_BYTES + PLACE_BYTES * n + PROBE_BYTES * n_probe, wave_rows)
 
 
 def refine(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, n: int) -> DataFrame:
@@ -409,18 +413,26 @@ def refined_search(
     return refine(candidates, between_years(vectors, year_min, year_max), queries, n)
 
 
-def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, postings: DataFrame, books: np.ndarray, n: int, schema) -> DataFrame:
-    """At most MAX_BROADCAST_QUERIES queries: their probes and residual bases go to every task."""
+def queries_by_list(wave: pa.Table, probes: pa.Table) -> dict[int, np.ndarray]:
+    """For each probed list the rows of ``wave`` that probe it, in their order."""
+    places = pc.index_in(probes["query_id"], value_set=wave["query_id"].combine_chunks()).to_numpy()
+    lists = probes["list_id"].to_numpy()
+    by = np.lexsort((places, lists))
+    places, lists = places[by], lists[by]
+    cuts = np.flatnonzero(np.diff(lists)) + 1
+    return {int(lists[low]): places[low:high] for low, high in zip([0, *cuts], [*cuts, len(lists)]) if high > low}
+
+
+def _search_wave(
+    index: IVFPQIndex, wave: pa.Table, probes: pa.Table, postings: DataFrame, books: np.ndarray, n: int, schema: T.StructType,
+) -> tuple[DataFrame, list]:
+    """Candidates of one wave of queries, whose probes and residual bases go to every task; and its broadcast."""
     spark = postings.sparkSession
-    place = {q: i for i, q in enumerate(few["query_id"].to_pylist())}
-    by_list: dict[int, list[int]] = {}
-    for query, list_id in zip(*(c.to_pylist() for c in probes.toArrow().columns)):
-        by_list.setdefault(list_id, []).append(place[query])
+    by_list = queries_by_list(wave, probes)
     ids, centers = list_vectors(index.centroids)
     bases = {i: centers[row] for row, i in enumerate(ids.tolist()) if i in by_list}
     sent = spark.sparkContext.broadcast((
-        few["query_id"].combine_chunks(), matrix(few["vector"]),
-        {i: np.sort(np.array(rows)) for i, rows in by_list.items()}, bases, books))
+        wave["query_id"].combine_chunks(), matrix(wave["vector"]), by_list, bases, books))
     bands = sorted({i // index.config.lists_per_band for i in by_list})
     wanted = F.broadcast(spark.createDataFrame([(i,) for i in sorted(by_list)], "list_id INT"))
     probed = postings.filter(F.col("list_band").isin(bands)).join(wanted, "list_id", "left_semi")
@@ -446,30 +458,4 @@ def _search_broadcast(index: IVFPQIndex, few: pa.Table, probes: DataFrame, posti
             query, cols, dist = (np.concatenate(part) for part in zip(*found))
             yield hits_batch(query_ids, batch, HIT_COLUMNS, *near.admit(query, cols, dist, rank_ids(batch["chunk_id"])))
 
-    return probed.select("list_id", *HIT_COLUMNS, "codes").mapInArrow(run, schema)
-
-
-def _search_in_blocks(index: IVFPQIndex, queries: DataFrame, probes: DataFrame, postings: DataFrame, books: np.ndarray, n: int, schema) -> DataFrame:
-    """Any number of queries: probes meet postings list by list, in blocks of bounded size."""
-    bases = F.broadcast(index.centroids.select("list_id", F.col("vector").alias("base")))
-    asked = probes.join(queries, "query_id").join(bases, "list_id")
-    offset = F.zip_with("vector", "base", lambda q, c: q - c)
-    left = asked.select("list_id", "query_id", offset.alias("residual"))
-    right = postings.select("list_id", *HIT_COLUMNS, "codes")
-    sent = postings.sparkSession.sparkContext.broadcast(books)
-
-    def run(asking: pa.Table, posted: pa.Table) -> pa.Table:
-        if not asking.num_rows or not posted.num_rows:
-            return schema_table(schema)
-        code_books = sent.value
-        query_ids, offsets = asking["query_id"].combine_chunks(), matrix(asking["residual"])
-        near, tables, everyone = Nearest(len(offsets), n), ListTables(offsets, code_books), np.arange(len(offsets))
-        out = []
-        for batch in posted.combine_chunks().to_batches(max_chunksize=65_536):
-            codes, order = code_matrix(batch["codes"], code_books.shape[0]), rank_ids(batch["chunk_id"])
-            query, cols, dist = score_list(tables, codes, near, everyone)
-            out.append(hits_batch(query_ids, batch, HIT_COLUMNS, *near.admit(query, cols, dist, order)))
-        return pa.Table.from_batches(out)
-
-    met = in_blocks(left, right, "list_id", "query_id", "chunk_id", MAX_BROADCAST_QUERIES, POSTINGS_PER_BLOCK)
-    return met.applyInArrow(run, schema)
+    return probed.select("list_id", *HIT_COLUMNS, "codes").mapInArrow(run, schema), [sent]

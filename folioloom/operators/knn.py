@@ -1,12 +1,14 @@
 """Exact nearest neighbours by squared L2 distance.
 
-Each task compares its vectors with a block of queries by matrix product and hands on only
+Each task compares its vectors with a wave of queries by matrix product and hands on only
 rows that can be among the k nearest of a query; a window then picks the k best per query.
-No table of all pairs is built.
+No table of all pairs is built, and no vector moves.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioloom.functions.vectors import matrix
-from folioloom.plans.blocks import in_blocks
-
-# Query sets up to this many rows go to every task; larger ones are met block by block.
-MAX_BROADCAST_QUERIES = 4_096
-# Vectors per block when the query set is larger than that.
-VECTORS_PER_BLOCK = 16_384
+from folioloom.session import new_folder
+
+# Bytes of queries, with what is kept for each of them, that go to every task at once.
+WAVE_BYTES = 32 << 20
+# Query rows of one stored file; waves are made up of whole files.
+FILE_ROWS = 4_096
+# Bytes kept for a query besides its vector: its id, and three arrays for each of its k best distances.
+ROW_BYTES, PLACE_BYTES = 64, 24
 # Query rows compared at once, which bounds the distance matrix of an Arrow batch.
 QUERY_TILE = 256
 # Elements of the exact re-computation held at once.
@@ -108,10 +112,45 @@ def hits_schema(queries: DataFrame, vectors: DataFrame, payload: list[str]) -> T
     )
 
 
-def small_queries(queries: DataFrame) -> pa.Table | None:
-    """The query rows, if there are few enough of them to send to every task."""
-    head = queries.limit(MAX_BROADCAST_QUERIES + 1).toArrow()
-    return head if head.num_rows <= MAX_BROADCAST_QUERIES else None
+def waves_of(files: list[tuple[str, int]], rows: int) -> list[list[str]]:
+    """Files (name, rows) put together into waves of at most ``rows`` rows, or of one file."""
+    waves, held = [], 0
+    for name, n in sorted(files, key=lambda f: (-f[1], f[0])):
+        if not waves or held + n > rows:
+            waves.append([])
+            held = 0
+        waves[-1].append(name)
+        held += n
+    return waves
+
+
+def in_waves(
+    queries: DataFrame, run: Callable[[pa.Table], tuple[DataFrame, list]], per_query: int, wave_rows: int | None = None,
+) -> DataFrame:
+    """What ``run`` finds for all queries, some of them at a time.
+
+    A wave has at most WAVE_BYTES: the vectors of its queries and ``per_query`` bytes for each. It goes to every task, and the
+    searched table stays where it lies. ``run`` gives the rows of a wave and its broadcasts. Queries that fill one wave are answered
+    lazily. More of them are written to the shared folder first, in files of bounded rows; each wave's rows are written before
+    the next one starts, so the driver and the tasks hold one wave, however many queries there are. ``wave_rows`` replaces the bound.
+    """
+    spark = queries.sparkSession
+    head = queries.limit(FILE_ROWS + 1).toArrow()
+    dim = len(head["vector"][0]) if head.num_rows and head["vector"][0].is_valid else 0
+    rows = wave_rows or max(1, WAVE_BYTES // (4 * dim + per_query))
+    file_rows = min(rows, FILE_ROWS)
+    if head.num_rows <= file_rows:
+        return run(head)[0]
+    asked, answered = new_folder(spark, "queries"), new_folder(spark, "hits")
+    queries.write.option("maxRecordsPerFile", file_rows).parquet(asked)
+    stored = spark.read.schema(queries.schema).parquet(asked)
+    files = [tuple(r) for r in stored.groupBy(F.col("_metadata.file_path")).count().collect()]
+    for names in waves_of(files, rows):
+        found, sent = run(spark.read.schema(queries.schema).parquet(*names).toArrow())
+        found.write.mode("append").parquet(answered)
+        for broadcast in sent:
+            broadcast.destroy()
+    return spark.read.schema(found.schema).parquet(answered)
 
 
 def best_per_query(hits: DataFrame, k: int, tie: str) -> DataFrame:
@@ -123,29 +162,33 @@ def best_per_query(hits: DataFrame, k: int, tie: str) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_column: str = "chunk_id", payload: list[str] | None = None) -> DataFrame:
+def nearest(
+    queries: DataFrame, vectors: DataFrame, k: int, id_column: str = "chunk_id", payload: list[str] | None = None,
+    wave_rows: int | None = None,
+) -> DataFrame:
     """k nearest vectors of each query: ``query_id, distance, rank`` and the payload columns.
 
     ``queries`` has ``query_id, vector``; ``vectors`` has ``vector`` and the payload, which
     holds the unique ``id_column``. Fewer than k rows come back where there are fewer vectors.
+    Any number of queries goes through the vectors in waves (see ``in_waves``).
     """
     if k <= 0:
         raise ValueError("k has to be positive")
     payload = payload or [id_column]
     queries = queries.select("query_id", "vector")
-    vectors = vectors.select(*payload, "vector")
     schema = hits_schema(queries, vectors, payload)
-    few = small_queries(queries)
-    if few is None:
-        hits = _nearest_in_blocks(queries, vectors, k, id_column, payload, schema)
-    else:
-        hits = _nearest_broadcast(few, vectors, k, id_column, payload, schema)
-    return best_per_query(hits, k, id_column)
 
+    def run(wave: pa.Table) -> tuple[DataFrame, list]:
+        return nearest_of(wave, vectors, k, id_column, payload, schema)
+
+    return in_waves(queries, run, ROW_BYTES + PLACE_BYTES * k, wave_rows)
 
-def _nearest_broadcast(few: pa.Table, vectors: DataFrame, k: int, id_column: str, payload: list[str], schema) -> DataFrame:
-    sent = vectors.sparkSession.sparkContext.broadcast(
-        (few["query_id"].combine_chunks(), matrix(few["vector"])))
+
+def nearest_of(
+    wave: pa.Table, vectors: DataFrame, k: int, id_column: str, payload: list[str], schema: T.StructType,
+) -> tuple[DataFrame, list]:
+    """``nearest`` for the queries of one wave, and its broadcast."""
+    sent = vectors.sparkSession.sparkContext.broadcast((wave["query_id"].combine_chunks(), matrix(wave["vector"])))
 
     def run(batches):
         query_ids, queries = sent.value
@@ -156,28 +199,4 @@ def _nearest_broadcast(few: pa.Table, vectors: DataFrame, k: int, id_column: str
             rows, cols, dist = scan_batch(queries, matrix(batch["vector"]), rank_ids(batch[id_column]), near)
             yield hits_batch(query_ids, batch, payload, rows, cols, dist)
 
-    return vectors.mapInArrow(run, schema)
-
-
-def _nearest_in_blocks(queries: DataFrame, vectors: DataFrame, k: int, id_column: str, payload: list[str], schema) -> DataFrame:
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        query_ids, block = left["query_id"].combine_chunks(), matrix(left["vector"])
-        near = Nearest(len(block), k)
-        out = [
-            hits_batch(query_ids, batch, payload,
-                       *scan_batch(block, matrix(batch["vector"]), rank_ids(batch[id_column]), near))
-            for batch in right.combine_chunks().to_batches(max_chunksize=8192)
-            if batch.num_rows and len(block)
-        ]
-        return pa.Table.from_batches(out) if out else schema_table(schema)
-
-    met = in_blocks(
-        queries.withColumn("_all", F.lit(0)), vectors.withColumn("_all", F.lit(0)), "_all",
-        "query_id", id_column, MAX_BROADCAST_QUERIES, VECTORS_PER_BLOCK)
-    return met.applyInArrow(run, schema)
-
-
-def schema_table(schema: T.StructType) -> pa.Table:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema).empty_table()
+    return best_per_query(vectors.select(*payload, "vector").mapInArrow(run, schema), k, id_column), [sent]

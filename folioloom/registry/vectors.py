@@ -118,6 +118,24 @@ def exact_knn(spark, sf_dir):
     return rounded(nearest(i.vector_queries(spark, sf_dir), i.vectors(spark, sf_dir), N), "chunk_id")
 
 
+# The vectors of labelled documents as queries, and waves of a third of them at most.
+WAVES = 3
+LABELLED = {"lvq": "select chunk_id as query_id, vector from vecs where doc_id in (select 'd' || doc_id from labels)"}
+
+
+def labelled_queries(spark, sf_dir):
+    labelled = i.table(spark, sf_dir, "labels").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"))
+    asked = lookup.members(i.vectors(spark, sf_dir), labelled, "doc_id").selectExpr("chunk_id AS query_id", "vector")
+    return asked, max(1, -(-asked.count() // WAVES))
+
+
+@query("exact_knn_waves", with_ctes(["vecs"], top_sql("lvq", "vecs", N, "chunk_id"), LABELLED))
+def exact_knn_waves(spark, sf_dir):
+    """Nearest vectors of the vectors of labelled documents, which go through all vectors in three waves or more."""
+    asked, rows = labelled_queries(spark, sf_dir)
+    return rounded(nearest(asked, i.vectors(spark, sf_dir), N, wave_rows=rows), "chunk_id")
+
+
 @query("knn_topk", with_ctes(["centroids", "vecs"], top_sql("lq", "vecs", 25, "chunk_id, source"),
                              {"lq": "select list_id as query_id, vector from centroids"}))
 def knn_topk(spark, sf_dir):
@@ -306,6 +324,17 @@ def ivfpq_search(spark, sf_dir):
     return rounded(hits, "faiss_id", "chunk_id", "year", "source")
 
 
+@query("ivfpq_search_waves", with_ctes(["vecs", "centroids"], f"""
+    select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source from (
+        select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored
+        where query_id in (select query_id from lvq)) where rank <= {N}""", {**SCORED, **LABELLED}))
+def ivfpq_search_waves(spark, sf_dir):
+    """The search by code for the vectors of labelled documents, in three waves or more."""
+    asked, rows = labelled_queries(spark, sf_dir)
+    hits = ann.search(given_index(spark, sf_dir), asked, N, year_min=1820, n_probe=3, wave_rows=rows)
+    return rounded(hits, "faiss_id", "chunk_id", "year", "source")
+
+
 # Finer codes for the two-stage search: the residuals of the first vectors themselves.
 FINE = ann.IVFPQConfig(n_lists=10, m=16, n_bits=6, dim=i.DIM)
 FACTOR = 8

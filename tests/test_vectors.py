@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,13 +53,45 @@ def test_exact_search_equals_brute_force(spark, data):
         assert [got[i] for i in range(len(q))] == want
 
 
-def test_blocks_give_what_broadcast_gives(spark, data, monkeypatch):
+def test_waves_give_what_one_wave_gives(spark, data):
     x, q = data
-    monkeypatch.setattr(knn, "MAX_BROADCAST_QUERIES", 6)
-    monkeypatch.setattr(knn, "VECTORS_PER_BLOCK", 90)
-    assert knn.small_queries(asked(spark, q)) is None
+    want = brute(q, x, 12)
+    for rows in (1, 6, len(q) - 1, len(q)):
+        got = found(knn.nearest(asked(spark, q).repartition(3), make(spark, x), 12, wave_rows=rows))
+        assert [got[i] for i in range(len(q))] == want
+
+
+def test_waves_are_bounded_in_bytes(spark, data, monkeypatch):
+    """With room for five queries of 16 components, every pass over the vectors has five at most, and all queries are answered."""
+    x, q = data
+    sizes, one = [], knn.nearest_of
+    monkeypatch.setattr(knn, "WAVE_BYTES", 5 * (4 * 16 + knn.ROW_BYTES + 12 * knn.PLACE_BYTES))
+    monkeypatch.setattr(knn, "nearest_of", lambda wave, *rest: sizes.append(wave.num_rows) or one(wave, *rest))
     got = found(knn.nearest(asked(spark, q), make(spark, x), 12))
     assert [got[i] for i in range(len(q))] == brute(q, x, 12)
+    assert sum(sizes) == len(q) and max(sizes) <= 5 and len(sizes) > 4
+
+
+def test_waves_are_whole_files():
+    files = [("c", 3), ("a", 5), ("b", 3), ("d", 2), ("e", 9)]
+    waves = knn.waves_of(files, 6)
+    assert sorted(f for w in waves for f in w) == list("abcde")
+    assert all(len(w) == 1 or sum(dict(files)[f] for f in w) <= 6 for w in waves)
+    assert knn.waves_of([], 6) == []
+
+
+def test_vectors_do_not_move(spark, data):
+    """The searched table is read and compared where it lies: nothing is exchanged below the step in Python."""
+    x, q = data
+    plan = knn.nearest(asked(spark, q), make(spark, x).select("*"), 3)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow"):]
+    assert "Join" not in plan and "Generate" not in plan and "Aggregate" not in below
+
+
+def test_no_queries_and_no_vectors(spark, data):
+    x, q = data
+    assert knn.nearest(asked(spark, q[:0]), make(spark, x), 3).count() == 0
+    assert knn.nearest(asked(spark, q), make(spark, x[:0], 1), 3, wave_rows=9).count() == 0
 
 
 def test_fewer_vectors_than_asked_for(spark, data):
@@ -238,14 +271,20 @@ def test_search_is_exact_for_the_coded_vectors(spark, built, data):
         assert all(1802 <= coded[c][0] <= 1806 for _, _, c in mine)
 
 
-def test_search_blocks_give_what_broadcast_gives(spark, built, data, monkeypatch):
+def test_search_waves_give_what_one_wave_gives(spark, built, data):
     _, index = built
     q = asked(spark, data[1])
     want = found(ann.search(index, q, 7, year_min=1801, n_probe=3))
-    monkeypatch.setattr(knn, "MAX_BROADCAST_QUERIES", 5)
-    monkeypatch.setattr(ann, "MAX_BROADCAST_QUERIES", 5)
-    monkeypatch.setattr(ann, "POSTINGS_PER_BLOCK", 40)
-    assert found(ann.search(index, q, 7, year_min=1801, n_probe=3)) == want
+    for rows in (1, 5, 22):
+        assert found(ann.search(index, q, 7, year_min=1801, n_probe=3, wave_rows=rows)) == want
+
+
+def test_queries_by_list():
+    wave = pa.table({"query_id": pa.array(["c", "a", "b"])})
+    probes = pa.table({"query_id": pa.array(["a", "b", "c", "c"]), "list_id": pa.array([4, 4, 4, 0], pa.int32())})
+    got = {k: v.tolist() for k, v in ann.queries_by_list(wave, probes).items()}
+    assert got == {0: [0], 4: [0, 1, 2]}
+    assert ann.queries_by_list(wave, probes.slice(0, 0)) == {}
 
 
 def test_large_distance_tables_are_not_kept(spark, built, data, monkeypatch):
@@ -276,8 +315,6 @@ def test_no_id_collisions(spark, sf_dir):
 
 
 def test_vectors_of_different_length_are_refused():
-    import pyarrow as pa
-
     with pytest.raises(ValueError):
         vx.matrix(pa.array([[1.0, 2.0], [1.0]], pa.list_(pa.float32())))
     sliced = pa.array([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]], pa.list_(pa.float32())).slice(1, 2)
