@@ -80,6 +80,19 @@ def blob_store_new(spark, sf_dir):
     return fresh.select("checksum", "text", "n_bytes", F.lit(True).alias("is_new"))
 
 
+@query("blob_compact", with_ctes(["norm"], """
+    select sha256(text) as checksum, any_value(text) as text, any_value(strlen(text))::bigint as n_bytes from norm group by 1"""))
+def blob_compact(spark, sf_dir):
+    """Texts stored in two runs, their files put together, the old files deleted: each text is there once."""
+    records = normalized(i.records(spark, sf_dir))
+    store = blob_ops.BlobStore(spark, new_folder(spark, "blobs"))
+    for joined in ("left_semi", "left_anti"):
+        store.add_texts(records.join(i.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("n")), "n", joined))
+    store.compact(more_than=1)
+    store.vacuum()
+    return store.read().select("checksum", "text", "n_bytes")
+
+
 def _written_blobs(spark, sf_dir):
     store = blob_ops.BlobStore(spark, new_folder(spark, "blobs"))
     store.append(i.blobs(spark, sf_dir))

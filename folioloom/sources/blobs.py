@@ -2,23 +2,31 @@
 
 The layout is the same whatever the size of a run: fixed folders, files sorted by digest, as many
 files as the bytes ask for. A lookup by digest opens one folder and, by row-group statistics, little of it.
+
+Small batches leave small files. ``BlobStore.compact`` puts those of a folder together: the new files are written first, then
+the list of the old ones is published by one rename, from when on readers leave these out. ``vacuum`` deletes them later. Wherever this
+breaks off, every digest is still in some file, and one that is in two is read once.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioloom.functions.text import content_digest, text_bytes
 from folioloom.plans.skew import BYTES_PER_SLICE, ROWS_PER_SLICE, salted_join, split_keys
 from folioloom.schemas import BLOBS, columns
-from folioloom.sources.tables import append, exists
+from folioloom.sources.tables import append, exists, located
 
 # Digits of the digest a folder is named by: 256 folders.
 PREFIX_DIGITS = 2
 STORED = f"{BLOBS}, prefix STRING"
+# Files below this size are put together where a folder has more than so many of them.
+SMALL_FILE = 64 * 1024 * 1024
+SMALL_FILES = 8
 
 
 def distinct_texts(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -40,11 +48,25 @@ class BlobStore:
     spark: SparkSession
     path: str
 
-    def stored(self) -> DataFrame:
-        """All rows on disk; a digest that two writers stored at the same time is there twice."""
+    def _rows(self) -> DataFrame:
+        """Rows of the files in use with ``_file``, which is folder and name, however the path of the table is written, and ``_size``."""
         if not exists(self.spark, self.path):
-            return self.spark.createDataFrame([], STORED)
-        return self.spark.read.schema(STORED).parquet(self.path)
+            return self.spark.createDataFrame([], f"{STORED}, _file STRING, _size BIGINT")
+        rows = self.spark.read.schema(STORED).parquet(self.path)
+        file = F.concat(F.lit("prefix="), "prefix", F.lit("/"), "_metadata.file_name")
+        rows = rows.select("*", file.alias("_file"), F.col("_metadata.file_size").alias("_size"))
+        retired = self._retired()
+        return rows if retired is None else rows.join(retired, F.col("_file") == F.col("retired"), "left_anti")
+
+    def _retired(self) -> DataFrame | None:
+        """``retired``: the files that compactions have replaced since the last vacuum."""
+        files, at = located(self.spark, f"{self.path}/_retired")
+        lists = [str(f.getPath()) for f in files.listStatus(at)] if files.exists(at) else []
+        return self.spark.read.schema("retired STRING").json(lists).distinct() if lists else None
+
+    def stored(self) -> DataFrame:
+        """All rows of the files in use; a digest that two writers stored at the same time is there twice."""
+        return self._rows().drop("_file", "_size")
 
     def read(self, digest: str | None = None) -> DataFrame:
         """One row per digest.
@@ -53,17 +75,57 @@ class BlobStore:
         grouped for that; a join by digest that follows uses the same partitioning. With a ``digest``, both scans open its folder only,
         and read the row groups that their statistics and Bloom filters leave.
         """
-        rows = self.stored()
-        if not exists(self.spark, self.path):
-            return rows
+        return self._read(digest).drop("_file", "_size")
+
+    def _read(self, digest: str | None = None) -> DataFrame:
+        rows = self._rows()
         if digest is not None:
             rows = rows.filter((F.col("prefix") == digest[:PREFIX_DIGITS]) & (F.col("checksum") == digest))
-        file = F.col("_metadata.file_path")
-        held = rows.groupBy("checksum").agg(F.min(file).alias("first_file"), F.max(file).alias("last_file"))
+        held = rows.groupBy("checksum").agg(F.min("_file").alias("first_file"), F.max("_file").alias("last_file"))
         twice = held.filter("first_file != last_file").select(F.col("checksum").alias("_twice"), "first_file")
-        named = rows.withColumn("_file", file)
         copy = (F.col("checksum") == F.col("_twice")) & (F.col("_file") != F.col("first_file"))
-        return named.join(twice, copy, "left_anti").drop("_file")
+        return rows.join(twice, copy, "left_anti")
+
+    def small_files(self, below: int = SMALL_FILE, more_than: int = SMALL_FILES) -> DataFrame:
+        """``retired``: the small files of folders that have more than so many of them. No column is read."""
+        small = self._rows().select("prefix", "_file", "_size").filter(F.col("_size") < below).select("prefix", "_file").distinct()
+        crowded = small.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > more_than)
+        return small.join(crowded, "prefix", "left_semi").select(F.col("_file").alias("retired"))
+
+    def compact(self, below: int = SMALL_FILE, more_than: int = SMALL_FILES) -> int:
+        """Put the small files of crowded folders together; returns how many were retired. One compaction runs at a time, beside any writers."""
+        name = uuid.uuid4().hex
+        # Written before anything else: the new files may be small ones too.
+        found, listed = f"{self.path}/_found/{name}", f"{self.path}/_retired/{name}"
+        if exists(self.spark, self.path):
+            self.small_files(below, more_than).write.json(found)
+            old = self.spark.read.schema("retired STRING").json(found)
+            n = old.count()
+            if n:
+                rows = self._read().join(old, F.col("_file") == F.col("retired"), "left_semi")
+                self.append(rows)
+                self._publish(found, listed)
+                return n
+        return 0
+
+    def _publish(self, found: str, listed: str) -> None:
+        files, at = located(self.spark, found)
+        _, to = located(self.spark, listed)
+        files.mkdirs(to.getParent())
+        if not files.rename(at, to):
+            raise OSError(f"cannot publish {listed}")
+
+    def vacuum(self) -> int:
+        """Delete the retired files; returns how many. For when no reader is left that began before the last compaction."""
+        lists = self._retired()
+        gone = [r.retired for r in lists.toLocalIterator()] if lists is not None else []
+        for name in gone:
+            files, at = located(self.spark, f"{self.path}/{name}")
+            files.delete(at, False)
+        for kept in ("_retired", "_found"):
+            files, at = located(self.spark, f"{self.path}/{kept}")
+            files.delete(at, True)
+        return len(gone)
 
     def append(self, blobs: DataFrame) -> None:
         """Add blobs that are new, one row per digest."""

@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from folioloom.schemas import PARTITION_KEYS, columns
 
 
+def located(spark: SparkSession, path: str):
+    """The file system a path belongs to, and the path as it takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether something has been written under ``path``; asked of the file system it belongs to."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    files, at = located(spark, path)
+    return files.exists(at)
 
 
 def scan(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -147,6 +147,58 @@ def test_no_size_of_the_first_run_settles_the_blob_layout(spark, folder):
     assert store.read().filter(F.col("checksum") == one.checksum).count() == 1
 
 
+def test_small_batches_leave_few_files(spark, folder, monkeypatch):
+    """Fifty batches, put together on the way: few files in use, each digest once, and the same after the old files are deleted."""
+    monkeypatch.setattr(bl, "PREFIX_DIGITS", 1)
+    store = bl.BlobStore(spark, folder)
+
+    def in_use():
+        return store._rows().select("_file").distinct().count()
+
+    for batch in range(50):
+        store.add_texts(texts(spark, [f"{batch}-{i}" for i in range(3)] + ["shared"]))
+        if batch % 25 == 24:
+            before = in_use()
+            assert store.compact(more_than=2) > 0
+            assert in_use() < before
+    assert in_use() <= 16 * 3
+    rows = store.read().collect()
+    assert len(rows) == 151 and len({r.text for r in rows}) == 151
+    assert store.vacuum() > 0 and store.vacuum() == 0
+    assert {(r.checksum, r.text, r.n_bytes) for r in store.read().collect()} == {(r.checksum, r.text, r.n_bytes) for r in rows}
+    assert store.compact(more_than=10 ** 6) == 0
+
+
+def test_a_compaction_that_breaks_off_loses_nothing(spark, folder, monkeypatch):
+    """Broken off once the new files are written and before the old ones are listed: digests are in two files and read once; then it is done again."""
+    store = bl.BlobStore(spark, folder)
+    for batch in range(3):
+        store.append(bl.distinct_texts(texts(spark, ["a", "b", f"c{batch}"])))
+    want = {"a", "b", "c0", "c1", "c2"}
+
+    def stop(*names):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(bl.BlobStore, "_publish", stop)
+        with pytest.raises(OSError):
+            store.compact(more_than=1)
+    assert sorted(r.text for r in store.read().collect()) == sorted(want)
+    assert bl.new_blobs(texts(spark, ["a", "d"]), store.read()).first().text == "d"
+    reader = store.read()
+    assert store.compact(more_than=1) > 0
+    for rows in (reader, store.read()):
+        assert sorted(r.text for r in rows.collect()) == sorted(want)
+    assert store.stored().filter("text = 'a'").count() == 1
+    store.vacuum()
+    assert sorted(r.text for r in store.read().collect()) == sorted(want)
+
+
+def test_nothing_to_compact(spark, folder):
+    store = bl.BlobStore(spark, folder)
+    assert store.compact() == 0 and store.vacuum() == 0 and store.read().count() == 0
+
+
 def test_with_text_spreads_a_text_many_documents_share(spark, folder):
     store = bl.BlobStore(spark, folder)
     store.add_texts(texts(spark, ["hot", "x", "y"]))
