@@ -8,6 +8,7 @@ from folioloom.functions import tokens as tk
 from folioloom.functions.text import prefixed
 from folioloom.operators import chunks as ops
 from folioloom.operators import lookup
+from folioloom.operators.vocabulary import Vocabulary
 from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import with_ctes
@@ -40,6 +41,37 @@ def detokenize(spark, sf_dir):
     return ops.detokenize(coded, "doc_id", "tokens", ops.vocabulary(documents))
 
 
+def _dictionary(spark, sf_dir) -> Vocabulary:
+    """Words of the labelled documents first, then what the others add."""
+    documents = i.plain_documents(spark, sf_dir)
+    labelled = i.table(spark, sf_dir, "labels").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"))
+    kept = Vocabulary(spark, new_folder(spark, "vocabulary"))
+    for joined in ("left_semi", "left_anti"):
+        kept.extend(documents.join(labelled, "doc_id", joined))
+    return kept
+
+
+@query("vocabulary_extended", with_ctes(["plain"], """
+    select word, 3 + row_number() over (order by later, word) as token_id from first_seen""", {
+    "w": f"select doc_id not in (select 'd' || doc_id from labels) as later, unnest({PLAIN_WORDS}) as word from plain",
+    "first_seen": "select word, min(later) as later from w group by 1",
+}))
+def vocabulary_extended(spark, sf_dir):
+    """Dense ids: those of the first run in the order of its words, then those of the second run's new words."""
+    return _dictionary(spark, sf_dir).read()
+
+
+@query("vocabulary_round_trip", with_ctes(["plain"], f"""
+    select doc_id, len({PLAIN_WORDS})::int as n_tokens, array_to_string({PLAIN_WORDS}, ' ') as text from plain"""))
+def vocabulary_round_trip(spark, sf_dir):
+    """Texts as dense ids and back: each word comes back as it was."""
+    documents = i.plain_documents(spark, sf_dir)
+    kept = _dictionary(spark, sf_dir)
+    coded = kept.encode(documents, "doc_id")
+    texts = ops.detokenize(coded, "doc_id", "tokens", kept.read())
+    return coded.join(texts, "doc_id").select("doc_id", F.size("tokens").alias("n_tokens"), "text")
+
+
 @query("prefix_text", with_ctes(["chunks"], "select chunk_id, 'passage: ' || text as text from chunks"))
 def prefix_text(spark, sf_dir):
     return i.chunk_texts(spark, sf_dir).select("chunk_id", prefixed(F.col("text"), "passage").alias("text"))
