@@ -75,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "embed":
         name = args.name or f"hash-{args.dim}"
         encoder = OnnxEncoder(args.onnx, tokenizer, args.dim, name) if args.onnx else HashEncoder(args.dim, name=name)
-        jobs.embed(spark, paths, encoder)
+        totals = jobs.embed(spark, paths, encoder)
+        print(", ".join(f"{n} {name}" for name, n in totals.items()))
     elif args.job == "index-vectors":
         config = IVFPQConfig(args.lists, args.m, args.bits, args.dim)
         jobs.index_vectors(spark, paths, args.model, config, args.fraction)

@@ -40,6 +40,10 @@ class LakePaths:
     def runs(self) -> str:
         return self._table("registry/runs")
 
+    def rejects(self, table: str) -> str:
+        """Rows that a job has kept out of a table."""
+        return self._table(f"registry/rejects/{table}")
+
     @property
     def search_export(self) -> str:
         return self._table("search_export")

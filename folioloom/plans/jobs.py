@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions.tokens import WordTokenizer
+from folioloom.functions.vectors import vector_ok
 from folioloom.operators import ann, fulltext
 from folioloom.operators.chunks import chunk_rows
 from folioloom.operators.documents import build_documents, normalized
@@ -69,11 +70,22 @@ def chunk(spark: SparkSession, paths: LakePaths, tokenizer=WordTokenizer(), wind
         append(rows, paths.chunks, sort_by=["doc_id", "seq"], balance=False, bloom=["chunk_id"])
 
 
-def embed(spark: SparkSession, paths: LakePaths, encoder) -> None:
+def embed(spark: SparkSession, paths: LakePaths, encoder) -> dict[str, int]:
     """Chunks into embeddings of one model. Chunks are read folder by folder, and embeddings
-    are written to folders of the same keys, so nothing is shuffled."""
-    rows = embed_chunks(scan(spark, paths.chunks, CHUNKS), encoder)
-    append(rows, paths.embeddings, keys=["model", *PARTITION_KEYS], balance=False)
+    are written to folders of the same keys, so nothing is shuffled.
+
+    A vector that is null, of another length than the encoder's, or holds a null or NaN never reaches the table. How many do is
+    observed on the write itself: ``n_chunks, n_written, n_rejected``. Only where some are rejected, a second pass
+    appends their rows to the rejects of the lake.
+    """
+    seen = Observation()
+    rows = embed_chunks(scan(spark, paths.chunks, CHUNKS), encoder).withColumn("fits", vector_ok(F.col("vector"), encoder.dim))
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("n_chunks"), F.count_if("fits").alias("n_written"))
+    append(counted.filter("fits").drop("fits"), paths.embeddings, keys=["model", *PARTITION_KEYS], balance=False)
+    totals = {**seen.get, "n_rejected": seen.get["n_chunks"] - seen.get["n_written"]}
+    if totals["n_rejected"]:
+        rows.filter(~F.col("fits")).drop("fits", "vector").write.mode("append").parquet(paths.rejects("embeddings"))
+    return totals
 
 
 def index_vectors(

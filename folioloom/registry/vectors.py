@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import functions as F
 
 from folioloom.functions import text as tx
@@ -14,8 +16,9 @@ from folioloom.plans import jobs
 from folioloom.registry import inputs as i
 from folioloom.registry.book import query
 from folioloom.registry.inputs import distance_sql, with_ctes
+from folioloom.schemas import CHUNKS, EMBEDDINGS, columns
 from folioloom.session import new_folder
-from folioloom.sources.tables import append
+from folioloom.sources.tables import append, count_rows, scan
 
 N = 10
 CONFIG = ann.IVFPQConfig(n_lists=10, m=8, n_bits=4, dim=i.DIM)
@@ -157,6 +160,33 @@ def embed_query(spark, sf_dir):
     return components(i.query_vectors(spark, sf_dir), "query_id")
 
 
+@dataclass(frozen=True)
+class ShortVectors:
+    """The encoder of the queries, which gives a seventh of the texts, by their length, a vector that lacks a component."""
+
+    dim: int = i.DIM
+    name: str = "short"
+
+    def encode(self, text):
+        whole = i.ENCODER.encode(text)
+        return F.when(F.length(text) % 7 == 0, F.slice(whole, 1, self.dim - 1)).otherwise(whole)
+
+
+@query("embed_totals", with_ctes(["chunks"], """
+    select count(*) as n_chunks, count(*) filter (not short) as n_written, count(*) filter (short) as n_rejected,
+           count(*) filter (not short) as n_stored, count(*) filter (short) as n_kept_out
+    from (select length('passage: ' || text) % 7 = 0 as short from chunks)"""))
+def embed_totals(spark, sf_dir):
+    """The embedding job where some vectors are cut short: its own totals, and the rows of the two tables it writes."""
+    paths = LakePaths(new_folder(spark, "lake"))
+    append(i.chunks(spark, sf_dir).select(*columns(CHUNKS)), paths.chunks)
+    totals = jobs.embed(spark, paths, ShortVectors())
+    stored = count_rows(scan(spark, paths.embeddings, EMBEDDINGS)).select(F.col("n_rows").alias("n_stored"))
+    out = count_rows(spark.read.parquet(paths.rejects("embeddings"))).select(F.col("n_rows").alias("n_kept_out"))
+    names = ["n_chunks", "n_written", "n_rejected"]
+    return stored.select(*[F.lit(totals[n]).cast("bigint").alias(n) for n in names], "n_stored").join(out)
+
+
 CHUNK_HITS = {
     "cv": "select c.chunk_id, c.doc_id, c.year, c.source, e.vector from chunks c join chunk_vec e on e.chunk_id = c.chunk_id",
 }

@@ -38,6 +38,28 @@ def test_tables(lake):
     assert lake.paths.vector_index("one") != lake.paths.vector_index("two")
 
 
+def test_vectors_that_do_not_fit_stay_out_and_are_counted(spark, lake):
+    """Null, short and NaN vectors go to the rejects; the job's totals are those of its one write."""
+    class Odd:
+        dim, name = 64, "odd"
+
+        def encode(self, text):
+            whole = HashEncoder().encode(text)
+            broken = F.transform(whole, lambda x: F.lit(float("nan")).cast("float"))
+            return F.when(text.contains("river"), F.lit(None)).when(text.contains("steam"), F.slice(whole, 1, 3)).when(
+                text.contains("bread"), broken).otherwise(whole)
+
+    good = lake.chunks.filter("NOT text RLIKE 'river|steam|bread'").count()
+    paths = LakePaths(new_folder(spark, "lake"))
+    lake.chunks.write.partitionBy("year", "source").parquet(paths.chunks)
+    n = lake.chunks.count()
+    assert jobs.embed(spark, paths, Odd()) == {"n_chunks": n, "n_written": good, "n_rejected": n - good}
+    assert 0 < good < n and spark.read.parquet(paths.embeddings).count() == good
+    out = spark.read.parquet(paths.rejects("embeddings"))
+    assert out.count() == n - good and {r.model for r in out.collect()} == {"odd"}
+    assert jobs.embed(spark, paths, HashEncoder())["n_rejected"] == 0 and out.count() == n - good
+
+
 def test_document(lake):
     text = lake.get_document_from_doc_id("d6").first().text
     assert text.startswith(TOPICS[2])
