@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom import schemas
@@ -17,9 +17,6 @@ from folioloom.sources import blobs
 from folioloom.sources.tables import scan
 
 
-# Hits of one search that are kept as local rows; more stay where they are.
-MAX_HITS = 10_000
-
 
 class CorpusLake:
     """Lookups, semantic search and full-text search. Every method returns a DataFrame.
@@ -99,25 +96,21 @@ class CorpusLake:
         asked = self.spark.sql("SELECT 0 AS query_id, :q AS text", args={"q": query})
         return embed_queries(asked, self.encoder)
 
-    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int, refine: int = 0) -> tuple[DataFrame, Column, bool]:
-        """The hits of one query as local rows, and a filter for the folders they are in.
+    def _top(self, asked: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int, refine: int = 0) -> DataFrame:
+        """The hits of one query, written to the shared folder.
 
-        The hits are no more than n rows. Run here once, they are not searched for again in
-        every branch of a plan that uses them, and their folders are known to the planner. Beyond
-        MAX_HITS they are written to the shared folder instead. Also says whether they are few.
+        So they are not searched for again in every branch of a plan that uses them. What is joined with them by year and source
+        leaves out the folders without a hit while it runs, however many hits there are.
         """
         if refine:
             vectors = self.embeddings.filter(F.col("model") == self.encoder.name)
             hits = ann.refined_search(self.vector_index, vectors, asked, n, year_min, year_max, n_probe, refine)
         else:
             hits = ann.search(self.vector_index, asked, n, year_min, year_max, n_probe)
-        if n > MAX_HITS:
-            kept = new_folder(self.spark, "hits")
-            hits.write.parquet(kept)
-            return self.spark.read.schema(hits.schema).parquet(kept), F.lit(True), False
-        rows = hits.toArrow()
-        years, sources = (sorted(set(rows[c].to_pylist())) for c in ("year", "source"))
-        return self.spark.createDataFrame(rows), F.col("year").isin(years) & F.col("source").isin(sources), True
+        kept = new_folder(self.spark, "hits")
+        hits.write.parquet(kept)
+        # Spark prunes by a side that has a condition.
+        return self.spark.read.schema(hits.schema).parquet(kept).filter(F.col("rank") <= n)
 
     def search(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None,
@@ -127,22 +120,22 @@ class CorpusLake:
         with their chunk, nearest first; ``pad`` fills up to n places. ``refine`` ranks that many times n
         candidates by their stored vectors."""
         asked = self.query_vectors(query)
-        hits, folders, few = self._top(asked, n, year_min, year_max, n_probe, refine)
+        hits = self._top(asked, n, year_min, year_max, n_probe, refine)
         if with_text:
-            return semantic.chunks_of_hits(self.chunks.filter(folders), hits, few=few)
+            return semantic.chunks_of_hits(self.chunks, hits)
         if pad:
             labelled = semantic.pad_hits(hits, asked, n)
         else:
-            labelled = hits.select("rank", F.col("distance").alias("distances"), F.col("faiss_id").alias("labels"), "chunk_id")
-        found = semantic.attach_meta(labelled, self.vector_meta.filter(folders), few=few)
+            labelled = hits.select("rank", F.col("distance").alias("distances"), F.col("faiss_id").alias("labels"), "chunk_id", "year", "source")
+        found = semantic.attach_meta(labelled, self.vector_meta)
         return found.orderBy("rank").select("distances", "labels", *semantic.META)
 
     def search_with_text(
         self, query: str, n: int = 10, year_min: int | None = None, year_max: int | None = None, n_probe: int = 64,
     ) -> DataFrame:
         """Chunks nearest in meaning with text, rank and distance, nearest first."""
-        hits, folders, few = self._top(self.query_vectors(query), n, year_min, year_max, n_probe)
-        return semantic.hits_with_text(self.chunks.filter(folders), hits, few=few).orderBy("rank")
+        hits = self._top(self.query_vectors(query), n, year_min, year_max, n_probe)
+        return semantic.hits_with_text(self.chunks, hits).orderBy("rank")
 
     # full-text search
 

@@ -24,13 +24,15 @@ def exact_search(
 
 
 def pad_hits(hits: DataFrame, queries: DataFrame, n: int) -> DataFrame:
-    """Exactly n places per query: ``query_id, rank, distances, labels, chunk_id``; empty ones have label -1 and no chunk."""
+    """Exactly n places per query: ``query_id, rank, distances, labels, chunk_id``, and year and source where the hits have them; empty ones
+    have label -1 and no chunk."""
+    folder = [c for c in ("year", "source") if c in hits.columns]
     places = queries.select("query_id").distinct().select("query_id", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("rank"))
-    return places.join(hits.select("query_id", "rank", "distance", "faiss_id", "chunk_id"), ["query_id", "rank"], "left").select(
+    return places.join(hits.select("query_id", "rank", "distance", "faiss_id", "chunk_id", *folder), ["query_id", "rank"], "left").select(
         "query_id", "rank",
         F.coalesce("distance", F.lit(NO_DISTANCE).cast("float")).alias("distances"),
         F.coalesce("faiss_id", F.lit(NO_LABEL).cast("bigint")).alias("labels"),
-        "chunk_id",
+        "chunk_id", *folder,
     )
 
 
@@ -39,12 +41,13 @@ def attach_meta(hits: DataFrame, meta: DataFrame, few: bool = False) -> DataFram
     since several chunks may share a label.
 
     The metadata is cut down to the labels first, so that what the hits are joined with has
-    no more rows than they. ``few`` states that the hits are a bounded top-n of few queries,
-    which lets every task filter its part of the metadata without a shuffle.
+    no more rows than they; hits with year and source leave out all folders but theirs. ``few`` states that the hits are a bounded
+    top-n of few queries, which lets every task filter its part of the metadata without a shuffle.
     """
-    wanted = hits.select("chunk_id").distinct()
-    found = meta.join(F.broadcast(wanted) if few else wanted, "chunk_id", "left_semi")
-    return hits.join(found.drop("faiss_id"), "chunk_id", "left")
+    keys = [c for c in ("chunk_id", "year", "source") if c in hits.columns]
+    wanted = hits.select(*keys).distinct()
+    found = meta.join(F.broadcast(wanted) if few else wanted, keys, "left_semi")
+    return hits.drop("year", "source").join(found.drop("faiss_id"), "chunk_id", "left")
 
 
 def chunks_of_hits(chunks: DataFrame, hits: DataFrame, few: bool = False) -> DataFrame:

@@ -97,6 +97,14 @@ def test_semantic_search(lake):
     assert [r["rank"] for r in ranked] == [1, 2, 3, 4, 5] and [r.chunk_id for r in ranked] == [r.chunk_id for r in rows]
 
 
+def test_searches_open_the_folders_of_their_hits_only(lake):
+    """Year and source of the hits prune the folders while the query runs, for any number of hits."""
+    for answer in (lake.search("iron", n=3, n_probe=4), lake.search("iron", n=3, n_probe=4, with_text=False),
+                   lake.search("iron", n=20_000, n_probe=4), lake.search_with_text("iron", n=3, n_probe=4)):
+        assert "dynamicpruning" in answer._jdf.queryExecution().executedPlan().toString()
+    assert lake.search("iron", n=20_000, n_probe=4).count() == lake.chunks.count()
+
+
 def test_semantic_search_in_years(lake):
     rows = lake.search("steam train engine", n=50, year_min=1800, year_max=1804, n_probe=4, with_text=False, pad=True).collect()
     inside = lake.chunks.filter("year BETWEEN 1800 AND 1804").count()
