@@ -1,12 +1,15 @@
-"""Full-text search over an inverted index kept as tables: postings, terms, blocks, documents, corpus.
+"""Full-text search over an inverted index kept as tables: segments, postings, terms, corpus, files.
 
-Stored postings lie in the order of (term, place of the chunk), cut into files by sampled ranges; a small table holds the first
-and last of each file. A search looks there first and opens the files of its terms only. Blocks are ranges of places, the same for
-all terms, with the highest score a term has there: a page of the best chunks leaves out blocks that cannot reach it.
+A segment is a bounded number of chunks that one task reads one after another. Its chunks are numbered and stored once; each of its terms
+has one row, with the numbers, frequencies and positions of its postings as bytes. One pass over the texts writes them. The rows of terms
+are then put in the order of (term, segment), cut into files by sampled ranges; a small table holds the first and last of each file. A search
+looks there first and opens the files of its terms only. Postings are put together with their chunks by segment. Blocks are ranges of places,
+the same for all terms, with the highest score a term has there: a page of the best chunks leaves out blocks that cannot reach it.
 """
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -14,11 +17,11 @@ from operator import or_
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.operators.lookup import source_clause, year_clause
-from folioloom.schemas import SEARCH_DOCUMENT, TEXT_BLOCKS, TEXT_CORPUS, TEXT_DOCS, TEXT_FILES, TEXT_POSTINGS, TEXT_TERMS, columns
+from folioloom.schemas import SEARCH_DOCUMENT, TEXT_CORPUS, TEXT_DOCS, TEXT_FILES, TEXT_LISTS, TEXT_POSTINGS, TEXT_SEGMENTS, TEXT_TERMS, columns
 from folioloom.sources.tables import exists, scan
 
 # The analyzer's token class and length limit, and the BM25 constants.
@@ -31,13 +34,23 @@ SCORE_DIGITS = 6
 # A chunk's place: the first hex digits of the digest of its id. A block shares so many of them that it holds PER_BLOCK chunks or more.
 PLACE_DIGITS = 8
 PER_BLOCK = 4
-# Terms in fewer chunks have no stored blocks; their few postings are looked at instead.
+# A ranked page of terms with fewer postings scores all of them; blocks are only worth their while beyond that.
 FREQUENT = 1_024
 # Scores are rounded; a block that comes this near the page is read.
 SLACK = 2 * 10.0 ** -SCORE_DIGITS
 
 STORED = ["chunk_id", "doc_id", "year", "source"]
 
+# What a score needs of a posting.
+SCORED = ["term", *STORED, "tf", "doc_len"]
+
+# A segment is closed at so many tokens. Chunks come to it in slices of so many rows, and their numbers fit two bytes.
+SEGMENT_TOKENS = 1 << 22
+SLICE_ROWS = 4_096
+SEGMENT_ROWS = 1 << 16
+# Rows of one batch that postings come back in.
+UNPACKED_ROWS = 1 << 16
+
 
 @dataclass(frozen=True)
 class TextIndex:
@@ -45,8 +58,9 @@ class TextIndex:
     terms: DataFrame
     docs: DataFrame
     corpus: DataFrame
-    blocks: DataFrame
-    # Of a stored index: the range of terms in each file, and the folder.
+    # Of a stored index: the chunks of all segments by number, their terms, the range of terms in each file, and the folder.
+    chunks: DataFrame | None = None
+    lists: DataFrame | None = None
     files: DataFrame | None = None
     path: str | None = None
 
@@ -81,8 +95,11 @@ def strict_rows(rows: DataFrame, extra_ok: bool = True) -> tuple[DataFrame, Data
     if unknown and not extra_ok:
         raise ValueError(f"unknown fields {unknown}")
     typed = rows.select(*wanted).withColumn("year", F.col("year").cast("bigint"))
-    whole = F.col("chunk_id").isNotNull() & F.col("year").isNotNull()
-    return typed.filter(whole), typed.filter(~whole)
+    return typed.filter(is_whole()), typed.filter(~is_whole())
+
+
+def is_whole() -> Column:
+    return F.col("chunk_id").isNotNull() & F.col("year").isNotNull()
 
 
 def analyzed(chunks: DataFrame) -> DataFrame:
@@ -100,40 +117,164 @@ def occurrences(chunks: DataFrame) -> DataFrame:
         *STORED, "pos", F.lower("run").alias("term"))
 
 
+def _chunk_terms(chunks: DataFrame) -> DataFrame:
+    """Per chunk its stored fields, length, place, and its terms in their order, with null for an over-long run."""
+    terms = F.transform("runs", lambda r: F.when(short_enough(r), F.lower(r)))
+    place = F.substring(F.sha2("chunk_id", 256), 1, PLACE_DIGITS)
+    return analyzed(chunks).select(*STORED, "doc_len", place.alias("place"), terms.alias("terms"))
+
+
 def postings(chunks: DataFrame) -> DataFrame:
     """One row per term and chunk, with positions. Narrow: no shuffle.
 
     All tokens of a chunk are in its row, so they are grouped inside the task, batch by
     batch. Grouping token rows with ``collect_list`` gives the same at four times the cost,
-    most of it for sorting and shuffling them.
+    most of it for sorting and shuffling them. What all postings of a chunk share goes to Python and back once.
     """
-    place = F.substring(F.sha2("chunk_id", 256), 1, PLACE_DIGITS)
-    rows = analyzed(chunks).select(*STORED, "doc_len", "runs", F.transform("runs", F.lower).alias("terms"), place.alias("place"))
-    return rows.mapInArrow(_group_tokens, TEXT_POSTINGS)
+    rows = _chunk_terms(chunks)
+    fields = "ARRAY<STRUCT<term: STRING, tf: INT, positions: ARRAY<INT>>>"
+    head = [*STORED, "doc_len", "place"]
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*head).schema)
+    return rows.mapInArrow(_group_tokens, f"{kept}, entries {fields}").select(*head, F.inline("entries")).select(*columns(TEXT_POSTINGS))
+
+
+def _tokens(terms: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, position and code of every term in a list of lists, and the terms of the codes; nulls have a position only."""
+    lengths = np.diff(terms.offsets.to_numpy())
+    row = np.repeat(np.arange(len(terms)), lengths)
+    pos = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    coded = terms.flatten().dictionary_encode()
+    known = coded.indices.is_valid().to_numpy(zero_copy_only=False)
+    code = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)
+    return row[known], pos[known], code[known].astype(np.int64), coded.dictionary
+
+
+def _cuts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, int)
 
 
 def _group_tokens(batches):
     for batch in batches:
-        terms = batch["terms"]
-        lengths = np.diff(terms.offsets.to_numpy())
-        row = np.repeat(np.arange(len(terms)), lengths)
-        pos = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        coded = terms.flatten().dictionary_encode()
-        short = pc.less(pc.binary_length(batch["runs"].flatten()), MAX_TOKEN_BYTES).to_numpy(zero_copy_only=False)
-        row, pos, code = row[short], pos[short], coded.indices.to_numpy(zero_copy_only=False)[short]
-        group = row.astype(np.int64) * max(1, len(coded.dictionary)) + code
+        row, pos, code, words = _tokens(batch["terms"])
+        group = row * max(1, len(words)) + code
         order = np.argsort(group, kind="stable")  # positions of one group stay in order
-        group = group[order]
-        bounds = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True]) if len(group) else np.zeros(1, int)
+        bounds = _cuts(group[order])
         first = order[bounds[:-1]]
-        head = batch.select([*STORED, "doc_len", "place"]).take(pa.array(row[first]))
-        columns_of = dict(zip(head.schema.names, head.columns))
-        columns_of["term"] = coded.dictionary.take(pa.array(code[first]))
-        columns_of["tf"] = pa.array(np.diff(bounds).astype(np.int32))
-        columns_of["positions"] = pa.ListArray.from_arrays(
-            pa.array(bounds.astype(np.int32)), pa.array(pos[order].astype(np.int32)))
-        names = columns(TEXT_POSTINGS)
-        yield pa.RecordBatch.from_arrays([columns_of[n] for n in names], names=names)
+        places = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(pos[order].astype(np.int32)))
+        entries = pa.StructArray.from_arrays(
+            [words.take(pa.array(code[first])), pa.array(np.diff(bounds).astype(np.int32)), places], names=["term", "tf", "positions"])
+        ends = np.r_[0, np.cumsum(np.bincount(row[first], minlength=batch.num_rows))].astype(np.int32)
+        head = batch.select([*STORED, "doc_len", "place"])
+        yield pa.RecordBatch.from_arrays(
+            [*head.columns, pa.ListArray.from_arrays(pa.array(ends), entries)], names=[*head.schema.names, "entries"])
+
+
+# --- segments -----------------------------------------------------------------------------
+
+
+def segments(chunks: DataFrame) -> DataFrame:
+    """Rows of TEXT_SEGMENTS: of each segment its chunks and its terms. Narrow: no shuffle."""
+    return _chunk_terms(chunks).mapInArrow(_to_segments, TEXT_SEGMENTS)
+
+
+def _to_segments(batches):
+    held, rows, tokens = [], 0, 0
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLICE_ROWS):
+            part = batch.slice(low, SLICE_ROWS)
+            if rows + part.num_rows > SEGMENT_ROWS or tokens >= SEGMENT_TOKENS:
+                yield from _segment(pa.Table.from_batches(held))
+                held, rows, tokens = [], 0, 0
+            held.append(part)
+            rows, tokens = rows + part.num_rows, tokens + len(part["terms"].flatten())
+    if held:
+        yield from _segment(pa.Table.from_batches(held))
+
+
+def _segment(rows: pa.Table):
+    """The chunks of one segment, and its terms with their postings by number of the chunk."""
+    # One task writes a segment as a whole, so an id that another attempt gives anew does no harm.
+    block = int.from_bytes(os.urandom(8), "little") >> 1
+    every = np.arange(rows.num_rows)
+    fields = {c: rows[c].combine_chunks() for c in [*STORED, "doc_len", "place"]}
+    yield _segment_rows(rows.num_rows, block, number=pa.array(every, pa.int32()), **fields)
+    row, pos, code, words = _tokens(pa.concat_arrays(rows["terms"].chunks))
+    key = code * rows.num_rows + row
+    order = np.argsort(key, kind="stable")
+    bounds = _cuts(key[order])
+    first = order[bounds[:-1]]
+    lists = _cuts(code[first])
+    if len(lists) > 1:
+        steps = np.diff(row[first], prepend=0)
+        steps[lists[:-1]] = row[first][lists[:-1]]
+        yield _segment_rows(
+            len(lists) - 1, block, term=words.take(pa.array(code[first][lists[:-1]])), n=pa.array(np.diff(lists), pa.int32()),
+            steps=_packed(steps, lists), tf=_packed(np.diff(bounds), lists), positions=_packed(pos[order], bounds[lists]))
+
+
+def _segment_rows(rows: int, block: int, **given) -> pa.RecordBatch:
+    given["block"] = pa.array(np.full(rows, block), pa.int64())
+    given["kind"] = pa.array(["terms" if "term" in given else "chunks"] * rows)
+    kinds = {"term": pa.string(), "n": pa.int32(), "steps": pa.binary(), "tf": pa.binary(), "positions": pa.binary(), "number": pa.int32(),
+             "chunk_id": pa.string(), "doc_id": pa.string(), "year": pa.int64(), "source": pa.string(), "doc_len": pa.int32(), "place": pa.string()}
+    names = columns(TEXT_SEGMENTS)
+    return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(rows, kinds[c]) for c in names], names=names)
+
+
+def _packed(numbers: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Numbers between the bounds as bytes, all of one width: the least that the largest fits."""
+    small = numbers.astype(np.min_scalar_type(int(numbers.max())))
+    offsets = pa.py_buffer((bounds * small.itemsize).astype(np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(small.tobytes())])
+
+
+def _unpacked(column: pa.ChunkedArray, count: int) -> np.ndarray:
+    held = b"".join(column.to_pylist())
+    return np.frombuffer(held, dtype=f"<u{len(held) // count}").astype(np.int64)
+
+
+def unpacked(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
+    """Postings with the ``wanted`` columns of TEXT_POSTINGS, of terms of segments, in such of ``chunks`` (``block, number`` and what is wanted).
+
+    Both meet by segment, which is bounded.
+    """
+    names = columns(TEXT_POSTINGS)
+    schema = ", ".join(f for f, name in zip(TEXT_POSTINGS.split(", "), names) if name in wanted)
+
+    def run(listed: pa.Table, found: pa.Table) -> pa.Table:
+        n = listed["n"].to_numpy().astype(np.int64)
+        total = int(n.sum()) if found.num_rows else 0
+        if not total:
+            at = keep = row = tf = np.zeros(0, np.int64)
+        else:
+            tf, passed = _unpacked(listed["tf"], total), np.cumsum(_unpacked(listed["steps"], total))
+            # steps begin anew in each row
+            ends = np.cumsum(n)
+            at = passed - np.repeat(np.r_[0, passed[ends[:-1] - 1]], n)
+            number = found["number"].to_numpy()
+            place = np.full(max(int(at.max()), int(number.max())) + 1, -1)
+            place[number] = np.arange(len(number))
+            keep = np.flatnonzero(place[at] >= 0)
+            row, at = np.repeat(np.arange(len(n)), n)[keep], place[at][keep]
+        out = {}
+        for name in [c for c in names if c in wanted]:
+            if name == "term":
+                out[name] = listed["term"].take(pa.array(row))
+            elif name == "tf":
+                out[name] = pa.array(tf[keep], pa.int32())
+            elif name == "positions":
+                ends = np.r_[0, np.cumsum(tf)]
+                held = _unpacked(listed["positions"], int(ends[-1])) if total else np.zeros(0, np.int64)
+                out[name] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(held, pa.int32())).take(pa.array(keep))
+            else:
+                out[name] = found[name].take(pa.array(at))
+        whole = pa.table(out)
+        return pa.Table.from_batches(whole.to_batches(max_chunksize=UNPACKED_ROWS), whole.schema)
+
+    lists = terms.select("block", "term", "n", "steps", "tf", *[c for c in ("positions",) if c in wanted])
+    held = chunks.select("block", "number", *[c for c in wanted if c in (*STORED, "doc_len", "place")])
+    return lists.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(run, schema)
 
 
 def text_docs(chunks: DataFrame) -> DataFrame:
@@ -161,64 +302,62 @@ def in_block(digits: Column) -> Column:
     return F.substring("place", F.lit(1), digits)
 
 
-def text_blocks(posted: DataFrame, terms: DataFrame, corpus: DataFrame) -> DataFrame:
-    """Per frequent term and block: its postings there and their highest impact."""
-    figures = corpus.select(F.struct("avg_len", "digits").alias("c"))
-    frequent = terms.filter(F.col("df") >= FREQUENT).select("term")
-    rows = posted.select("term", "place", "tf", "doc_len").join(frequent, "term", "left_semi").withColumn("c", figures.scalar())
-    return rows.groupBy("term", in_block(F.col("c.digits")).alias("block")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(impact(F.col("c.avg_len"))).alias("best"))
-
-
 def index_of(chunks: DataFrame) -> TextIndex:
     """The index of ``chunks`` as lazy tables."""
     posted, docs = postings(chunks), text_docs(chunks)
-    terms, corpus = text_terms(posted), text_corpus(docs)
-    return TextIndex(posted, terms, docs, corpus, text_blocks(posted, terms, corpus))
+    return TextIndex(posted, text_terms(posted), docs, text_corpus(docs))
 
 
 def write_text_index(chunks: DataFrame, path: str) -> None:
     """The index as tables under ``path``; rows without id or year go to ``rejects`` there.
 
-    Postings are cut by sampled ranges of (term, place), so that the files of a term lie next to each other and a frequent term
-    has as many as its bytes ask for.
+    The texts are read once. How many rows are rejected is observed on that pass; only where some are, a second one writes them.
     """
     spark = chunks.sparkSession
-    strict_rows(chunks)[1].write.mode("overwrite").parquet(f"{path}/rejects")
-    text_docs(chunks).write.mode("overwrite").parquet(f"{path}/docs")
-    text_corpus(scan(spark, f"{path}/docs", TEXT_DOCS)).write.mode("overwrite").parquet(f"{path}/corpus")
-    order = ["term", "place", "chunk_id"]
-    ranged = postings(chunks).repartitionByRange(*order).sortWithinPartitions(*order)
+    seen = Observation()
+    rows = chunks.observe(seen, F.count_if(~is_whole()).alias("n_rejected"))
+    written = segments(rows).sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind")
+    written.option("compression", "zstd").parquet(f"{path}/segments")
+    bad = strict_rows(chunks)[1] if seen.get["n_rejected"] else spark.createDataFrame([], SEARCH_DOCUMENT)
+    bad.write.mode("overwrite").parquet(f"{path}/rejects")
+    listed = _kind(spark, path, "terms").select(*columns(TEXT_LISTS))
+    ranged = listed.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
     ranged.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
-    stored = scan(spark, f"{path}/postings", TEXT_POSTINGS)
-    text_terms(stored).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
     index = read_text_index(spark, path)
-    text_blocks(stored, index.terms, index.corpus).sort("term", "block").write.mode("overwrite").parquet(f"{path}/blocks")
+    index.lists.groupBy("term").agg(F.sum("n").alias("df")).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
+    text_corpus(index.docs).write.mode("overwrite").parquet(f"{path}/corpus")
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    ends = spark.read.schema(TEXT_POSTINGS).parquet(f"{path}/postings").groupBy(name.alias("file")).agg(
-        F.min(F.struct("term", "place")).alias("first"), F.max(F.struct("term", "place")).alias("last"))
-    ends.select("file", F.col("first.term").alias("first_term"), F.col("last.term").alias("last_term"), F.col("first.place").alias("first_place"),
-                F.col("last.place").alias("last_place")).sort("first_term", "first_place").write.mode("overwrite").parquet(f"{path}/files")
+    ends = spark.read.schema(TEXT_LISTS).parquet(f"{path}/postings").groupBy(name.alias("file")).agg(
+        F.min(F.struct("term", "block")).alias("first"), F.max(F.struct("term", "block")).alias("last"))
+    ends.select("file", F.col("first.term").alias("first_term"), F.col("last.term").alias("last_term"), F.col("first.block").alias("first_place"),
+                F.col("last.block").alias("last_place")).sort("first_term", "first_place").write.mode("overwrite").parquet(f"{path}/files")
+
+
+def _kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    return scan(spark, f"{path}/segments", TEXT_SEGMENTS).filter(F.col("kind") == kind)
 
 
 def read_text_index(spark: SparkSession, path: str) -> TextIndex:
-    tables = {"postings": TEXT_POSTINGS, "terms": TEXT_TERMS, "docs": TEXT_DOCS, "corpus": TEXT_CORPUS, "blocks": TEXT_BLOCKS, "files": TEXT_FILES}
-    # Lazily and with given schemas, so that tables may be written later.
-    found = {name: scan(spark, f"{path}/{name}", schema) for name, schema in tables.items() if exists(spark, f"{path}/{name}")}
-    return TextIndex(**{name: found.get(name) for name in tables}, path=path)
+    """The stored index, lazily and with given schemas; tables that are not written yet are None."""
+    tables = {"lists": ("postings", TEXT_LISTS), "terms": ("terms", TEXT_TERMS), "corpus": ("corpus", TEXT_CORPUS), "files": ("files", TEXT_FILES)}
+    found = {name: scan(spark, f"{path}/{folder}", schema) if exists(spark, f"{path}/{folder}") else None for name, (folder, schema) in tables.items()}
+    if found["lists"] is None:
+        return TextIndex(postings=None, docs=None, path=path, **found)
+    chunks = _kind(spark, path, "chunks").select("block", "number", *STORED, "doc_len", "place")
+    posted = unpacked(found["lists"], chunks, columns(TEXT_POSTINGS))
+    return TextIndex(posted, docs=chunks.select(*columns(TEXT_DOCS)), chunks=chunks, path=path, **found)
 
 
 def postings_of(index: TextIndex, terms: set[str]) -> DataFrame:
-    """Postings of some terms. Of a stored index only the files that hold one of the terms are opened."""
+    """Postings of some terms. Of a stored index the terms of its segments, still packed, and only the files that hold one of them are opened."""
     wanted = F.col("term").isin(sorted(terms))
     if index.files is None:
         return index.postings.filter(wanted)
     within = reduce(or_, ((F.col("first_term") <= t) & (F.col("last_term") >= t) for t in sorted(terms)), F.lit(False))
     names = sorted(r.file for r in index.files.filter(within).select("file").collect())
     if not names:
-        return index.postings.limit(0)
-    folder = f"{index.path}/postings"
-    rows = index.postings.sparkSession.read.schema(TEXT_POSTINGS).parquet(*[f"{folder}/{name}" for name in names])
+        return index.lists.limit(0)
+    rows = index.lists.sparkSession.read.schema(TEXT_LISTS).parquet(*[f"{index.path}/postings/{name}" for name in names])
     return rows.filter(wanted)
 
 
@@ -228,10 +367,18 @@ def query_terms(spark: SparkSession, query: str) -> list[tuple[int, str]]:
     return [(t["pos"], t["term"]) for t in row["t"]]
 
 
-def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources) -> DataFrame:
-    """Postings of the terms under the filters, which hold for the whole query."""
-    hit = postings_of(index, terms)
-    return source_clause(year_clause(hit, year_from, year_to), sources)
+def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources, blocks: DataFrame | None = None, wanted: list[str] | None = None) -> DataFrame:
+    """Postings of the terms under the filters, which hold for the whole query, and in the ``blocks`` if they are given."""
+    def kept(rows: DataFrame) -> DataFrame:
+        rows = source_clause(year_clause(rows, year_from, year_to), sources)
+        if blocks is None:
+            return rows
+        placed = rows.withColumn("digits", index.corpus.select("digits").scalar()).withColumn("of_block", in_block(F.col("digits")))
+        return placed.join(blocks.select(F.col("block").alias("of_block")), "of_block", "left_semi").drop("digits", "of_block")
+
+    if index.files is None:
+        return kept(postings_of(index, terms))
+    return unpacked(postings_of(index, terms), kept(index.chunks), wanted or columns(TEXT_POSTINGS))
 
 
 def raw_match(chunks: DataFrame, field: str, value: str) -> DataFrame:
@@ -249,7 +396,7 @@ def match(
     if mode not in ("any", "all"):
         raise ValueError("mode is 'any' or 'all'")
     terms = {t for _, t in query_terms(index.postings.sparkSession, query)}
-    found = _posted(index, terms, year_from, year_to, sources).groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_terms"))
+    found = _posted(index, terms, year_from, year_to, sources, wanted=["term", *STORED]).groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_terms"))
     return found.filter(F.col("n_terms") == len(terms)) if mode == "all" else found
 
 
@@ -264,7 +411,7 @@ def phrase(
         return index.docs.select(*STORED, F.lit(0).cast("bigint").alias("n_places")).limit(0)
     # as many rows as the query has words
     offsets = F.broadcast(spark.createDataFrame(asked, "offset INT, term STRING"))
-    hit = _posted(index, {t for _, t in asked}, year_from, year_to, sources).join(offsets, "term")
+    hit = _posted(index, {t for _, t in asked}, year_from, year_to, sources, wanted=["term", *STORED, "positions"]).join(offsets, "term")
     starts = hit.select(*STORED, F.explode(F.transform("positions", lambda p: p - F.col("offset"))).alias("start"))
     whole = starts.groupBy(*STORED, "start").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(asked))
     return whole.groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_places"))
@@ -280,7 +427,7 @@ def bm25(
     that ties do not depend on the order in which a task adds terms up.
     """
     known = _weighted(index, query)
-    hit = _posted(index, {t for t, *_ in known}, year_from, year_to, sources)
+    hit = _posted(index, {t for t, *_ in known}, year_from, year_to, sources, wanted=SCORED)
     return _scores(index, hit, known)
 
 
@@ -307,15 +454,14 @@ def _scores(index: TextIndex, hit: DataFrame, known: list[tuple[str, int, int]])
 
 
 def block_bounds(index: TextIndex, known: list[tuple[str, int, int]]) -> DataFrame:
-    """Per block with a term of the query the highest score that a chunk in it can have: ``block, bound``."""
-    frequent = [t for t, _, df in known if df >= FREQUENT]
-    rare = {t for t, _, df in known if df < FREQUENT}
-    listed = index.blocks.filter(F.col("term").isin(frequent)).select("term", "block", "best")
+    """Per block with a term of the query the highest score that a chunk in it can have: ``block, bound``.
+
+    Of the chunks only places and lengths are read.
+    """
     figures = index.corpus.select(F.struct("avg_len", "digits").alias("c"))
-    few = postings_of(index, rare).select("term", "place", "tf", "doc_len").withColumn("c", figures.scalar())
-    few = few.groupBy("term", in_block(F.col("c.digits")).alias("block")).agg(F.max(impact(F.col("c.avg_len"))).alias("best"))
-    rows = _with_weight(index, listed.unionByName(few), known)
-    return rows.groupBy("block").agg(F.sum(F.col("weight") * F.col("best")).alias("bound"))
+    rows = _posted(index, {t for t, *_ in known}, None, None, None, wanted=["term", "tf", "doc_len", "place"]).withColumn("c", figures.scalar())
+    best = rows.groupBy("term", in_block(F.col("c.digits")).alias("block")).agg(F.max(impact(F.col("c.avg_len"))).alias("best"))
+    return _with_weight(index, best, known).groupBy("block").agg(F.sum(F.col("weight") * F.col("best")).alias("bound"))
 
 
 def score_to_reach(index: TextIndex, query: str, wanted: int, **filters) -> tuple[list, DataFrame, float]:
@@ -332,9 +478,7 @@ def score_to_reach(index: TextIndex, query: str, wanted: int, **filters) -> tupl
 
 
 def _in_blocks(index: TextIndex, known: list, blocks: DataFrame, filters: dict) -> DataFrame:
-    hit = _posted(index, {t for t, *_ in known}, **{"year_from": None, "year_to": None, "sources": None, **filters})
-    hit = hit.withColumn("digits", index.corpus.select("digits").scalar()).withColumn("block", in_block(F.col("digits")))
-    return hit.join(blocks.select("block"), "block", "left_semi")
+    return _posted(index, {t for t, *_ in known}, **{"year_from": None, "year_to": None, "sources": None, **filters}, blocks=blocks, wanted=SCORED)
 
 
 def ranked_page(
@@ -343,9 +487,11 @@ def ranked_page(
 ) -> DataFrame:
     """A page of the chunks with the highest BM25 score, the same as of the whole ranking: stored fields in order.
 
-    Blocks whose chunks cannot reach the page are left out before anything in them is scored.
+    Blocks whose chunks cannot reach the page are left out before anything in them is scored. Terms with few postings are scored whole.
     """
     filters = {"year_from": year_from, "year_to": year_to, "sources": sources}
+    if sum(df for *_, df in _weighted(index, query)) < FREQUENT:
+        return page(bm25(index, query, **filters), offset, limit, by_score=True)
     known, bounds, least = score_to_reach(index, query, offset + limit, **filters)
     reaching = bounds.filter(F.col("bound") >= least - SLACK)
     return page(_scores(index, _in_blocks(index, known, reaching, filters), known), offset, limit, by_score=True)

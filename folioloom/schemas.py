@@ -46,9 +46,16 @@ TEXT_POSTINGS = (
 
 TEXT_TERMS = "term STRING, df BIGINT"
 
-TEXT_BLOCKS = "term STRING, block STRING, n BIGINT, best DOUBLE"
+# Rows of kind "chunks" (number to place) and of kind "terms" (term to positions) of each segment, or block.
+TEXT_SEGMENTS = (
+    "block BIGINT, term STRING, n INT, steps BINARY, tf BINARY, positions BINARY, number INT, chunk_id STRING, doc_id STRING, "
+    "year BIGINT, source STRING, doc_len INT, place STRING, kind STRING"
+)
+
+# A term of a segment: its n postings as steps from chunk to chunk, frequencies, and the positions of all of them.
+TEXT_LISTS = "term STRING, block BIGINT, n INT, steps BINARY, tf BINARY, positions BINARY"
 
-TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place STRING, last_place STRING"
+TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place BIGINT, last_place BIGINT"
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 

@@ -166,3 +166,38 @@ def test_rejects_are_written(spark, chunks):
     ft.write_text_index(chunks.withColumn("year", F.when(F.col("chunk_id") != "c2", F.col("year"))), path)
     assert ids(spark.read.parquet(f"{path}/rejects")) == ["c2"]
     assert ids(ft.match(ft.read_text_index(spark, path), "sea")) == ["c1", "c3"]
+
+
+def test_a_stored_posting_takes_few_bytes_and_keeps_copies_of_a_chunk(spark):
+    """Stored fields lie with the chunk, not with each of its postings; segments end inside a task, and a chunk that comes twice stays twice."""
+    import random
+
+    from folioloom.session import new_folder, stored_bytes
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(f"{rng.getrandbits(256):064x}", f"d{i}", 1800, "s", " ".join(rng.choices(words, k=60))) for i in range(3000)]
+    rows += rows[:5]
+    path = new_folder(spark, "text-index")
+    ft.write_text_index(spark.createDataFrame(rows, CHUNK).coalesce(1), path)
+    index = ft.read_text_index(spark, path)
+    n = index.terms.agg(F.sum("df")).first()[0]
+    assert stored_bytes(spark, f"{path}/postings") < 8 * n
+    whole = ft.postings(spark.createDataFrame(rows, CHUNK))
+    assert whole.exceptAll(index.postings).count() == 0 and index.postings.exceptAll(whole).count() == 0
+
+
+def test_segments_are_bounded(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ft, "SLICE_ROWS", 2)
+    monkeypatch.setattr(ft, "SEGMENT_TOKENS", 6)
+    texts = [["a", "b", "a"], [None, "b"], [], ["c"] * 300, ["a"]]
+    batch = pa.RecordBatch.from_pydict({
+        "chunk_id": list("vwxyz"), "doc_id": ["d"] * 5, "year": pa.array([1] * 5, pa.int64()), "source": ["s"] * 5, "doc_len": pa.array([3, 1, 0, 300, 1], pa.int32()),
+        "place": list("vwxyz"), "terms": pa.array(texts, pa.list_(pa.string()))})
+    out = pa.Table.from_batches([*ft._to_segments([batch])]).to_pylist()
+    assert len({r["block"] for r in out}) == 2
+    assert [(r["number"], r["chunk_id"]) for r in out if r["kind"] == "chunks"] == [(0, "v"), (1, "w"), (2, "x"), (3, "y"), (0, "z")]
+    last = next(r for r in out if r["term"] == "c")
+    assert (last["n"], last["steps"], len(last["positions"])) == (1, b"\x03", 600)
