@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioloom.functions.text import content_digest
 from folioloom.functions.tokens import WordTokenizer
@@ -127,16 +128,12 @@ def vocabulary(texts: DataFrame, text: str = "text") -> DataFrame:
 def detokenize(rows: DataFrame, key: str, tokens: str, vocab: DataFrame) -> DataFrame:
     """Text of each row's ids, looked up in a vocabulary: ``key, text``.
 
-    ``key`` is unique. Frequent words are cut into slices for the lookup; a row's words come
-    together again by key. Of two words under one id the first in order is taken.
+    ``key`` is unique. Rows look up their distinct ids slice by slice, so the places of the words do not
+    move one by one. Of two words under one id the first in order is taken.
     """
     from folioloom.functions.tokens import FIRST_WORD_ID
-    from folioloom.plans.skew import salted_join
+    from folioloom.plans.lookups import looked_up
 
     names = vocab.groupBy("token_id").agg(F.min("word").alias("word"))
-    spread = rows.select(key, F.posexplode(tokens).alias("pos", "token_id"))
-    real = spread.filter(F.col("token_id") >= FIRST_WORD_ID)
-    found = salted_join(real, names, "token_id", spread_by=key, how="left")
-    texts = found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("w"))
-    joined = texts.select(key, F.array_join(F.transform("w", lambda p: p["word"]), " ").alias("text"))
-    return rows.select(key).join(joined, key, "left").select(key, F.coalesce("text", F.lit("")).alias("text"))
+    real = rows.select(key, F.filter(tokens, lambda t: t >= FIRST_WORD_ID).cast(T.ArrayType(vocab.schema["token_id"].dataType)).alias("ids"))
+    return looked_up(real, key, "ids", names, "token_id", "word").select(key, F.array_join("found", " ").alias("text"))

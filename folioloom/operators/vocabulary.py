@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions.tokens import FIRST_WORD_ID, words
-from folioloom.plans.skew import salted_join
+from folioloom.plans.lookups import looked_up
 from folioloom.session import new_folder
 from folioloom.sources.tables import exists
 
@@ -41,10 +41,6 @@ def numbered_words(found: DataFrame, first: int) -> DataFrame:
     return placed.join(offsets, "part").select("word", (F.col("start") + F.col("place")).alias("token_id"))
 
 
-def word_places(texts: DataFrame, key: str, text: str) -> DataFrame:
-    return texts.select(key, F.posexplode(words(F.col(text))).alias("pos", "word"))
-
-
 @dataclass(frozen=True)
 class Vocabulary:
     """The dictionary under ``path``. One run extends it at a time; ids that were given never change."""
@@ -68,11 +64,8 @@ class Vocabulary:
     def encode(self, texts: DataFrame, key: str, text: str = "text") -> DataFrame:
         """``key, tokens``: the ids of each text's words in their order. ``key`` is unique; a word without an id stops the job.
 
-        Words are looked up by a join; frequent ones are dealt out in slices, so none brings all its places to one task.
+        Texts look up their distinct words slice by slice, so no frequent word brings its places to one task.
         """
-        found = salted_join(word_places(texts, key, text), self.read(), "word", spread_by=key, how="left")
-        missing = F.raise_error(F.concat(F.lit("no id for word "), "word")).cast("bigint")
-        coded = found.select(key, F.struct("pos", F.coalesce("token_id", missing).alias("id")).alias("t"))
-        rows = coded.groupBy(key).agg(F.array_sort(F.collect_list("t")).alias("t"))
-        rows = rows.select(key, F.transform("t", lambda t: t["id"]).alias("tokens"))
-        return texts.select(key).join(rows, key, "left").select(key, F.coalesce("tokens", F.array().cast("array<bigint>")).alias("tokens"))
+        spelled = texts.select(key, words(F.col(text)).alias("words"))
+        found = looked_up(spelled, key, "words", self.read(), "word", "token_id", missing="no id for word")
+        return found.select(key, F.col("found").alias("tokens"))

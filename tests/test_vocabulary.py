@@ -62,3 +62,18 @@ def test_a_word_without_an_id_stops_the_job(spark, folder):
     kept.extend(docs(spark, ["a b"]))
     with pytest.raises(Exception, match="no id for word c"):
         kept.encode(docs(spark, ["a c"]), "doc_id").collect()
+
+
+def test_places_of_words_do_not_move_one_by_one(spark, folder):
+    """Rows are dealt out once, and a slice asks once for a word; rows of one key are taken together, and a null key finds nothing."""
+    kept = Vocabulary(spark, folder)
+    rows = docs(spark, ["the " * 400 + f"w{i}" for i in range(20)])
+    kept.extend(rows)
+    coded = kept.encode(rows, "doc_id")
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in plan and "collect_list" not in plan
+    assert {r.doc_id: len(r.tokens) for r in coded.collect()} == dict.fromkeys(range(20), 401)
+    vocab = spark.createDataFrame([(4, "a"), (5, "b"), (6, "c")], "token_id INT, word STRING")
+    odd = spark.createDataFrame([("x", [4, 5]), ("x", [6, 9, 4]), (None, [4]), ("y", None), ("z", [1, 9, 5, 2])], "k STRING, t ARRAY<INT>")
+    got = sorted((str(r.k), r.text) for r in ops.detokenize(odd, "k", "t", vocab).collect())
+    assert got == [("None", ""), ("x", "a c b a"), ("x", "a c b a"), ("y", ""), ("z", "b")]
