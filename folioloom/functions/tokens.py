@@ -8,7 +8,9 @@ expressions; ``ModelTokenizer`` runs a sub-word model over Arrow batches.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +60,12 @@ def word_id(word: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("int") + FIRST_WORD_ID).cast("int")
 
 
+def word_ids(found: pa.Array) -> np.ndarray:
+    """``word_id`` of an array of words, inside a task."""
+    digests = (sha256(w.encode()).hexdigest() for w in found.to_pylist())
+    return np.array([int(d[:WORD_ID_HEX_DIGITS], 16) + FIRST_WORD_ID for d in digests], dtype=np.int64)
+
+
 def truncate(ids: Column, max_length: int, specials: bool = True) -> Column:
     """First ``max_length`` ids. With specials the closing id stays last, as models expect."""
     if not specials:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.functions.text import prefixed
-from folioloom.functions.tokens import FIRST_WORD_ID, PAD_ID, ModelTokenizer, WordTokenizer
+from folioloom.functions.tokens import FIRST_WORD_ID, PAD_ID, ModelTokenizer, WordTokenizer, word_ids, words
 from folioloom.functions.vectors import MIN_COUNT, MIN_NORM, list_column, vector_ok
 from folioloom.schemas import EMBEDDINGS, columns
 
@@ -37,12 +37,18 @@ class HashEncoder:
 
     def encode(self, text: Column) -> Column:
         dim = self.dim
+        plain = type(self.tokenizer) is WordTokenizer
 
-        def run(ids: pa.Array) -> pa.Array:
-            rows = len(ids)
-            lengths = np.diff(ids.offsets.to_numpy())
+        def run(found: pa.Array) -> pa.Array:
+            rows = len(found)
+            lengths = np.diff(found.offsets.to_numpy())
             row = np.repeat(np.arange(rows), lengths)
-            token = ids.flatten().to_numpy(zero_copy_only=False)
+            if plain:
+                # a word of the batch is hashed once, however often it comes
+                coded = found.flatten().dictionary_encode()
+                token = word_ids(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+            else:
+                token = found.flatten().to_numpy(zero_copy_only=False)
             word = token >= FIRST_WORD_ID
             row, token = row[word], token[word] - FIRST_WORD_ID
             sign = 1.0 - 2.0 * ((token // dim) % 2)
@@ -50,7 +56,8 @@ class HashEncoder:
             counts = np.maximum(np.bincount(row, minlength=rows), MIN_COUNT)
             return list_column(unit_rows(sums / counts[:, None]))
 
-        return F.arrow_udf(run, "array<float>")(self.tokenizer.encode(text, self.max_tokens))
+        units = F.slice(words(text), 1, self.max_tokens - 2 * self.tokenizer.frame) if plain else self.tokenizer.encode(text, self.max_tokens)
+        return F.arrow_udf(run, "array<float>")(units)
 
 
 @dataclass(frozen=True)

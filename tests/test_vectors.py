@@ -364,3 +364,21 @@ def test_searches_ask_with_every_fiftieth_vector(spark, sf_dir):
 
     asked = {int(r.query_id[1:]) for r in inputs.vector_queries(spark, sf_dir).collect()}
     assert asked == {n for n in (int(r.chunk_id[1:]) for r in inputs.vectors(spark, sf_dir).collect()) if n % 50 == 0}
+
+
+def test_words_are_hashed_once_a_batch(spark):
+    """Vectors are those of the tokenizer's ids, which the plan no longer works out for every place of a word."""
+    from folioloom.functions import tokens as tk
+    from folioloom.operators.embedding import HashEncoder
+
+    words = ["a", "b", "a", "\u00e9t\u00e9", "z" * 40]
+    ids = spark.createDataFrame([(w,) for w in words], "w STRING").select(tk.word_id(F.col("w"))).collect()
+    assert [r[0] for r in ids] == tk.word_ids(pa.array(words)).tolist()
+
+    class Ids(tk.WordTokenizer):
+        pass
+
+    texts = spark.createDataFrame([("a b a " * 300,), ("",), ("\u00e9t\u00e9 z",), (None,)], "t STRING")
+    fast, slow = HashEncoder(), HashEncoder(tokenizer=Ids())
+    assert "sha2" not in texts.select(fast.encode(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert texts.select(fast.encode(F.col("t"))).collect() == texts.select(slow.encode(F.col("t"))).collect()
