@@ -3,13 +3,16 @@
 A segment is a bounded number of chunks that one task reads one after another. Its chunks are numbered and stored once; each of its terms
 has one row, with the numbers, frequencies and positions of its postings as bytes. One pass over the texts writes them. The rows of terms
 are then put in the order of (term, segment), cut into files by sampled ranges; a small table holds the first and last of each file. A search
-looks there first and opens the files of its terms only. Postings are put together with their chunks by segment. Blocks are ranges of places,
+looks there first and opens the files of its terms only. Postings are put together with their chunks by segment. Rows move in bundles, many
+packed into one, and the terms as the pass wrote them are dropped once they lie in ranges. Blocks are ranges of places,
 the same for all terms, with the highest score a term has there: a page of the best chunks leaves out blocks that cannot reach it.
 """
 
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -22,7 +25,8 @@ from pyspark.sql import functions as F
 
 from folioloom.operators.lookup import source_clause, year_clause
 from folioloom.schemas import SEARCH_DOCUMENT, TEXT_CORPUS, TEXT_DOCS, TEXT_FILES, TEXT_LISTS, TEXT_POSTINGS, TEXT_SEGMENTS, TEXT_TERMS, columns
-from folioloom.sources.tables import exists, scan
+from folioloom.session import shuffles_dropped, stored_bytes
+from folioloom.sources.tables import exists, located, scan
 
 # The analyzer's token class and length limit, and the BM25 constants.
 TOKEN_PATTERN = r"([\p{IsAlphabetic}\p{N}]+)"
@@ -49,7 +53,12 @@ SEGMENT_TOKENS = 1 << 22
 SLICE_ROWS = 4_096
 SEGMENT_ROWS = 1 << 16
 # Rows of one batch that postings come back in.
-UNPACKED_ROWS = 1 << 16
+UNPACKED_ROWS = 1 << 15
+# Bytes of rows put together before they are bundled.
+BUNDLED_BYTES = 1 << 24
+# Bytes of packed terms a file is to get, and terms sampled for the ranges of the files.
+RANGE_BYTES = 1 << 25
+RANGE_SAMPLE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -141,8 +150,8 @@ def postings(chunks: DataFrame) -> DataFrame:
 def _tokens(terms: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Row, position and code of every term in a list of lists, and the terms of the codes; nulls have a position only."""
     lengths = np.diff(terms.offsets.to_numpy())
-    row = np.repeat(np.arange(len(terms)), lengths)
-    pos = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    row = np.repeat(np.arange(len(terms), dtype=np.int32), lengths)
+    pos = np.arange(len(row), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
     coded = terms.flatten().dictionary_encode()
     known = coded.indices.is_valid().to_numpy(zero_copy_only=False)
     code = coded.indices.fill_null(0).to_numpy(zero_copy_only=False)
@@ -157,7 +166,7 @@ def _cuts(keys: np.ndarray) -> np.ndarray:
 def _group_tokens(batches):
     for batch in batches:
         row, pos, code, words = _tokens(batch["terms"])
-        group = row * max(1, len(words)) + code
+        group = row.astype(np.int64) * max(1, len(words)) + code
         order = np.argsort(group, kind="stable")  # positions of one group stay in order
         bounds = _cuts(group[order])
         first = order[bounds[:-1]]
@@ -203,6 +212,7 @@ def _segment(rows: pa.Table):
     key = code * rows.num_rows + row
     order = np.argsort(key, kind="stable")
     bounds = _cuts(key[order])
+    del key
     first = order[bounds[:-1]]
     lists = _cuts(code[first])
     if len(lists) > 1:
@@ -234,47 +244,125 @@ def _unpacked(column: pa.ChunkedArray, count: int) -> np.ndarray:
     return np.frombuffer(held, dtype=f"<u{len(held) // count}").astype(np.int64)
 
 
+def _gathered(batches) -> Iterator[pa.Table]:
+    """Batches put together up to BUNDLED_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BUNDLED_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def bundles(rows: DataFrame, key: Callable[[pa.Table], np.ndarray], kind: int = 0) -> DataFrame:
+    """Rows of one key (a whole number) that lie near each other, packed into one: ``key, kind, size, data``."""
+    def run(batches):
+        for held in _gathered(batches):
+            keys = key(held)
+            order = np.argsort(keys, kind="stable")
+            ends = _cuts(keys[order])
+            for low, high in zip(ends[:-1], ends[1:]):
+                part = held.take(pa.array(order[low:high])).combine_chunks()
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema) as out:
+                    out.write_table(part)
+                raw = sink.getvalue()
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array([int(keys[order[low]])], pa.int64()), "kind": pa.array([kind], pa.int32()),
+                    "size": pa.array([raw.size], pa.int64()), "data": pa.array([pa.compress(raw, "zstd", asbytes=True)], pa.binary())})
+
+    return rows.mapInArrow(run, "key BIGINT, kind INT, size BIGINT, data BINARY")
+
+
+def _opened(batches) -> Iterator[tuple[int, int, pa.Table]]:
+    """Key, kind and rows of bundles."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            key, kind, size, data = (batch.column(c)[i] for c in range(4))
+            raw = pa.decompress(data.as_buffer(), size.as_py(), "zstd")
+            yield key.as_py(), kind.as_py(), pa.ipc.open_stream(raw).read_all()
+
+
+def _of_block(rows: pa.Table) -> np.ndarray:
+    return rows["block"].to_numpy()
+
+
 def unpacked(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
     """Postings with the ``wanted`` columns of TEXT_POSTINGS, of terms of segments, in such of ``chunks`` (``block, number`` and what is wanted).
 
-    Both meet by segment, which is bounded.
+    Both meet by segment: its chunks first, which are bounded, then its terms as a stream.
     """
-    names = columns(TEXT_POSTINGS)
-    schema = ", ".join(f for f, name in zip(TEXT_POSTINGS.split(", "), names) if name in wanted)
-
-    def run(listed: pa.Table, found: pa.Table) -> pa.Table:
-        n = listed["n"].to_numpy().astype(np.int64)
-        total = int(n.sum()) if found.num_rows else 0
-        if not total:
-            at = keep = row = tf = np.zeros(0, np.int64)
-        else:
-            tf, passed = _unpacked(listed["tf"], total), np.cumsum(_unpacked(listed["steps"], total))
-            # steps begin anew in each row
-            ends = np.cumsum(n)
-            at = passed - np.repeat(np.r_[0, passed[ends[:-1] - 1]], n)
-            number = found["number"].to_numpy()
-            place = np.full(max(int(at.max()), int(number.max())) + 1, -1)
-            place[number] = np.arange(len(number))
-            keep = np.flatnonzero(place[at] >= 0)
-            row, at = np.repeat(np.arange(len(n)), n)[keep], place[at][keep]
-        out = {}
-        for name in [c for c in names if c in wanted]:
-            if name == "term":
-                out[name] = listed["term"].take(pa.array(row))
-            elif name == "tf":
-                out[name] = pa.array(tf[keep], pa.int32())
-            elif name == "positions":
-                ends = np.r_[0, np.cumsum(tf)]
-                held = _unpacked(listed["positions"], int(ends[-1])) if total else np.zeros(0, np.int64)
-                out[name] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(held, pa.int32())).take(pa.array(keep))
-            else:
-                out[name] = found[name].take(pa.array(at))
-        whole = pa.table(out)
-        return pa.Table.from_batches(whole.to_batches(max_chunksize=UNPACKED_ROWS), whole.schema)
+    names = [c for c in columns(TEXT_POSTINGS) if c in wanted]
+    schema = ", ".join(f for f, name in zip(TEXT_POSTINGS.split(", "), columns(TEXT_POSTINGS)) if name in wanted)
+
+    def run(batches):
+        block, parts, found = None, [], None
+        for key, kind, rows in _opened(batches):
+            if key != block:
+                block, parts, found = key, [], None
+            if kind == 0:
+                parts.append(rows)
+            elif parts or found:
+                if parts:
+                    held = pa.concat_tables(parts).combine_chunks()
+                    number = held["number"].to_numpy()
+                    place = np.full(int(number.max()) + 1, -1)
+                    place[number] = np.arange(len(number))
+                    parts, found = [], (held, place)
+                yield from _postings_in(rows, *found, names)
 
-    lists = terms.select("block", "term", "n", "steps", "tf", *[c for c in ("positions",) if c in wanted])
     held = chunks.select("block", "number", *[c for c in wanted if c in (*STORED, "doc_len", "place")])
-    return lists.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(run, schema)
+    lists = terms.select("block", "term", "n", "steps", "tf", *[c for c in ("positions",) if c in wanted])
+    moved = bundles(held, _of_block).union(bundles(lists, _of_block, 1))
+    return moved.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(run, schema)
+
+
+def _postings_in(listed: pa.Table, found: pa.Table, place: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Postings of some terms of a segment in its chunks ``found``; ``place`` is the row there for the number of a chunk, or -1."""
+    n = listed["n"].to_numpy().astype(np.int64)
+    total = int(n.sum())
+    tf, passed = _unpacked(listed["tf"], total), np.cumsum(_unpacked(listed["steps"], total))
+    # steps begin anew in each row
+    ends = np.cumsum(n)
+    at = passed - np.repeat(np.r_[0, passed[ends[:-1] - 1]], n)
+    keep = np.flatnonzero(at < len(place))
+    keep = keep[place[at[keep]] >= 0]
+    row, at = np.repeat(np.arange(len(n)), n)[keep], place[at[keep]]
+    if "positions" in names:
+        bounds = np.r_[0, np.cumsum(tf)].astype(np.int32)
+        places = pa.ListArray.from_arrays(pa.array(bounds), pa.array(_unpacked(listed["positions"], int(bounds[-1])).astype(np.int32)))
+    for low in range(0, len(keep), UNPACKED_ROWS):
+        part = slice(low, low + UNPACKED_ROWS)
+        out = {"term": lambda: listed["term"].combine_chunks().take(pa.array(row[part])), "tf": lambda: pa.array(tf[keep[part]], pa.int32()),
+               "positions": lambda: places.take(pa.array(keep[part]))}
+        yield pa.RecordBatch.from_arrays(
+            [out[c]() if c in out else found[c].combine_chunks().take(pa.array(at[part])) for c in names], names=names)
+
+
+def _in_ranges(listed: DataFrame, n: int) -> DataFrame:
+    """Rows of TEXT_LISTS in ``n`` ranges of (term, block) of about equal size, in order.
+
+    A sample decides where a range ends, weighted by the size of its rows, and nothing else.
+    """
+    rows = listed.count()
+    weighted = listed.select("term", "block", (F.lit(24) + 4 * F.col("n")).alias("weight"))
+    sample = sorted(tuple(r) for r in weighted.sample(min(1.0, RANGE_SAMPLE / max(1, rows)), seed=1).collect())
+    upto = np.cumsum([weight for *_, weight in sample]) if sample else np.zeros(0)
+    ends = [sample[int(np.searchsorted(upto, upto[-1] * i / n))][:2] for i in range(1, n)] if sample else []
+
+    def range_of(held: pa.Table) -> np.ndarray:
+        keys = zip(held["term"].to_pylist(), held["block"].to_pylist())
+        return np.fromiter((bisect_right(ends, key) for key in keys), np.int64, held.num_rows)
+
+    def opened(batches):
+        for *_, rows in _opened(batches):
+            yield from rows.to_batches(max_chunksize=UNPACKED_ROWS)
+
+    dealt = bundles(listed, range_of).repartitionById(n, F.col("key").cast("int"))
+    return dealt.mapInArrow(opened, TEXT_LISTS).sortWithinPartitions("term", "block")
 
 
 def text_docs(chunks: DataFrame) -> DataFrame:
@@ -314,6 +402,11 @@ def write_text_index(chunks: DataFrame, path: str) -> None:
     The texts are read once. How many rows are rejected is observed on that pass; only where some are, a second one writes them.
     """
     spark = chunks.sparkSession
+    with shuffles_dropped(spark):
+        _write_text_index(spark, chunks, path)
+
+
+def _write_text_index(spark: SparkSession, chunks: DataFrame, path: str) -> None:
     seen = Observation()
     rows = chunks.observe(seen, F.count_if(~is_whole()).alias("n_rejected"))
     written = segments(rows).sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind")
@@ -321,8 +414,11 @@ def write_text_index(chunks: DataFrame, path: str) -> None:
     bad = strict_rows(chunks)[1] if seen.get["n_rejected"] else spark.createDataFrame([], SEARCH_DOCUMENT)
     bad.write.mode("overwrite").parquet(f"{path}/rejects")
     listed = _kind(spark, path, "terms").select(*columns(TEXT_LISTS))
-    ranged = listed.repartitionByRange("term", "block").sortWithinPartitions("term", "block")
-    ranged.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+    unordered = f"{path}/segments/kind=terms"
+    n = max(2 * spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, unordered) // RANGE_BYTES))
+    _in_ranges(listed, n).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+    files, at = located(spark, unordered)
+    files.delete(at, True)
     index = read_text_index(spark, path)
     index.lists.groupBy("term").agg(F.sum("n").alias("df")).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
     text_corpus(index.docs).write.mode("overwrite").parquet(f"{path}/corpus")

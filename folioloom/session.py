@@ -97,6 +97,24 @@ def fit_shuffles(spark: SparkSession, *paths: str, growth: float = 3.0) -> int:
     return wanted
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """While it lasts, what an execution has shuffled is dropped at its end, not when the driver happens to collect garbage.
+
+    For jobs that write tables one after another. Rows that are asked for again are computed again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 _SHIPPED: set[str] = set()
 
 

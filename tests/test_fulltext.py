@@ -201,3 +201,29 @@ def test_segments_are_bounded(monkeypatch):
     assert [(r["number"], r["chunk_id"]) for r in out if r["kind"] == "chunks"] == [(0, "v"), (1, "w"), (2, "x"), (3, "y"), (0, "z")]
     last = next(r for r in out if r["term"] == "c")
     assert (last["n"], last["steps"], len(last["positions"])) == (1, b"\x03", 600)
+
+
+def test_writing_an_index_leaves_one_copy_of_the_postings_and_no_shuffles(spark, chunks):
+    from folioloom.session import new_folder, stored_bytes
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    path, before = new_folder(spark, "text-index"), shuffled()
+    ft.write_text_index(chunks.repartition(3), path)
+    assert not shuffled() - before
+    assert stored_bytes(spark, f"{path}/segments/kind=terms") == 0 < stored_bytes(spark, f"{path}/segments/kind=chunks")
+    assert ft.read_text_index(spark, path).postings.count() == ft.postings(chunks).count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_bundles_keep_rows_and_ranges_their_order(spark, monkeypatch):
+    """Rows of a term that no file could hold alone are split by segment; null fields stay null."""
+    rows = [(f"t{i % 7}" if i % 2 else "the", i, 1 + i % 3, b"\x01", None if i == 5 else b"\x02", b"") for i in range(200)]
+    lists = spark.createDataFrame(rows, "term STRING, block BIGINT, n INT, steps BINARY, tf BINARY, positions BINARY").repartition(3)
+    ranged = ft._in_ranges(lists, 5).select("*", F.spark_partition_id().alias("at")).collect()
+    assert sorted(tuple(r)[:6] for r in ranged) == sorted((t, b, n, bytearray(s), x and bytearray(x), bytearray(p)) for t, b, n, s, x, p in rows)
+    assert [(r.term, r.block) for r in sorted(ranged, key=lambda r: r["at"])] == sorted((t, b) for t, b, *_ in rows)
+    assert len({r["at"] for r in ranged if r.term == "the"}) > 1
+    assert ft._in_ranges(lists.limit(0), 5).count() == 0
