@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioloom.session import new_folder, ship_package
+from folioloom.sources.tables import located
 
 # ASCII white space as the contracts define it: space and \x09-\x0D. bytes.split() cuts at exactly these.
 WHITE = b" \t\n\x0b\x0c\r"
@@ -85,6 +86,15 @@ def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` has written, and these tables are read from; nothing may read it any more. Other files stay."""
+    for rows in tables:
+        folders = {name.rsplit("/", 1)[0] for name in rows.inputFiles()}
+        for folder in (f for f in folders if f.rsplit("/", 1)[1].startswith("folioloom-")):
+            files, at = located(rows.sparkSession, folder)
+            files.delete(at, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     small_batches(spark)

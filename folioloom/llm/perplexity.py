@@ -6,14 +6,16 @@ has beyond that. Pairs that were never seen have the value 0. So a text needs ea
 find no partner.
 
 Counts, values and lookups are dealt into shards by the hash of the gram, as many as the words of the corpus ask for. Grams are counted
-inside tasks before they move, and move packed: sorted, as differences, by byte planes. A shard's values meet the lookups of all documents
-as a stream, so no task holds more than the values of one shard. Grams that very many documents have, at most ``HEAD`` of them, are looked
+inside tasks before they move, and move packed: sorted, as differences, by byte planes. A shard's values meet the lookups of the documents
+as a stream, so no task holds more than the values of one shard. The documents come in WAVES parts, and each part's lookups, and the tables
+written on the way, are dropped when they have been used. Grams that very many documents have, at most ``HEAD`` of them, are looked
 up in the tasks that read the documents, so no shard gets more than its share.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioloom.llm.common import LETTERS, WordHashes, binaries, mixed, rows_with_ids, set_aside, stored
+from folioloom.llm.common import LETTERS, WordHashes, binaries, discard, mixed, rows_with_ids, set_aside, stored
+from folioloom.session import shuffles_dropped
 
 # Stand-ins for words: the first of a pair that is a single word, the start and the end of a text.
 SINGLE, START, END = (np.uint64(i) for i in (0, 1, 2))
@@ -38,6 +41,8 @@ ROWS_HELD = 1 << 20
 # Grams looked up where the documents are read, and candidates for these from each lot of documents.
 HEAD = 1 << 16
 CANDIDATES = 1 << 12
+# Parts of the documents, by a hash of the text, that are looked up one after another.
+WAVES = 4
 # Bits of a gram's hash behind those that name its shard.
 KEY_BITS = 40
 # One trusted text in so many is not learned from but sets the thresholds.
@@ -129,15 +134,10 @@ def _joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def common_grams(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Grams that most documents have, as rows (first, second), at most HEAD; and the number of words in all documents."""
+    """Grams that occur most often, as rows (first, second), at most HEAD; and the number of words in all documents."""
     def count(batches):
         for lot in lots(batches, 1):
-            per_text = []
-            for words, _ in lot:
-                first, second = grams(words)
-                _, at = np.unique(gram_hashes(first, second), return_index=True)
-                per_text.append((first[at], second[at]))
-            first, second = _joined(per_text)
+            first, second = _joined([grams(words) for words, _ in lot])
             order, starts, n = distinct(gram_hashes(first, second))
             top = np.argsort(-n, kind="stable")[:CANDIDATES]
             at = order[starts[top]]
@@ -228,6 +228,7 @@ def model(texts: DataFrame, bits: int) -> tuple[DataFrame, float] | None:
     unknown = left / total / (kinds + 1)
     single = fronts.select(F.col("second").alias("word"), "c", ((F.col("c") - _cut(low)) / total + unknown).alias("p"))
     words = stored(single.join(histories.withColumnRenamed("first", "word"), "word", "full"), "words")
+    discard(fronts)
     own = words.select(
         F.lit(int(SINGLE)).cast("long").alias("first"), F.col("word").alias("second"),
         (F.coalesce(F.log("p") - math.log(unknown), F.lit(0.0)) + F.coalesce(F.log(F.col("left") / F.col("n")), F.lit(0.0))).alias("v"))
@@ -374,19 +375,23 @@ def _table(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     if not pieces:
         return np.zeros(0, np.uint64), np.zeros(0, np.int32)
     keys, values = (np.concatenate(x) for x in zip(*pieces, strict=True))
-    order = np.lexsort((values, keys))
-    return keys[order], values[order]
+    # The pieces are sorted runs, which a stable sort merges. Of grams with one key the least value counts.
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    starts = np.flatnonzero(np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]]))
+    return keys[starts], np.minimum.reduceat(values, starts) if len(starts) else values
 
 
 def _sums(lot: int, own: bool, data: bytes) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"lot": pa.array([lot], pa.int64()), "own": pa.array([own]), "data": pa.array([data], pa.binary())})
 
 
-def perplexities(docs: DataFrame, values: DataFrame, common: DataFrame, unknown: float, bits: int) -> DataFrame:
-    """Rows (k1, k2, perplexity), one for each key of ``docs`` (text, k1, k2) whose text has a word."""
+def perplexities(docs: DataFrame, values: DataFrame, common: DataFrame, unknown: float, bits: int, used: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Rows (k1, k2, perplexity), one for each key of ``docs`` (text, k1, k2) whose text has a word; stored. What ``used`` is read from is
+    discarded once the values are packed."""
     packs = stored(shard_values(values, bits), "values")
     head = common_values(common, packs, bits)
-    moved = packs.union(lookups(docs.select("text", "k1", "k2"), head, bits))
+    discard(*used)
 
     def add(group: pa.Table) -> pa.Table:
         rows = list(zip(group["own"].to_pylist(), group["data"].to_pylist(), strict=True))
@@ -403,8 +408,13 @@ def perplexities(docs: DataFrame, values: DataFrame, common: DataFrame, unknown:
         measure = np.exp(-(total / UNIT + predicted * unknown) / predicted)
         return pa.table({"k1": known["k1"], "k2": known["k2"], "perplexity": measure})
 
-    found = met(moved).groupBy("lot").applyInArrow(add, "k1 long, k2 long, perplexity double")
-    return found.dropDuplicates(["k1", "k2"])
+    parts = []
+    for wave in range(WAVES):
+        some = docs.select("text", "k1", "k2").filter(F.pmod("k1", F.lit(WAVES)) == wave)
+        found = met(packs.union(lookups(some, head, bits))).groupBy("lot").applyInArrow(add, "k1 long, k2 long, perplexity double")
+        parts.append(stored(found.dropDuplicates(["k1", "k2"]), "perplexities"))
+    discard(packs)
+    return reduce(DataFrame.union, parts)
 
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -440,6 +450,11 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, quantile: float = QUAN
     perplexity and are not kept. Texts are taken whole. Repeated rows each come out; columns called perplexity, threshold
     or kept are replaced.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _perplexity_filter(docs, labels, quantile)
+
+
+def _perplexity_filter(docs: DataFrame, labels: DataFrame, quantile: float) -> DataFrame:
     docs, back = set_aside(docs.drop("perplexity", "threshold", "kept"), ["doc_id", "text", "lang"])
     # What a text is known by: twice 64 bits of hash of its row.
     docs = docs.withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", F.xxhash64(F.lit(1), "text", "doc_id"))
@@ -452,7 +467,7 @@ def perplexity_filter(docs: DataFrame, labels: DataFrame, quantile: float = QUAN
         none = F.lit(None).cast("double")
         held = docs.select("*", none.alias("perplexity"), none.alias("threshold"), (F.coalesce(F.length("text"), F.lit(0)) > 0).alias("kept"))
         return back(held, "perplexity", "threshold", "kept")
-    scores = stored(perplexities(docs, made[0], common, made[1], bits), "perplexities")
+    scores = perplexities(docs, made[0], common, made[1], bits, (common, made[0]))
     scored = docs.join(scores, ["k1", "k2"], "left")
     known = rows_with_ids(docs.filter(unseen).select("doc_id", "lang", "k1", "k2"), good).join(scores, ["k1", "k2"])
     by_lang = thresholds(known.select("lang", "perplexity"), quantile)

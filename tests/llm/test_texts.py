@@ -451,3 +451,32 @@ def test_spans_text(spark):
     text = secrets.secret_scan(docs).select(secrets.digest_text(F.col("secrets")).alias("t")).first().t
     assert text == "assign:0:14,hex:15:47" and len(hashlib.sha256(text.encode()).hexdigest()) == 64
     assert list(itertools.chain(text.split(","))) == ["assign:0:14", "hex:15:47"]
+
+
+def test_perplexity_drops_what_it_has_used(spark, sf_dir):
+    """Lookups go with their part of the documents, and the model's tables when its values are packed; only the scores stay."""
+    from pathlib import Path
+
+    from folioloom.session import shared_root
+
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        shuffles = {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+        return shuffles, {p.name.split("-")[1] for p in Path(shared_root(spark).removeprefix("file:")).glob("folioloom-*") if p.name not in before}
+
+    before = {p.name for p in Path(shared_root(spark).removeprefix("file:")).glob("folioloom-*")}
+    shuffles = left()[0]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    out = perplexity.perplexity_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    after, tables = left()
+    assert not after - shuffles and tables == {"perplexities", "thresholds"}
+    assert out.count() == docs.count() and out.filter("perplexity IS NULL AND length(text) > 40").count() == 0
+
+
+def test_the_least_value_of_a_key_counts():
+    import numpy as np
+
+    pieces = [(np.array([1, 5, 9], np.uint64), np.array([7, 3, 2], np.int32)), (np.array([5, 6], np.uint64), np.array([1, 4], np.int32))]
+    keys, values = perplexity._table(pieces)
+    assert keys.tolist() == [1, 5, 6, 9] and values.tolist() == [7, 1, 4, 2]
+    assert [len(x) for x in perplexity._table([(np.zeros(0, np.uint64), np.zeros(0, np.int32))])] == [0, 0]
