@@ -127,10 +127,11 @@ def occurrences(chunks: DataFrame) -> DataFrame:
 
 
 def _chunk_terms(chunks: DataFrame) -> DataFrame:
-    """Per chunk its stored fields, length, place, and its terms in their order, with null for an over-long run."""
-    terms = F.transform("runs", lambda r: F.when(short_enough(r), F.lower(r)))
+    """Per chunk its stored fields, place, and its terms in their order, with null for an over-long run; those that are not null are counted later."""
+    runs = F.coalesce(token_runs(F.col("text")), F.array().cast("array<string>"))
+    terms = F.transform(runs, lambda r: F.when(short_enough(r), F.lower(r)))
     place = F.substring(F.sha2("chunk_id", 256), 1, PLACE_DIGITS)
-    return analyzed(chunks).select(*STORED, "doc_len", place.alias("place"), terms.alias("terms"))
+    return strict_rows(chunks)[0].select(*STORED, place.alias("place"), terms.alias("terms"))
 
 
 def postings(chunks: DataFrame) -> DataFrame:
@@ -142,9 +143,10 @@ def postings(chunks: DataFrame) -> DataFrame:
     """
     rows = _chunk_terms(chunks)
     fields = "ARRAY<STRUCT<term: STRING, tf: INT, positions: ARRAY<INT>>>"
-    head = [*STORED, "doc_len", "place"]
+    head = [*STORED, "place"]
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*head).schema)
-    return rows.mapInArrow(_group_tokens, f"{kept}, entries {fields}").select(*head, F.inline("entries")).select(*columns(TEXT_POSTINGS))
+    grouped = rows.mapInArrow(_group_tokens, f"{kept}, doc_len INT, entries {fields}")
+    return grouped.select(*head, "doc_len", F.inline("entries")).select(*columns(TEXT_POSTINGS))
 
 
 def _tokens(terms: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -158,6 +160,11 @@ def _tokens(terms: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa
     return row[known], pos[known], code[known].astype(np.int64), coded.dictionary
 
 
+def _lengths(row: np.ndarray, rows: int) -> pa.Array:
+    """How many terms each row has."""
+    return pa.array(np.bincount(row, minlength=rows), pa.int32())
+
+
 def _cuts(keys: np.ndarray) -> np.ndarray:
     """Where runs of equal keys begin, and the end."""
     return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, int)
@@ -174,9 +181,9 @@ def _group_tokens(batches):
         entries = pa.StructArray.from_arrays(
             [words.take(pa.array(code[first])), pa.array(np.diff(bounds).astype(np.int32)), places], names=["term", "tf", "positions"])
         ends = np.r_[0, np.cumsum(np.bincount(row[first], minlength=batch.num_rows))].astype(np.int32)
-        head = batch.select([*STORED, "doc_len", "place"])
+        head = batch.select([*STORED, "place"])
         yield pa.RecordBatch.from_arrays(
-            [*head.columns, pa.ListArray.from_arrays(pa.array(ends), entries)], names=[*head.schema.names, "entries"])
+            [*head.columns, _lengths(row, batch.num_rows), pa.ListArray.from_arrays(pa.array(ends), entries)], names=[*head.schema.names, "doc_len", "entries"])
 
 
 # --- segments -----------------------------------------------------------------------------
@@ -206,9 +213,9 @@ def _segment(rows: pa.Table):
     # One task writes a segment as a whole, so an id that another attempt gives anew does no harm.
     block = int.from_bytes(os.urandom(8), "little") >> 1
     every = np.arange(rows.num_rows)
-    fields = {c: rows[c].combine_chunks() for c in [*STORED, "doc_len", "place"]}
-    yield _segment_rows(rows.num_rows, block, number=pa.array(every, pa.int32()), **fields)
+    fields = {c: rows[c].combine_chunks() for c in [*STORED, "place"]}
     row, pos, code, words = _tokens(pa.concat_arrays(rows["terms"].chunks))
+    yield _segment_rows(rows.num_rows, block, number=pa.array(every, pa.int32()), doc_len=_lengths(row, rows.num_rows), **fields)
     key = code * rows.num_rows + row
     order = np.argsort(key, kind="stable")
     bounds = _cuts(key[order])

@@ -227,3 +227,15 @@ def test_bundles_keep_rows_and_ranges_their_order(spark, monkeypatch):
     assert [(r.term, r.block) for r in sorted(ranged, key=lambda r: r["at"])] == sorted((t, b) for t, b, *_ in rows)
     assert len({r["at"] for r in ranged if r.term == "the"}) > 1
     assert ft._in_ranges(lists.limit(0), 5).count() == 0
+
+
+def test_runs_are_walked_once_and_positions_joined_without_a_lambda(chunks):
+    """Lambdas are interpreted for each token; lengths are counted where the tokens are grouped."""
+    from folioloom.registry import inputs
+
+    posted = ft.postings(chunks)
+    shown = posted.withColumn("positions", inputs.joined(F.col("positions")))
+    for df in (posted, shown):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") == 1
+    assert {r.positions for r in shown.filter("term = 'river'").collect()} == {"1,3", "1,2,4"}
+    assert {(r.chunk_id, r.doc_len) for r in posted.collect()} == {("c1", 7), ("c2", 4), ("c3", 5), ("c6", 4)}
