@@ -2,15 +2,17 @@
 
 A segment is a bounded number of chunks that one task reads one after another. Its chunks are numbered and stored once; each of its terms
 has one row, with the numbers, frequencies and positions of its postings as bytes. One pass over the texts writes them. The rows of terms
-are then put in the order of (term, segment), cut into files by sampled ranges; a small table holds the first and last of each file. A search
-looks there first and opens the files of its terms only. Postings are put together with their chunks by segment. Rows move in bundles, many
-packed into one, and the terms as the pass wrote them are dropped once they lie in ranges. Blocks are ranges of places,
+are then put in the order of (term, segment), cut into files by sampled ranges; a small table holds the first and last of each file. That is
+done in waves over parts of the terms, by hash, and each wave drops what the pass wrote of its parts, so the terms are never there twice. A
+search looks at the small table first and opens the files of its terms only. Postings are put together with their chunks by segment. Rows move
+in bundles, many packed into one. Blocks are ranges of places,
 the same for all terms, with the highest score a term has there: a page of the best chunks leaves out blocks that cannot reach it.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -59,6 +61,9 @@ BUNDLED_BYTES = 1 << 24
 # Bytes of packed terms a file is to get, and terms sampled for the ranges of the files.
 RANGE_BYTES = 1 << 25
 RANGE_SAMPLE = 1 << 16
+# Parts of the terms by hash, a fixed value of the stored form; and bytes of packed terms that are put in ranges at once.
+PARTS = 16
+WAVE_BYTES = 1 << 25
 
 
 @dataclass(frozen=True)
@@ -416,14 +421,23 @@ def write_text_index(chunks: DataFrame, path: str) -> None:
 def _write_text_index(spark: SparkSession, chunks: DataFrame, path: str) -> None:
     seen = Observation()
     rows = chunks.observe(seen, F.count_if(~is_whole()).alias("n_rejected"))
-    written = segments(rows).sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind")
+    parted = segments(rows).withColumn("part", F.coalesce(part_of(F.col("term")), F.lit(0)))
+    written = parted.sortWithinPartitions("kind", "part", "term").write.mode("overwrite").partitionBy("kind", "part")
     written.option("compression", "zstd").parquet(f"{path}/segments")
     bad = strict_rows(chunks)[1] if seen.get["n_rejected"] else spark.createDataFrame([], SEARCH_DOCUMENT)
     bad.write.mode("overwrite").parquet(f"{path}/rejects")
-    listed = _kind(spark, path, "terms").select(*columns(TEXT_LISTS))
     unordered = f"{path}/segments/kind=terms"
-    n = max(2 * spark.sparkContext.defaultParallelism, -(-stored_bytes(spark, unordered) // RANGE_BYTES))
-    _in_ranges(listed, n).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+    size = stored_bytes(spark, unordered)
+    waves = min(PARTS, 1 << max(0, -(-size // WAVE_BYTES) - 1).bit_length())
+    cores = spark.sparkContext.defaultParallelism
+    n = max(cores if waves > 1 else 2 * cores, -(-size // (waves * RANGE_BYTES)))
+    for wave in range(waves):
+        parts = range(wave * PARTS // waves, (wave + 1) * PARTS // waves)
+        listed = _kind(spark, path, "terms", parts).select(*columns(TEXT_LISTS))
+        _in_ranges(listed, n).write.mode("append" if wave else "overwrite").option("compression", "zstd").parquet(f"{path}/postings")
+        for part in parts:
+            files, at = located(spark, f"{unordered}/part={part}")
+            files.delete(at, True)
     files, at = located(spark, unordered)
     files.delete(at, True)
     index = read_text_index(spark, path)
@@ -431,13 +445,20 @@ def _write_text_index(spark: SparkSession, chunks: DataFrame, path: str) -> None
     text_corpus(index.docs).write.mode("overwrite").parquet(f"{path}/corpus")
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     ends = spark.read.schema(TEXT_LISTS).parquet(f"{path}/postings").groupBy(name.alias("file")).agg(
-        F.min(F.struct("term", "block")).alias("first"), F.max(F.struct("term", "block")).alias("last"))
+        F.min(F.struct("term", "block")).alias("first"), F.max(F.struct("term", "block")).alias("last"),
+        F.min(part_of(F.col("term"))).alias("first_part"), F.max(part_of(F.col("term"))).alias("last_part"))
     ends.select("file", F.col("first.term").alias("first_term"), F.col("last.term").alias("last_term"), F.col("first.block").alias("first_place"),
-                F.col("last.block").alias("last_place")).sort("first_term", "first_place").write.mode("overwrite").parquet(f"{path}/files")
+                F.col("last.block").alias("last_place"), "first_part", "last_part").sort("first_term", "first_place").write.mode("overwrite").parquet(f"{path}/files")
 
 
-def _kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    return scan(spark, f"{path}/segments", TEXT_SEGMENTS).filter(F.col("kind") == kind)
+def part_of(term: Column) -> Column:
+    return F.pmod(F.crc32(term.cast("binary")), F.lit(PARTS)).cast("int")
+
+
+def _kind(spark: SparkSession, path: str, kind: str, parts: range | None = None) -> DataFrame:
+    """Rows of one kind, of all parts or of some. Segments that were written without parts are read as they are."""
+    rows = scan(spark, f"{path}/segments", f"{TEXT_SEGMENTS}, part INT").filter(F.col("kind") == kind)
+    return (rows if parts is None else rows.filter(F.col("part").isin(*parts))).drop("part")
 
 
 def read_text_index(spark: SparkSession, path: str) -> TextIndex:
@@ -456,7 +477,13 @@ def postings_of(index: TextIndex, terms: set[str]) -> DataFrame:
     wanted = F.col("term").isin(sorted(terms))
     if index.files is None:
         return index.postings.filter(wanted)
-    within = reduce(or_, ((F.col("first_term") <= t) & (F.col("last_term") >= t) for t in sorted(terms)), F.lit(False))
+    # an index that was written in one wave, before there were parts, has none in the table
+    first, last = F.coalesce("first_part", F.lit(0)), F.coalesce("last_part", F.lit(PARTS - 1))
+
+    def may_hold(term: str) -> Column:
+        return (F.col("first_term") <= term) & (F.col("last_term") >= term) & F.lit(zlib.crc32(term.encode()) % PARTS).between(first, last)
+
+    within = reduce(or_, map(may_hold, sorted(terms)), F.lit(False))
     names = sorted(r.file for r in index.files.filter(within).select("file").collect())
     if not names:
         return index.lists.limit(0)

@@ -55,7 +55,8 @@ TEXT_SEGMENTS = (
 # A term of a segment: its n postings as steps from chunk to chunk, frequencies, and the positions of all of them.
 TEXT_LISTS = "term STRING, block BIGINT, n INT, steps BINARY, tf BINARY, positions BINARY"
 
-TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place BIGINT, last_place BIGINT"
+# The parts of a file's terms are null where the index was written without parts.
+TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place BIGINT, last_place BIGINT, first_part INT, last_part INT"
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 

@@ -239,3 +239,33 @@ def test_runs_are_walked_once_and_positions_joined_without_a_lambda(chunks):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") == 1
     assert {r.positions for r in shown.filter("term = 'river'").collect()} == {"1,3", "1,2,4"}
     assert {(r.chunk_id, r.doc_len) for r in posted.collect()} == {("c1", 7), ("c2", 4), ("c3", 5), ("c6", 4)}
+
+
+def test_packed_terms_are_never_there_twice(spark, monkeypatch):
+    """They are put in ranges part by part, and what the pass wrote of a part is dropped before the next; a rare term still lies in two files at most."""
+    import random
+
+    from folioloom.session import new_folder, stored_bytes
+
+    rng = random.Random(3)
+    rows = [(f"c{i}", f"d{i}", 1800, "s", " ".join(f"w{rng.getrandbits(12)}" for _ in range(60))) for i in range(2000)]
+    given, held, path = spark.createDataFrame(rows, CHUNK).repartition(3), [], new_folder(spark, "text-index")
+    ranges = ft._in_ranges
+
+    def watched(listed, n):
+        held.append([stored_bytes(spark, f"{path}/{folder}") for folder in ("segments/kind=terms", "postings")])
+        return ranges(listed, n)
+
+    monkeypatch.setattr(ft, "WAVE_BYTES", 1)
+    monkeypatch.setattr(ft, "_in_ranges", watched)
+    ft.write_text_index(given, path)
+    assert len(held) == ft.PARTS and [a for a, _ in held] == sorted((a for a, _ in held), reverse=True)
+    assert held[-1][0] < held[0][0] / 8 and held[-1][1] > 0
+    index, whole = ft.read_text_index(spark, path), ft.postings(given)
+    assert whole.exceptAll(index.postings).count() == 0 and index.postings.exceptAll(whole).count() == 0
+    for term in ("w1", "w77", "w4095"):
+        assert len(ft.postings_of(index, {term}).inputFiles()) <= 2
+        assert sorted(ids(ft.match(index, term))) == sorted(c for c, *_, text in rows if term in text.split())
+    files = spark.read.parquet(f"{path}/files").drop("first_part", "last_part").localCheckpoint()
+    files.write.mode("overwrite").parquet(f"{path}/files")  # as an index without parts has it
+    assert sorted(ids(ft.match(ft.read_text_index(spark, path), "w77"))) == sorted(c for c, *_, text in rows if "w77" in text.split())
