@@ -19,7 +19,7 @@ WHITE = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 # Bytes of a text as words of letters and digits: ASCII letters in lower case, other ASCII a blank, the rest as it is.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 16
 
 
 class WordHashes(dict):
@@ -122,6 +122,17 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 
 CHUNK_BITS = 16
+# Places counted at once; fewer than what two bytes hold, so that none passes its limit unseen.
+COUNTED_AT_ONCE = 1 << 15
+
+
+def count_in(counts: np.ndarray, found: np.ndarray) -> None:
+    """Add 1 at each found place. Counts that pass what their type holds stay at its largest value."""
+    for low in range(0, len(found), COUNTED_AT_ONCE):
+        at = found[low:low + COUNTED_AT_ONCE]
+        before = counts[at]
+        np.add.at(counts, at, 1)
+        counts[at[counts[at] < before]] = np.iinfo(counts.dtype).max
 
 
 def counter_array(
@@ -137,15 +148,15 @@ def counter_array(
     size, kind = 1 << chunk_bits, np.uint64 if exact else np.uint16
 
     def count(batches):
-        counts = np.zeros(1 << bits, np.uint64 if exact else np.uint32)
+        counts = np.zeros(1 << bits, kind)
         for batch in batches:
             for found in buckets(batch):
-                np.add.at(counts, found, 1)
+                count_in(counts, found)
         packed = zstandard.ZstdCompressor(level=1)
         for chunk in range(1 << (bits - chunk_bits)):
             part = counts[chunk * size:(chunk + 1) * size]
             if part.any():
-                data = packed.compress(np.minimum(part, np.iinfo(kind).max).astype(kind).tobytes())
+                data = packed.compress(part.tobytes())
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "data": pa.array([data], pa.binary())})
 
     def add(batches):

@@ -72,15 +72,17 @@ class Seeds:
         self.keys = keys[order]
         self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
         self.place = np.concatenate(place)[order] if place else np.zeros(0, np.int64)
-        self.bits = np.zeros(1 << 24, bool)
-        self.bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
+        bits = np.zeros(1 << 24, bool)
+        bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
+        self.bits = np.packbits(bits)
 
     def find(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, first word, end word, equal words) of the stretch with most equal words per item."""
         lines: set[tuple[int, int]] = set()
         for mask, number in self.masks:
             found = _seed_hashes(words, mask, number)
-            at = np.flatnonzero(self.bits[(found >> np.uint64(40)).astype(np.int64)])
+            slot = (found >> np.uint64(40)).astype(np.int64)
+            at = np.flatnonzero(self.bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
             if not len(at):
                 continue
             low, high = np.searchsorted(self.keys, found[at], "left"), np.searchsorted(self.keys, found[at], "right")

@@ -123,3 +123,37 @@ def test_rows_with_ids(spark):
     docs = spark.range(2000).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS doc_id", "id AS x")
     ids = spark.range(0, 2000, 3).selectExpr("id AS doc_id").union(spark.sql("SELECT cast(NULL AS long)"))
     assert sorted(r.doc_id for r in rows_with_ids(docs, ids).collect()) == [i for i in range(0, 2000, 3) if i % 7]
+
+
+def test_counts_of_two_bytes_stay_at_their_limit():
+    """A task's counter array takes two bytes a bucket; a bucket that is full stays full, however it is filled."""
+    from folioloom.llm.common import count_in
+
+    rng = np.random.default_rng(4)
+    found = [np.full(70_000, 3), rng.integers(0, 50, 40_000), np.full(65_535, 7), np.full(1, 7), np.zeros(0, np.int64), np.full(3, 9)]
+    counts, wide = np.zeros(64, np.uint16), np.zeros(64, np.uint32)
+    for part in found:
+        count_in(counts, part)
+        np.add.at(wide, part, 1)
+    assert counts.tolist() == np.minimum(wide, 65_535).tolist() and wide.max() > 65_535
+
+
+def test_memory_of_a_counting_task(spark):
+    """The array of 2**24 buckets takes 32 MB in a task, not 64."""
+    import tracemalloc
+
+    from folioloom.llm import common
+
+    held = []
+
+    class Counted:
+        def mapInArrow(self, f, schema):
+            tracemalloc.start()
+            for _ in f([np.array([5, 5, 8])]):
+                pass
+            held.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            return spark.range(0).selectExpr("cast(id as int) chunk", "cast('' as binary) data")
+
+    common.counter_array(Counted(), lambda found: [found], 24)
+    assert held[0] < 48 * 2**20
