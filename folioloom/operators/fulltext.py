@@ -251,9 +251,25 @@ def _packed(numbers: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(small.tobytes())])
 
 
-def _unpacked(column: pa.ChunkedArray, count: int) -> np.ndarray:
+def _by_byte(column: pa.ChunkedArray, count: int) -> bytes:
+    """The bytes of ``count`` packed numbers: the lowest of all of them, then the next ones, which are alike and shrink well."""
     held = b"".join(column.to_pylist())
-    return np.frombuffer(held, dtype=f"<u{len(held) // count}").astype(np.int64)
+    return np.frombuffer(held, np.uint8).reshape(count, -1).T.tobytes()
+
+
+def _unpacked(held: bytes, count: int) -> np.ndarray:
+    """Numbers out of ``_by_byte``."""
+    return np.ascontiguousarray(np.frombuffer(held, np.uint8).reshape(-1, count).T).view(f"<u{len(held) // count}").ravel().astype(np.int64)
+
+
+def _lean_lists(rows: pa.Table) -> pa.Table:
+    """Terms of one segment in one row, their numbers put together: how many belong to a term is known from ``n`` and ``tf``."""
+    total = int(pc.sum(rows["n"]).as_py())
+    counts = {"steps": total, "tf": total}
+    if "positions" in rows.column_names:
+        counts["positions"] = int(_unpacked(_by_byte(rows["tf"], total), total).sum())
+    whole = {c: pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows[c].combine_chunks()) for c in ("term", "n")}
+    return pa.table(whole | {c: pa.array([_by_byte(rows[c], count)], pa.binary()) for c, count in counts.items()})
 
 
 def _gathered(batches) -> Iterator[pa.Table]:
@@ -269,8 +285,8 @@ def _gathered(batches) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def bundles(rows: DataFrame, key: Callable[[pa.Table], np.ndarray], kind: int = 0) -> DataFrame:
-    """Rows of one key (a whole number) that lie near each other, packed into one: ``key, kind, size, data``."""
+def bundles(rows: DataFrame, key: Callable[[pa.Table], np.ndarray], kind: int = 0, lean: Callable[[pa.Table], pa.Table] | None = None) -> DataFrame:
+    """Rows of one key (a whole number) that lie near each other, packed into one: ``key, kind, size, data``. ``lean`` makes them smaller before."""
     def run(batches):
         for held in _gathered(batches):
             keys = key(held)
@@ -278,6 +294,7 @@ def bundles(rows: DataFrame, key: Callable[[pa.Table], np.ndarray], kind: int =
             ends = _cuts(keys[order])
             for low, high in zip(ends[:-1], ends[1:]):
                 part = held.take(pa.array(order[low:high])).combine_chunks()
+                part = lean(part) if lean else part
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema) as out:
                     out.write_table(part)
@@ -311,47 +328,63 @@ def unpacked(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFram
     schema = ", ".join(f for f, name in zip(TEXT_POSTINGS.split(", "), columns(TEXT_POSTINGS)) if name in wanted)
 
     def run(batches):
-        block, parts, found = None, [], None
-        for key, kind, rows in _opened(batches):
-            if key != block:
-                block, parts, found = key, [], None
-            if kind == 0:
-                parts.append(rows)
-            elif parts or found:
-                if parts:
-                    held = pa.concat_tables(parts).combine_chunks()
-                    number = held["number"].to_numpy()
-                    place = np.full(int(number.max()) + 1, -1)
-                    place[number] = np.arange(len(number))
-                    parts, found = [], (held, place)
-                yield from _postings_in(rows, *found, names)
+        for _, held, place, lists in _met(batches):
+            yield from _postings_in(lists, held, place, names)
+
+    return _by_segment(terms, chunks, wanted).mapInArrow(run, schema)
+
 
+def _by_segment(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
+    """Bundles of the chunks of a segment, then of its terms, one segment after another."""
     held = chunks.select("block", "number", *[c for c in wanted if c in (*STORED, "doc_len", "place")])
     lists = terms.select("block", "term", "n", "steps", "tf", *[c for c in ("positions",) if c in wanted])
-    moved = bundles(held, _of_block).union(bundles(lists, _of_block, 1))
-    return moved.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(run, schema)
+    moved = bundles(held, _of_block).union(bundles(lists, _of_block, 1, _lean_lists))
+    return moved.repartition("key").sortWithinPartitions("key", "kind")
+
+
+def _met(batches) -> Iterator[tuple[int, pa.Table, np.ndarray, pa.Table]]:
+    """Of ``_by_segment`` each bundle of terms, with its segment, the chunks of it, and the row there for the number of a chunk, or -1."""
+    block, parts, found = None, [], None
+    for key, kind, rows in _opened(batches):
+        if key != block:
+            block, parts, found = key, [], None
+        if kind == 0:
+            parts.append(rows)
+        elif parts or found:
+            if parts:
+                held = pa.concat_tables(parts).combine_chunks()
+                number = held["number"].to_numpy()
+                place = np.full(int(number.max()) + 1, -1)
+                place[number] = np.arange(len(number))
+                parts, found = [], (held, place)
+            yield block, *found, rows
+
+
+def _postings_in(lists: pa.Table, found: pa.Table, place: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Postings of some terms of a segment (``_lean_lists``) in its chunks ``found``."""
+    terms, row, at, tf, places = _places_in(lists, place, "positions" in names)
+    for low in range(0, len(row), UNPACKED_ROWS):
+        part = slice(low, low + UNPACKED_ROWS)
+        out = {"term": lambda: terms.take(pa.array(row[part])), "tf": lambda: pa.array(tf[part], pa.int32()), "positions": lambda: places(part)}
+        yield pa.RecordBatch.from_arrays(
+            [out[c]() if c in out else found[c].combine_chunks().take(pa.array(at[part])) for c in names], names=names)
 
 
-def _postings_in(listed: pa.Table, found: pa.Table, place: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Postings of some terms of a segment in its chunks ``found``; ``place`` is the row there for the number of a chunk, or -1."""
-    n = listed["n"].to_numpy().astype(np.int64)
+def _places_in(lists: pa.Table, place: np.ndarray, positions: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, Callable]:
+    """The terms, and of each of their postings in the chunks at hand the term's row, the chunk's row, the frequency, and what gives its positions."""
+    (terms, n), blobs = (lists[c].combine_chunks().flatten() for c in ("term", "n")), {c: lists[c][0].as_py() for c in lists.column_names[2:]}
+    n = n.to_numpy().astype(np.int64)
     total = int(n.sum())
-    tf, passed = _unpacked(listed["tf"], total), np.cumsum(_unpacked(listed["steps"], total))
+    tf, passed = _unpacked(blobs["tf"], total), np.cumsum(_unpacked(blobs["steps"], total))
     # steps begin anew in each row
     ends = np.cumsum(n)
     at = passed - np.repeat(np.r_[0, passed[ends[:-1] - 1]], n)
     keep = np.flatnonzero(at < len(place))
     keep = keep[place[at[keep]] >= 0]
-    row, at = np.repeat(np.arange(len(n)), n)[keep], place[at[keep]]
-    if "positions" in names:
+    if positions:
         bounds = np.r_[0, np.cumsum(tf)].astype(np.int32)
-        places = pa.ListArray.from_arrays(pa.array(bounds), pa.array(_unpacked(listed["positions"], int(bounds[-1])).astype(np.int32)))
-    for low in range(0, len(keep), UNPACKED_ROWS):
-        part = slice(low, low + UNPACKED_ROWS)
-        out = {"term": lambda: listed["term"].combine_chunks().take(pa.array(row[part])), "tf": lambda: pa.array(tf[keep[part]], pa.int32()),
-               "positions": lambda: places.take(pa.array(keep[part]))}
-        yield pa.RecordBatch.from_arrays(
-            [out[c]() if c in out else found[c].combine_chunks().take(pa.array(at[part])) for c in names], names=names)
+        every = pa.ListArray.from_arrays(pa.array(bounds), pa.array(_unpacked(blobs["positions"], int(bounds[-1])).astype(np.int32)))
+    return terms, np.repeat(np.arange(len(n)), n)[keep], place[at[keep]], tf[keep], lambda part: every.take(pa.array(keep[part]))
 
 
 def _in_ranges(listed: DataFrame, n: int) -> DataFrame:

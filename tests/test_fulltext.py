@@ -269,3 +269,22 @@ def test_packed_terms_are_never_there_twice(spark, monkeypatch):
     files = spark.read.parquet(f"{path}/files").drop("first_part", "last_part").localCheckpoint()
     files.write.mode("overwrite").parquet(f"{path}/files")  # as an index without parts has it
     assert sorted(ids(ft.match(ft.read_text_index(spark, path), "w77"))) == sorted(c for c, *_, text in rows if "w77" in text.split())
+
+
+def test_packed_terms_move_without_bounds_of_their_numbers():
+    """Numbers of one segment lie together by byte, and what is known from other columns does not move."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    n, tf = rng.integers(1, 9, 500), []
+    tf = rng.integers(1, 3, n.sum())
+    steps, positions = rng.integers(0, 400, n.sum()), rng.integers(0, 70, tf.sum())
+    lists, places = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(tf)]
+    rows = pa.table({
+        "block": pa.array([7] * 500, pa.int64()), "term": [f"w{i}" for i in range(500)], "n": pa.array(n, pa.int32()), "steps": ft._packed(steps, lists),
+        "tf": ft._packed(tf, lists), "positions": ft._packed(positions, places[lists])})
+    lean = ft._lean_lists(rows)
+    assert lean.num_rows == 1 and lean.nbytes < rows.nbytes - 500 * 12
+    for name, numbers in (("steps", steps), ("tf", tf), ("positions", positions)):
+        assert ft._unpacked(lean[name][0].as_py(), len(numbers)).tolist() == numbers.tolist()
