@@ -17,6 +17,7 @@ from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 from operator import or_
 
 import numpy as np
@@ -387,6 +388,41 @@ def _places_in(lists: pa.Table, place: np.ndarray, positions: bool) -> tuple[pa.
     return terms, np.repeat(np.arange(len(n)), n)[keep], place[at[keep]], tf[keep], lambda part: every.take(pa.array(keep[part]))
 
 
+def chunk_hits(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
+    """Per chunk with one of the terms its ``wanted`` columns and ``entries``, its postings in the order of the terms.
+
+    For the terms of a query: a segment's postings are put together in the task that meets them, so nothing is shuffled after that.
+    """
+    listed = ["term", "tf", *[c for c in ("positions",) if c in wanted]]
+    types = dict(f.split() for f in TEXT_POSTINGS.split(", "))
+    names = [c for c in types if c in wanted and c not in listed]
+    fields = ", ".join(f"{c}: {types[c]}" for c in listed)
+
+    def run(batches):
+        for _, met in groupby(_met(batches), key=lambda m: m[0]):
+            yield from _entries_in([m[1:] for m in met], names, listed)
+
+    return _by_segment(terms, chunks, wanted).mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names), f"entries ARRAY<STRUCT<{fields}>>"]))
+
+
+def _entries_in(met: list[tuple[pa.Table, np.ndarray, pa.Table]], names: list[str], listed: list[str]) -> Iterator[pa.RecordBatch]:
+    """Chunks of one segment with their postings of all bundles of terms."""
+    parts = []
+    for _, place, lists in met:
+        terms, row, at, tf, places = _places_in(lists, place, "positions" in listed)
+        fields = {"at": pa.array(at), "term": terms.take(pa.array(row)), "tf": pa.array(tf, pa.int32())}
+        parts.append(pa.table(fields | ({"positions": places(slice(None))} if "positions" in listed else {})))
+    rows = pa.concat_tables(parts)
+    rows = rows.take(pc.sort_indices(rows.select(["at", "term"]), sort_keys=[("at", "ascending"), ("term", "ascending")])).combine_chunks()
+    at = rows["at"].to_numpy()
+    bounds = _cuts(at)
+    if len(bounds) > 1:
+        entries = pa.StructArray.from_arrays([rows[c].combine_chunks() for c in listed], names=listed)
+        found = met[0][0].take(pa.array(at[bounds[:-1]]))
+        whole = pa.table({c: found[c] for c in names} | {"entries": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), entries)})
+        yield from whole.combine_chunks().to_batches(max_chunksize=UNPACKED_ROWS)
+
+
 def _in_ranges(listed: DataFrame, n: int) -> DataFrame:
     """Rows of TEXT_LISTS in ``n`` ranges of (term, block) of about equal size, in order.
 
@@ -425,6 +461,17 @@ def text_corpus(docs: DataFrame) -> DataFrame:
     return figures.withColumn("digits", digits)
 
 
+def has_copies(docs: DataFrame) -> bool:
+    """Whether stored fields may come twice, told by their hashes; all different hashes mean that none does."""
+    again = docs.groupBy(F.xxhash64(*STORED).alias("hash")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return again.agg(F.count(F.lit(1))).first()[0] > 0
+
+
+def one_row_each(index: TextIndex) -> bool:
+    """Whether the index is stored and knows that no chunk comes twice; an index that was written without that knowledge does not."""
+    return index.files is not None and index.corpus.select("copies").first().copies is False
+
+
 def impact(avg_len: Column) -> Column:
     """What a posting adds to a BM25 score for each unit of its term's weight."""
     norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / avg_len)
@@ -475,7 +522,7 @@ def _write_text_index(spark: SparkSession, chunks: DataFrame, path: str) -> None
     files.delete(at, True)
     index = read_text_index(spark, path)
     index.lists.groupBy("term").agg(F.sum("n").alias("df")).sort("term").write.mode("overwrite").parquet(f"{path}/terms")
-    text_corpus(index.docs).write.mode("overwrite").parquet(f"{path}/corpus")
+    text_corpus(index.docs).withColumn("copies", F.lit(has_copies(index.docs))).write.mode("overwrite").parquet(f"{path}/corpus")
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
     ends = spark.read.schema(TEXT_LISTS).parquet(f"{path}/postings").groupBy(name.alias("file")).agg(
         F.min(F.struct("term", "block")).alias("first"), F.max(F.struct("term", "block")).alias("last"),
@@ -530,8 +577,9 @@ def query_terms(spark: SparkSession, query: str) -> list[tuple[int, str]]:
     return [(t["pos"], t["term"]) for t in row["t"]]
 
 
-def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources, blocks: DataFrame | None = None, wanted: list[str] | None = None) -> DataFrame:
-    """Postings of the terms under the filters, which hold for the whole query, and in the ``blocks`` if they are given."""
+def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources, blocks: DataFrame | None = None, wanted: list[str] | None = None,
+            put=unpacked) -> DataFrame:
+    """Postings of the terms under the filters, which hold for the whole query, and in the ``blocks`` if they are given. ``put`` meets terms and chunks."""
     def kept(rows: DataFrame) -> DataFrame:
         rows = source_clause(year_clause(rows, year_from, year_to), sources)
         if blocks is None:
@@ -541,7 +589,7 @@ def _posted(index: TextIndex, terms: set[str], year_from, year_to, sources, bloc
 
     if index.files is None:
         return kept(postings_of(index, terms))
-    return unpacked(postings_of(index, terms), kept(index.chunks), wanted or columns(TEXT_POSTINGS))
+    return put(postings_of(index, terms), kept(index.chunks), wanted or columns(TEXT_POSTINGS))
 
 
 def raw_match(chunks: DataFrame, field: str, value: str) -> DataFrame:
@@ -559,7 +607,11 @@ def match(
     if mode not in ("any", "all"):
         raise ValueError("mode is 'any' or 'all'")
     terms = {t for _, t in query_terms(index.postings.sparkSession, query)}
-    found = _posted(index, terms, year_from, year_to, sources, wanted=["term", *STORED]).groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_terms"))
+    if one_row_each(index):
+        hits = _posted(index, terms, year_from, year_to, sources, wanted=STORED, put=chunk_hits)
+        found = hits.select(*STORED, F.size("entries").cast("bigint").alias("n_terms"))
+    else:
+        found = _posted(index, terms, year_from, year_to, sources, wanted=["term", *STORED]).groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_terms"))
     return found.filter(F.col("n_terms") == len(terms)) if mode == "all" else found
 
 

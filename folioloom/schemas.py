@@ -60,7 +60,8 @@ TEXT_FILES = "file STRING, first_term STRING, last_term STRING, first_place BIGI
 
 TEXT_DOCS = "chunk_id STRING, doc_id STRING, year BIGINT, source STRING, doc_len INT"
 
-TEXT_CORPUS = "n DOUBLE, avg_len DOUBLE, digits INT"
+# Whether a chunk's stored fields may come twice; null where the index was written without asking.
+TEXT_CORPUS = "n DOUBLE, avg_len DOUBLE, digits INT, copies BOOLEAN"
 
 
 def columns(ddl: str) -> list[str]:

@@ -271,6 +271,41 @@ def test_packed_terms_are_never_there_twice(spark, monkeypatch):
     assert sorted(ids(ft.match(ft.read_text_index(spark, path), "w77"))) == sorted(c for c, *_, text in rows if "w77" in text.split())
 
 
+def _some_chunks(spark, copies):
+    import random
+
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(f"{rng.getrandbits(256):064x}", f"d{i % 9}", 1800 + i % 30, f"s{i % 4}", " ".join(rng.choices(words, [1 / (k + 1) for k in range(30)], k=rng.randint(0, 50)))) for i in range(400)]
+    return spark.createDataFrame(rows + rows[:copies], CHUNK).repartition(3)
+
+
+def _stored(spark, chunks):
+    from folioloom.session import new_folder
+
+    path = new_folder(spark, "text-index")
+    ft.write_text_index(chunks, path)
+    return ft.read_text_index(spark, path)
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+@pytest.fixture(scope="module", params=[0, 40])
+def both(request, spark):
+    """A stored index without and with chunks that come twice, and the lazy tables of the same chunks."""
+    given = _some_chunks(spark, request.param).localCheckpoint()
+    stored = _stored(spark, given)
+    assert ft.one_row_each(stored) == (request.param == 0)
+    return stored, ft.index_of(given)
+
+
+def _same(found, wanted):
+    assert found.dtypes == wanted.dtypes
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_packed_terms_move_without_bounds_of_their_numbers():
     """Numbers of one segment lie together by byte, and what is known from other columns does not move."""
     import numpy as np
@@ -288,3 +323,22 @@ def test_packed_terms_move_without_bounds_of_their_numbers():
     assert lean.num_rows == 1 and lean.nbytes < rows.nbytes - 500 * 12
     for name, numbers in (("steps", steps), ("tf", tf), ("positions", positions)):
         assert ft._unpacked(lean[name][0].as_py(), len(numbers)).tolist() == numbers.tolist()
+
+
+def test_terms_are_counted_where_they_meet_their_chunks(both):
+    """One shuffle, of what is stored; only chunks that come twice are put together by another."""
+    stored, lazy = both
+    for query, mode, filters in (("w1 w2 w9", "any", {}), ("w0 w1", "all", {}), ("w0 w3 nowhere", "any", {"year_from": 1810, "sources": ["s1", "s2"]}), ("", "any", {})):
+        _same(ft.match(stored, query, mode, **filters), ft.match(lazy, query, mode, **filters))
+        _same(ft.page(ft.match(stored, query, mode, **filters), 5, 20), ft.page(ft.match(lazy, query, mode, **filters), 5, 20))
+    assert _shuffles(ft.match(stored, "w1 w2")) == (1 if ft.one_row_each(stored) else 2)
+
+
+def test_an_index_that_does_not_know_of_copies_is_searched_as_before(spark):
+    given = _some_chunks(spark, 0).localCheckpoint()
+    stored = _stored(spark, given)
+    corpus = stored.corpus.drop("copies").localCheckpoint()
+    corpus.write.mode("overwrite").parquet(f"{stored.path}/corpus")
+    index = ft.read_text_index(spark, stored.path)
+    assert not ft.one_row_each(index)
+    _same(ft.match(index, "w1 w2"), ft.match(ft.index_of(given), "w1 w2"))
