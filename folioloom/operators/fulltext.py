@@ -472,10 +472,15 @@ def one_row_each(index: TextIndex) -> bool:
     return index.files is not None and index.corpus.select("copies").first().copies is False
 
 
-def impact(avg_len: Column) -> Column:
+def impact(avg_len: Column, tf: Column | None = None) -> Column:
     """What a posting adds to a BM25 score for each unit of its term's weight."""
+    tf = F.col("tf") if tf is None else tf
     norm = BM25_K1 * (1 - BM25_B + BM25_B * F.col("doc_len") / avg_len)
-    return F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + norm)
+    return tf * (BM25_K1 + 1) / (tf + norm)
+
+
+def rarity(n: Column, df: Column) -> Column:
+    return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
 def in_block(digits: Column) -> Column:
@@ -642,8 +647,7 @@ def bm25(
     that ties do not depend on the order in which a task adds terms up.
     """
     known = _weighted(index, query)
-    hit = _posted(index, {t for t, *_ in known}, year_from, year_to, sources, wanted=SCORED)
-    return _scores(index, hit, known)
+    return _scored(index, known, {"year_from": year_from, "year_to": year_to, "sources": sources})
 
 
 def _weighted(index: TextIndex, query: str) -> list[tuple[str, int, int]]:
@@ -659,13 +663,21 @@ def _with_weight(index: TextIndex, rows: DataFrame, known: list[tuple[str, int,
     """Rows of the terms with ``weight`` (of the term in the query, by its rarity) and ``c``, the corpus figures."""
     asked = rows.sparkSession.createDataFrame(known, "term STRING, times INT, df BIGINT")
     found = rows.join(F.broadcast(asked), "term").withColumn("c", index.corpus.select(F.struct("n", "avg_len", "digits").alias("c")).scalar())
-    idf = F.log(1 + (F.col("c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return found.withColumn("weight", F.col("times") * idf)
+    return found.withColumn("weight", F.col("times") * rarity(F.col("c.n"), F.col("df")))
 
 
-def _scores(index: TextIndex, hit: DataFrame, known: list[tuple[str, int, int]]) -> DataFrame:
-    part = F.col("weight") * impact(F.col("c.avg_len"))
-    return _with_weight(index, hit, known).groupBy(*STORED).agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+def _scored(index: TextIndex, known: list[tuple[str, int, int]], filters: dict, blocks: DataFrame | None = None) -> DataFrame:
+    """Stored fields and score of the chunks under the filters, and in the ``blocks`` if they are given."""
+    under, terms = {"year_from": None, "year_to": None, "sources": None, **filters, "blocks": blocks}, {t for t, *_ in known}
+    if not known or not one_row_each(index):
+        part = F.col("weight") * impact(F.col("c.avg_len"))
+        hit = _with_weight(index, _posted(index, terms, **under, wanted=SCORED), known)
+        return hit.groupBy(*STORED).agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+    hit = _posted(index, terms, **under, wanted=[*STORED, "doc_len"], put=chunk_hits)
+    hit = hit.withColumn("c", index.corpus.select(F.struct("n", "avg_len").alias("c")).scalar())
+    weights = F.create_map(*[x for term, times, df in known for x in (F.lit(term), F.lit(times) * rarity(F.col("c.n"), F.lit(df)))])
+    score = F.aggregate("entries", F.lit(0.0), lambda total, e: total + weights[e["term"]] * impact(F.col("c.avg_len"), e["tf"]))
+    return hit.select(*STORED, F.round(score, SCORE_DIGITS).alias("score"))
 
 
 def block_bounds(index: TextIndex, known: list[tuple[str, int, int]]) -> DataFrame:
@@ -687,15 +699,12 @@ def score_to_reach(index: TextIndex, query: str, wanted: int, **filters) -> tupl
     known = _weighted(index, query)
     bounds = block_bounds(index, known)
     first = bounds.orderBy(F.desc("bound"), "block").limit(wanted).select("block")
-    best = _scores(index, _in_blocks(index, known, first, filters), known).orderBy(F.desc("score"), "chunk_id").limit(wanted)
-    reached = best.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
+    best = _scored(index, known, filters, first).orderBy(F.desc("score"), "chunk_id").limit(wanted)
+    with shuffles_dropped(best.sparkSession):
+        reached = best.agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).first()
     return known, bounds, reached.least if reached.n == wanted else 0.0
 
 
-def _in_blocks(index: TextIndex, known: list, blocks: DataFrame, filters: dict) -> DataFrame:
-    return _posted(index, {t for t, *_ in known}, **{"year_from": None, "year_to": None, "sources": None, **filters}, blocks=blocks, wanted=SCORED)
-
-
 def ranked_page(
     index: TextIndex, query: str, offset: int = 0, limit: int = 20,
     year_from: int | None = None, year_to: int | None = None, sources: list[str] | None = None,
@@ -709,7 +718,7 @@ def ranked_page(
         return page(bm25(index, query, **filters), offset, limit, by_score=True)
     known, bounds, least = score_to_reach(index, query, offset + limit, **filters)
     reaching = bounds.filter(F.col("bound") >= least - SLACK)
-    return page(_scores(index, _in_blocks(index, known, reaching, filters), known), offset, limit, by_score=True)
+    return page(_scored(index, known, filters, reaching), offset, limit, by_score=True)
 
 
 def page(hits: DataFrame, offset: int = 0, limit: int = 20, by_score: bool = False) -> DataFrame:

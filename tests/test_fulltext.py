@@ -334,6 +334,24 @@ def test_terms_are_counted_where_they_meet_their_chunks(both):
     assert _shuffles(ft.match(stored, "w1 w2")) == (1 if ft.one_row_each(stored) else 2)
 
 
+def test_scores_are_added_up_where_terms_meet_their_chunks(both):
+    stored, lazy = both
+    for query, filters in (("w1 w2 w9", {}), ("w0 w0 w25 nowhere", {"year_to": 1815, "sources": ["s1", "s3"]}), ("nowhere", {})):
+        found, wanted = ({tuple(r)[:4]: r.score for r in ft.bm25(index, query, **filters).collect()} for index in (stored, lazy))
+        assert found == pytest.approx(wanted, abs=2e-6)
+    assert _shuffles(ft.bm25(stored, "w1 w2")) == 1 or not ft.one_row_each(stored)
+
+
+def test_a_search_for_the_score_to_reach_leaves_no_shuffles(spark, both):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffled()
+    _, _, least = ft.score_to_reach(both[0], "w1 w2", 5)
+    assert least > 0 and not shuffled() - before
+
+
 def test_an_index_that_does_not_know_of_copies_is_searched_as_before(spark):
     given = _some_chunks(spark, 0).localCheckpoint()
     stored = _stored(spark, given)
