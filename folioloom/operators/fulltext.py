@@ -629,14 +629,25 @@ def phrase(
     asked = query_terms(spark, query)
     if not asked:
         return index.docs.select(*STORED, F.lit(0).cast("bigint").alias("n_places")).limit(0)
+    terms = {t for _, t in asked}
+    if one_row_each(index):
+        hit = _posted(index, terms, year_from, year_to, sources, wanted=[*STORED, "positions"], put=chunk_hits)
+        starts = reduce(F.array_intersect, (_starts(term, offset) for offset, term in asked))
+        return hit.filter(F.size("entries") == len(terms)).select(*STORED, F.size(starts).cast("bigint").alias("n_places")).filter("n_places > 0")
     # as many rows as the query has words
     offsets = F.broadcast(spark.createDataFrame(asked, "offset INT, term STRING"))
-    hit = _posted(index, {t for _, t in asked}, year_from, year_to, sources, wanted=["term", *STORED, "positions"]).join(offsets, "term")
+    hit = _posted(index, terms, year_from, year_to, sources, wanted=["term", *STORED, "positions"]).join(offsets, "term")
     starts = hit.select(*STORED, F.explode(F.transform("positions", lambda p: p - F.col("offset"))).alias("start"))
     whole = starts.groupBy(*STORED, "start").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(asked))
     return whole.groupBy(*STORED).agg(F.count(F.lit(1)).alias("n_places"))
 
 
+def _starts(term: str, offset: int) -> Column:
+    """Where a phrase with the term at ``offset`` would begin in a chunk of ``chunk_hits``; null without the term."""
+    entry = F.try_element_at(F.filter("entries", lambda e: e["term"] == term), F.lit(1))
+    return F.transform(entry["positions"], lambda p: p - offset)
+
+
 def bm25(
     index: TextIndex, query: str,
     year_from: int | None = None, year_to: int | None = None, sources: list[str] | None = None,

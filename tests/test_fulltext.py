@@ -352,6 +352,13 @@ def test_a_search_for_the_score_to_reach_leaves_no_shuffles(spark, both):
     assert least > 0 and not shuffled() - before
 
 
+def test_phrases_are_found_where_terms_meet_their_chunks(both):
+    stored, lazy = both
+    for query, filters in (("w0 w1", {}), ("w0 w0", {}), ("w2 w0 w1", {"year_from": 1805}), ("w4", {"sources": ["s1"]}), ("w0 nowhere", {}), ("w1 w0 w1", {})):
+        _same(ft.phrase(stored, query, **filters), ft.phrase(lazy, query, **filters))
+    assert _shuffles(ft.phrase(stored, "w0 w1")) <= 1 or not ft.one_row_each(stored)
+
+
 def test_an_index_that_does_not_know_of_copies_is_searched_as_before(spark):
     given = _some_chunks(spark, 0).localCheckpoint()
     stored = _stored(spark, given)
