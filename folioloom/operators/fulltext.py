@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from folioloom.operators.knn import rank_ids
 from folioloom.operators.lookup import source_clause, year_clause
 from folioloom.schemas import SEARCH_DOCUMENT, TEXT_CORPUS, TEXT_DOCS, TEXT_FILES, TEXT_LISTS, TEXT_POSTINGS, TEXT_SEGMENTS, TEXT_TERMS, columns
 from folioloom.session import shuffles_dropped, stored_bytes
@@ -247,7 +248,7 @@ def _segment_rows(rows: int, block: int, **given) -> pa.RecordBatch:
 
 def _packed(numbers: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """Numbers between the bounds as bytes, all of one width: the least that the largest fits."""
-    small = numbers.astype(np.min_scalar_type(int(numbers.max())))
+    small = _small(numbers)
     offsets = pa.py_buffer((bounds * small.itemsize).astype(np.int32).tobytes())
     return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(small.tobytes())])
 
@@ -323,16 +324,12 @@ def _of_block(rows: pa.Table) -> np.ndarray:
 def unpacked(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
     """Postings with the ``wanted`` columns of TEXT_POSTINGS, of terms of segments, in such of ``chunks`` (``block, number`` and what is wanted).
 
-    Both meet by segment: its chunks first, which are bounded, then its terms as a stream.
+    Both meet by segment, and its postings come back chunk by chunk: what they share goes to Python and back once, and the rows of a
+    chunk, next to one another, shrink well wherever they are written.
     """
     names = [c for c in columns(TEXT_POSTINGS) if c in wanted]
-    schema = ", ".join(f for f, name in zip(TEXT_POSTINGS.split(", "), columns(TEXT_POSTINGS)) if name in wanted)
-
-    def run(batches):
-        for _, held, place, lists in _met(batches):
-            yield from _postings_in(lists, held, place, names)
-
-    return _by_segment(terms, chunks, wanted).mapInArrow(run, schema)
+    hits = chunk_hits(terms, chunks, wanted)
+    return hits.select(*[c for c in hits.columns if c != "entries"], F.inline("entries")).select(*names)
 
 
 def _by_segment(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
@@ -361,18 +358,13 @@ def _met(batches) -> Iterator[tuple[int, pa.Table, np.ndarray, pa.Table]]:
             yield block, *found, rows
 
 
-def _postings_in(lists: pa.Table, found: pa.Table, place: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Postings of some terms of a segment (``_lean_lists``) in its chunks ``found``."""
-    terms, row, at, tf, places = _places_in(lists, place, "positions" in names)
-    for low in range(0, len(row), UNPACKED_ROWS):
-        part = slice(low, low + UNPACKED_ROWS)
-        out = {"term": lambda: terms.take(pa.array(row[part])), "tf": lambda: pa.array(tf[part], pa.int32()), "positions": lambda: places(part)}
-        yield pa.RecordBatch.from_arrays(
-            [out[c]() if c in out else found[c].combine_chunks().take(pa.array(at[part])) for c in names], names=names)
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """Numbers in the least width that the largest fits."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()))) if len(numbers) else numbers.astype(np.uint8)
 
 
-def _places_in(lists: pa.Table, place: np.ndarray, positions: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, Callable]:
-    """The terms, and of each of their postings in the chunks at hand the term's row, the chunk's row, the frequency, and what gives its positions."""
+def _places_in(lists: pa.Table, place: np.ndarray, positions: bool) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+    """The terms, and of each of their postings in the chunks at hand the term's row, the chunk's row, the frequency, and all positions."""
     (terms, n), blobs = (lists[c].combine_chunks().flatten() for c in ("term", "n")), {c: lists[c][0].as_py() for c in lists.column_names[2:]}
     n = n.to_numpy().astype(np.int64)
     total = int(n.sum())
@@ -380,12 +372,10 @@ def _places_in(lists: pa.Table, place: np.ndarray, positions: bool) -> tuple[pa.
     # steps begin anew in each row
     ends = np.cumsum(n)
     at = passed - np.repeat(np.r_[0, passed[ends[:-1] - 1]], n)
-    keep = np.flatnonzero(at < len(place))
-    keep = keep[place[at[keep]] >= 0]
-    if positions:
-        bounds = np.r_[0, np.cumsum(tf)].astype(np.int32)
-        every = pa.ListArray.from_arrays(pa.array(bounds), pa.array(_unpacked(blobs["positions"], int(bounds[-1])).astype(np.int32)))
-    return terms, np.repeat(np.arange(len(n)), n)[keep], place[at[keep]], tf[keep], lambda part: every.take(pa.array(keep[part]))
+    keep = at < len(place)
+    keep[keep] = place[at[keep]] >= 0
+    every = _small(_unpacked(blobs["positions"], int(tf.sum()))[np.repeat(keep, tf)]) if positions else None
+    return terms, np.repeat(np.arange(len(n), dtype=np.int32), n)[keep], _small(place[at[keep]]), _small(tf[keep]), every
 
 
 def chunk_hits(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFrame:
@@ -406,21 +396,36 @@ def chunk_hits(terms: DataFrame, chunks: DataFrame, wanted: list[str]) -> DataFr
 
 
 def _entries_in(met: list[tuple[pa.Table, np.ndarray, pa.Table]], names: list[str], listed: list[str]) -> Iterator[pa.RecordBatch]:
-    """Chunks of one segment with their postings of all bundles of terms."""
-    parts = []
+    """Chunks of one segment with their postings of all bundles of terms. These are held as narrow numbers and come back a part at a time."""
+    words, rows, known = [], [], 0
     for _, place, lists in met:
-        terms, row, at, tf, places = _places_in(lists, place, "positions" in listed)
-        fields = {"at": pa.array(at), "term": terms.take(pa.array(row)), "tf": pa.array(tf, pa.int32())}
-        parts.append(pa.table(fields | ({"positions": places(slice(None))} if "positions" in listed else {})))
-    rows = pa.concat_tables(parts)
-    rows = rows.take(pc.sort_indices(rows.select(["at", "term"]), sort_keys=[("at", "ascending"), ("term", "ascending")])).combine_chunks()
-    at = rows["at"].to_numpy()
-    bounds = _cuts(at)
-    if len(bounds) > 1:
-        entries = pa.StructArray.from_arrays([rows[c].combine_chunks() for c in listed], names=listed)
-        found = met[0][0].take(pa.array(at[bounds[:-1]]))
-        whole = pa.table({c: found[c] for c in names} | {"entries": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), entries)})
-        yield from whole.combine_chunks().to_batches(max_chunksize=UNPACKED_ROWS)
+        terms, row, *numbers = _places_in(lists, place, "positions" in listed)
+        rows.append((row + np.int32(known), *numbers))
+        words.append(terms)
+        known += len(terms)
+    code, at, tf, every = (None if part[0] is None else np.concatenate(part) for part in zip(*rows))
+    del rows
+    words = pa.concat_arrays(words)
+    order = np.argsort(at.astype(np.int64) * known + rank_ids(words)[code].astype(np.int64) - 1)
+    starts = np.cumsum(tf, dtype=np.int64) - tf
+    bounds = _cuts(at[order])
+    held = met[0][0].select(names)
+    low = 0
+    while low < len(bounds) - 1:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + UNPACKED_ROWS, "right")) - 1)
+        part = order[bounds[low]:bounds[high]]
+        fields = {"term": words.take(pa.array(code[part])), "tf": pa.array(tf[part].astype(np.int32))}
+        if every is not None:
+            n = tf[part].astype(np.int64)
+            ends = np.cumsum(n)
+            places = every[np.arange(ends[-1]) + np.repeat(starts[part] - ends + n, n)]
+            fields["positions"] = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(places.astype(np.int32)))
+        entries = pa.StructArray.from_arrays([fields[c] for c in listed], names=listed)
+        found = held.take(pa.array(at[order[bounds[low:high]]]))
+        offsets = pa.array((bounds[low:high + 1] - bounds[low]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [*(found[c].combine_chunks() for c in names), pa.ListArray.from_arrays(offsets, entries)], names=[*names, "entries"])
+        low = high
 
 
 def _in_ranges(listed: DataFrame, n: int) -> DataFrame:

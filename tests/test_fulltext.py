@@ -367,3 +367,39 @@ def test_an_index_that_does_not_know_of_copies_is_searched_as_before(spark):
     index = ft.read_text_index(spark, stored.path)
     assert not ft.one_row_each(index)
     _same(ft.match(index, "w1 w2"), ft.match(ft.index_of(given), "w1 w2"))
+
+
+def test_stored_postings_come_back_chunk_by_chunk(both):
+    """The rows of a chunk lie next to one another, so what they share takes little room where they are written."""
+    stored, lazy = both
+    _same(stored.postings.withColumn("positions", F.col("positions").cast("string")), lazy.postings.withColumn("positions", F.col("positions").cast("string")))
+    order = [r.chunk_id for r in stored.postings.select("chunk_id").collect()]
+    assert 1 + sum(a != b for a, b in zip(order, order[1:])) <= stored.docs.filter("doc_len > 0").count()
+
+
+def test_postings_of_a_segment_come_back_in_parts(monkeypatch):
+    """Whole chunks in batches of a bounded number of postings, their terms in order however the bundles came; chunks that are left out stay out."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [[rng.choice(["of", "the", "sea", None, "a", "zinc"]) for _ in range(rng.randint(0, 9))] for _ in range(40)]
+    shared = {c: [f"{c}{i}" for i in range(40)] for c in ("chunk_id", "doc_id", "source", "place")}
+    rows = pa.table({**shared, "year": pa.array([1800] * 40, pa.int64()), "terms": pa.array(texts, pa.list_(pa.string()))})
+    chunks, lists = (pa.Table.from_batches([b]) for b in ft._segment(rows))
+    kept = [i for i in range(40) if i % 3]
+    place = np.full(40, -1)
+    place[kept] = np.arange(len(kept))
+    met = [(chunks.take(pa.array(kept)), place, ft._lean_lists(lists.select(["term", "n", "steps", "tf", "positions"]).slice(*part))) for part in ((2, 9), (0, 2))]
+    monkeypatch.setattr(ft, "UNPACKED_ROWS", 12)
+    parts = list(ft._entries_in(met, ["chunk_id", "doc_len"], ["term", "tf", "positions"]))
+    assert len(parts) > 3 and all(len(p["entries"].flatten()) <= 12 for p in parts)
+    got = {r["chunk_id"]: (r["doc_len"], [(e["term"], e["tf"], e["positions"]) for e in r["entries"]]) for p in parts for r in p.to_pylist()}
+    want = {}
+    for i in kept:
+        at = {t: [pos for pos, u in enumerate(texts[i]) if u == t] for t in sorted({t for t in texts[i] if t})}
+        if at:
+            want[f"chunk_id{i}"] = (sum(map(len, at.values())), [(t, len(p), p) for t, p in at.items()])
+    assert got == want
