@@ -112,13 +112,14 @@ def top_sql(queries: str, vectors: str, n: int, columns: str, where: str = "true
             from {queries} q, {vectors} v where {where}) where rank <= {n}"""
 
 
-VEC_QUERIES = {"vq": "select chunk_id as query_id, vector from vecs where substr(chunk_id, 2)::bigint % 50 = 0"}
+VEC_QUERIES = {"vq": "select chunk_id as query_id, vector from vecs"}
+FIFTIETH = {"vq": "select chunk_id as query_id, vector from vecs where substr(chunk_id, 2)::bigint % 50 = 0"}
 
 
 @query("exact_knn", with_ctes(["vecs"], top_sql("vq", "vecs", N, "chunk_id"), VEC_QUERIES))
 def exact_knn(spark, sf_dir):
-    """Nearest vectors of every fiftieth vector."""
-    return rounded(nearest(i.vector_queries(spark, sf_dir), i.vectors(spark, sf_dir), N), "chunk_id")
+    """Nearest vectors of every vector."""
+    return rounded(nearest(i.all_vector_queries(spark, sf_dir), i.vectors(spark, sf_dir), N), "chunk_id")
 
 
 # The vectors of labelled documents as queries, and waves of a third of them at most.
@@ -292,7 +293,7 @@ ENCODED = encoded_ctes(CONFIG, f"""
         select (substr(chunk_id, 2)::bigint % {N_CODES})::int as code, d.range as d, avg(vector[d.range + 1]::double)::float as a
         from vecs, range({i.DIM}) as d group by 1, 2) group by 1, 2""")
 PROBED = {
-    "vq": VEC_QUERIES["vq"],
+    "vq": FIFTIETH["vq"],
     "probes": f"""
         select query_id, list_id, vector, base, distance, rank from (
             select q.query_id, c.list_id, q.vector, c.vector as base, {distance_sql('q.vector', 'c.vector')} as distance,

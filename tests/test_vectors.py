@@ -382,3 +382,17 @@ def test_words_are_hashed_once_a_batch(spark):
     fast, slow = HashEncoder(), HashEncoder(tokenizer=Ids())
     assert "sha2" not in texts.select(fast.encode(F.col("t")))._jdf.queryExecution().executedPlan().toString()
     assert texts.select(fast.encode(F.col("t"))).collect() == texts.select(slow.encode(F.col("t"))).collect()
+
+
+@pytest.mark.parametrize("key", ["exact_knn"])
+def test_every_vector_asks(spark, sf_dir, key):
+    """Each given vector is a query of its own, and the SQL asks the same."""
+    from folioloom.registry import ORACLES, QUERIES, inputs
+
+    every = {r.chunk_id for r in inputs.vectors(spark, sf_dir).collect()}
+    rows = QUERIES[key](spark, sf_dir)
+    if "n_exact" in rows.columns:
+        assert rows.first().n_exact == 10 * len(every)
+    else:
+        assert {r.query_id for r in rows.select("query_id").distinct().collect()} == every
+    assert "% 50" not in ORACLES[key]
