@@ -318,9 +318,9 @@ def ivf_encode(spark, sf_dir):
 
 
 @query("ivf_probe", with_ctes(["vecs", "centroids"], """
-    select query_id, list_id, rank, round(distance::double, 6) as distance from probes""", PROBED))
+    select query_id, list_id, rank, round(distance::double, 6) as distance from probes""", {**PROBED, **VEC_QUERIES}))
 def ivf_probe(spark, sf_dir):
-    return rounded(ann.probe_lists(i.vector_queries(spark, sf_dir), i.label_centroids(spark, sf_dir), 3), "list_id")
+    return rounded(ann.probe_lists(i.all_vector_queries(spark, sf_dir), i.label_centroids(spark, sf_dir), 3), "list_id")
 
 
 def scored_ctes(config: ann.IVFPQConfig, encoded: dict[str, str]) -> dict[str, str]:
