@@ -348,10 +348,10 @@ SCORED = scored_ctes(CONFIG, ENCODED)
 
 @query("ivfpq_search", with_ctes(["vecs", "centroids"], f"""
     select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source from (
-        select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored) where rank <= {N}""", SCORED))
+        select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored) where rank <= {N}""", {**SCORED, **VEC_QUERIES}))
 def ivfpq_search(spark, sf_dir):
-    """Every fiftieth vector as a query against three lists, from 1820 on."""
-    hits = ann.search(given_index(spark, sf_dir), i.vector_queries(spark, sf_dir), N, year_min=1820, n_probe=3)
+    """Every vector as a query against three lists, from 1820 on."""
+    hits = ann.search(given_index(spark, sf_dir), i.all_vector_queries(spark, sf_dir), N, year_min=1820, n_probe=3)
     return rounded(hits, "faiss_id", "chunk_id", "year", "source")
 
 
