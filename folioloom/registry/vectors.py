@@ -396,14 +396,14 @@ REFINED = {
 }
 
 
-def refined_hits(spark, sf_dir, n_probe: int):
+def refined_hits(spark, sf_dir, n_probe: int, asked=i.all_vector_queries):
     return ann.refined_search(
-        fine_index(spark, sf_dir), i.vectors(spark, sf_dir), i.vector_queries(spark, sf_dir), N, year_min=1820, n_probe=n_probe, factor=FACTOR)
+        fine_index(spark, sf_dir), i.vectors(spark, sf_dir), asked(spark, sf_dir), N, year_min=1820, n_probe=n_probe, factor=FACTOR)
 
 
 @query("ivfpq_refined", with_ctes(["vecs", "centroids"], f"""
     select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source
-    from refined where rank <= {N}""", REFINED))
+    from refined where rank <= {N}""", {**REFINED, **VEC_QUERIES}))
 def ivfpq_refined(spark, sf_dir):
     """The eighty nearest by code of three lists, and of these the ten nearest by vector."""
     return rounded(refined_hits(spark, sf_dir, 3), "faiss_id", "chunk_id", "year", "source")
@@ -418,7 +418,7 @@ def ivfpq_refined(spark, sf_dir):
             qualify row_number() over (partition by q.query_id order by {distance_sql('q.vector', 'v.vector')}, v.chunk_id) <= {N}"""}))
 def ivfpq_refined_recall(spark, sf_dir):
     """How many of the ten exact neighbours the two-stage search finds, all lists probed."""
-    found = refined_hits(spark, sf_dir, CONFIG.n_lists).select("query_id", "chunk_id", F.lit(1).alias("found"))
+    found = refined_hits(spark, sf_dir, CONFIG.n_lists, i.vector_queries).select("query_id", "chunk_id", F.lit(1).alias("found"))
     dated = i.vectors(spark, sf_dir).filter(F.col("year").between(1820, 10_000))
     exact = nearest(i.vector_queries(spark, sf_dir), dated, N).select("query_id", "chunk_id")
     both = exact.join(found, ["query_id", "chunk_id"], "left").agg(F.count(F.lit(1)).alias("n_exact"), F.count("found").alias("n_found"))
