@@ -113,7 +113,6 @@ def top_sql(queries: str, vectors: str, n: int, columns: str, where: str = "true
 
 
 VEC_QUERIES = {"vq": "select chunk_id as query_id, vector from vecs"}
-FIFTIETH = {"vq": "select chunk_id as query_id, vector from vecs where substr(chunk_id, 2)::bigint % 50 = 0"}
 
 
 @query("exact_knn", with_ctes(["vecs"], top_sql("vq", "vecs", N, "chunk_id"), VEC_QUERIES))
@@ -293,7 +292,7 @@ ENCODED = encoded_ctes(CONFIG, f"""
         select (substr(chunk_id, 2)::bigint % {N_CODES})::int as code, d.range as d, avg(vector[d.range + 1]::double)::float as a
         from vecs, range({i.DIM}) as d group by 1, 2) group by 1, 2""")
 PROBED = {
-    "vq": FIFTIETH["vq"],
+    "vq": VEC_QUERIES["vq"],
     "probes": f"""
         select query_id, list_id, vector, base, distance, rank from (
             select q.query_id, c.list_id, q.vector, c.vector as base, {distance_sql('q.vector', 'c.vector')} as distance,
@@ -318,7 +317,7 @@ def ivf_encode(spark, sf_dir):
 
 
 @query("ivf_probe", with_ctes(["vecs", "centroids"], """
-    select query_id, list_id, rank, round(distance::double, 6) as distance from probes""", {**PROBED, **VEC_QUERIES}))
+    select query_id, list_id, rank, round(distance::double, 6) as distance from probes""", PROBED))
 def ivf_probe(spark, sf_dir):
     return rounded(ann.probe_lists(i.all_vector_queries(spark, sf_dir), i.label_centroids(spark, sf_dir), 3), "list_id")
 
@@ -348,7 +347,7 @@ SCORED = scored_ctes(CONFIG, ENCODED)
 
 @query("ivfpq_search", with_ctes(["vecs", "centroids"], f"""
     select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source from (
-        select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored) where rank <= {N}""", {**SCORED, **VEC_QUERIES}))
+        select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored) where rank <= {N}""", SCORED))
 def ivfpq_search(spark, sf_dir):
     """Every vector as a query against three lists, from 1820 on."""
     hits = ann.search(given_index(spark, sf_dir), i.all_vector_queries(spark, sf_dir), N, year_min=1820, n_probe=3)
@@ -358,7 +357,7 @@ def ivfpq_search(spark, sf_dir):
 @query("ivfpq_search_waves", with_ctes(["vecs", "centroids"], f"""
     select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source from (
         select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from scored
-        where query_id in (select query_id from lvq)) where rank <= {N}""", {**SCORED, "vq": "select chunk_id as query_id, vector from vecs", **LABELLED}))
+        where query_id in (select query_id from lvq)) where rank <= {N}""", {**SCORED, **LABELLED}))
 def ivfpq_search_waves(spark, sf_dir):
     """The search by code for the vectors of labelled documents, in three waves or more."""
     asked, rows = labelled_queries(spark, sf_dir)
@@ -396,14 +395,14 @@ REFINED = {
 }
 
 
-def refined_hits(spark, sf_dir, n_probe: int, asked=i.all_vector_queries):
+def refined_hits(spark, sf_dir, n_probe: int):
     return ann.refined_search(
-        fine_index(spark, sf_dir), i.vectors(spark, sf_dir), asked(spark, sf_dir), N, year_min=1820, n_probe=n_probe, factor=FACTOR)
+        fine_index(spark, sf_dir), i.vectors(spark, sf_dir), i.all_vector_queries(spark, sf_dir), N, year_min=1820, n_probe=n_probe, factor=FACTOR)
 
 
 @query("ivfpq_refined", with_ctes(["vecs", "centroids"], f"""
     select query_id, rank, round(distance::double, 6) as distance, {HASH64_SQL.format('chunk_id')} as faiss_id, chunk_id, year, source
-    from refined where rank <= {N}""", {**REFINED, **VEC_QUERIES}))
+    from refined where rank <= {N}""", REFINED))
 def ivfpq_refined(spark, sf_dir):
     """The eighty nearest by code of three lists, and of these the ten nearest by vector."""
     return rounded(refined_hits(spark, sf_dir, 3), "faiss_id", "chunk_id", "year", "source")
@@ -418,9 +417,9 @@ def ivfpq_refined(spark, sf_dir):
             qualify row_number() over (partition by q.query_id order by {distance_sql('q.vector', 'v.vector')}, v.chunk_id) <= {N}"""}))
 def ivfpq_refined_recall(spark, sf_dir):
     """How many of the ten exact neighbours the two-stage search finds, all lists probed."""
-    found = refined_hits(spark, sf_dir, CONFIG.n_lists, i.vector_queries).select("query_id", "chunk_id", F.lit(1).alias("found"))
+    found = refined_hits(spark, sf_dir, CONFIG.n_lists).select("query_id", "chunk_id", F.lit(1).alias("found"))
     dated = i.vectors(spark, sf_dir).filter(F.col("year").between(1820, 10_000))
-    exact = nearest(i.vector_queries(spark, sf_dir), dated, N).select("query_id", "chunk_id")
+    exact = nearest(i.all_vector_queries(spark, sf_dir), dated, N).select("query_id", "chunk_id")
     both = exact.join(found, ["query_id", "chunk_id"], "left").agg(F.count(F.lit(1)).alias("n_exact"), F.count("found").alias("n_found"))
     return both.withColumn("enough", F.col("n_found") >= 0.9 * F.col("n_exact"))
 

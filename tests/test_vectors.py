@@ -384,7 +384,7 @@ def test_words_are_hashed_once_a_batch(spark):
     assert texts.select(fast.encode(F.col("t"))).collect() == texts.select(slow.encode(F.col("t"))).collect()
 
 
-@pytest.mark.parametrize("key", ["exact_knn", "ivf_probe", "ivfpq_search", "ivfpq_refined"])
+@pytest.mark.parametrize("key", ["exact_knn", "ivf_probe", "ivfpq_search", "ivfpq_refined", "ivfpq_refined_recall"])
 def test_every_vector_asks(spark, sf_dir, key):
     """Each given vector is a query of its own, and the SQL asks the same."""
     from folioloom.registry import ORACLES, QUERIES, inputs
