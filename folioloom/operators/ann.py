@@ -8,6 +8,7 @@ in parallel.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +23,8 @@ from pyspark.sql import types as T
 from folioloom.functions.text import hash64
 from folioloom.functions.vectors import list_column, matrix
 from folioloom.operators.knn import (
-    PLACE_BYTES, ROW_BYTES, Nearest, best_per_query, exact_distances, hits_batch, hits_schema, in_waves, nearest,
-    nearest_of, rank_ids, rough_distances,
+    EXACT_ELEMENTS, PLACE_BYTES, QUERY_TILE, ROW_BYTES, Nearest, best_per_query, exact_distances, hits_batch, hits_schema, in_waves,
+    near_pairs, nearest, nearest_of, rank_ids, rough_distances,
 )
 from folioloom.operators.lookup import between_years
 from folioloom.schemas import COARSE_CENTROIDS, IVF_POSTINGS, PQ_CODEBOOKS, VECTOR_META, columns
@@ -38,6 +39,8 @@ ASSIGN_TILE = 1_024
 PROBE_BYTES = 32
 # Entries of distance tables a task keeps (64 MB).
 MAX_KEPT_ENTRIES = 8_000_000
+# Queries of a list from which on its codes are decoded once and compared by product; fewer of them look up their tables.
+PRODUCT_QUERIES = 32
 HIT_COLUMNS = ["faiss_id", "chunk_id", "year", "source"]
 
 
@@ -354,6 +357,28 @@ def score_list(tables: ListTables, codes: np.ndarray, near: Nearest, query_rows:
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def code_distances(residuals: np.ndarray, decoded: np.ndarray, m: int, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Distances by code of the given pairs, added up as the tables of ``distance_table`` are."""
+    out = np.empty(len(rows), dtype=np.float32)
+    step = max(1, EXACT_ELEMENTS // residuals.shape[1])
+    for lo in range(0, len(rows), step):
+        diff = residuals[rows[lo:lo + step]].astype(np.float64) - decoded[cols[lo:lo + step]]
+        out[lo:lo + step] = np.square(diff).reshape(len(diff), m, -1).sum(axis=2).sum(axis=1)
+    return out
+
+
+def score_decoded(residuals: np.ndarray, books: np.ndarray, codes: np.ndarray, near: Nearest, query_rows: np.ndarray):
+    """``score_list`` for many queries: by a product with what the codes stand for, and by code for the pairs that may count."""
+    m = books.shape[0]
+    decoded = books[np.arange(m), codes].reshape(len(codes), -1)
+    found = []
+    for lo in range(0, len(query_rows), QUERY_TILE):
+        tile, places = residuals[lo:lo + QUERY_TILE], query_rows[lo:lo + QUERY_TILE]
+        rows, cols = near_pairs(tile, decoded, near.limit()[places], near.k)
+        found.append((places[rows], cols, code_distances(tile, decoded, m, rows, cols)))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
 def search(
     index: IVFPQIndex, queries: DataFrame, n: int = 10,
     year_min: int | None = None, year_max: int | None = None, n_probe: int = 64, wave_rows: int | None = None,
@@ -365,6 +390,17 @@ def search(
     Returns ``query_id, distance, rank, faiss_id, chunk_id, year, source``.
     """
     queries = queries.select("query_id", "vector")
+    return in_waves(queries, _wave_search(index, queries, n, year_min, year_max, n_probe), _bytes_per_query(n, n_probe), wave_rows)
+
+
+def _bytes_per_query(n: int, n_probe: int) -> int:
+    return ROW_BYTES + PLACE_BYTES * n + PROBE_BYTES * n_probe
+
+
+def _wave_search(
+    index: IVFPQIndex, queries: DataFrame, n: int, year_min: int | None, year_max: int | None, n_probe: int,
+) -> Callable[[pa.Table], tuple[DataFrame, list]]:
+    """What ``search`` finds for one wave of the queries, and its broadcasts."""
     postings = between_years(index.postings, year_min, year_max)
     schema = hits_schema(queries, postings, HIT_COLUMNS)
     probed = hits_schema(queries, index.centroids, ["list_id"])
@@ -376,7 +412,7 @@ def search(
         hits, also = _search_wave(index, wave, found, postings, books, n, schema)
         return best_per_query(hits, n, "chunk_id"), [*sent, *also]
 
-    return in_waves(queries, run, ROW_BYTES + PLACE_BYTES * n + PROBE_BYTES * n_probe, wave_rows)
+    return run
 
 
 def refine(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, n: int) -> DataFrame:
@@ -401,16 +437,24 @@ def refine(candidates: DataFrame, vectors: DataFrame, queries: DataFrame, n: int
 
 def refined_search(
     index: IVFPQIndex, vectors: DataFrame, queries: DataFrame, n: int = 10,
-    year_min: int | None = None, year_max: int | None = None, n_probe: int = 64, factor: int = 8,
+    year_min: int | None = None, year_max: int | None = None, n_probe: int = 64, factor: int = 8, wave_rows: int | None = None,
 ) -> DataFrame:
     """``search`` in two stages: ``factor * n`` candidates per query by their codes, of these the n nearest by their vectors.
 
+    Both stages are done for one wave of queries after another, so the candidates of all queries are never there at once.
     ``vectors`` are the indexed embeddings with year, source, chunk_id and vector. Columns as in ``search``; the distance is the exact one.
     """
     if factor < 1:
         raise ValueError("factor is 1 or more")
-    candidates = search(index, queries, n * factor, year_min, year_max, n_probe)
-    return refine(candidates, between_years(vectors, year_min, year_max), queries, n)
+    queries, stored = queries.select("query_id", "vector"), between_years(vectors, year_min, year_max)
+    near = _wave_search(index, queries, n * factor, year_min, year_max, n_probe)
+
+    def run(wave: pa.Table) -> tuple[DataFrame, list]:
+        candidates, sent = near(wave)
+        asked = F.broadcast(queries.sparkSession.createDataFrame(wave, queries.schema))
+        return refine(candidates, stored, asked, n), sent
+
+    return in_waves(queries, run, _bytes_per_query(n * factor, n_probe), wave_rows)
 
 
 def queries_by_list(wave: pa.Table, probes: pa.Table) -> dict[int, np.ndarray]:
@@ -450,10 +494,13 @@ def _search_wave(
             for list_id in np.unique(lists).tolist():
                 rows = np.flatnonzero(lists == list_id)
                 query_rows = probed_by[list_id]
-                if list_id not in tables:
-                    # files are sorted by list, so the tables of the last list are enough
-                    tables = {list_id: ListTables(queries[query_rows] - base[list_id], code_books)}
-                query, at, dist = score_list(tables[list_id], codes[rows], near, query_rows)
+                if len(query_rows) >= PRODUCT_QUERIES:
+                    query, at, dist = score_decoded(queries[query_rows] - base[list_id], code_books, codes[rows], near, query_rows)
+                else:
+                    if list_id not in tables:
+                        # files are sorted by list, so the tables of the last list are enough
+                        tables = {list_id: ListTables(queries[query_rows] - base[list_id], code_books)}
+                    query, at, dist = score_list(tables[list_id], codes[rows], near, query_rows)
                 found.append((query, rows[at], dist))
             query, cols, dist = (np.concatenate(part) for part in zip(*found))
             yield hits_batch(query_ids, batch, HIT_COLUMNS, *near.admit(query, cols, dist, rank_ids(batch["chunk_id"])))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioloom.functions.vectors import matrix
-from folioloom.session import new_folder
+from folioloom.session import new_folder, shuffles_dropped
 
 # Bytes of queries, with what is kept for each of them, that go to every task at once.
 WAVE_BYTES = 32 << 20
@@ -78,16 +78,21 @@ def rough_distances(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rough, error
 
 
+def near_pairs(tile: np.ndarray, vectors: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the tile, row of the vectors) of all pairs that can be within the limits and among the k nearest of the vectors."""
+    rough, error = rough_distances(tile, vectors)
+    limit = limit + error
+    if k <= len(vectors):
+        limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * error)
+    return np.nonzero(rough <= limit[:, None])
+
+
 def scan_batch(queries: np.ndarray, vectors: np.ndarray, order: np.ndarray, near: Nearest):
     """Candidates of one batch: (query, batch row, distance) arrays."""
     found = []
     for lo in range(0, len(queries), QUERY_TILE):
         tile = queries[lo:lo + QUERY_TILE]
-        rough, error = rough_distances(tile, vectors)
-        limit = near.limit()[lo:lo + QUERY_TILE] + error
-        if near.k <= len(vectors):
-            limit = np.minimum(limit, np.partition(rough, near.k - 1, axis=1)[:, near.k - 1] + 2 * error)
-        rows, cols = np.nonzero(rough <= limit[:, None])
+        rows, cols = near_pairs(tile, vectors, near.limit()[lo:lo + QUERY_TILE], near.k)
         found.append((rows + lo, cols, exact_distances(tile, vectors, rows, cols)))
     rows, cols, dist = (np.concatenate(part) for part in zip(*found))
     return near.admit(rows, cols, dist, order)
@@ -131,8 +136,9 @@ def in_waves(
 
     A wave has at most WAVE_BYTES: the vectors of its queries and ``per_query`` bytes for each. It goes to every task, and the
     searched table stays where it lies. ``run`` gives the rows of a wave and its broadcasts. Queries that fill one wave are answered
-    lazily. More of them are written to the shared folder first, in files of bounded rows; each wave's rows are written before
-    the next one starts, so the driver and the tasks hold one wave, however many queries there are. ``wave_rows`` replaces the bound.
+    lazily. More of them are written to the shared folder first, in files of bounded rows; each wave's rows are written, and what it
+    shuffled is dropped, before the next one starts, so the driver, the tasks and the disk hold one wave, however many queries there
+    are. ``wave_rows`` replaces the bound.
     """
     spark = queries.sparkSession
     head = queries.limit(FILE_ROWS + 1).toArrow()
@@ -146,8 +152,9 @@ def in_waves(
     stored = spark.read.schema(queries.schema).parquet(asked)
     files = [tuple(r) for r in stored.groupBy(F.col("_metadata.file_path")).count().collect()]
     for names in waves_of(files, rows):
-        found, sent = run(spark.read.schema(queries.schema).parquet(*names).toArrow())
-        found.write.mode("append").parquet(answered)
+        with shuffles_dropped(spark):
+            found, sent = run(spark.read.schema(queries.schema).parquet(*names).toArrow())
+            found.write.mode("append").parquet(answered)
         for broadcast in sent:
             broadcast.destroy()
     return spark.read.schema(found.schema).parquet(answered)

@@ -396,3 +396,37 @@ def test_every_vector_asks(spark, sf_dir, key):
     else:
         assert {r.query_id for r in rows.select("query_id").distinct().collect()} == every
     assert "% 50" not in ORACLES[key]
+
+
+def test_codes_compared_by_product_give_what_tables_give():
+    """The same candidates, to the last bit of their distances, batch after batch; equal codes tie."""
+    rng = np.random.default_rng(4)
+    books = rng.normal(size=(8, 16, 8)).astype(np.float32)
+    residuals = rng.normal(size=(300, 64)).astype(np.float32)
+    query_rows = np.sort(rng.choice(400, 300, replace=False))
+    tables, product = knn.Nearest(400, 7), knn.Nearest(400, 7)
+    for rows in (3, 500, 40):
+        codes = rng.integers(0, 16, (rows, 8)).astype(np.uint8)
+        codes[rows // 2:] = codes[:rows - rows // 2]
+        order = rng.permutation(rows)
+        want = tables.admit(*ann.score_list(ann.ListTables(residuals, books), codes, tables, query_rows), order)
+        got = product.admit(*ann.score_decoded(residuals, books, codes, product, query_rows), order)
+        assert all(np.array_equal(g, w) for g, w in zip(got, want)) and len(got[0])
+
+
+def test_refined_search_in_waves_holds_one_wave_on_disk(spark, built, data):
+    """The same hits in any waves; the candidates of a wave are dropped before the next."""
+    rows, index = built
+    q = asked(spark, data[1])
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    want = found(ann.refined_search(index, rows, q, 4, n_probe=3, factor=3))
+    for wave_rows in (1, 5):
+        before = shuffled()
+        hits = ann.refined_search(index, rows, q, 4, n_probe=3, factor=3, wave_rows=wave_rows)
+        left = shuffled() - before
+        assert len(left) <= 12, left
+        assert found(hits) == want
