@@ -177,7 +177,8 @@ def nearest(
 
     ``queries`` has ``query_id, vector``; ``vectors`` has ``vector`` and the payload, which
     holds the unique ``id_column``. Fewer than k rows come back where there are fewer vectors.
-    Any number of queries goes through the vectors in waves (see ``in_waves``).
+    Any number of queries goes through the vectors in waves (see ``in_waves``). A query without a vector has no distance to any
+    of them, and is given the first ids.
     """
     if k <= 0:
         raise ValueError("k has to be positive")
@@ -186,11 +187,23 @@ def nearest(
     schema = hits_schema(queries, vectors, payload)
 
     def run(wave: pa.Table) -> tuple[DataFrame, list]:
-        return nearest_of(wave, vectors, k, id_column, payload, schema)
+        blank = pc.is_null(wave["vector"])
+        found, sent = nearest_of(wave.filter(pc.invert(blank)), vectors, k, id_column, payload, schema)
+        if pc.any(blank).as_py():
+            found = found.unionByName(first_of(wave.filter(blank).select(["query_id"]), vectors, k, id_column, payload))
+        return found, sent
 
     return in_waves(queries, run, ROW_BYTES + PLACE_BYTES * k, wave_rows)
 
 
+def first_of(asked: pa.Table, vectors: DataFrame, k: int, id_column: str, payload: list[str]) -> DataFrame:
+    """The first k ids for each query, at no distance, as ``nearest`` has them."""
+    order = F.asc_nulls_last(id_column)
+    first = vectors.select(*payload).orderBy(order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(order)))
+    blank = vectors.sparkSession.createDataFrame(asked)
+    return blank.crossJoin(F.broadcast(first)).withColumn("distance", F.lit(None).cast("float"))
+
+
 def nearest_of(
     wave: pa.Table, vectors: DataFrame, k: int, id_column: str, payload: list[str], schema: T.StructType,
 ) -> tuple[DataFrame, list]:

@@ -430,3 +430,14 @@ def test_refined_search_in_waves_holds_one_wave_on_disk(spark, built, data):
         left = shuffled() - before
         assert len(left) <= 12, left
         assert found(hits) == want
+
+
+def test_a_query_without_a_vector_is_given_the_first_ids(spark, data):
+    x, q = data
+    queries = asked(spark, q[:2]).unionByName(spark.createDataFrame([(7, None), (8, None)], "query_id BIGINT, vector ARRAY<FLOAT>"))
+    want = brute(q[:2], x, 3)
+    for rows in (None, 1):
+        hits = knn.nearest(queries, make(spark, x, 3), 3, wave_rows=rows)
+        got = found(hits)
+        assert [got[i] for i in (0, 1)] == want and got[7] == got[8] == ["v0000", "v0001", "v0002"]
+        assert {r.distance is None for r in hits.filter("query_id > 1").collect()} == {True}
